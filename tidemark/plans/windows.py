@@ -302,7 +302,7 @@ SELECT event_id, window_start, window_end, status FROM status
 """)
 def late_status_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.classify_late(
-        jittered(spark, sf_dir), "ts", ARRIVAL, HOUR, TEN_MINUTES, DELAY, LATENESS
+        jittered(spark, sf_dir), "ts", ARRIVAL, TEN_MINUTES, FIVE_MINUTES, DELAY, LATENESS
     ).select("event_id", "window_start", "window_end", "status")
 
 
