@@ -21,7 +21,7 @@ from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, ru
 from tidemark.operators.windows import END, START
 
 ASCENDING = timedelta(milliseconds=1)
-_NO_WATERMARK = -(2**62)
+NO_WATERMARK = -(2**62)
 WATERMARK = "watermark_ms"
 STATUS = "status"
 
@@ -43,7 +43,7 @@ def with_watermark_before(
     blocks = plan_blocks(df, [], [position], rows_per_block, at_least=tasks)
     seen = {"__seen": Running("max", epoch_millis(F.col(ts)), with_current=False)}
     rows = running(blocks.tag(df, position), blocks, list(arrival), seen)
-    mark = F.coalesce(F.col("__seen") - millis(delay), F.lit(_NO_WATERMARK))
+    mark = F.coalesce(F.col("__seen") - millis(delay), F.lit(NO_WATERMARK))
     return rows.withColumn(WATERMARK, mark).drop("__seen", BLOCK)
 
 
@@ -102,8 +102,13 @@ def late_rows(
 ) -> DataFrame:
     """The second output: rows that are late in all their windows, that is in the latest one."""
     rows = with_watermark_before(df, ts, arrival, delay, rows_per_block)
+    return rows.where(is_late(ts, size, slide, lateness)).select(*df.columns)
+
+
+def is_late(ts: str, size: timedelta, slide: timedelta | None, lateness: timedelta) -> Column:
+    """Whether the latest window of a row is gone at the watermark the row carries."""
     end = _last_end(epoch_millis(F.col(ts)), millis(size), millis(slide or size))
-    return rows.where(_status(end, lateness) == "late").select(*df.columns)
+    return _status(end, lateness) == "late"
 
 
 def window_firings(
@@ -133,7 +138,7 @@ def window_firings(
     best = F.min(F.struct(*rank, F.struct(*columns).alias("row"))).alias("best")
     # On-time rows of a window collapse to one row here; re-firing rows stay apart.
     steps = accepted.groupBy(*group, *at).agg(best)
-    position = F.coalesce(as_position(steps, names[0]), F.lit(_NO_WATERMARK))
+    position = F.coalesce(as_position(steps, names[0]), F.lit(NO_WATERMARK))
     blocks = plan_blocks(steps, group, [position], rows_per_block)
     out = running(
         blocks.tag(steps, position),

@@ -75,7 +75,8 @@ def windowed(
     add = [c.alias(n) for a in aggs for n, c in a.add.items()]
     results = [c.alias(n) for a in aggs for n, c in a.result.items()]
 
-    if size % slide:
+    # A stream keeps its state per window, so there the rows are copied.
+    if size % slide or df.isStreaming:
         w = F.window(F.col(ts), interval_text(size), interval_text(slide))
         grouped = df.groupBy(*keys, w.alias("w")).agg(*add)
         return grouped.select(*keys, F.col("w.start").alias(START), F.col("w.end").alias(END), *results)

@@ -150,7 +150,7 @@ def csv_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(aggregates.GROUP_COUNT_SQL.format(key="id", view="sensor_table"))
 
 
-@query("""
+CHANGELOG_SQL = """
 WITH r AS (
   SELECT event_id, event_type,
     count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS n
@@ -158,7 +158,10 @@ WITH r AS (
 SELECT event_id, event_type, '+' AS op, n AS cnt FROM r
 UNION ALL
 SELECT event_id, event_type, '-' AS op, n - 1 AS cnt FROM r WHERE n > 1
-""")
+"""
+
+
+@query(CHANGELOG_SQL)
 def retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.changelog(table(spark, sf_dir, "events"), "event_type", ["event_id"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.messages import HEAT_LABEL, ITEM_LABEL, REPORT_HEADER, REPORT_RULE
-from tidemark.functions.timing import epoch_micros
+from tidemark.functions.timing import epoch_micros, micros
 from tidemark.operators import lateness as late
 from tidemark.operators import lookup, topn, windows
 from tidemark.plans.catalog import EV, events, query, table, windows_sql
@@ -251,8 +251,10 @@ DELAY, LATENESS = timedelta(seconds=120), timedelta(seconds=240)
 ARRIVAL = ["arrival", "event_id"]
 
 
-def jittered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    disorder = F.pmod(F.col("event_id") * 37, F.lit(11)) * 120_000_000
+def jittered(
+    spark: SparkSession, sf_dir: str, step: timedelta = timedelta(minutes=2)
+) -> DataFrame:
+    disorder = F.pmod(F.col("event_id") * 37, F.lit(11)) * micros(step)
     arrival = epoch_micros(F.col("ts")) + disorder
     return table(spark, sf_dir, "events").select(
         "event_id", "event_type", "ts", "value", arrival.alias("arrival")

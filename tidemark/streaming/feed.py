@@ -1,0 +1,80 @@
+"""Replay of a bounded table as a stream.
+
+The table is handed over in slices of a time column. After each slice the query runs
+until it has read all of it, from one checkpoint, so slices are never mixed in a batch.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from tidemark.functions.timing import micros
+from tidemark.operators.scan import as_position
+from tidemark.session import scratch_path
+
+MAX_SLICES = 1000
+FAR = timedelta(days=1000)
+
+Start = Callable[[DataFrame], DataStreamWriter]
+
+
+def _moment(df: DataFrame, column: str, at: int) -> Column:
+    """A number of microseconds as a literal of the column's type, so that filters push down."""
+    kind = df.schema[column].dataType.simpleString()
+    literal = F.lit(at).cast("long")
+    return F.timestamp_micros(literal).cast(kind) if kind.startswith("timestamp") else literal
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Run a query over everything that has arrived and stop."""
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def end_of_input(rows: DataFrame, ts: str, after: int, key: dict[str, object]) -> DataFrame:
+    """One row far in the future: it moves the watermark so that all windows and timers fire."""
+    values = {f.name: F.lit(key.get(f.name)).cast(f.dataType) for f in rows.schema.fields}
+    values[ts] = _moment(rows, ts, after + micros(FAR))
+    return rows.sparkSession.range(1).select(*[v.alias(n) for n, v in values.items()])
+
+
+def replay(
+    rows: DataFrame,
+    by: str,
+    every: timedelta,
+    starts: list[Start] | Start,
+    flush: dict[str, object] | None = None,
+) -> None:
+    """Feed the rows in slices of ``every``, aligned to the epoch, to one or more queries.
+
+    Several queries are run one after the other on each slice. With ``flush`` (the key of the
+    closing row, may be empty) the input ends with a row that closes everything.
+    """
+    spark = rows.sparkSession
+    low, high = rows.agg(F.min(as_position(rows, by)), F.max(as_position(rows, by))).first()
+    if low is None:
+        raise ValueError("the table is empty")
+    width = micros(every)
+    slices = range(low // width, high // width + 1)
+    if len(slices) > MAX_SLICES:
+        raise ValueError(f"{len(slices)} slices; take a longer slice")
+    root = scratch_path(spark, "feed")
+    folder = f"{root}/in"
+    tasks = [starts] if callable(starts) else starts
+
+    def step(part: DataFrame) -> None:
+        part.write.mode("append").parquet(folder)
+        for i, start in enumerate(tasks):
+            stream = spark.readStream.schema(rows.schema).parquet(folder)
+            run_available(start(stream), f"{root}/checkpoint-{i}")
+
+    for n in slices:
+        begin, end = _moment(rows, by, n * width), _moment(rows, by, (n + 1) * width)
+        step(rows.where((F.col(by) >= begin) & (F.col(by) < end)))
+    if flush is not None:
+        step(end_of_input(rows, by, high, flush))
