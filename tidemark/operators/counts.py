@@ -31,6 +31,27 @@ def tumbling_count(
     return out.where(F.col("__rows") == size).drop("__rows")
 
 
+def firings(row_no: Column, size: int, slide: int) -> Column:
+    """Row numbers of the firings that cover a row, one output row each."""
+    first = F.ceil(row_no / slide).cast("long") * slide
+    last = row_no + (size - 1)
+    return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long"))))
+
+
+def fire(numbered: DataFrame, key: str, size: int, slide: int, aggs: dict[str, Column]) -> DataFrame:
+    """Aggregate numbered rows per firing.
+
+    Each row is sent to the firings that cover it, so that a firing is a small group of its
+    own and rows of neighbouring blocks need no special case.
+    """
+    sent = numbered.withColumn("fired_at", firings(F.col("row_no"), size, slide))
+    out = sent.groupBy(key, "fired_at").agg(
+        *[a.alias(c) for c, a in aggs.items()], F.max("row_no").alias("__last")
+    )
+    # A firing beyond the last row of the key has not happened.
+    return out.where(F.col("__last") == F.col("fired_at")).drop("__last")
+
+
 def sliding_count(
     df: DataFrame,
     key: str,
@@ -40,19 +61,5 @@ def sliding_count(
     rows_per_block: int | None = None,
     **aggs: Column,
 ) -> DataFrame:
-    """At every ``slide``-th row of a key, aggregate its last rows, ``size`` at most.
-
-    Each row is sent to the firings that cover it, so that a firing is a small group of its
-    own and rows of neighbouring blocks need no special case.
-    """
-    n = F.col("row_no")
-    first = F.ceil(n / slide).cast("long") * slide
-    last = n + (size - 1)
-    firings = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))
-    rows = _numbered(df, key, order, rows_per_block)
-    sent = rows.withColumn("fired_at", F.explode(firings))
-    out = sent.groupBy(key, "fired_at").agg(
-        *[a.alias(c) for c, a in aggs.items()], F.max(n).alias("__last")
-    )
-    # A firing beyond the last row of the key has not happened.
-    return out.where(F.col("__last") == F.col("fired_at")).drop("__last")
+    """At every ``slide``-th row of a key, aggregate its last rows, ``size`` at most."""
+    return fire(_numbered(df, key, order, rows_per_block), key, size, slide, aggs)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
-from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, running
+from tidemark.operators.scan import BLOCK, Blocks, Running, as_position, plan_blocks, running
 
 
 def with_running(
@@ -44,6 +44,11 @@ def changelog(
 ) -> DataFrame:
     """Changes of a count per key: the old count is withdrawn before the new one is added."""
     counted = running_sum(df.select(key, *order), key, order, rows_per_block=rows_per_block)
+    return count_changes(counted, key, order)
+
+
+def count_changes(counted: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The messages behind a running count ``cnt``."""
     n = F.col("cnt")
     add = F.struct(F.lit("+").alias("op"), n.alias("cnt"))
     withdraw = F.struct(F.lit("-").alias("op"), (n - 1).alias("cnt"))
@@ -71,65 +76,83 @@ def jump_alert(
     )
 
 
-def sustained_rise_alert(
-    df: DataFrame,
-    key: str,
-    value: str,
-    ts: str,
-    order: str,
-    span: timedelta,
-    min_rises: int = 5,
-    at_end: str = "flush",
-    rows_per_block: int | None = None,
-) -> DataFrame:
-    """Alert ``span`` after a row when its run of rises still lasts and has ``min_rises`` rises.
-
-    A drop starts a new run, an equal value changes nothing. ``at_end='flush'`` fires the
-    alerts that are due after the last row, ``'hold'`` leaves them out.
-    """
-    if at_end not in ("flush", "hold"):
-        raise ValueError("at_end must be 'flush' or 'hold'")
-    wait = millis(span)
-    rows = df.select(
+def rise_input(df: DataFrame, key: str, value: str, ts: str, order: str) -> DataFrame:
+    """Rows as ``rise_states`` takes them, with no history before the first row of a key."""
+    return df.select(
         F.col(key),
         epoch_millis(F.col(ts)).alias("ts_ms"),
         F.col(order).alias("seq"),
         F.col(value).alias("v"),
+        F.lit(None).cast("long").alias("run_start_ms"),
+        F.lit(None).cast("long").alias("rises"),
+        F.lit(True).alias("pending"),
     )
+
+
+def rise_blocks(rows: DataFrame, key: str, span: timedelta, rows_per_block: int | None) -> Blocks:
+    """Blocks that fit the rows and their due times."""
     at = F.col("ts_ms")
-    blocks = plan_blocks(rows, [key], [at, at + wait], rows_per_block)
-    by_time = ["ts_ms", "seq"]
+    return plan_blocks(rows, [key], [at, at + millis(span)], rows_per_block)
+
 
-    rows = running(
-        blocks.tag(rows, at),
+def rise_states(rows: DataFrame, key: str, blocks: Blocks) -> DataFrame:
+    """Start and number of rises of the run each row is in.
+
+    A drop starts a new run, an equal value changes nothing. Where the first row of a key
+    already has a run start and rises, counting goes on from them.
+    """
+    at, by_time = F.col("ts_ms"), ["ts_ms", "seq"]
+    seeded = rows.withColumnsRenamed({"run_start_ms": "seed_start", "rises": "seed_rises"})
+    seen = running(
+        blocks.tag(seeded, at),
         blocks,
         by_time,
         {"prev": Running("prev", F.col("v")), "before": Running("prev", F.lit(1))},
     )
+    first = F.col("before").isNull()
     drop, rise = F.col("v") < F.col("prev"), F.col("v") > F.col("prev")
-    rows = running(
-        rows.withColumns({"drop": drop, "begins": F.col("before").isNull() | drop}),
+    seed = F.when(first, F.coalesce("seed_rises", F.lit(0))).otherwise(0)
+    counted = running(
+        seen.withColumns({"drop": drop, "begins": first | drop, "seed": seed}),
         blocks,
         by_time,
         {
             "run": Running("sum", F.when(drop, 1).otherwise(0)),
-            "ups": Running("sum", F.when(rise, 1).otherwise(0)),
+            "ups": Running("sum", F.col("seed") + F.when(rise, 1).otherwise(0)),
         },
     )
     # Runs begin in time order and "ups" never falls, so the latest start is the maximum.
-    rows = running(
-        rows.select(*blocks.group, "ts_ms", "seq", "begins", "run", "ups"),
+    start = F.when(first, F.coalesce("seed_start", at)).otherwise(at)
+    begun = running(
+        counted,
         blocks,
         by_time,
         {
-            "run_start_ms": Running("max", F.when(F.col("begins"), at)),
-            "ups_at_start": Running("max", F.when(F.col("begins"), F.col("ups"))),
+            "run_start_ms": Running("max", F.when(F.col("begins"), start)),
+            "base": Running("max", F.when(F.col("begins"), F.col("ups") - F.col("seed"))),
         },
     )
-    # Each row also asks what state its key is in at the due time.
+    return begun.select(
+        *blocks.group, "ts_ms", "seq", "v", "run_start_ms", "pending", "run", "ups", "base",
+        (F.col("ups") - F.col("base")).cast("long").alias("rises"),
+    )
+
+
+def rises_due(
+    states: DataFrame,
+    key: str,
+    blocks: Blocks,
+    span: timedelta,
+    min_rises: int,
+    until_ms: int | None = None,
+) -> DataFrame:
+    """Alerts of the pending rows whose run still lasts ``span`` later, due up to a time."""
+    # Each pending row also asks what state its key is in at its due time.
+    at = F.col("ts_ms")
     own = F.struct(at.alias("t"), F.lit(0).alias("asks"))
-    due = F.struct((at + wait).alias("t"), F.lit(1).alias("asks"))
-    marks = rows.drop(BLOCK).withColumn("m", F.explode(F.array(own, due))).select("*", "m.*").drop("m")
+    due = F.struct((at + millis(span)).alias("t"), F.lit(1).alias("asks"))
+    both = F.when(F.col("pending"), F.array(own, due)).otherwise(F.array(own))
+    marks = states.drop(BLOCK).withColumn("m", F.explode(both)).select("*", "m.*").drop("m")
     state = F.col("asks") == 0
     marks = running(
         blocks.tag(marks, F.col("t")),
@@ -140,14 +163,37 @@ def sustained_rise_alert(
             "ups_then": Running("max", F.when(state, F.col("ups"))),
         },
     )
-    rises = F.col("ups_then") - F.col("ups_at_start")
+    rises = (F.col("ups_then") - F.col("base")).cast("long")
     alerts = marks.where(
         (F.col("asks") == 1) & (F.col("run_then") == F.col("run")) & (rises >= min_rises)
-    ).select(
-        key, "seq", F.col("t").alias("timer_ms"), "run_start_ms", rises.cast("long").alias("rises")
     )
-    if at_end == "hold":
-        last = df.agg(F.max(epoch_millis(F.col(ts)))).first()[0]
-        alerts = alerts.where(F.col("timer_ms") <= F.lit(last))
+    if until_ms is not None:
+        alerts = alerts.where(F.col("t") <= until_ms)
     message = rise_message(F.col("timer_ms"), F.col("run_start_ms"), F.col(key), F.col("rises"))
-    return alerts.withColumn("message", message)
+    return alerts.select(
+        key, "seq", F.col("t").alias("timer_ms"), "run_start_ms", rises.alias("rises")
+    ).withColumn("message", message)
+
+
+def sustained_rise_alert(
+    df: DataFrame,
+    key: str,
+    value: str,
+    ts: str,
+    order: str,
+    span: timedelta,
+    min_rises: int = 5,
+    at_end: str = "flush",
+    rows_per_block: int | None = None,
+) -> DataFrame:
+    """Alert ``span`` after a row when its run of rises still lasts and has ``min_rises`` rises.
+
+    ``at_end='flush'`` fires the alerts that are due after the last row, ``'hold'`` leaves
+    them out.
+    """
+    if at_end not in ("flush", "hold"):
+        raise ValueError("at_end must be 'flush' or 'hold'")
+    rows = rise_input(df, key, value, ts, order)
+    blocks = rise_blocks(rows, key, span, rows_per_block)
+    until = rows.agg(F.max("ts_ms")).first()[0] if at_end == "hold" else None
+    return rises_due(rise_states(rows, key, blocks), key, blocks, span, min_rises, until)

@@ -15,9 +15,9 @@ from tidemark.operators import windows
 from tidemark.plans import batch as b
 from tidemark.plans import windows as w
 from tidemark.plans.catalog import events, query, table
-from tidemark.session import ROCKSDB, STATE_STORE, scratch_path
+from tidemark.session import scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
-from tidemark.streaming import lateness, stateful
+from tidemark.streaming import carried, lateness
 from tidemark.streaming import windows as live
 from tidemark.streaming.feed import replay
 
@@ -41,14 +41,12 @@ def _written(spark: SparkSession, rows: DataFrame, label: str, shape, flush=None
     return _zoneless(spark.read.parquet(path))
 
 
-def _with_state(spark: SparkSession, rows: DataFrame, label: str, shape, flush=None) -> DataFrame:
-    """The same for operators with keyed state, which need the RocksDB state store."""
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        return _written(spark, rows, label, shape, flush)
-    finally:
-        spark.conf.set(STATE_STORE, before)
+def _carried(spark: SparkSession, rows: DataFrame, label: str, step, flush=None) -> DataFrame:
+    """Replay rows through an operator that carries a history per key between batches."""
+    path = scratch_path(spark, label)
+    write = carried.carried(path, step)
+    replay(rows, "ts", SLICE, lambda s: live.each_batch(s, write), flush)
+    return carried.read_out(rows, path)
 
 
 @query(w.SLIDING_SQL)
@@ -129,49 +127,36 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(b.RUNNING_SQL)
 def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return _with_state(
-        spark, rows, "running", lambda s: stateful.live_running_count(s, "event_type", "event_id")
-    )
+    return _carried(spark, rows, "running", carried.running_count("event_type", "event_id"))
 
 
 @query(b.CHANGELOG_SQL)
 def stream_retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return _with_state(
-        spark, rows, "changelog", lambda s: stateful.live_changelog(s, "event_type", "event_id")
-    )
+    return _carried(spark, rows, "changelog", carried.changelog("event_type", "event_id"))
 
 
 @query(b.COUNT_5_2_SQL)
 def stream_count_window_5_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-
-    def shape(s: DataFrame) -> DataFrame:
-        out = stateful.live_count_window(s, "user_id", "value", "event_id", 5, 2)
-        return out.select("user_id", "fired_at", F.round("total", 2).alias("sum_value"))
-
-    return _with_state(spark, rows, "count-window", shape)
+    total = F.round(F.sum("value"), 2)
+    step = carried.count_window("user_id", "event_id", "value", 5, 2, sum_value=total)
+    return _carried(spark, rows, "count-window", step)
 
 
 @query(b.JUMP_SQL)
 def stream_jump_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    return _with_state(
-        spark, rows, "jumps",
-        lambda s: stateful.live_jump_alert(s, "user_id", "value", "ts", "event_id", b.JUMP),
-    )
+    step = carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP)
+    return _carried(spark, rows, "jumps", step)
 
 
 @query(b.RISE_SQL)
 def stream_sustained_rise_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-
-    def shape(s: DataFrame) -> DataFrame:
-        out = stateful.live_sustained_rise(s, "user_id", "value", "ts", "event_id", b.RISE_SPAN)
-        return out.where(F.col("user_id") != NO_KEY)
-
+    step = carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN)
     closing = {"user_id": NO_KEY, "event_id": NO_KEY, "value": 0.0}
-    return _with_state(spark, rows, "rises", shape, flush=closing)
+    return _carried(spark, rows, "rises", step, flush=closing)
 
 
 # The rows that arrive in a slice of ten days are one micro-batch; its watermark comes from

@@ -1,0 +1,164 @@
+"""Keyed results of a stream by micro-batches of any size.
+
+Each micro-batch runs the batch operator over its rows and, per key, the few rows that carry
+the history of earlier batches. So a key that fills much of a batch is split like in a batch
+job, and nothing leaves the JVM. The history table has a bounded number of rows per key; it is
+written after each batch into one of two slots, so a batch that is delivered again reads the
+history of its predecessor and replaces its own output.
+
+For small batches with low delay see ``stateful``, where the history stays in a state store.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.timing import millis
+from tidemark.operators import keyed
+from tidemark.operators.counts import fire
+from tidemark.operators.keyed import rise_blocks, rise_input, rise_states, rises_due, with_running
+from tidemark.operators.scan import BLOCK, Running
+from tidemark.sinks.upsert import latest_by_key
+
+Save = Callable[[DataFrame], DataFrame]
+Step = Callable[[DataFrame | None, DataFrame, Save], tuple[DataFrame, DataFrame]]
+
+
+def carried(path: str, step: Step) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes ``out`` and hands the history to the next batch.
+
+    ``step`` gets the history (none at first), the rows of the batch, and a function that
+    writes an intermediate table both results need.
+    """
+
+    def slot(name: str, batch_id: int) -> str:
+        return f"{path}/{name}/slot={batch_id % 2}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def save(df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(slot("work", batch_id))
+            return spark.read.schema(df.schema).parquet(slot("work", batch_id))
+
+        before = spark.read.parquet(slot("history", batch_id - 1)) if batch_id > 0 else None
+        out, history = step(before, batch, save)
+        out.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
+        history.write.mode("overwrite").parquet(slot("history", batch_id))
+
+    return write
+
+
+def read_out(rows: DataFrame, path: str) -> DataFrame:
+    """What the batches wrote; ``rows`` gives the session."""
+    return rows.sparkSession.read.parquet(f"{path}/out").drop("batch_id")
+
+
+def _with(before: DataFrame | None, rows: DataFrame) -> DataFrame:
+    return rows if before is None else rows.unionByName(before)
+
+
+def running_count(key: str, order: str, rows_per_block: int | None = None) -> Step:
+    """A count so far for each row; the history is the count and the last order of a key."""
+
+    def step(before, batch, save):
+        return _counted(before, batch, key, order, rows_per_block)
+
+    return step
+
+
+def changelog(key: str, order: str, rows_per_block: int | None = None) -> Step:
+    """The count changes of each row."""
+
+    def step(before, batch, save):
+        counted, history = _counted(before, batch, key, order, rows_per_block)
+        return keyed.count_changes(counted, key, [order]), history
+
+    return step
+
+
+def _counted(
+    before: DataFrame | None, batch: DataFrame, key: str, order: str, rows_per_block: int | None
+) -> tuple[DataFrame, DataFrame]:
+    new = batch.select(key, order, F.lit(1).cast("long").alias("addend"), F.lit(True).alias("new"))
+    rows = new if before is None else new.unionByName(before.withColumn("new", F.lit(False)))
+    out = keyed.running_sum(rows, key, [order], F.col("addend"), rows_per_block=rows_per_block)
+    history = rows.groupBy(key).agg(F.max(order).alias(order), F.sum("addend").alias("addend"))
+    return out.where("new").select(order, key, "cnt"), history
+
+
+def jump_alert(
+    key: str, value: str, ts: str, order: str, threshold: float, rows_per_block: int | None = None
+) -> Step:
+    """Jumps against the row before, which for the first row of a batch is in the history."""
+
+    def step(before, batch, save):
+        rows = _with(before, batch.select(*dict.fromkeys([key, value, ts, order])))
+        out = keyed.jump_alert(rows, key, value, ts, [order], threshold, rows_per_block)
+        return out, latest_by_key(rows, [key], [order])
+
+    return step
+
+
+def count_window(
+    key: str, order: str, value: str, size: int, slide: int,
+    rows_per_block: int | None = None, **aggs: Column,
+) -> Step:
+    """Count windows; the history is the last ``size - 1`` rows of a key (one at least), numbered."""
+
+    def step(before, batch, save):
+        unnumbered = F.lit(None).cast("long").alias("known_no")
+        rows = _with(before, batch.select(key, order, value, unnumbered))
+        # The first row of a key that has a number goes on from it, all others add one.
+        seen = with_running(
+            rows, [key], [order], {"before": Running("prev", F.lit(1))}, rows_per_block
+        )
+        add = F.when(F.col("before").isNull(), F.coalesce("known_no", F.lit(1).cast("long"))).otherwise(1)
+        numbered = save(
+            with_running(
+                seen.withColumn("add", add), [key], [order],
+                {"row_no": Running("sum", F.col("add"))}, rows_per_block,
+            ).select(key, order, value, "known_no", "row_no")
+        )
+        fired = fire(
+            numbered, key, size, slide, {**aggs, "__known": F.max("known_no")}
+        )
+        # A firing that ends in the history was given by an earlier batch.
+        out = fired.where(F.col("__known").isNull() | (F.col("fired_at") > F.col("__known")))
+        newest = Window.partitionBy(key).orderBy(F.desc("row_no"))
+        tail = numbered.withColumn("age", F.row_number().over(newest))
+        tail = tail.where(F.col("age") <= max(1, size - 1))
+        return out.drop("__known"), tail.select(key, order, value, F.col("row_no").alias("known_no"))
+
+    return step
+
+
+def sustained_rise(
+    key: str, value: str, ts: str, order: str, span: timedelta, min_rises: int = 5,
+    delay: timedelta = timedelta(0), rows_per_block: int | None = None,
+) -> Step:
+    """Alerts of sustained rises that are due by the watermark.
+
+    The history is the last row of a key and its rows that are not due, with their runs. It
+    lasts one span of event time.
+    """
+
+    def step(before, batch, save):
+        rows = _with(before, rise_input(batch, key, value, ts, order))
+        blocks = rise_blocks(rows, key, span, rows_per_block)
+        states = save(rise_states(rows, key, blocks))
+        until = states.agg(F.max("ts_ms")).first()[0]
+        until = None if until is None else until - millis(delay)
+        out = rises_due(states, key, blocks, span, min_rises, until)
+
+        due = F.lit(True) if until is None else F.col("ts_ms") + millis(span) <= until
+        open_rows = states.drop(BLOCK).withColumn("pending", F.col("pending") & ~due)
+        last = latest_by_key(open_rows, [key], ["ts_ms", "seq"]).where(~F.col("pending"))
+        history = open_rows.where("pending").unionByName(last)
+        return out, history.select(key, "ts_ms", "seq", "v", "run_start_ms", "rises", "pending")
+
+    return step
