@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.timing import millis
 from tidemark.operators import keyed
 from tidemark.operators.counts import fire
-from tidemark.operators.keyed import rise_blocks, rise_input, rise_states, rises_due, with_running
-from tidemark.operators.scan import BLOCK, Running
+from tidemark.operators.keyed import rise_blocks, rise_input, rise_states, rises_due
+from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, running
 from tidemark.sinks.upsert import latest_by_key
 
 Save = Callable[[DataFrame], DataFrame]
@@ -113,17 +113,16 @@ def count_window(
     def step(before, batch, save):
         unnumbered = F.lit(None).cast("long").alias("known_no")
         rows = _with(before, batch.select(key, order, value, unnumbered))
-        # The first row of a key that has a number goes on from it, all others add one.
-        seen = with_running(
-            rows, [key], [order], {"before": Running("prev", F.lit(1))}, rows_per_block
-        )
-        add = F.when(F.col("before").isNull(), F.coalesce("known_no", F.lit(1).cast("long"))).otherwise(1)
-        numbered = save(
-            with_running(
-                seen.withColumn("add", add), [key], [order],
-                {"row_no": Running("sum", F.col("add"))}, rows_per_block,
-            ).select(key, order, value, "known_no", "row_no")
-        )
+        position = as_position(rows, order)
+        blocks = plan_blocks(rows, [key], [position], rows_per_block)
+        before_it = {"before": Running("prev", F.lit(1))}
+        seen = running(blocks.tag(rows, position), blocks, [order], before_it)
+        # The first row of a key goes on from its number if it has one, all others add one.
+        first_no = F.coalesce("known_no", F.lit(1).cast("long"))
+        add = F.when(F.col("before").isNull(), first_no).otherwise(1)
+        row_no = {"row_no": Running("sum", add)}
+        numbered = running(seen, blocks, [order], row_no)
+        numbered = save(numbered.select(key, order, value, "known_no", "row_no"))
         fired = fire(
             numbered, key, size, slide, {**aggs, "__known": F.max("known_no")}
         )
