@@ -1,0 +1,173 @@
+"""Live forms must give what the batch forms give, however the input is cut into batches."""
+
+from datetime import timedelta
+
+import pytest
+from fixtures import SENSOR_INT, SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
+from pyspark.sql import functions as F
+
+from tidemark.operators import aggregates, keyed, windows
+from tidemark.operators.counts import sliding_count
+from tidemark.session import scratch_path
+from tidemark.sources.readers import text_stream
+from tidemark.streaming import carried, lateness, stateful
+from tidemark.streaming import windows as live
+from tidemark.streaming.feed import replay, run_available
+
+pytestmark = pytest.mark.usefixtures("few_partitions")
+S = lambda n: timedelta(seconds=n)
+SPAN = S(6)
+
+
+@pytest.fixture(scope="module")
+def few_partitions(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    yield
+    spark.conf.set(name, before)
+
+
+def keyed_rows(spark):
+    """No null key, and times that are unique, so that batches follow the order of time."""
+    df = skewed(spark, 160).where("k IS NOT NULL")
+    return df.withColumn("ms", F.col("ms") + F.col("seq")).withColumn("ts", F.timestamp_millis("ms"))
+
+
+STEPS = {
+    "running": (
+        lambda n: carried.running_count("k", "seq", n),
+        lambda df: keyed.running_sum(df, "k", ["seq"]).select("seq", "k", "cnt"),
+    ),
+    "changelog": (
+        lambda n: carried.changelog("k", "seq", n),
+        lambda df: keyed.changelog(df, "k", ["seq"]),
+    ),
+    "jump": (
+        lambda n: carried.jump_alert("k", "v", "ts", "seq", 5, n),
+        lambda df: keyed.jump_alert(df, "k", "v", "ts", ["seq"], 5),
+    ),
+    "count_window": (
+        lambda n: carried.count_window("k", "seq", "v", 5, 2, n, s=F.sum("v")),
+        lambda df: sliding_count(df, "k", ["seq"], 5, 2, s=F.sum("v")),
+    ),
+    "rise": (
+        lambda n: carried.sustained_rise("k", "v", "ts", "seq", SPAN, 2, rows_per_block=n),
+        lambda df: keyed.sustained_rise_alert(df, "k", "v", "ts", "seq", SPAN, 2, at_end="hold"),
+    ),
+}
+
+
+@pytest.mark.parametrize("rows_per_block", [None, 15])
+@pytest.mark.parametrize("name", sorted(STEPS))
+def test_history_between_batches(spark, tmp_path, name, rows_per_block):
+    """Batches of 40 rows, one of them delivered twice."""
+    step, batch = STEPS[name]
+    df = keyed_rows(spark)
+    want = rows_of(batch(df))
+    assert want
+    write = carried.carried(str(tmp_path), step(rows_per_block))
+    for i in range(4):
+        part = df.where((F.col("seq") >= 40 * i) & (F.col("seq") < 40 * (i + 1)))
+        for _ in range(2 if i == 2 else 1):
+            write(part, i)
+    assert rows_of(carried.read_out(df, str(tmp_path)), *batch(df).columns) == want
+
+
+def collected(spark, rows, every, shape, flush=None):
+    path = scratch_path(spark, "live-test")
+    replay(rows, "ts", every, lambda s: live.append_to(shape(s), path), flush)
+    return spark.read.parquet(path)
+
+
+def test_state_running_and_changelog(spark):
+    rows = sensors(spark, SENSOR_INT, "int")
+    got = collected(spark, rows, S(20), lambda s: stateful.live_running_count(s, "id", "seq"))
+    assert rows_of(got) == rows_of(keyed.running_sum(rows, "id", ["seq"]).select("seq", "id", "cnt"))
+    got = collected(spark, rows, S(20), lambda s: stateful.live_changelog(s, "id", "seq"))
+    assert rows_of(got, "seq", "id", "op", "cnt") == rows_of(keyed.changelog(rows, "id", ["seq"]))
+
+
+def test_state_count_window(spark):
+    rows = sensors(spark, SENSOR_INT, "int")
+    shape = lambda s: stateful.live_count_window(s, "id", "temperature", "seq", 5, 2)
+    got = collected(spark, rows, S(7), shape)
+    assert rows_of(got, "fired_at", "total") == list(
+        zip(range(2, 13, 2), [54.0, 99.0, 124.0, 136.0, 145.0, 139.0])
+    )
+
+
+def test_state_jump(spark):
+    rows = sensors(spark, SENSOR_STATE)
+    shape = lambda s: stateful.live_jump_alert(s, "id", "temperature", "ts", "seq", 10)
+    got = collected(spark, rows, S(5), shape)
+    want = keyed.jump_alert(rows, "id", "temperature", "ts", ["seq"], 10)
+    assert rows_of(got, *want.columns) == rows_of(want)
+
+
+@pytest.mark.parametrize("every", [5, 60])
+def test_state_sustained_rise(spark, every):
+    rows = sensors(spark, SENSOR_STATE)
+
+    def shape(s):
+        return stateful.live_sustained_rise(s, "id", "temperature", "ts", "seq", S(5))
+
+    closing = {"id": "end", "seq": -1, "temperature": 0.0, "ts_s": 0}
+    got = collected(spark, rows, S(every), shape, closing).where("id <> 'end'")
+    want = keyed.sustained_rise_alert(rows, "id", "temperature", "ts", "seq", S(5))
+    assert rows_of(got, *want.columns) == rows_of(want)
+
+
+def test_live_windows_equal_batch(spark):
+    rows = keyed_rows(spark)
+    aggs = [windows.count_rows(), windows.sum_of(F.col("v"), "total")]
+    got = collected(
+        spark, rows, S(120), lambda s: live.live_windowed(s, "ts", S(30), aggs, S(10), ["k"]), {}
+    )
+    assert rows_of(got) == rows_of(windows.windowed(rows, "ts", S(30), aggs, S(10), ["k"]))
+
+
+def test_end_of_input_is_needed_to_close_the_last_windows(spark):
+    rows = keyed_rows(spark)
+    shape = lambda s: live.live_distinct_count(s, "ts", "v", S(30), S(10))
+    want = rows_of(windows.distinct_count(rows, "ts", "v", S(30), S(10)))
+    assert rows_of(collected(spark, rows, S(300), shape, {})) == want
+    assert len(rows_of(collected(spark, rows, S(300), shape))) < len(want)
+
+
+def test_processing_time_windows_hold_every_row(spark):
+    rows = sensors(spark, SENSOR_INT, "int")
+
+    def shape(s):
+        timed = live.processing_time(s)
+        return live.live_windowed(timed, "processed_at", S(15), [windows.count_rows()], keys=["id"])
+
+    seen = []
+    replay(rows, "ts", S(60), lambda s: live.each_batch(
+        shape(s), lambda df, i: seen.extend(df.collect()), "update"))
+    assert sum(r.cnt for r in seen) == len(SENSOR_INT)
+
+
+def test_words_of_a_text_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "words.txt").write_text("\n".join(WORD_LINES))
+    counts = aggregates.word_count(text_stream(spark, str(tmp_path / "in")))
+    out = {}
+    write = lambda df, i: out.update({r.word: r.cnt for r in df.collect()})
+    run_available(live.each_batch(counts, write, "complete"), str(tmp_path / "checkpoint"))
+    assert out == {"hello": 4, "storm": 3, "spark": 2, "world": 1, "hadoop": 1}
+
+
+def test_split_late_is_repeatable(spark, tmp_path):
+    path = str(tmp_path)
+    write = lateness.split_late(path, "ts", S(10), delay=S(2), lateness=S(4))
+    batches = [[1, 5, 12], [3, 15, 4], [18, 2]]
+    for i, times in enumerate(batches):
+        df = sensors(spark, [("a", 1, t) for t in times], "int")
+        write(df, i)
+        write(df, i)
+    assert rows_of(spark.read.parquet(f"{path}/late"), "ts_s") == []
+    df = sensors(spark, [("a", 1, t) for t in (3, 16)], "int")
+    write(df, 3)
+    assert rows_of(spark.read.parquet(f"{path}/late"), "ts_s") == [(3,)]
+    assert spark.read.parquet(f"{path}/accepted").count() == 9

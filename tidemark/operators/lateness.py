@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timing import epoch_millis, from_millis, millis
 from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, running
-from tidemark.operators.windows import END, START
+from tidemark.operators.windows import END, START, checked_slide
 
 ASCENDING = timedelta(milliseconds=1)
 NO_WATERMARK = -(2**62)
@@ -72,7 +72,7 @@ def classify_late(
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Status of each row in each window it falls in."""
-    step, width = millis(slide or size), millis(size)
+    step, width = millis(checked_slide(size, slide)), millis(size)
     rows = with_watermark_before(df, ts, arrival, delay, rows_per_block)
     ms = epoch_millis(F.col(ts))
     last = _last_end(ms, width, step)
@@ -107,7 +107,7 @@ def late_rows(
 
 def is_late(ts: str, size: timedelta, slide: timedelta | None, lateness: timedelta) -> Column:
     """Whether the latest window of a row is gone at the watermark the row carries."""
-    end = _last_end(epoch_millis(F.col(ts)), millis(size), millis(slide or size))
+    end = _last_end(epoch_millis(F.col(ts)), millis(size), millis(checked_slide(size, slide)))
     return _status(end, lateness) == "late"
 
 

@@ -62,6 +62,13 @@ def window_start(ts: Column, size: timedelta, slide: timedelta | None = None) ->
     return F.window(ts, interval_text(size), slide_text)["start"]
 
 
+def checked_slide(size: timedelta, slide: timedelta | None) -> timedelta:
+    """The slide, which is the size for a tumbling window."""
+    if slide is not None and not timedelta(0) < slide <= size:
+        raise ValueError("the slide must be positive and not longer than the size")
+    return slide or size
+
+
 def windowed(
     df: DataFrame,
     ts: str,
@@ -71,7 +78,7 @@ def windowed(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Mergeable aggregates per key and tumbling or sliding window."""
-    slide = slide or size
+    slide = checked_slide(size, slide)
     add = [c.alias(n) for a in aggs for n, c in a.add.items()]
     results = [c.alias(n) for a in aggs for n, c in a.result.items()]
 
@@ -105,7 +112,7 @@ def distinct_count(
     name: str = "uv",
 ) -> DataFrame:
     """Number of distinct values per window: each value once per pane, then once per window."""
-    slide = slide or size
+    slide = checked_slide(size, slide)
     if size % slide:
         raise ValueError("the size must be a multiple of the slide")
     pane = F.window(F.col(ts), interval_text(slide))["start"].alias(START)
