@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores=8)
+    session = build_session("tests", cores=8, **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -135,3 +135,13 @@ def test_sustained_rise(spark):
     assert held == RISES
     assert {r.run_start_ms for r in df.collect()} == {(BASE + 201) * 1000}
     assert run("flush")[0] == RISES + [(t, 9) for t in range(211, 216)]
+
+
+def test_map_with_setup(spark):
+    from tidemark.operators.setup import map_with_setup
+
+    df = spark.range(5).repartition(2)
+    got = map_with_setup(
+        df, lambda: {"add": 10}, lambda opened, pdf: pdf.assign(id=pdf["id"] + opened["add"]), "id long"
+    )
+    assert rows_of(got) == [(i,) for i in range(10, 15)]

@@ -5,18 +5,27 @@ from fixtures import rows_of
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.text import words
+from tidemark.functions.text import word_rows
 from tidemark.functions.timing import clock_text, shift
 from tidemark.sources import parsers, readers
 
 
 def test_words_drop_only_trailing_empties(spark):
     lines = ["a b", "a b  ", " a  b", "", "   "]
-    df = spark.createDataFrame([(x,) for x in lines], "value string")
-    got = {r.value: r.w for r in df.withColumn("w", words(F.col("value"))).collect()}
+    got = {}
+    for x in lines:
+        df = spark.createDataFrame([(x,)], "value string")
+        got[x] = [r.word for r in word_rows(df, "value").collect()]
     assert got == {"a b": ["a", "b"], "a b  ": ["a", "b"], " a  b": ["", "a", "", "b"], "": [""], "   ": []}
 
 
+def test_spread_only_deals_out_few_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert readers.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 100, 1, cores * 2)
+    assert readers.spread(wide) is wide
+
+
 def test_csv_records_by_position(spark, tmp_path):
     (tmp_path / "s.csv").write_text("c1,01,Ann,f,95\nc1,02,Bob,m,65\n")
     df = readers.csv_records(spark, str(tmp_path), schemas.STUDENT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,15 +11,15 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def words(line: Column) -> Column:
-    """Words between single spaces.
+def word_rows(lines: DataFrame, line: str, name: str = "word") -> DataFrame:
+    """One row per word between single spaces.
 
     Empty words at the end of a line are dropped; leading and inner ones stay. An empty
     line is one empty word, a line of spaces only has none.
     """
-    trimmed = F.rtrim(line)
-    only_spaces = (trimmed == "") & (line != "")
-    return F.when(only_spaces, F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
+    whole, trimmed = F.col(line), F.rtrim(line)
+    kept = lines.where((trimmed != "") | (whole == ""))
+    return kept.select(F.explode(F.split(trimmed, " ")).alias(name))
 
 
 def first_number(text: Column) -> Column:

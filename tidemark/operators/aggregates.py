@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import words
+from tidemark.functions.text import word_rows
 
 
 def word_count(lines: DataFrame, line: str = "value") -> DataFrame:
-    return lines.select(F.explode(words(F.col(line))).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    return word_rows(lines, line).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def group_count(df: DataFrame, key: str) -> DataFrame:

@@ -30,7 +30,8 @@ def first_match(
         raise ValueError("how must be 'strict', 'inner' or 'left'")
     fields = [c for c in right.columns if c not in (key, position)]
     once = right.groupBy(key).agg(F.min_by(F.struct(*fields), position).alias("match"))
-    if fits_broadcast(once):
+    # "once" is never larger than the side it comes from.
+    if fits_broadcast(right.select(key, *fields)):
         once = F.broadcast(once)
     joined = left.join(once, key, "inner" if how == "inner" else "left")
     match = F.col("match")

@@ -23,7 +23,8 @@ from tidemark.functions.timing import epoch_micros
 from tidemark.session import scratch_path
 
 ROWS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 10_000
+SAMPLE_PER_BLOCK = 1_000
+MAX_BLOCKS = 20_000
 BLOCK = "__block"
 _FIRST = "__first_of_block"
 
@@ -82,27 +83,34 @@ def plan_blocks(
     rows_per_block: int | None = None,
     at_least: int = 1,
 ) -> Blocks:
-    """Count rows per key and cut the keys above the bound at quantiles of the order column."""
+    """Find the keys above the bound and cut them at quantiles of the order column.
+
+    On large tables sizes and quantiles are estimated from a sample, about 1000 rows for each
+    block. It only places the cuts: any cuts give the same result, and all rows take part.
+    """
     limit = rows_per_block or ROWS_PER_BLOCK
+    share = min(1.0, SAMPLE_PER_BLOCK / limit)
+    sample = df.sample(share, seed=1) if share < 1 else df
     hot = None
     if keys:
         rows = F.count(F.lit(1)).alias("__rows")
-        heavy = df.groupBy(*keys).agg(rows).where(F.col("__rows") > limit)
-        size = heavy.agg(F.sum("__rows")).first()[0]
-        if size is None:
+        heavy = sample.groupBy(*keys).agg(rows).where(F.col("__rows") > limit * share)
+        sampled = heavy.agg(F.sum("__rows")).first()[0]
+        if sampled is None:
             return Blocks(tuple(keys))
         path = scratch_path(df.sparkSession, "hot-keys")
         heavy.write.parquet(path)
         hot = df.sparkSession.read.parquet(path)
         side = F.broadcast(renamed(hot, keys, "__hot_"))
-        df = df.join(side, same_keys(df, side, keys, "__hot_"), "left_semi")
+        sample = sample.join(side, same_keys(sample, side, keys, "__hot_"), "left_semi")
+        size = sampled / share
     else:
         size = df.count()
     blocks = min(MAX_BLOCKS, max(at_least, math.ceil(size / limit)))
     if blocks < 2:
         return Blocks(tuple(keys))
     points = F.explode(F.array(*[p.cast("double") for p in positions])).alias("point")
-    cuts = df.select(points).approxQuantile(
+    cuts = sample.select(points).approxQuantile(
         "point", [i / blocks for i in range(1, blocks)], 1 / (4 * blocks)
     )
     return Blocks(tuple(keys), tuple(sorted(set(cuts))), hot)

@@ -29,7 +29,7 @@ words AS (
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """)
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = readers.spread(table(spark, sf_dir, "documents").select("text"))
     lines = docs.select(F.explode(text_lines(F.col("text"))).alias("value"))
     return aggregates.word_count(lines)
 

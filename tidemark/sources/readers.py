@@ -16,6 +16,15 @@ def text_lines_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer partitions than there are cores.
+
+    For costly work per row on a few large files. A scan with enough partitions is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def text_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """Lines of the files that arrive in a folder."""
     reader = spark.readStream.format("text")
