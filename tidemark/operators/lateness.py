@@ -61,6 +61,24 @@ def _last_end(ts_ms: Column, size: int, slide: int) -> Column:
     return ts_ms - F.pmod(ts_ms, F.lit(slide)) + size
 
 
+def with_windows(
+    df: DataFrame, ts: str, size: timedelta, slide: timedelta | None = None
+) -> DataFrame:
+    """One row per row and window it falls in, with the bounds of the window."""
+    step, width = millis(checked_slide(size, slide)), millis(size)
+    ms = epoch_millis(F.col(ts))
+    last = _last_end(ms, width, step)
+    # Ends run back from the latest one while the window still holds the row.
+    first = last - F.floor((last - ms - 1) / step).cast("long") * step
+    ends = F.explode(F.sequence(first, last, F.lit(step).cast("long")))
+    kind = df.schema[ts].dataType.simpleString()
+    bounds = {
+        START: from_millis(F.col("__end") - width).cast(kind),
+        END: from_millis(F.col("__end")).cast(kind),
+    }
+    return df.withColumn("__end", ends).withColumns(bounds).drop("__end")
+
+
 def classify_late(
     df: DataFrame,
     ts: str,
@@ -72,22 +90,9 @@ def classify_late(
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Status of each row in each window it falls in."""
-    step, width = millis(checked_slide(size, slide)), millis(size)
     rows = with_watermark_before(df, ts, arrival, delay, rows_per_block)
-    ms = epoch_millis(F.col(ts))
-    last = _last_end(ms, width, step)
-    # Ends run back from the latest one while the window still holds the row.
-    first = last - F.floor((last - ms - 1) / step).cast("long") * step
-    ends = F.explode(F.sequence(first, last, F.lit(step).cast("long")))
-    rows = rows.withColumn("__end", ends)
-    kind = rows.schema[ts].dataType.simpleString()
-    return rows.withColumns(
-        {
-            START: from_millis(F.col("__end") - width).cast(kind),
-            END: from_millis(F.col("__end")).cast(kind),
-            STATUS: _status(F.col("__end"), lateness),
-        }
-    ).drop("__end")
+    rows = with_windows(rows, ts, size, slide)
+    return rows.withColumn(STATUS, _status(epoch_millis(F.col(END)), lateness))
 
 
 def late_rows(
@@ -118,12 +123,15 @@ def window_firings(
     arrival: Sequence[str],
     columns: Sequence[str],
     pick: str = "min",
+    unclassified: DataFrame | None = None,
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Every result a window emits: one over its on-time rows, then one per re-firing row.
 
     Each result is the full row with the smallest (or largest) value so far; the first in
-    arrival order on ties. Rows of ``classified`` must have a unique arrival.
+    arrival order on ties. Rows of ``classified`` must have a unique arrival. Sizes of windows
+    are estimated from ``unclassified`` (the input through ``with_windows``) if it is given,
+    which saves a second classification.
     """
     if pick not in ("min", "max"):
         raise ValueError("pick must be 'min' or 'max'")
@@ -139,7 +147,8 @@ def window_firings(
     # On-time rows of a window collapse to one row here; re-firing rows stay apart.
     steps = accepted.groupBy(*group, *at).agg(best)
     position = F.coalesce(as_position(steps, names[0]), F.lit(NO_WATERMARK))
-    blocks = plan_blocks(steps, group, [position], rows_per_block)
+    rows = accepted if unclassified is None else unclassified
+    blocks = plan_blocks(rows, group, [as_position(rows, arrival[0])], rows_per_block)
     out = running(
         blocks.tag(steps, position),
         blocks,

@@ -7,7 +7,14 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.messages import HEAT_LABEL, ITEM_LABEL, REPORT_HEADER, REPORT_RULE
+from tidemark.functions.messages import (
+    HEAT_LABEL,
+    ITEM_LABEL,
+    REPORT_HEADER,
+    REPORT_RULE,
+    URL_LABEL,
+    VISITS_LABEL,
+)
 from tidemark.functions.timing import epoch_micros, micros
 from tidemark.operators import lateness as late
 from tidemark.operators import lookup, topn, windows
@@ -215,16 +222,18 @@ def hot_items_top5_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(topn.top_n_sql("hourly_items", "window_end", "cnt", "item_id"))
 
 
-@query(f"""
-WITH {EV},
+HOT_URLS_CTE = f"""{EV},
 visits AS (SELECT ev.ts, p.url FROM ev JOIN pages p ON p.page_id = ev.item_id),
 agg AS (
   SELECT url, window_end, count(*) AS cnt
-  FROM {windows_sql("visits", "ts", "1 hour", "10 minutes", 6)} GROUP BY url, window_end)
-SELECT url, window_end, cnt, row_num FROM (
-  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM agg)
-WHERE row_num <= 5
-""")
+  FROM {windows_sql("visits", "ts", "1 hour", "10 minutes", 6)} GROUP BY url, window_end),
+top AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM agg)
+  WHERE row_num <= 5)"""
+
+
+@query(f"WITH {HOT_URLS_CTE} SELECT url, window_end, cnt, row_num FROM top")
 def hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("item_id"), "url", F.col("page_id").alias("position")
@@ -234,14 +243,23 @@ def hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.hot_keys(visits, "ts", "url")
 
 
-@query(f"""
-WITH {HOT_ITEMS_CTE}
+def _report_sql(ranked: str, key: str, key_label: str, count_label: str) -> str:
+    return f"""
+WITH {ranked}
 SELECT window_end, '{REPORT_HEADER}' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || chr(10)
-  || string_agg('Top' || row_num || chr(9) || '{ITEM_LABEL}' || item_id || chr(9)
-       || '{HEAT_LABEL}' || cnt || chr(10), '' ORDER BY row_num)
+  || string_agg('Top' || row_num || chr(9) || '{key_label}' || {key} || chr(9)
+       || '{count_label}' || cnt || chr(10), '' ORDER BY row_num)
   || chr(10) || '{REPORT_RULE}' || chr(10) AS report
 FROM top GROUP BY window_end
-""")
+"""
+
+
+@query(_report_sql(HOT_URLS_CTE, "url", URL_LABEL, VISITS_LABEL))
+def topn_url_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.report(hot_urls_top5(spark, sf_dir), "url", URL_LABEL, VISITS_LABEL)
+
+
+@query(_report_sql(HOT_ITEMS_CTE, "item_id", ITEM_LABEL, HEAT_LABEL))
 def topn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.report(hot_items_top5(spark, sf_dir), "item_id", ITEM_LABEL, HEAT_LABEL)
 
@@ -352,5 +370,8 @@ fired AS (
 SELECT event_type, window_start, window_end, firing_no, b.event_id AS event_id, b.value AS value FROM fired
 """)
 def window_firings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _classified(spark, sf_dir)
-    return late.window_firings(rows, ["event_type"], "value", ARRIVAL, ["event_id", "value"])
+    rows = late.with_windows(jittered(spark, sf_dir), "ts", TEN_MINUTES)
+    return late.window_firings(
+        _classified(spark, sf_dir), ["event_type"], "value", ARRIVAL, ["event_id", "value"],
+        unclassified=rows,
+    )
