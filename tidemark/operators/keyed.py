@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
 from tidemark.operators.scan import BLOCK, Blocks, Running, as_position, plan_blocks, running
+from tidemark.session import written
 
 
 def with_running(
@@ -77,7 +78,7 @@ def jump_alert(
 
 
 def rise_input(df: DataFrame, key: str, value: str, ts: str, order: str) -> DataFrame:
-    """Rows as ``rise_states`` takes them, with no history before the first row of a key."""
+    """Rows as ``rise_marks`` takes them, with no history before the first row of a key."""
     return df.select(
         F.col(key),
         epoch_millis(F.col(ts)).alias("ts_ms"),
@@ -95,11 +96,12 @@ def rise_blocks(rows: DataFrame, key: str, span: timedelta, rows_per_block: int
     return plan_blocks(rows, [key], [at, at + millis(span)], rows_per_block)
 
 
-def rise_states(rows: DataFrame, key: str, blocks: Blocks) -> DataFrame:
-    """Start and number of rises of the run each row is in.
+def rise_marks(rows: DataFrame, key: str, blocks: Blocks, span: timedelta) -> DataFrame:
+    """The state of a key at each of its rows (``asks`` 0) and ``span`` after them (``asks`` 1).
 
-    A drop starts a new run, an equal value changes nothing. Where the first row of a key
-    already has a run start and rises, counting goes on from them.
+    ``run`` is the run of the row; ``run_then`` and ``rises`` are the run of its key at time
+    ``t`` and the rises in it. A drop starts a new run, an equal value changes nothing. Where
+    the first row of a key already has a run start and rises, counting goes on from them.
     """
     at, by_time = F.col("ts_ms"), ["ts_ms", "seq"]
     seeded = rows.withColumnsRenamed({"run_start_ms": "seed_start", "rises": "seed_rises"})
@@ -111,48 +113,36 @@ def rise_states(rows: DataFrame, key: str, blocks: Blocks) -> DataFrame:
     )
     first = F.col("before").isNull()
     drop, rise = F.col("v") < F.col("prev"), F.col("v") > F.col("prev")
+    begins = first | F.coalesce(drop, F.lit(False))
     seed = F.when(first, F.coalesce("seed_rises", F.lit(0))).otherwise(0)
-    counted = running(
-        seen.withColumns({"drop": drop, "begins": first | drop, "seed": seed}),
-        blocks,
-        by_time,
-        {
-            "run": Running("sum", F.when(drop, 1).otherwise(0)),
-            "ups": Running("sum", F.col("seed") + F.when(rise, 1).otherwise(0)),
-        },
-    )
-    # Runs begin in time order and "ups" never falls, so the latest start is the maximum.
     start = F.when(first, F.coalesce("seed_start", at)).otherwise(at)
-    begun = running(
-        counted,
+    flagged = seen.select(
+        *blocks.group, "ts_ms", "seq", "v", "pending",
+        drop.alias("drop"), rise.alias("rise"), begins.alias("begins"),
+        seed.alias("seed"), F.when(begins, start).alias("start"),
+    )
+    # Runs begin in time order, so the latest start is the maximum.
+    counted = running(
+        flagged,
         blocks,
         by_time,
         {
-            "run_start_ms": Running("max", F.when(F.col("begins"), start)),
-            "base": Running("max", F.when(F.col("begins"), F.col("ups") - F.col("seed"))),
+            "run": Running("sum", F.when(F.col("drop"), 1).otherwise(0)),
+            "ups": Running("sum", F.col("seed") + F.when(F.col("rise"), 1).otherwise(0)),
+            "run_start_ms": Running("max", F.col("start")),
         },
     )
-    return begun.select(
-        *blocks.group, "ts_ms", "seq", "v", "run_start_ms", "pending", "run", "ups", "base",
-        (F.col("ups") - F.col("base")).cast("long").alias("rises"),
-    )
-
-
-def rises_due(
-    states: DataFrame,
-    key: str,
-    blocks: Blocks,
-    span: timedelta,
-    min_rises: int,
-    until_ms: int | None = None,
-) -> DataFrame:
-    """Alerts of the pending rows whose run still lasts ``span`` later, due up to a time."""
-    # Each pending row also asks what state its key is in at its due time.
-    at = F.col("ts_ms")
+    if blocks.splits:
+        counted = written(counted, "rises")
+    # "run", "ups" and its value at the start of a run never fall, so the last is the maximum.
     own = F.struct(at.alias("t"), F.lit(0).alias("asks"))
     due = F.struct((at + millis(span)).alias("t"), F.lit(1).alias("asks"))
     both = F.when(F.col("pending"), F.array(own, due)).otherwise(F.array(own))
-    marks = states.drop(BLOCK).withColumn("m", F.explode(both)).select("*", "m.*").drop("m")
+    marks = counted.select(
+        key, "ts_ms", "seq", "v", "pending", "run", "run_start_ms", "ups",
+        F.when(F.col("begins"), F.col("ups") - F.col("seed")).alias("base"),
+        F.inline(both),
+    )
     state = F.col("asks") == 0
     marks = running(
         blocks.tag(marks, F.col("t")),
@@ -161,17 +151,27 @@ def rises_due(
         {
             "run_then": Running("max", F.when(state, F.col("run"))),
             "ups_then": Running("max", F.when(state, F.col("ups"))),
+            "base_then": Running("max", F.when(state, F.col("base"))),
         },
     )
-    rises = (F.col("ups_then") - F.col("base")).cast("long")
+    rises = (F.col("ups_then") - F.col("base_then")).cast("long").alias("rises")
+    return marks.select(
+        key, "t", "asks", "ts_ms", "seq", "v", "pending", "run", "run_start_ms", "run_then", rises
+    )
+
+
+def rises_due(
+    marks: DataFrame, key: str, min_rises: int, until_ms: int | None = None
+) -> DataFrame:
+    """Alerts of the rows whose run still lasts at their due time, up to a time."""
     alerts = marks.where(
-        (F.col("asks") == 1) & (F.col("run_then") == F.col("run")) & (rises >= min_rises)
+        (F.col("asks") == 1) & (F.col("run_then") == F.col("run")) & (F.col("rises") >= min_rises)
     )
     if until_ms is not None:
         alerts = alerts.where(F.col("t") <= until_ms)
     message = rise_message(F.col("timer_ms"), F.col("run_start_ms"), F.col(key), F.col("rises"))
     return alerts.select(
-        key, "seq", F.col("t").alias("timer_ms"), "run_start_ms", rises.alias("rises")
+        key, "seq", F.col("t").alias("timer_ms"), "run_start_ms", "rises"
     ).withColumn("message", message)
 
 
@@ -196,4 +196,4 @@ def sustained_rise_alert(
     rows = rise_input(df, key, value, ts, order)
     blocks = rise_blocks(rows, key, span, rows_per_block)
     until = rows.agg(F.max("ts_ms")).first()[0] if at_end == "hold" else None
-    return rises_due(rise_states(rows, key, blocks), key, blocks, span, min_rises, until)
+    return rises_due(rise_marks(rows, key, blocks, span), key, min_rises, until)

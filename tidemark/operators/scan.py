@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import epoch_micros
-from tidemark.session import scratch_path
+from tidemark.session import written
 
 ROWS_PER_BLOCK = 2_000_000
 SAMPLE_PER_BLOCK = 1_000
@@ -98,9 +98,7 @@ def plan_blocks(
         sampled = heavy.agg(F.sum("__rows")).first()[0]
         if sampled is None:
             return Blocks(tuple(keys))
-        path = scratch_path(df.sparkSession, "hot-keys")
-        heavy.write.parquet(path)
-        hot = df.sparkSession.read.parquet(path)
+        hot = written(heavy, "hot-keys")
         side = F.broadcast(renamed(hot, keys, "__hot_"))
         sample = sample.join(side, same_keys(sample, side, keys, "__hot_"), "left_semi")
         size = sampled / share

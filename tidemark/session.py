@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -47,3 +47,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, so that later passes do not compute them again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

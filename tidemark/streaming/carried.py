@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.timing import millis
 from tidemark.operators import keyed
 from tidemark.operators.counts import fire
-from tidemark.operators.keyed import rise_blocks, rise_input, rise_states, rises_due
-from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, running
+from tidemark.operators.keyed import rise_blocks, rise_input, rise_marks, rises_due
+from tidemark.operators.scan import Running, as_position, plan_blocks, running
 from tidemark.sinks.upsert import latest_by_key
 
 Save = Callable[[DataFrame], DataFrame]
@@ -149,15 +149,15 @@ def sustained_rise(
     def step(before, batch, save):
         rows = _with(before, rise_input(batch, key, value, ts, order))
         blocks = rise_blocks(rows, key, span, rows_per_block)
-        states = save(rise_states(rows, key, blocks))
-        until = states.agg(F.max("ts_ms")).first()[0]
+        marks = save(rise_marks(rows, key, blocks, span))
+        until = marks.where("asks = 0").agg(F.max("ts_ms")).first()[0]
         until = None if until is None else until - millis(delay)
-        out = rises_due(states, key, blocks, span, min_rises, until)
+        out = rises_due(marks, key, min_rises, until)
 
         due = F.lit(True) if until is None else F.col("ts_ms") + millis(span) <= until
-        open_rows = states.drop(BLOCK).withColumn("pending", F.col("pending") & ~due)
-        last = latest_by_key(open_rows, [key], ["ts_ms", "seq"]).where(~F.col("pending"))
-        history = open_rows.where("pending").unionByName(last)
+        states = marks.where("asks = 0").withColumn("pending", F.col("pending") & ~due)
+        last = latest_by_key(states, [key], ["ts_ms", "seq"]).where(~F.col("pending"))
+        history = states.where("pending").unionByName(last)
         return out, history.select(key, "ts_ms", "seq", "v", "run_start_ms", "rises", "pending")
 
     return step
