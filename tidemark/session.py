@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,21 +29,12 @@ def build_session(app_name: str = "tidemark", cores: int | str = "*", **conf: st
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path in the shared folder of ``spark.checkpoint.dir``, or else below the warehouse.
 
-    Only a local session may fall back to a folder of this machine.
+    Both are resolved through the file system of the cluster, never as a folder of one machine.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        base = _local_base()
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
