@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,17 @@ def build_session(app_name: str = "tidemark", cores: int | str = "*", **conf: st
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return with_package(builder.getOrCreate())
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster whose executors lack that path gets the package with ``--py-files`` as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
