@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, mixing, url_reputation
+from tidemark.llm import chat_format, decontaminate, exact_dedup, langid, mixing, ngram_join, quality, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
@@ -31,6 +35,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
     return rows.withColumnRenamed("digest", "text_sha256")
@@ -41,9 +49,15 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *mixing.RESULTS)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
-    op3_url_reputation, op4_chat_format, op5_decontaminate, op7_exact_dedup, op9_mix_sources)}
+    op2_ngram_join, op3_url_reputation, op4_chat_format, op5_decontaminate, op6_quality, op7_exact_dedup,
+    op9_mix_sources, op10_language)}
 ORACLE = {
+    "op2_ngram_join": ngram_join.SQL,
     "op3_url_reputation": url_reputation.SQL,
     "op4_chat_format": chat_format.SQL,
     "op5_decontaminate": decontaminate.SQL,
