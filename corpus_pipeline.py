@@ -7,14 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontaminate import without_benchmark
 from tidemark.llm.exact_dedup import keep_first
 from tidemark.llm.mixing import WEIGHTS, mix_sources
+from tidemark.llm.ngram_join import one_of_each
+from tidemark.llm.quality import keep_good
 from tidemark.llm.scratch import written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of equal texts stays."""
     return keep_first(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays."""
+    return one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -26,7 +38,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality),
     ("exact_dedup", exact_dedup),
+    ("ngram_jaccard_join", near_dedup),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mixing),
 ]

@@ -13,7 +13,7 @@ no document is dropped or repeated. Documents are numbered inside hash buckets a
 offsets are added, so no task holds a whole source. Only DataFrame functions are used.
 
 Defined cases: sources without a weight, null ones included, share the weight of ``REST``. Equal
-ids are ordered by text, equal rows at will. Null ids come first. Empty input gives no rows;
+ids are ordered by a hash of the text, equal rows at will. Null ids come first. Empty input gives no rows;
 all columns are kept, but ones named as the three results are replaced.
 """
 
@@ -77,7 +77,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOC
     ).withColumn("__h", F.md5(F.col("doc_id").cast("string")))
     part = F.conv(F.substring(F.coalesce("__h", F.lit("000000")), 1, 6), 16, 10).cast("long")
     bucket = F.floor(part * buckets / (1 << 24))
-    ranked = numbered(rows, "mix_source", [F.col("__h"), F.col("doc_id"), F.col("text")], bucket)
+    ranked = numbered(rows, "mix_source", [F.col("__h"), F.col("doc_id"), F.xxhash64("text")], bucket)
     block = F.floor(F.col("__n") / block_docs)
     table = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.array(*map(F.lit, at)))])
     shares = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.lit(len(at)))])

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, langid, mixing, ngram_join, quality, url_reputation
+from tidemark.llm import chat_format, decontaminate, exact_dedup, langid, license_scan, mixing, ngram_join, quality, url_reputation, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("digest", "text_sha256")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"), mixing.WEIGHTS)
     return mixed.select("doc_id", *mixing.RESULTS)
@@ -54,13 +62,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op2_ngram_join, op3_url_reputation, op4_chat_format, op5_decontaminate, op6_quality, op7_exact_dedup,
-    op9_mix_sources, op10_language)}
+    op1_license_scan, op2_ngram_join, op3_url_reputation, op4_chat_format, op5_decontaminate, op6_quality,
+    op7_exact_dedup, op8_warc, op9_mix_sources, op10_language)}
 ORACLE = {
     "op2_ngram_join": ngram_join.SQL,
     "op3_url_reputation": url_reputation.SQL,
     "op4_chat_format": chat_format.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
+    "op8_warc": warc.SQL,
     "op9_mix_sources": mixing.SQL,
 }

@@ -21,6 +21,9 @@ _BYTE = _rng.integers(0, 2**64, size=256, dtype=U)
 _ORDER = _rng.integers(0, 2**63, size=16, dtype=U) * U(2) + U(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# All but letters and digits; bytes of letters beyond ASCII belong to words.
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[48:58] = PUNCTUATION[65:91] = PUNCTUATION[97:123] = PUNCTUATION[0x80:] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -57,6 +60,7 @@ class Words:
     hash: np.ndarray
     first: np.ndarray
     begin: int  # row of the first text in its batch
+    text_begin: np.ndarray  # byte offset of each text, and the end
 
     @property
     def n_texts(self) -> int:
@@ -66,8 +70,11 @@ class Words:
         return np.repeat(np.arange(self.n_texts), np.diff(self.first))
 
 
-def word_slices(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """Cut a column into slices of about a megabyte of whole texts; a null text is empty."""
+def word_slices(texts: pa.Array, lower: bool = False, blank: np.ndarray = _SPACE) -> Iterator[Words]:
+    """Cut a column into slices of about a megabyte of whole texts; a null text is empty.
+
+    ``blank`` marks the bytes between words; by default these are the white-space characters.
+    """
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     texts = texts.cast(pa.large_string()).fill_null("")
     n = len(texts)
@@ -80,13 +87,13 @@ def word_slices(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
     while at < n:
         stop = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
         stop = min(n, max(stop, at + 1))
-        yield _words(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at], at, lower)
+        yield _words(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at], at, lower, blank)
         at = stop
 
 
-def _words(data: np.ndarray, offsets: np.ndarray, begin: int, lower: bool) -> Words:
+def _words(data: np.ndarray, offsets: np.ndarray, begin: int, lower: bool, blanks: np.ndarray) -> Words:
     n = len(data)
-    blank = _SPACE[data]
+    blank = blanks[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(n, dtype=bool)
@@ -103,7 +110,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, begin: int, lower: bool) -> Wo
     sums = np.zeros(n + 1, dtype=U)
     np.cumsum(_BYTE[_LOWER[data] if lower else data] * power[:n], out=sums[1:], dtype=U)
     hashes = mix((sums[end] - sums[start]) * inverse[start])
-    return Words(data, start, end, hashes, np.searchsorted(start, offsets), begin)
+    return Words(data, start, end, hashes, np.searchsorted(start, offsets), begin, offsets)
 
 
 def grams(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
