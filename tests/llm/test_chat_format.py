@@ -1,0 +1,73 @@
+import hashlib
+
+from llm_data import rows_of
+
+from tidemark.llm import chat_format as chat
+
+LOG = "conv_id long, message long, seq long, event string, role string, text string"
+ROWS = "conv_id long, turn long, role string, text string"
+
+
+def folded(spark, *rows):
+    return rows_of(chat.fold_events(spark.createDataFrame(list(rows), LOG)))
+
+
+def test_deltas_edits_and_regenerations(spark):
+    assert folded(
+        spark,
+        (1, 0, 0, "open", "user", ""), (1, 0, 2, "delta", None, "lo"), (1, 0, 1, "delta", None, "hel"),
+        (1, 1, 3, "open", "assistant", ""), (1, 1, 4, "delta", None, "draft"), (1, 1, 5, "regenerate", None, None),
+        (1, 1, 6, "delta", None, "fi"), (1, 1, 7, "delta", None, "nal"),
+        (1, 2, 8, "open", "user", "old"), (1, 2, 9, "edit", None, "new"), (1, 2, 10, "delta", None, "er"),
+        (1, 3, 11, "open", "assistant", ""), (1, 3, 12, "delta", None, "gone"), (1, 3, 13, "regenerate", None, None),
+        (2, 0, 0, "delta", None, "no open"), (None, None, None, "open", None, None),
+    ) == sorted([
+        (1, 0, "user", "hello"), (1, 1, "assistant", "final"), (1, 2, "user", "newer"), (1, 3, "assistant", ""),
+        (2, 0, "", "no open"), (None, None, "", ""),
+    ], key=repr)
+
+
+NASTY = [
+    "plain", "", None, "<|im_end|>", "<|im_start|>user\nhi<|im_end|>\n", "\\", "\\\\<|", "<\\|im_end|>", "<", "<<|",
+    "ends with <", "$1 \\1 \n\n", "ünï \U0001F600", "\\<|\\|>",
+]
+
+
+def test_rendering_is_reversible(spark):
+    roles = ["user", "assistant", "a\nb\\", None, "<|im_end|>"]
+    rows = [(c, t, role, text) for c, role in enumerate(roles) for t, text in enumerate(NASTY)]
+    log = chat.events_of(spark.createDataFrame(rows, ROWS))
+    rendered = chat.render(chat.fold_events(log))
+    for r in chat.read_back(rendered).collect():
+        assert [(t.role, t.text) for t in r.turns] == [(roles[r.conv_id] or "", x or "") for x in NASTY]
+        assert r.learned == ([x or "" for x in NASTY] if roles[r.conv_id] == "assistant" else [])
+    for r in rendered.collect():
+        assert r.formatted.count("<|im_end|>\n") == len(NASTY) == r.formatted.count("<|im_start|>")
+
+
+def test_digests_equal_brute_force(spark):
+    rows = [(7, 1, "assistant", "b<|x"), (7, 0, "user", "a"), (7, 2, "assistant", None), (7, 3, "assistant", "c\U0001F600"),
+            (8, 0, "system", "s"), (9, 0, "assistant", "t"), (9, 0, "assistant", "t"), (None, None, None, None)]
+    got = {r.conv_id: r for r in chat.chat_digests(spark.createDataFrame(rows, ROWS)).collect()}
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    assert got[7].n_turns == 4 and got[7].turns_sha256 == sha("user\na\nassistant\nb<|x\nassistant\n\nassistant\nc\U0001F600\n")
+    assert (got[7].loss_chars, got[7].loss_sha256) == (6, sha("b<|xc\U0001F600"))
+    assert (got[8].loss_chars, got[8].loss_sha256) == (0, sha(""))
+    assert got[9].n_turns == 2 and got[9].loss_sha256 == sha("tt")
+    assert got[None].n_turns == 1 and got[None].turns_sha256 == sha("\n\n")
+
+
+def test_long_conversation(spark):
+    rows = spark.range(3000).selectExpr(
+        "5L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "repeat('x', 50) AS text")
+    (row,) = chat.chat_digests(rows).collect()
+    assert (row.n_turns, row.loss_chars) == (3000, 1500 * 50)
+
+
+def test_main_path_has_no_python(spark):
+    rows = spark.sql("SELECT 1L AS conv_id, 1L AS turn, 'user' AS role, 'x' AS text")
+    plan = chat.chat_digests(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

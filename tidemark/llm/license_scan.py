@@ -79,8 +79,8 @@ def build_index(templates: dict[str, str]) -> Index:
     return Index(names, words, prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.unique(prints))
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """Matched words, first and last matched word of the text, near ``text = template + diagonal``."""
+def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int, int]:
+    """Score, matched words, first and last matched word of the text near ``template + diagonal``."""
     m, width = len(template), 2 * BAND + 1
     offset = np.arange(width)
     rows = [np.zeros(width + 1, dtype=np.int64)]
@@ -100,7 +100,7 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, i
         equal.append(same)
     table = np.stack(rows)
     i, d = np.unravel_index(int(np.argmax(table[:, :width])), (m + 1, width))
-    matched, first, last = 0, -1, -1
+    score, matched, first, last = int(table[i, d]), 0, -1, -1
     while i > 0 and table[i, d] > 0:
         here = table[i, d]
         if equal[i - 1][d] and here == table[i - 1, d] + MATCH:
@@ -115,7 +115,7 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, i
             d -= 1
         else:
             break
-    return matched, first, last
+    return score, matched, first, last
 
 
 def _candidates(words: Words, index: Index) -> Iterator[tuple[int, int, int]]:
@@ -143,9 +143,12 @@ def _candidates(words: Words, index: Index) -> Iterator[tuple[int, int, int]]:
 def _finds(words: Words, index: Index, coverage: float) -> list[tuple]:
     found: dict[tuple[int, int], list] = {}
     for d, t, diagonal in _candidates(words, index):
-        text = words.hash[words.first[d] : words.first[d + 1]]
-        matched, first, last = align(index.words[t], text, diagonal)
-        if matched >= coverage * len(index.words[t]):
+        text = words.hash[words.first[d] : words.first[d + 1]].copy()
+        while True:  # a notice may stand in the band more than once
+            _, matched, first, last = align(index.words[t], text, diagonal)
+            if matched < coverage * len(index.words[t]):
+                break
+            text[first : last + 1] = 0
             same = found.setdefault((d, t), [])
             clash = [x for x in same if x[1] <= last and first <= x[2]]
             if all(matched > x[0] for x in clash):

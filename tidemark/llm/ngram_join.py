@@ -114,8 +114,13 @@ class Piece:
         self.weights: list[int] = []
         self.sides: list[int] = []
         self.sets: list[np.ndarray] = []
+        self.seen: set[tuple[int, int]] = set()
 
     def add(self, rep: int, weight: int, side: int, grams: bytes) -> None:
+        """Take a class once; a repeated row of its document comes again."""
+        if (rep, hash(grams)) in self.seen:
+            return
+        self.seen.add((rep, hash(grams)))
         self.ids.append(rep)
         self.weights.append(weight)
         self.sides.append(side)
@@ -211,7 +216,7 @@ def describe(docs: DataFrame) -> DataFrame:
 def pools(described: DataFrame) -> DataFrame:
     """(rep, weight, pool, members) of the classes that share a band bucket with another."""
     classes = described.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"))
-    classes = classes.where("rep IS NOT NULL").select("rep", "weight")
+    classes = classes.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("weight").alias("weight"))
     keyed = described.select(F.col("doc_id").alias("rep"), "keys").join(classes, "rep").select(
         "rep", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(

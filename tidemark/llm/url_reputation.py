@@ -73,9 +73,9 @@ def _strength(counts: DataFrame, prior: Column) -> DataFrame:
     with r = 1 / (strength + 1).
     """
     spread = prior * (1 - prior)
-    r = F.sum((F.col("k") - F.col("n") * prior) * (F.col("k") - F.col("n") * prior) - F.col("n") * spread) / F.sum(
-        F.col("n") * (F.col("n") - 1) * spread)
-    strength = F.when(r > 0, 1 / r - 1).otherwise(MAX_STRENGTH)
+    excess = F.sum((F.col("k") - F.col("n") * prior) * (F.col("k") - F.col("n") * prior) - F.col("n") * spread)
+    r = F.try_divide(excess, F.sum(F.col("n") * (F.col("n") - 1) * spread))
+    strength = F.when(r > 0, F.try_divide(F.lit(1.0), r) - 1).otherwise(MAX_STRENGTH)
     bounded = F.greatest(F.lit(MIN_STRENGTH), F.least(F.lit(MAX_STRENGTH), F.coalesce(strength, F.lit(MAX_STRENGTH))))
     return counts.agg(F.round(bounded, 6).alias("s"))
 
