@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import keyed
 from tidemark.operators.counts import sliding_count, tumbling_count
-from tidemark.operators.scan import Running, plan_blocks
+from tidemark.operators.scan import BLOCK, Running, cut, hot_keys
 
 SPAN = timedelta(seconds=6)
 CASES = {
@@ -45,16 +45,32 @@ def test_measures_in_blocks(spark):
 
 
 def test_blocks_hold_a_bounded_number_of_rows(spark):
-    df = skewed(spark)
-    blocks = plan_blocks(df, ["k"], [F.col("seq")], rows_per_block=40)
-    assert len(blocks.splits) > 3
-    sizes = blocks.tag(df, F.col("seq")).groupBy(*blocks.group).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 80
-    assert df.count() == sizes.agg(F.sum("count")).first()[0]
+    """Also where all rows have the same first order column."""
+    df = skewed(spark).withColumn("day", F.lit(1))
+    hot = hot_keys(df, ["k"], 40)
+    assert ("hot",) in rows_of(hot.table) and hot.blocks > 3
+    for order in (["seq"], ["day", "seq"]):
+        blocked = cut(hot.part(df, "left_semi"), ["k", *order], hot.blocks)
+        sizes = blocked.groupBy("k", BLOCK).count()
+        assert sizes.agg(F.max("count")).first()[0] <= 80
+        assert hot.part(df, "left_semi").count() == sizes.agg(F.sum("count")).first()[0]
+
+
+def test_thousands_of_blocks(spark):
+    df = spark.range(6000).selectExpr("id AS seq", "IF(id % 3 = 0, 'b', 'a') AS k", "1.0D AS v")
+    got = keyed.running_sum(df, "k", ["seq"], rows_per_block=2)
+    counts = got.groupBy("k").agg(F.count_distinct("cnt").alias("n"), F.max("cnt").alias("m"))
+    assert rows_of(counts) == [("a", 4000, 4000), ("b", 2000, 2000)]
+
+
+def test_null_keys_are_split_too(spark):
+    df = skewed(spark).withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
+    plain = rows_of(keyed.running_sum(df, "k", ["seq"]), "seq", "cnt")
+    assert rows_of(keyed.running_sum(df, "k", ["seq"], rows_per_block=30), "seq", "cnt") == plain
 
 
 def test_small_keys_are_not_split(spark):
-    assert not plan_blocks(skewed(spark), ["k"], [F.col("seq")]).splits
+    assert hot_keys(skewed(spark), ["k"]) is None
 
 
 def brute_rises(rows, span_ms, at_least):

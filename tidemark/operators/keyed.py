@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
-from tidemark.operators.scan import BLOCK, Blocks, Running, as_position, plan_blocks, running
-from tidemark.session import written
+from tidemark.operators.scan import BLOCK, Running, cut, running, split
 
 
 def with_running(
@@ -21,10 +20,10 @@ def with_running(
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Rows with running values per key."""
-    position = as_position(df, order[0])
-    blocks = plan_blocks(df, keys, [position], rows_per_block)
-    out = running(blocks.tag(df, position), blocks, order, values)
-    return out.drop(BLOCK)
+    def work(rows: DataFrame) -> DataFrame:
+        return running(rows, keys, order, values).drop(BLOCK)
+
+    return split(df, keys, order, work, rows_per_block)
 
 
 def running_sum(
@@ -77,76 +76,47 @@ def jump_alert(
     )
 
 
-def rise_input(df: DataFrame, key: str, value: str, ts: str, order: str) -> DataFrame:
-    """Rows as ``rise_marks`` takes them, with no history before the first row of a key."""
-    return df.select(
-        F.col(key),
-        epoch_millis(F.col(ts)).alias("ts_ms"),
-        F.col(order).alias("seq"),
-        F.col(value).alias("v"),
-        F.lit(None).cast("long").alias("run_start_ms"),
-        F.lit(None).cast("long").alias("rises"),
-        F.lit(True).alias("pending"),
-    )
-
-
-def rise_blocks(rows: DataFrame, key: str, span: timedelta, rows_per_block: int | None) -> Blocks:
-    """Blocks that fit the rows and their due times."""
-    at = F.col("ts_ms")
-    return plan_blocks(rows, [key], [at, at + millis(span)], rows_per_block)
-
-
-def rise_marks(rows: DataFrame, key: str, blocks: Blocks, span: timedelta) -> DataFrame:
+def _rise_marks(rows: DataFrame, key: str, span: timedelta) -> DataFrame:
     """The state of a key at each of its rows (``asks`` 0) and ``span`` after them (``asks`` 1).
 
     ``run`` is the run of the row; ``run_then`` and ``rises`` are the run of its key at time
-    ``t`` and the rises in it. A drop starts a new run, an equal value changes nothing. Where
-    the first row of a key already has a run start and rises, counting goes on from them.
+    ``t`` and the rises in it. A drop starts a new run, an equal value changes nothing.
     """
     at, by_time = F.col("ts_ms"), ["ts_ms", "seq"]
-    seeded = rows.withColumnsRenamed({"run_start_ms": "seed_start", "rises": "seed_rises"})
+    blocked = [BLOCK] if BLOCK in rows.columns else []
     seen = running(
-        blocks.tag(seeded, at),
-        blocks,
-        by_time,
-        {"prev": Running("prev", F.col("v")), "before": Running("prev", F.lit(1))},
+        rows, [key], by_time, {"prev": Running("prev", F.col("v")), "before": Running("prev", F.lit(1))}
     )
-    first = F.col("before").isNull()
     drop, rise = F.col("v") < F.col("prev"), F.col("v") > F.col("prev")
-    begins = first | F.coalesce(drop, F.lit(False))
-    seed = F.when(first, F.coalesce("seed_rises", F.lit(0))).otherwise(0)
-    start = F.when(first, F.coalesce("seed_start", at)).otherwise(at)
+    begins = F.col("before").isNull() | F.coalesce(drop, F.lit(False))
     flagged = seen.select(
-        *blocks.group, "ts_ms", "seq", "v", "pending",
-        drop.alias("drop"), rise.alias("rise"), begins.alias("begins"),
-        seed.alias("seed"), F.when(begins, start).alias("start"),
+        key, *blocked, "ts_ms", "seq", drop.alias("drop"), rise.alias("rise"), begins.alias("begins")
     )
     # Runs begin in time order, so the latest start is the maximum.
     counted = running(
         flagged,
-        blocks,
+        [key],
         by_time,
         {
             "run": Running("sum", F.when(F.col("drop"), 1).otherwise(0)),
-            "ups": Running("sum", F.col("seed") + F.when(F.col("rise"), 1).otherwise(0)),
-            "run_start_ms": Running("max", F.col("start")),
+            "ups": Running("sum", F.when(F.col("rise"), 1).otherwise(0)),
+            "run_start_ms": Running("max", F.when(F.col("begins"), at)),
         },
     )
-    if blocks.splits:
-        counted = written(counted, "rises")
     # "run", "ups" and its value at the start of a run never fall, so the last is the maximum.
     own = F.struct(at.alias("t"), F.lit(0).alias("asks"))
     due = F.struct((at + millis(span)).alias("t"), F.lit(1).alias("asks"))
-    both = F.when(F.col("pending"), F.array(own, due)).otherwise(F.array(own))
     marks = counted.select(
-        key, "ts_ms", "seq", "v", "pending", "run", "run_start_ms", "ups",
-        F.when(F.col("begins"), F.col("ups") - F.col("seed")).alias("base"),
-        F.inline(both),
+        key, "seq", "run", "run_start_ms", "ups",
+        F.when(F.col("begins"), F.col("ups")).alias("base"), F.inline(F.array(own, due)),
     )
+    if blocked:
+        blocks = rows.agg(F.count_distinct(BLOCK)).first()[0]
+        marks = cut(marks, [key, "t", "asks", "seq"], 2 * blocks)
     state = F.col("asks") == 0
     marks = running(
-        blocks.tag(marks, F.col("t")),
-        blocks,
+        marks,
+        [key],
         ["t", "asks", "seq"],
         {
             "run_then": Running("max", F.when(state, F.col("run"))),
@@ -155,12 +125,10 @@ def rise_marks(rows: DataFrame, key: str, blocks: Blocks, span: timedelta) -> Da
         },
     )
     rises = (F.col("ups_then") - F.col("base_then")).cast("long").alias("rises")
-    return marks.select(
-        key, "t", "asks", "ts_ms", "seq", "v", "pending", "run", "run_start_ms", "run_then", rises
-    )
+    return marks.select(key, "t", "asks", "seq", "run", "run_start_ms", "run_then", rises)
 
 
-def rises_due(
+def _rises_due(
     marks: DataFrame, key: str, min_rises: int, until_ms: int | None = None
 ) -> DataFrame:
     """Alerts of the rows whose run still lasts at their due time, up to a time."""
@@ -193,7 +161,12 @@ def sustained_rise_alert(
     """
     if at_end not in ("flush", "hold"):
         raise ValueError("at_end must be 'flush' or 'hold'")
-    rows = rise_input(df, key, value, ts, order)
-    blocks = rise_blocks(rows, key, span, rows_per_block)
+    rows = df.select(
+        F.col(key), epoch_millis(F.col(ts)).alias("ts_ms"), F.col(order).alias("seq"), F.col(value).alias("v")
+    )
     until = rows.agg(F.max("ts_ms")).first()[0] if at_end == "hold" else None
-    return rises_due(rise_marks(rows, key, blocks, span), key, min_rises, until)
+
+    def work(part: DataFrame) -> DataFrame:
+        return _rises_due(_rise_marks(part, key, span), key, min_rises, until)
+
+    return split(rows, [key], ["ts_ms", "seq"], work, rows_per_block)

@@ -10,6 +10,7 @@ times are whole milliseconds. For a row and a window that ends at ``end``:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import timedelta
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import epoch_millis, from_millis, millis
-from tidemark.operators.scan import BLOCK, Running, as_position, plan_blocks, running
+from tidemark.operators.scan import BLOCK, ROWS_PER_BLOCK, Running, cut, running, split
 from tidemark.operators.windows import END, START, checked_slide
 
 ASCENDING = timedelta(milliseconds=1)
@@ -38,11 +39,10 @@ def with_watermark_before(
     The running maximum over all rows is taken per block of arrivals; only the block
     maxima (one row per block) meet in one task.
     """
-    position = as_position(df, arrival[0])
     tasks = df.sparkSession.sparkContext.defaultParallelism
-    blocks = plan_blocks(df, [], [position], rows_per_block, at_least=tasks)
+    blocks = max(tasks, math.ceil(df.count() / (rows_per_block or ROWS_PER_BLOCK)))
     seen = {"__seen": Running("max", epoch_millis(F.col(ts)), with_current=False)}
-    rows = running(blocks.tag(df, position), blocks, list(arrival), seen)
+    rows = running(cut(df, arrival, blocks), [], list(arrival), seen)
     mark = F.coalesce(F.col("__seen") - millis(delay), F.lit(NO_WATERMARK))
     return rows.withColumn(WATERMARK, mark).drop("__seen", BLOCK)
 
@@ -146,16 +146,12 @@ def window_firings(
     best = F.min(F.struct(*rank, F.struct(*columns).alias("row"))).alias("best")
     # On-time rows of a window collapse to one row here; re-firing rows stay apart.
     steps = accepted.groupBy(*group, *at).agg(best)
-    position = F.coalesce(as_position(steps, names[0]), F.lit(NO_WATERMARK))
-    rows = accepted if unclassified is None else unclassified
-    blocks = plan_blocks(rows, group, [as_position(rows, arrival[0])], rows_per_block)
-    out = running(
-        blocks.tag(steps, position),
-        blocks,
-        names,
-        {"firing_no": Running("sum", F.lit(1).cast("long")), "so_far": Running("min", F.col("best"))},
-    )
-    return out.select(*group, "firing_no", "so_far.row.*")
+    values = {"firing_no": Running("sum", F.lit(1).cast("long")), "so_far": Running("min", F.col("best"))}
+
+    def work(part: DataFrame) -> DataFrame:
+        return running(part, group, names, values).select(*group, "firing_no", "so_far.row.*")
+
+    return split(steps, group, names, work, rows_per_block, accepted if unclassified is None else unclassified)
 
 
 def window_with_lateness(

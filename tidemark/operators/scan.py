@@ -1,10 +1,10 @@
 """Running values per key in arrival order, split so that no key fills one task.
 
 A plain ``sum(...) over (partition by key order by arrival)`` puts every row of a key in
-one task. Here the keys above ``rows_per_block`` are cut into consecutive blocks of the
-order column. Each block is summarised, the summaries are scanned per key (one row per
-block), and the value carried into a block is joined back to its rows. Keys below the
-bound take the plain window, with one shuffle.
+one task. Here the rows of keys above ``rows_per_block`` are range-partitioned by the key and
+the whole order tuple and written once with the number of their range. Each block is summarised,
+the summaries are scanned per key (one row per block), and the value carried into a block is
+joined back to its rows. Keys below the bound take the plain window, with one shuffle.
 """
 
 from __future__ import annotations
@@ -12,29 +12,20 @@ from __future__ import annotations
 import functools
 import math
 import operator
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.timing import epoch_micros
 from tidemark.session import written
 
 ROWS_PER_BLOCK = 2_000_000
 SAMPLE_PER_BLOCK = 1_000
-MAX_BLOCKS = 20_000
 BLOCK = "__block"
 _FIRST = "__first_of_block"
 
 
-def as_position(df: DataFrame, name: str) -> Column:
-    """The order column as a number: micros for a timestamp, itself otherwise."""
-    kind = df.schema[name].dataType.simpleString()
-    return epoch_micros(F.col(name)) if kind.startswith("timestamp") else F.col(name)
-
-
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality with the renamed keys of the other side."""
     return functools.reduce(
@@ -47,71 +38,39 @@ def renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class Blocks:
-    """Where keys are cut. No splits means that every key fits one task."""
+class Hot:
+    """Keys with more rows than a task should hold, and the blocks that their rows need."""
 
     keys: tuple[str, ...]
-    splits: tuple[float, ...] = ()
-    hot: DataFrame | None = None
-
-    @property
-    def group(self) -> list[str]:
-        return [*self.keys, BLOCK] if self.splits else list(self.keys)
-
-    def tag(self, df: DataFrame, position: Column) -> DataFrame:
-        """Add the block of each row; rows of keys that fit one task are in block 0."""
-        if not self.splits:
-            return df
-        cut = Bucketizer(
-            splits=[-math.inf, *self.splits, math.inf], inputCol="__position", outputCol=BLOCK
-        )
-        placed = cut.transform(df.withColumn("__position", position.cast("double")))
-        placed = placed.drop("__position")
-        if self.hot is None:
-            return placed
-        # At most (rows / rows_per_block) keys can be above the bound, so this side is small.
-        hot = F.broadcast(renamed(self.hot, self.keys, "__hot_"))
-        tagged = placed.join(hot, same_keys(placed, hot, self.keys, "__hot_"), "left")
-        block = F.when(F.col("__rows").isNotNull(), F.col(BLOCK)).otherwise(F.lit(0.0))
-        return tagged.withColumn(BLOCK, block).select(*placed.columns)
-
-
-def plan_blocks(
-    df: DataFrame,
-    keys: Sequence[str],
-    positions: Sequence[Column],
-    rows_per_block: int | None = None,
-    at_least: int = 1,
-) -> Blocks:
-    """Find the keys above the bound and cut them at quantiles of the order column.
+    table: DataFrame
+    blocks: int
 
-    On large tables sizes and quantiles are estimated from a sample, about 1000 rows for each
-    block. It only places the cuts: any cuts give the same result, and all rows take part.
+    def part(self, df: DataFrame, how: str) -> DataFrame:
+        side = renamed(self.table, self.keys, "__hot_")
+        return df.join(side, same_keys(df, side, self.keys, "__hot_"), how)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_block: int | None = None) -> Hot | None:
+    """The keys above the bound, by a sample of about 1000 rows for each block.
+
+    A wrong guess costs time and changes no result. The keys are written, so Spark knows their
+    size and sends them to every task only if they are few.
     """
     limit = rows_per_block or ROWS_PER_BLOCK
     share = min(1.0, SAMPLE_PER_BLOCK / limit)
     sample = df.sample(share, seed=1) if share < 1 else df
-    hot = None
-    if keys:
-        rows = F.count(F.lit(1)).alias("__rows")
-        heavy = sample.groupBy(*keys).agg(rows).where(F.col("__rows") > limit * share)
-        sampled = heavy.agg(F.sum("__rows")).first()[0]
-        if sampled is None:
-            return Blocks(tuple(keys))
-        hot = written(heavy, "hot-keys")
-        side = F.broadcast(renamed(hot, keys, "__hot_"))
-        sample = sample.join(side, same_keys(sample, side, keys, "__hot_"), "left_semi")
-        size = sampled / share
-    else:
-        size = df.count()
-    blocks = min(MAX_BLOCKS, max(at_least, math.ceil(size / limit)))
-    if blocks < 2:
-        return Blocks(tuple(keys))
-    points = F.explode(F.array(*[p.cast("double") for p in positions])).alias("point")
-    cuts = sample.select(points).approxQuantile(
-        "point", [i / blocks for i in range(1, blocks)], 1 / (4 * blocks)
-    )
-    return Blocks(tuple(keys), tuple(sorted(set(cuts))), hot)
+    rows = F.count(F.lit(1)).alias("__rows")
+    table = written(sample.groupBy(*keys).agg(rows).where(F.col("__rows") > limit * share), "hot-keys")
+    sampled = table.agg(F.sum("__rows")).first()[0]
+    if sampled is None:
+        return None
+    return Hot(tuple(keys), table.select(*keys), max(2, math.ceil(sampled / share / limit)))
+
+
+def cut(df: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
+    """The rows, written once, with the number of their block in the order of ``by``."""
+    ranged = df.repartitionByRange(blocks, *by).withColumn(BLOCK, F.spark_partition_id())
+    return written(ranged, "blocks")
 
 
 @dataclass(frozen=True)
@@ -151,27 +110,47 @@ class Running:
 
 
 def running(
-    df: DataFrame, blocks: Blocks, order: Sequence[str], values: dict[str, Running]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Running]
 ) -> DataFrame:
-    """Add running values to rows that ``blocks`` has tagged.
+    """Add running values to the rows; if ``cut`` has numbered their blocks, block by block.
 
-    ``order`` must be unique within a key and must rise with the position used for tagging.
+    ``order`` must be unique within a key.
     """
-    w = Window.partitionBy(*blocks.group).orderBy(*order)
+    group = [*keys, BLOCK] if BLOCK in df.columns else list(keys)
+    w = Window.partitionBy(*group).orderBy(*order)
     local = df.select("*", *[v.in_block(w).alias(n) for n, v in values.items()])
-    if not blocks.splits:
+    if BLOCK not in df.columns:
         return local
 
-    across = Window.partitionBy(*blocks.keys).orderBy(BLOCK)
-    summary = df.groupBy(*blocks.group).agg(*[v.summary(order).alias(n) for n, v in values.items()])
+    across = Window.partitionBy(*keys).orderBy(BLOCK)
+    summary = df.groupBy(*group).agg(*[v.summary(order).alias(n) for n, v in values.items()])
     carry = summary.select(
-        *[F.col(k).alias(f"__in_{k}") for k in blocks.group],
+        *[F.col(k).alias(f"__in_{k}") for k in group],
         *[v.carry(F.col(n), across).alias(f"__carry_{n}") for n, v in values.items()],
         F.lag(F.lit(True)).over(across).alias("__later"),
     ).where("__later")
     local = local.withColumn(_FIRST, F.row_number().over(w) == 1)
-    both = local.join(carry, same_keys(local, carry, blocks.group, "__in_"), "left")
+    both = local.join(carry, same_keys(local, carry, group, "__in_"), "left")
     return both.select(
         *df.columns,
         *[v.joined(F.col(n), F.col(f"__carry_{n}")).alias(n) for n, v in values.items()],
     )
+
+
+def split(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    work: Callable[[DataFrame], DataFrame],
+    rows_per_block: int | None = None,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """``work`` over the rows of small keys as they are, and over those of hot keys in blocks.
+
+    Keys are counted in ``sized_by`` if the rows themselves are dear to compute.
+    """
+    hot = hot_keys((df if sized_by is None else sized_by).select(*keys), keys, rows_per_block)
+    if hot is None:
+        return work(df)
+    blocked = cut(hot.part(df, "left_semi"), [*keys, *order], hot.blocks)
+    return work(hot.part(df, "left_anti")).unionByName(work(blocked))
