@@ -1,22 +1,22 @@
-"""Live forms must give what the batch forms give, however the input is cut into batches."""
+"""Live forms must give what a replay in arrival order gives, however the input is cut."""
 
 from datetime import timedelta
 
 import pytest
-from fixtures import SENSOR_INT, SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
+from feed import feed
+from fixtures import SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates, keyed, windows
 from tidemark.operators.counts import sliding_count
 from tidemark.session import scratch_path
-from tidemark.sources.readers import text_stream
-from tidemark.streaming import carried, lateness, stateful
+from tidemark.sinks.upsert import read_upserted, upsert_folder
+from tidemark.sources.readers import table_stream, text_stream
+from tidemark.streaming import lateness, stateful
 from tidemark.streaming import windows as live
-from tidemark.streaming.feed import replay, run_available
 
 pytestmark = pytest.mark.usefixtures("few_partitions")
 S = lambda n: timedelta(seconds=n)
-SPAN = S(6)
 
 
 @pytest.fixture(scope="module")
@@ -28,126 +28,118 @@ def few_partitions(spark):
     spark.conf.set(name, before)
 
 
-def keyed_rows(spark):
-    """No null key, and times that are unique, so that batches follow the order of time."""
-    df = skewed(spark, 160).where("k IS NOT NULL")
+def keyed_rows(spark, rows=160):
+    df = skewed(spark, rows).where("k IS NOT NULL")
     return df.withColumn("ms", F.col("ms") + F.col("seq")).withColumn("ts", F.timestamp_millis("ms"))
 
 
-STEPS = {
-    "running": (
-        lambda n: carried.running_count("k", "seq", n),
-        lambda df: keyed.running_sum(df, "k", ["seq"]).select("seq", "k", "cnt"),
-    ),
-    "changelog": (
-        lambda n: carried.changelog("k", "seq", n),
-        lambda df: keyed.changelog(df, "k", ["seq"]),
-    ),
-    "jump": (
-        lambda n: carried.jump_alert("k", "v", "ts", "seq", 5, n),
-        lambda df: keyed.jump_alert(df, "k", "v", "ts", ["seq"], 5),
-    ),
-    "count_window": (
-        lambda n: carried.count_window("k", "seq", "v", 5, 2, n, s=F.sum("v")),
-        lambda df: sliding_count(df, "k", ["seq"], 5, 2, s=F.sum("v")),
-    ),
-    "rise": (
-        lambda n: carried.sustained_rise("k", "v", "ts", "seq", SPAN, 2, rows_per_block=n),
-        lambda df: keyed.sustained_rise_alert(df, "k", "v", "ts", "seq", SPAN, 2, at_end="hold"),
-    ),
+def collected(spark, parts, shape):
+    path = scratch_path(spark, "live-test")
+    feed(parts, lambda s: live.append_to(shape(s), path))
+    return spark.read.parquet(path)
+
+
+# Rows reach the stream in three micro-batches; "part" of a row depends on its number.
+CUTS = {
+    "ordered": "seq DIV 60",
+    "shuffled": "pmod(seq * 7, 3)",
+    "late": "IF(seq % 10 = 4, 2, seq DIV 80)",
 }
 
 
-@pytest.mark.parametrize(
-    ("name", "rows_per_block"),
-    [(n, None) for n in ("changelog", "jump")] + [(n, 15) for n in ("running", "count_window", "rise")],
-)
-def test_history_between_batches(spark, tmp_path, name, rows_per_block):
-    """Batches of 60 rows, one of them delivered twice."""
-    step, batch = STEPS[name]
-    df = keyed_rows(spark)
-    want = rows_of(batch(df))
-    assert want
-    write = carried.carried(str(tmp_path), step(rows_per_block))
-    for i in range(3):
-        part = df.where((F.col("seq") >= 60 * i) & (F.col("seq") < 60 * (i + 1)))
-        for _ in range(2 if i == 1 else 1):
-            write(part, i)
-    assert rows_of(carried.read_out(df, str(tmp_path)), *batch(df).columns) == want
+def batches(df, cut):
+    """Micro-batches, and all rows with their place in the order of arrival."""
+    cut = df.withColumn("part", F.expr(CUTS[cut]).cast("int"))
+    arrived = cut.withColumn("arrived", F.col("part") * 10_000 + F.col("seq"))
+    return [cut.where(F.col("part") == i).drop("part").coalesce(1) for i in range(3)], arrived
 
 
-def collected(spark, rows, every, shape, flush=None):
-    path = scratch_path(spark, "live-test")
-    replay(rows, "ts", every, lambda s: live.append_to(shape(s), path), flush)
-    return spark.read.parquet(path)
+@pytest.mark.parametrize("cut", sorted(CUTS))
+def test_running_count_by_arrival(spark, cut):
+    parts, arrived = batches(keyed_rows(spark), cut)
+    got = collected(spark, parts, lambda s: stateful.live_running_count(s, "k", "seq"))
+    assert rows_of(got, "seq", "k", "cnt") == rows_of(keyed.running_sum(arrived, "k", ["arrived"]), "seq", "k", "cnt")
 
 
-def test_state_running_and_changelog(spark):
-    rows = sensors(spark, SENSOR_INT, "int")
-    got = collected(spark, rows, S(20), lambda s: stateful.live_running_count(s, "id", "seq"))
-    assert rows_of(got) == rows_of(keyed.running_sum(rows, "id", ["seq"]).select("seq", "id", "cnt"))
-    got = collected(spark, rows, S(20), lambda s: stateful.live_changelog(s, "id", "seq"))
-    assert rows_of(got, "seq", "id", "op", "cnt") == rows_of(keyed.changelog(rows, "id", ["seq"]))
+@pytest.mark.parametrize("cut", ["shuffled"])
+def test_changelog_by_arrival(spark, cut):
+    parts, arrived = batches(keyed_rows(spark), cut)
+    got = collected(spark, parts, lambda s: stateful.live_changelog(s, "k", "seq"))
+    want = keyed.changelog(arrived, "k", ["arrived"])
+    assert rows_of(got, F.expr("seq").alias("seq"), "k", "op", "cnt") == rows_of(
+        want, F.expr("arrived % 10000").alias("seq"), "k", "op", "cnt")
 
 
-def test_state_count_window(spark):
-    rows = sensors(spark, SENSOR_INT, "int")
-    shape = lambda s: stateful.live_count_window(s, "id", "temperature", "seq", 5, 2)
-    got = collected(spark, rows, S(7), shape)
-    assert rows_of(got, "fired_at", "total") == list(
-        zip(range(2, 13, 2), [54.0, 99.0, 124.0, 136.0, 145.0, 139.0])
-    )
+@pytest.mark.parametrize("cut", ["late", "shuffled"])
+def test_count_window_by_arrival(spark, cut):
+    parts, arrived = batches(keyed_rows(spark), cut)
+    got = collected(spark, parts, lambda s: stateful.live_count_window(s, "k", "v", "seq", 5, 2))
+    want = sliding_count(arrived, "k", ["arrived"], 5, 2, total=F.sum("v"))
+    assert rows_of(got, "k", "fired_at", "total") == rows_of(want, "k", "fired_at", "total")
 
 
-def test_state_jump(spark):
-    rows = sensors(spark, SENSOR_STATE)
-    shape = lambda s: stateful.live_jump_alert(s, "id", "temperature", "ts", "seq", 10)
-    got = collected(spark, rows, S(5), shape)
-    want = keyed.jump_alert(rows, "id", "temperature", "ts", ["seq"], 10)
-    assert rows_of(got, *want.columns) == rows_of(want)
+@pytest.mark.parametrize("cut", ["late", "shuffled"])
+def test_jump_by_arrival(spark, cut):
+    parts, arrived = batches(keyed_rows(spark), cut)
+    got = collected(spark, parts, lambda s: stateful.live_jump_alert(s, "k", "v", "ts", "seq", 5))
+    want = keyed.jump_alert(arrived, "k", "v", "ts", ["arrived"], 5)
+    columns = ["message", "previous", "current"]
+    assert rows_of(got, "seq", *columns) == rows_of(want, F.expr("arrived % 10000").alias("seq"), *columns)
 
 
-@pytest.mark.parametrize("every", [5, 60])
-def test_state_sustained_rise(spark, every):
-    rows = sensors(spark, SENSOR_STATE)
+def test_an_earlier_row_in_a_later_batch(spark):
+    """Orders 1,2,3,10,11,12,13 and then 5,14 of one key: row 5 is the eighth."""
+    def part(*seqs):
+        return spark.createDataFrame([(i, "a", float(i)) for i in seqs], "seq long, k string, v double")
 
-    def shape(s):
-        return stateful.live_sustained_rise(s, "id", "temperature", "ts", "seq", S(5))
+    parts = [part(1, 2, 3, 10, 11, 12, 13), part(5, 14)]
+    counts = collected(spark, parts, lambda s: stateful.live_running_count(s, "k", "seq"))
+    assert dict(rows_of(counts, "seq", "cnt"))[5] == 8
+    fired = collected(spark, parts, lambda s: stateful.live_count_window(s, "k", "v", "seq", 5, 2))
+    assert rows_of(fired, "fired_at", "total") == [(2, 3.0), (4, 16.0), (6, 38.0), (8, 51.0)]
 
-    closing = {"id": "end", "seq": -1, "temperature": 0.0, "ts_s": 0}
-    got = collected(spark, rows, S(every), shape, closing).where("id <> 'end'")
-    want = keyed.sustained_rise_alert(rows, "id", "temperature", "ts", "seq", S(5))
+
+@pytest.mark.parametrize("seconds", [5, 60])
+def test_sustained_rise(spark, seconds):
+    """The watermark reaches the last row; alerts that are due later stay open."""
+    rows = sensors(spark, SENSOR_STATE)
+    cut = [rows.where(F.col("seq").between(i, i + seconds - 1)) for i in range(0, 12, seconds)]
+    shape = lambda s: stateful.live_sustained_rise(s, "id", "temperature", "ts", "seq", S(5))
+    got = collected(spark, cut, shape)
+    want = keyed.sustained_rise_alert(rows, "id", "temperature", "ts", "seq", S(5), at_end="hold")
     assert rows_of(got, *want.columns) == rows_of(want)
 
 
-def test_live_windows_equal_batch(spark):
+def test_windows_by_upsert_equal_batch(spark):
+    """No row closes the input: what is open at the end is in the folder too."""
     rows = keyed_rows(spark)
+    parts, _ = batches(rows, "ordered")
     aggs = [windows.count_rows(), windows.sum_of(F.col("v"), "total")]
-    got = collected(
-        spark, rows, S(120), lambda s: live.live_windowed(s, "ts", S(30), aggs, S(10), ["k"]), {}
-    )
-    assert rows_of(got) == rows_of(windows.windowed(rows, "ts", S(30), aggs, S(10), ["k"]))
+    path = scratch_path(spark, "windows")
+    key = ["k", "window_start", "window_end"]
+    keep = upsert_folder(path, key, ["cnt"], compact_every=2)
+    feed(parts, lambda s: live.each_batch(
+        live.live_windowed(s, "ts", S(30), aggs, S(10), ["k"], S(600)), keep, "update"))
+    want = windows.windowed(rows, "ts", S(30), aggs, S(10), ["k"])
+    assert rows_of(read_upserted(spark, path, key, ["cnt"]), *want.columns) == rows_of(want)
 
 
-def test_end_of_input_is_needed_to_close_the_last_windows(spark):
+def test_first_visits_are_the_distinct_count(spark):
     rows = keyed_rows(spark)
-    shape = lambda s: live.live_distinct_count(s, "ts", "v", S(30), S(10))
-    want = rows_of(windows.distinct_count(rows, "ts", "v", S(30), S(10)))
-    assert rows_of(collected(spark, rows, S(300), shape, {})) == want
-    assert len(rows_of(collected(spark, rows, S(300), shape))) < len(want)
-
+    parts, _ = batches(rows, "shuffled")
+    first = collected(spark, parts, lambda s: live.live_first_visits(s, "ts", "v", S(30), S(10), S(6000)))
+    got = first.groupBy("window_start", "window_end").agg(F.count("v").alias("uv"))
+    assert rows_of(got) == rows_of(windows.distinct_count(rows, "ts", "v", S(30), S(10)))
 
-def test_processing_time_windows_hold_every_row(spark):
-    rows = sensors(spark, SENSOR_INT, "int")
 
-    def shape(s):
-        timed = live.processing_time(s)
-        return live.live_windowed(timed, "processed_at", S(15), [windows.count_rows()], keys=["id"])
-
-    seen = []
-    replay(rows, "ts", S(60), lambda s: live.each_batch(
-        shape(s), lambda df, i: seen.extend(df.collect()), "update"))
-    assert sum(r.cnt for r in seen) == len(SENSOR_INT)
+def test_table_streams_take_a_file_and_a_folder(spark, tmp_path):
+    for path in ("/root/testdata/sf0.001/nation.parquet", str(tmp_path / "n.parquet")):
+        if "testdata" not in path:
+            spark.read.parquet("/root/testdata/sf0.001/nation.parquet").repartition(3).write.parquet(path)
+        out = scratch_path(spark, "nations")
+        feed_from = table_stream(spark, path, bytes_per_trigger=1)
+        live.run_available(live.append_to(feed_from, out), f"{out}-checkpoint")
+        assert spark.read.parquet(out).count() == 25
 
 
 def test_words_of_a_text_stream(spark, tmp_path):
@@ -156,20 +148,59 @@ def test_words_of_a_text_stream(spark, tmp_path):
     counts = aggregates.word_count(text_stream(spark, str(tmp_path / "in")))
     out = {}
     write = lambda df, i: out.update({r.word: r.cnt for r in df.collect()})
-    run_available(live.each_batch(counts, write, "complete"), str(tmp_path / "checkpoint"))
-    assert out == {"hello": 4, "storm": 3, "spark": 2, "world": 1, "hadoop": 1}
-
-
-def test_split_late_is_repeatable(spark, tmp_path):
-    path = str(tmp_path)
-    write = lateness.split_late(path, "ts", S(10), delay=S(2), lateness=S(4))
-    batches = [[1, 5, 12], [3, 15, 4], [18, 2]]
-    for i, times in enumerate(batches):
-        df = sensors(spark, [("a", 1, t) for t in times], "int")
-        write(df, i)
-        write(df, i)
-    assert rows_of(spark.read.parquet(f"{path}/late"), "ts_s") == []
-    df = sensors(spark, [("a", 1, t) for t in (3, 16)], "int")
-    write(df, 3)
-    assert rows_of(spark.read.parquet(f"{path}/late"), "ts_s") == [(3,)]
-    assert spark.read.parquet(f"{path}/accepted").count() == 9
+    live.run_available(live.each_batch(counts, write, "complete"), str(tmp_path / "checkpoint"))
+    assert out == {"red": 3, "fox": 4, "kite": 2, "blue": 1, "over": 1}
+
+
+def late_batch(spark, times, first):
+    return sensors(spark, [("a", 1, t) for t in times], "int").withColumn("seq", F.col("seq") + first)
+
+
+def test_split_late_is_by_row_and_repeatable(spark, tmp_path):
+    from tidemark.operators import lateness as late
+
+    times, path = [1, 5, 12, 3, 15, 4, 18, 2, 16, 3], str(tmp_path)
+    whole = late_batch(spark, times, 0)
+    want = rows_of(late.late_rows(whole, "ts", ["seq"], S(10), delay=S(2), lateness=S(4)), "seq")
+    assert want
+    write = lateness.split_late(path, "ts", ["seq"], S(10), delay=S(2), lateness=S(4))
+    for i, at in enumerate((0, 3, 7)):
+        part = late_batch(spark, times[at:(3, 7, 10)[i]], at)
+        for _ in range(2):
+            write(part, i)
+    assert rows_of(spark.read.parquet(f"{path}/late"), "seq") == want
+    assert spark.read.parquet(f"{path}/accepted").count() == len(times) - len(want)
+
+
+def test_a_batch_that_comes_again_is_counted_once(spark, tmp_path):
+    """The second query reads the accepted rows between the two deliveries."""
+    path, out = str(tmp_path / "split"), str(tmp_path / "out")
+    write = lateness.split_late(path, "ts", ["seq"], S(10), delay=S(2), lateness=S(4))
+    parts = [late_batch(spark, [1, 5, 12], 0), late_batch(spark, [3, 15, 4], 3)]
+
+    def second():
+        stream = lateness.accepted_stream(parts[0], path)
+        live.run_available(live.append_to(stream, out), str(tmp_path / "checkpoint"))
+
+    for i, part in enumerate(parts):
+        write(part, i)
+        second()
+        write(part, i)
+        second()
+    assert rows_of(spark.read.parquet(out), "seq") == [(i,) for i in range(6)]
+
+
+def test_a_batch_that_failed_before_its_mark_is_finished(spark, tmp_path):
+    from tidemark.sinks import folders
+
+    path, out = str(tmp_path / "split"), str(tmp_path / "out")
+    write = lateness.split_late(path, "ts", ["seq"], S(10))
+    part = late_batch(spark, [1, 5, 12], 0)
+    write(part, 0)
+    folders.remove(spark, f"{path}/marks/batch_id=0")
+    stream = lateness.accepted_stream(part, path)
+    live.run_available(live.append_to(stream, out), str(tmp_path / "checkpoint"))
+    write(part, 0)
+    live.run_available(live.append_to(lateness.accepted_stream(part, path), out), str(tmp_path / "checkpoint"))
+    assert spark.read.parquet(out).count() == 3
+    assert folders.is_complete(spark, f"{path}/marks/batch_id=0")

@@ -39,6 +39,28 @@ def test_upsert_keeps_the_newest_row(spark, tmp_path):
     assert rows_of(read_upserted(spark, path, ["order_id"], ["seq"])) == want
 
 
+def test_upsert_folder_is_compacted(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    write = upsert_folder(path, ["order_id"], ["seq"], compact_every=3)
+    for i in range(8):
+        for _ in range(2):
+            write(orders(spark, (i % 4, i, i), (9, i, i)), i)
+    assert len(glob.glob(f"{path}/log/batch_id=*")) == 2 and len(glob.glob(f"{path}/tables/*")) == 1
+    want = [(0, 4, 4), (1, 5, 5), (2, 6, 6), (3, 7, 7), (9, 7, 7)]
+    assert rows_of(read_upserted(spark, path, ["order_id"], ["seq"])) == want
+    write(orders(spark, (0, 99, 99)), 2)  # an old batch again
+    assert rows_of(read_upserted(spark, path, ["order_id"], ["seq"])) == want
+
+
+def test_print_stream(spark, tmp_path):
+    stream = spark.readStream.schema("value string").text(str(tmp_path))
+    (tmp_path / "a.txt").write_text("x\n")
+    query = text.print_stream(stream, str(tmp_path / "checkpoint"), "warning")
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None and sum(p["numInputRows"] for p in query.recentProgress) == 1
+
+
 def test_latest_by_key(spark):
     df = orders(spark, (1, 10, 1), (1, 11, 2), (2, 20, 3))
     assert rows_of(latest_by_key(df, ["order_id"], ["seq"])) == [(1, 11, 2), (2, 20, 3)]
@@ -55,6 +77,24 @@ def test_merge_statement():
     assert "UPDATE" not in key_only and "t.window_end = s.window_end AND t.row_num = s.row_num" in key_only
 
 
+def test_duplicate_key_statement():
+    sql = jdbc.duplicate_key_sql("orders", "side", ["order_id"], ["order_id", "price", "seq"])
+    assert sql == (
+        "INSERT INTO orders (order_id, price, seq) SELECT order_id, price, seq FROM side"
+        " ON DUPLICATE KEY UPDATE price = VALUES(price), seq = VALUES(seq)"
+    )
+    assert jdbc.duplicate_key_sql("t", "s", ["id"], ["id"]).endswith("UPDATE id = VALUES(id)")
+
+
+def test_ranked_rows_fit_the_result_tables(spark):
+    from pyspark.sql.types import StructType
+
+    ranked = spark.createDataFrame([], "item_id long, window_end timestamp, cnt long, row_num long")
+    assert jdbc.as_sink_columns(ranked).columns == StructType.fromDDL(jdbc.TOP_ITEMS_TYPES).names
+    urls = ranked.withColumnRenamed("item_id", "url")
+    assert jdbc.as_sink_columns(urls).columns == [c.split()[0] for c in jdbc.TOP_URLS_TYPES.split(", ")]
+
+
 def test_jdbc_upsert_stages_then_merges(spark, monkeypatch):
     """No database is started here: the write and the statement are recorded."""
     from pyspark.sql import DataFrameWriter
@@ -67,8 +107,12 @@ def test_jdbc_upsert_stages_then_merges(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "run_statement", lambda spark, url, props, sql: seen.append((url, sql)))
     write = jdbc.upsert_jdbc("jdbc:x", "orders", {}, ["order_id"], ["seq"])
     write(orders(spark, (1, 10, 1), (1, 11, 2)), 0)
-    assert seen[0] == ("jdbc:x", "orders_staging", [(1, 11, 2)])
-    assert seen[1][1].startswith("MERGE INTO orders t USING orders_staging s")
+    staging = seen[0][1]
+    assert staging.startswith("orders_staging_") and seen[0] == ("jdbc:x", staging, [(1, 11, 2)])
+    assert seen[1][1].startswith(f"MERGE INTO orders t USING {staging} s")
+    jdbc.upsert_jdbc("jdbc:x", "orders", {}, ["order_id"], ["seq"])(orders(spark, (1, 1, 1)), 0)
+    assert seen[2][1] != staging
+    del seen[2:]
 
     jdbc.append_jdbc(orders(spark, (2, 3, 4)), "jdbc:x", "hot", {}, jdbc.COUNT_TYPES)
     assert seen[2] == ("jdbc:x", "hot", [(2, 3, 4)])

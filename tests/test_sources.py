@@ -19,13 +19,6 @@ def test_words_drop_only_trailing_empties(spark):
     assert got == {"a b": ["a", "b"], "a b  ": ["a", "b"], " a  b": ["", "a", "", "b"], "": [""], "   ": []}
 
 
-def test_spread_only_deals_out_few_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert readers.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores * 2)
-    assert readers.spread(wide) is wide
-
-
 def test_csv_records_by_position(spark, tmp_path):
     (tmp_path / "s.csv").write_text("c1,01,Ann,f,95\nc1,02,Bob,m,65\n")
     df = readers.csv_records(spark, str(tmp_path), schemas.STUDENT)
@@ -38,6 +31,18 @@ def test_bad_csv_fails(spark, tmp_path):
         readers.csv_records(spark, str(tmp_path), schemas.STUDENT).collect()
 
 
+@pytest.mark.parametrize("bad", ["s3,many,1", "s3,1.0"])
+def test_bad_csv_fails_if_one_column_is_used(spark, tmp_path, bad):
+    (tmp_path / "s.csv").write_text(f"s1,20.5,1\n{bad}\n")
+    readers.csv_table(spark, "bad_sensors", str(tmp_path), schemas.SENSOR)
+    with pytest.raises(Exception, match="MALFORMED"):
+        spark.sql("SELECT id, count(*) AS cnt FROM bad_sensors GROUP BY id").collect()
+    stream = readers.csv_stream(spark, str(tmp_path), schemas.SENSOR).select("id")
+    q = stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    with pytest.raises(Exception):
+        q.awaitTermination()
+
+
 def test_csv_table_is_seen_by_sql(spark, tmp_path):
     (tmp_path / "s.csv").write_text("s1,20.5,1\ns1,21.5,2\ns2,3.0,3\n")
     readers.csv_table(spark, "sensors", str(tmp_path), schemas.SENSOR)
@@ -60,13 +65,22 @@ def test_parse_delimited(spark):
     assert df.first() == (7, 12, 3, "pv", 1511658000)
 
 
-@pytest.mark.parametrize("bad", ["7,12,3", "seven,12,3,pv,1511658000"])
+@pytest.mark.parametrize("sep", ["|", ".", "||", "\\E"])
+def test_separator_is_taken_as_it_stands(spark, sep):
+    df = parsers.parse_delimited(lines(spark, sep.join("123")), "a int, b int, c string", sep=sep)
+    assert df.first() == (1, 2, "3")
+
+
+BAD = ["7,12,3", "seven,12,3,pv,1511658000", "7, 12 ,3,pv,1511658000"]
+
+
+@pytest.mark.parametrize("bad", BAD)
 def test_bad_line_fails(spark, bad):
     with pytest.raises(Exception):
         parsers.parse_delimited(lines(spark, bad), schemas.BEHAVIOR).collect()
 
 
-@pytest.mark.parametrize("bad", ["7,12,3", "seven,12,3,pv,1511658000"])
+@pytest.mark.parametrize("bad", BAD)
 def test_tolerant_parse_gives_nulls(spark, bad):
     row = parsers.parse_delimited(lines(spark, bad), schemas.BEHAVIOR, tolerant=True).first()
     assert None in tuple(row)

@@ -124,3 +124,14 @@ def test_report(spark):
 def test_slide_is_not_longer_than_the_size(spark):
     with pytest.raises(ValueError):
         windows.windowed(skewed(spark), "ts", S(5), aggs(), S(20))
+
+
+def test_every_visit_counts_in_the_url_ranking(spark):
+    """Also where an item has no page, as half of the items of the smallest tables."""
+    from tidemark.plans import windows as plans
+
+    sf_dir = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    counts = plans.url_counts(spark, sf_dir)
+    assert counts.agg(F.sum("cnt")).first()[0] == events.count() * 6
+    assert counts.where("url LIKE '/item/%'").count() > 0

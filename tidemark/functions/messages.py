@@ -16,24 +16,27 @@ VISITS_LABEL = "访问次数="
 REPORT_RULE = "===================="
 JUMP_TEXT = "的温度连续变化超过了"
 DEGREE = "°"
+JUMP_MARK = "--"
+RISE_FIRED, RISE_FROM, RISE_TO = " ,Fire! since ", " (", ") "
+RISE_TEXT, RISE_TIMES = "'s temperature keep increasing for ", " times"
 
 
 def jump_message(ts: Column, key: Column, threshold: float) -> Column:
     return F.concat(
-        clock_text(ts), F.lit("--"), key.cast("string"), F.lit(f"{JUMP_TEXT}{threshold:g}{DEGREE}")
+        clock_text(ts), F.lit(JUMP_MARK), key.cast("string"), F.lit(f"{JUMP_TEXT}{threshold:g}{DEGREE}")
     )
 
 
 def rise_message(timer_ms: Column, start_ms: Column, key: Column, rises: Column) -> Column:
     return F.concat(
         timer_ms.cast("string"),
-        F.lit(" ,Fire! since "),
+        F.lit(RISE_FIRED),
         start_ms.cast("string"),
-        F.lit(" ("),
+        F.lit(RISE_FROM),
         clock_text(from_millis(start_ms)),
-        F.lit(") "),
+        F.lit(RISE_TO),
         key.cast("string"),
-        F.lit("'s temperature keep increasing for "),
+        F.lit(RISE_TEXT),
         rises.cast("string"),
-        F.lit(" times"),
+        F.lit(RISE_TIMES),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import text_lines
 from tidemark.operators import aggregates, keyed, lookup
 from tidemark.operators.counts import sliding_count, tumbling_count
-from tidemark.plans.catalog import EV, events, query, table
+from tidemark.plans.catalog import EV, events, own_name, query, table
 from tidemark.schemas import BEHAVIOR
 from tidemark.session import scratch_path
 from tidemark.sinks.text import write_text
@@ -29,7 +29,7 @@ words AS (
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """)
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = readers.spread(table(spark, sf_dir, "documents").select("text"))
+    docs = table(spark, sf_dir, "documents").select("text")
     lines = docs.select(F.explode(text_lines(F.col("text"))).alias("value"))
     return aggregates.word_count(lines)
 
@@ -136,8 +136,9 @@ def group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(GROUP_COUNT_SQL)
 def group_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readers.view(table(spark, sf_dir, "events"), "input_table")
-    return spark.sql(aggregates.GROUP_COUNT_SQL.format(key="event_type", view="input_table"))
+    name = own_name("input_table")
+    readers.view(table(spark, sf_dir, "events"), name)
+    return spark.sql(aggregates.GROUP_COUNT_SQL.format(key="event_type", view=name))
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS cnt FROM events GROUP BY user_id")
@@ -146,8 +147,17 @@ def csv_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv-table")
     rows = table(spark, sf_dir, "events")
     rows.select("user_id", "value", F.unix_seconds(F.col("ts").cast("timestamp"))).write.csv(path)
-    readers.csv_table(spark, "sensor_table", path, "id string, temperature double, ts_s long")
-    return spark.sql(aggregates.GROUP_COUNT_SQL.format(key="id", view="sensor_table"))
+    name = own_name("sensor_table")
+    readers.csv_table(spark, name, path, "id string, temperature double, ts_s long")
+    return spark.sql(aggregates.GROUP_COUNT_SQL.format(key="id", view=name))
+
+
+@query("SELECT event_type, count(*) AS cnt FROM events WHERE value > 10 GROUP BY event_type")
+def named_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count over a table that is read by its name."""
+    name = own_name("events_by_name")
+    readers.view(table(spark, sf_dir, "events"), name)
+    return aggregates.group_count(readers.table(spark, name).where("value > 10"), "event_type")
 
 
 CHANGELOG_SQL = """

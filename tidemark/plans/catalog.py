@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("item_id", first_number(F.col("props")))
 
 
+def own_name(label: str) -> str:
+    """A view name that no view of the user has."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 # SQL counterparts of ``events`` and of the windows that cover a row.
 EV = """ev AS (
   SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS item_id FROM events)"""

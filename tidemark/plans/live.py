@@ -1,29 +1,32 @@
 """The same questions asked of live streams.
 
-Each query replays a table in time slices through a streaming query, closes the input, and
-returns what the stream wrote. Results must equal the SQL of the batch query.
+Each query reads the files of a table as a stream, ``BATCH_BYTES`` at a time, until it has read
+what is there. Windows that are still open are given by update mode and an upsert, so nothing has
+to close them. Results must equal the SQL of the batch query.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import windows
+from tidemark.functions.text import first_number
+from tidemark.operators import topn, windows
 from tidemark.plans import batch as b
 from tidemark.plans import windows as w
-from tidemark.plans.catalog import events, query, table
-from tidemark.session import scratch_path
+from tidemark.plans.catalog import query
+from tidemark.schemas import BEHAVIOR
+from tidemark.session import rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
-from tidemark.streaming import carried, lateness
+from tidemark.sources import parsers, readers
+from tidemark.streaming import lateness, stateful
 from tidemark.streaming import windows as live
-from tidemark.streaming.feed import replay
 
-SLICE = timedelta(days=20)
-ORDER_SLICE = timedelta(days=900)
-NO_KEY = -1
+BATCH_BYTES = 1 << 30
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return readers.table_stream(spark, f"{sf_dir}/{name}.parquet", bytes_per_trigger=BATCH_BYTES)
 
 
 def _zoneless(df: DataFrame) -> DataFrame:
@@ -34,183 +37,156 @@ def _zoneless(df: DataFrame) -> DataFrame:
     return df
 
 
-def _written(spark: SparkSession, rows: DataFrame, label: str, shape, flush=None) -> DataFrame:
-    """Replay rows through an append-mode query and read what it wrote."""
-    path = scratch_path(spark, label)
-    replay(rows, "ts", SLICE, lambda s: live.append_to(shape(s), path), flush)
-    return _zoneless(spark.read.parquet(path))
+def _appended(out: DataFrame, label: str) -> DataFrame:
+    """What an append-mode query writes."""
+    path = scratch_path(out.sparkSession, label)
+    with rocksdb(out.sparkSession):
+        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
+    return _zoneless(out.sparkSession.read.schema(out.schema).parquet(f"{path}/out"))
 
 
-def _carried(spark: SparkSession, rows: DataFrame, label: str, step, flush=None) -> DataFrame:
-    """Replay rows through an operator that carries a history per key between batches."""
+def _upserted(out: DataFrame, label: str, key: list[str], order: list[str], mode: str = "update") -> DataFrame:
+    """The rows that an upsert by key leaves."""
+    spark = out.sparkSession
     path = scratch_path(spark, label)
-    write = carried.carried(path, step)
-    replay(rows, "ts", SLICE, lambda s: live.each_batch(s, write), flush)
-    return carried.read_out(rows, path)
+    with rocksdb(spark):
+        writer = live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode)
+        live.run_available(writer, f"{path}/checkpoint")
+    return _zoneless(read_upserted(spark, f"{path}/out", key, order))
 
 
-@query(w.SLIDING_SQL)
-def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+WINDOW = ["window_start", "window_end"]
 
-    def shape(s: DataFrame) -> DataFrame:
-        aggs = [windows.count_rows(), windows.first_of(F.col("ts"), F.col("event_id"), "first_ts")]
-        return live.live_windowed(s, "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"])
 
-    return _written(spark, rows, "sliding", shape, flush={})
+@query(w.SLIDING_SQL)
+def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stream(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    aggs = [windows.count_rows(), windows.first_of(F.col("ts"), F.col("event_id"), "first_ts")]
+    out = live.live_windowed(rows, "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"], w.MONTH)
+    return _upserted(out, "sliding", ["event_type", *WINDOW], ["cnt"])
 
 
 @query(w.ROW_SQL.format(size="1 hour", direction="DESC"))
 def stream_tumbling_max_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-
-    def shape(s: DataFrame) -> DataFrame:
-        columns = ["event_id", "ts", "value"]
-        return live.live_extreme_row(
-            s, "ts", w.HOUR, ["event_type"], "value", "event_id", "max", columns
-        )
-
-    return _written(spark, rows, "max-row", shape, flush={})
+    rows = _stream(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    out = live.live_extreme_row(
+        rows, "ts", w.HOUR, ["event_type"], "value", "event_id", "max", ["event_id", "ts", "value"], w.MONTH
+    )
+    return _upserted(out, "max-row", ["event_type", *WINDOW], ["value"])
 
 
 @query(w.UV_SQL)
 def stream_uv_3h_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where(w.VIEW).select("ts", "user_id")
-
-    def shape(s: DataFrame) -> DataFrame:
-        return live.live_distinct_count(s, "ts", "user_id", w.THREE_HOURS, w.HOUR)
-
-    return _written(spark, rows, "uv", shape, flush={})
+    rows = _stream(spark, sf_dir, "events").where(w.VIEW).select("ts", "user_id")
+    first = live.live_first_visits(rows, "ts", "user_id", w.THREE_HOURS, w.HOUR, w.MONTH)
+    return _appended(first, "uv").groupBy(*WINDOW).agg(F.count("user_id").alias("uv"))
 
 
 @query(w.HOT_ITEMS_SQL)
 def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).where(w.VIEW).select("ts", "item_id")
-    path = scratch_path(spark, "hot-items")
-    rank = live.ranked_folder(path, "window_end", "cnt", "item_id")
-
-    def start(s: DataFrame):
-        counts = live.live_windowed(
-            s, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"]
-        )
-        return live.each_batch(counts.select("item_id", "window_end", "cnt"), rank)
-
-    replay(rows, "ts", SLICE, start, flush={})
-    return _zoneless(spark.read.parquet(path).drop("batch_id"))
+    """Counts kept by upsert; the ranking is taken of the counts when it is asked for."""
+    rows = _stream(spark, sf_dir, "events").where(w.VIEW).select("ts", first_number(F.col("props")).alias("item_id"))
+    counts = live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"], w.MONTH)
+    kept = _upserted(counts.select("item_id", "window_end", "cnt"), "hot-items", ["item_id", "window_end"], ["cnt"])
+    return topn.top_n(kept, "window_end", "cnt", "item_id")
 
 
 @query(b.GROUP_COUNT_SQL)
 def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts in update mode, upserted by key."""
-    rows = table(spark, sf_dir, "events").select("ts", "event_type")
-    path = scratch_path(spark, "counts")
+    counts = _stream(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    return _upserted(counts, "counts", ["event_type"], ["cnt"])
+
+
+@query(b.GROUP_COUNT_SQL)
+def stream_wall_clock_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of processing time; which window a row falls in varies, the totals do not."""
+    timed = live.processing_time(_stream(spark, sf_dir, "events").select("event_type"))
+    out = live.live_windowed(timed, "processed_at", w.FIFTEEN, [windows.count_rows()], keys=["event_type"])
+    kept = _upserted(out, "wall-clock", ["event_type", *WINDOW], ["cnt"])
+    return kept.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
-    def start(s: DataFrame):
-        counts = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
-        return live.each_batch(counts, upsert_folder(path, ["event_type"], ["cnt"]), "update")
 
-    replay(rows, "ts", SLICE, start)
-    return read_upserted(spark, path, ["event_type"], ["cnt"])
+@query(f"""
+WITH {w.EV}
+SELECT event_type AS behavior, window_start, window_end, count(*) AS cnt
+FROM {w.windows_sql("(SELECT event_type, date_trunc('second', ts) AS ts FROM ev)", "ts", "1 hour", "10 minutes", 6)}
+GROUP BY event_type, window_start, window_end
+""")
+def stream_text_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited text files as a stream, parsed and counted per window."""
+    folder = scratch_path(spark, "lines")
+    b.behavior_lines(spark, sf_dir).write.text(folder)
+    parsed = parsers.parse_delimited(readers.text_stream(spark, folder), BEHAVIOR)
+    rows = parsed.select("behavior", F.timestamp_seconds("ts_s").alias("ts"))
+    out = live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["behavior"], w.MONTH)
+    return _upserted(out, "text-counts", ["behavior", *WINDOW], ["cnt"])
 
 
 @query(b.UPSERT_SQL)
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    path = scratch_path(spark, "orders")
-    key, order = ["o_custkey"], ["o_orderdate", "o_orderkey"]
-    replay(
-        rows, "o_orderdate", ORDER_SLICE, lambda s: live.each_batch(s, upsert_folder(path, key, order))
-    )
-    return read_upserted(spark, path, key, order)
+    rows = _stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return _upserted(rows, "orders", ["o_custkey"], ["o_orderdate", "o_orderkey"], "append")
 
 
 @query(b.RUNNING_SQL)
 def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return _carried(spark, rows, "running", carried.running_count("event_type", "event_id"))
+    rows = _stream(spark, sf_dir, "events")
+    return _appended(stateful.live_running_count(rows, "event_type", "event_id"), "running")
 
 
 @query(b.CHANGELOG_SQL)
 def stream_retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return _carried(spark, rows, "changelog", carried.changelog("event_type", "event_id"))
+    rows = _stream(spark, sf_dir, "events")
+    return _appended(stateful.live_changelog(rows, "event_type", "event_id"), "changelog")
 
 
 @query(b.COUNT_5_2_SQL)
 def stream_count_window_5_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    total = F.round(F.sum("value"), 2)
-    step = carried.count_window("user_id", "event_id", "value", 5, 2, sum_value=total)
-    return _carried(spark, rows, "count-window", step)
+    rows = _stream(spark, sf_dir, "events")
+    fired = _appended(stateful.live_count_window(rows, "user_id", "value", "event_id", 5, 2), "count-window")
+    return fired.select("user_id", "fired_at", F.round("total", 2).alias("sum_value"))
 
 
 @query(b.JUMP_SQL)
 def stream_jump_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    step = carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP)
-    return _carried(spark, rows, "jumps", step)
+    rows = _stream(spark, sf_dir, "events")
+    return _appended(stateful.live_jump_alert(rows, "user_id", "value", "ts", "event_id", b.JUMP), "jumps")
 
 
-@query(b.RISE_SQL)
+@query(b.RISE_SQL + " AND ts_ms + 18000000 <= (SELECT max(epoch_us(ts) // 1000) FROM events)")
 def stream_sustained_rise_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    step = carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN)
-    closing = {"user_id": NO_KEY, "event_id": NO_KEY, "value": 0.0}
-    return _carried(spark, rows, "rises", step, flush=closing)
-
-
-# The rows that arrive in a slice of ten days are one micro-batch; its watermark comes from
-# the batches before. Events arrive up to 30 hours after they happened.
-LATE_SLICE = timedelta(days=10)
-LATE_STEP = timedelta(hours=3)
-BATCH_LATE_CTE = """arr AS (
-  SELECT event_id, event_type, ts, value, epoch_us(ts) // 1000 AS ms,
-    epoch_us(ts) + (event_id * 37 % 11) * 10800000000 AS arrival FROM events),
-seen AS (
-  SELECT *, coalesce(max(ms) OVER (ORDER BY arrival // 864000000000
-      RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 120000, -4611686018427387904) AS watermark_ms,
-    time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS window_start,
-    time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '10 minutes' AS window_end
-  FROM arr),
-kept AS (SELECT *, epoch_ms(window_end) - 1 + 240000 > watermark_ms AS ok FROM seen)"""
-
-
-def _split(spark: SparkSession, rows: DataFrame, path: str, more=()) -> None:
-    write = lateness.split_late(
-        path, "ts", w.TEN_MINUTES, delay=w.DELAY, lateness=w.LATENESS
-    )
-    starts = [lambda s: live.each_batch(s, write), *more]
-    replay(rows, "arrival", LATE_SLICE, starts)
+    """Alerts whose timers the stream's own watermark has reached."""
+    rows = _stream(spark, sf_dir, "events")
+    return _appended(stateful.live_sustained_rise(rows, "user_id", "value", "ts", "event_id", b.RISE_SPAN), "rises")
 
 
-@query(f"WITH {BATCH_LATE_CTE} SELECT event_id, event_type, ts, value, arrival FROM kept WHERE NOT ok")
+def _split(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    rows = w.with_arrival(_stream(spark, sf_dir, "events"))
+    write = lateness.split_late(path, "ts", w.ARRIVAL, w.TEN_MINUTES, delay=w.DELAY, lateness=w.LATENESS)
+    live.run_available(live.each_batch(rows, write), f"{path}/checkpoint-split")
+    return rows
+
+
+@query(f"WITH {w.STATUS_CTE} SELECT {w.LATE_COLUMNS} FROM status WHERE status = 'late'")
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "late")
-    _split(spark, w.jittered(spark, sf_dir, LATE_STEP), path)
+    rows = _split(spark, sf_dir, path)
     return spark.read.parquet(f"{path}/late").drop("batch_id")
 
 
 @query(f"""
-WITH {BATCH_LATE_CTE}
+WITH {w.STATUS_CTE}
 SELECT event_type, window_start, window_end, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type, window_end ORDER BY value, event_id) AS rn
-  FROM kept WHERE ok) WHERE rn = 1
+  FROM status WHERE status <> 'late') WHERE rn = 1
 """)
 def stream_window_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the accepted rows, emitted again for each change, newest result per window."""
-    rows = w.jittered(spark, sf_dir, LATE_STEP)
     path = scratch_path(spark, "accepted")
-    results = scratch_path(spark, "firings")
-    key = ["event_type", "window_start", "window_end"]
-    keep = upsert_folder(results, key, ["event_id"])
-
-    def second(_: DataFrame):
-        accepted = lateness.accepted_stream(rows, path)
-        kept = lateness.kept_events(accepted, "ts", w.DELAY, w.LATENESS)
-        best = windows.extreme_row(
-            kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"]
-        )
-        return live.each_batch(best, keep, "update")
-
-    _split(spark, rows, path, [second])
-    return _zoneless(read_upserted(spark, results, key, ["event_id"]))
+    rows = _split(spark, sf_dir, path)
+    kept = lateness.kept_events(lateness.accepted_stream(rows, path), "ts", w.DELAY, w.LATENESS)
+    best = windows.extreme_row(
+        kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"]
+    )
+    return _upserted(best, "firings", ["event_type", *WINDOW], ["event_id"])

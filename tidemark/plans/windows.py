@@ -15,10 +15,10 @@ from tidemark.functions.messages import (
     URL_LABEL,
     VISITS_LABEL,
 )
-from tidemark.functions.timing import epoch_micros, micros
+from tidemark.functions.timing import epoch_micros, micros, shift
 from tidemark.operators import lateness as late
 from tidemark.operators import lookup, topn, windows
-from tidemark.plans.catalog import EV, events, query, table, windows_sql
+from tidemark.plans.catalog import EV, events, own_name, query, table, windows_sql
 from tidemark.sources.readers import view
 
 HOUR = timedelta(hours=1)
@@ -218,12 +218,15 @@ def hot_items_top5_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking as SQL over a view of the windowed counts."""
     rows = events(spark, sf_dir).where(VIEW)
     counts = windows.windowed(rows, "ts", HOUR, [windows.count_rows()], TEN_MINUTES, ["item_id"])
-    view(counts.select("item_id", "window_end", "cnt"), "hourly_items", ["item_id", "window_end", "cnt"])
-    return spark.sql(topn.top_n_sql("hourly_items", "window_end", "cnt", "item_id"))
+    name = own_name("hourly_items")
+    view(counts.select("item_id", "window_end", "cnt"), name, ["item_id", "window_end", "cnt"])
+    return spark.sql(topn.top_n_sql(name, "window_end", "cnt", "item_id"))
 
 
 HOT_URLS_CTE = f"""{EV},
-visits AS (SELECT ev.ts, p.url FROM ev JOIN pages p ON p.page_id = ev.item_id),
+visits AS (
+  SELECT ev.ts, coalesce(p.url, '/item/' || coalesce(CAST(ev.item_id AS VARCHAR), '')) AS url
+  FROM ev LEFT JOIN pages p ON p.page_id = ev.item_id),
 agg AS (
   SELECT url, window_end, count(*) AS cnt
   FROM {windows_sql("visits", "ts", "1 hour", "10 minutes", 6)} GROUP BY url, window_end),
@@ -235,12 +238,21 @@ top AS (
 
 @query(f"WITH {HOT_URLS_CTE} SELECT url, window_end, cnt, row_num FROM top")
 def hot_urls_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of each url; an item without a page is its own url, so every visit counts."""
+    return topn.top_n(url_counts(spark, sf_dir), windows.END, "cnt", "url")
+
+
+def url_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits per url and window, counted per item before the url texts are attached."""
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("item_id"), "url", F.col("page_id").alias("position")
     )
     rows = events(spark, sf_dir).select("ts", "item_id")
-    visits = lookup.first_match(rows, pages, "item_id", "position", how="inner")
-    return topn.hot_keys(visits, "ts", "url")
+    counts = windows.windowed(rows, "ts", HOUR, [windows.count_rows()], TEN_MINUTES, ["item_id"])
+    named = lookup.first_match(counts.select("item_id", windows.END, "cnt"), pages, "item_id", "position", how="left")
+    path = F.concat(F.lit("/item/"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))
+    by_url = named.withColumn("url", F.coalesce("url", path)).groupBy("url", windows.END)
+    return by_url.agg(F.sum("cnt").alias("cnt"))
 
 
 def _report_sql(ranked: str, key: str, key_label: str, count_label: str) -> str:
@@ -269,14 +281,15 @@ DELAY, LATENESS = timedelta(seconds=120), timedelta(seconds=240)
 ARRIVAL = ["arrival", "event_id"]
 
 
-def jittered(
-    spark: SparkSession, sf_dir: str, step: timedelta = timedelta(minutes=2)
-) -> DataFrame:
-    disorder = F.pmod(F.col("event_id") * 37, F.lit(11)) * micros(step)
+def with_arrival(rows: DataFrame) -> DataFrame:
+    """Events with the order in which they reach us."""
+    disorder = F.pmod(F.col("event_id") * 37, F.lit(11)) * micros(timedelta(minutes=2))
     arrival = epoch_micros(F.col("ts")) + disorder
-    return table(spark, sf_dir, "events").select(
-        "event_id", "event_type", "ts", "value", arrival.alias("arrival")
-    )
+    return rows.select("event_id", "event_type", "ts", "value", arrival.alias("arrival"))
+
+
+def jittered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_arrival(table(spark, sf_dir, "events"))
 
 
 LATE_CTE = """arr AS (
@@ -326,6 +339,26 @@ def late_status_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("event_id", "window_start", "window_end", "status")
 
 
+SIXTEEN_HOURS = timedelta(hours=16)
+
+
+@query("""
+WITH arr AS (
+  SELECT event_id, ts + INTERVAL '16 hours' AS ts, epoch_us(ts) + (event_id * 37 % 11) * 120000000 AS arrival
+  FROM events),
+seen AS (
+  SELECT *, coalesce(max(epoch_us(ts) // 1000) OVER (ORDER BY arrival, event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1, -4611686018427387904) AS watermark_ms FROM arr)
+SELECT event_id, ts, window_end,
+  CASE WHEN epoch_ms(window_end) - 1 > watermark_ms THEN 'on_time' ELSE 'late' END AS status
+FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end FROM seen)
+""")
+def shifted_ascending_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times moved by a fixed span, under the watermark for ascending times."""
+    rows = jittered(spark, sf_dir).withColumn("ts", shift(F.col("ts"), SIXTEEN_HOURS))
+    return late.classify_late(rows, "ts", ARRIVAL, HOUR).select("event_id", "ts", "window_end", "status")
+
+
 LATE_COLUMNS = "event_id, event_type, ts, value, arrival"
 
 

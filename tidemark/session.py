@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,17 @@ def with_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep keyed state in RocksDB; the session's own choice comes back."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder of ``spark.checkpoint.dir``, or else below the warehouse.
 

@@ -5,6 +5,7 @@ Address and credentials come from the caller. The driver jar must be on the clas
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tidemark.sinks.upsert import latest_by_key
 TOP_ITEMS_TYPES = "commodityId BIGINT, windowEnd TIMESTAMP, cnt BIGINT, row_num BIGINT"
 TOP_URLS_TYPES = "url VARCHAR(100), windowEnd TIMESTAMP, cnt BIGINT, row_num BIGINT"
 COUNT_TYPES = "id VARCHAR(50), cnt BIGINT"
+SINK_NAMES = {"item_id": "commodityId", "window_end": "windowEnd"}
 
 
 def append_jdbc(
@@ -40,6 +42,22 @@ def merge_sql(table: str, staging: str, keys: Sequence[str], columns: Sequence[s
     )
 
 
+def duplicate_key_sql(table: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
+    """The same for databases without MERGE, whose inserts can update on a duplicate key.
+
+    ``keys`` must be a unique key of the table.
+    """
+    values = [c for c in columns if c not in keys] or list(keys)
+    names = ", ".join(columns)
+    update = ", ".join(f"{c} = VALUES({c})" for c in values)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON DUPLICATE KEY UPDATE {update}"
+
+
+def as_sink_columns(ranked: DataFrame) -> DataFrame:
+    """Ranked rows under the column names of the result tables."""
+    return ranked.withColumnsRenamed(SINK_NAMES)
+
+
 def run_statement(spark: SparkSession, url: str, properties: dict[str, str], sql: str) -> None:
     """Run one statement on a connection of the driver."""
     jvm = spark.sparkContext._jvm
@@ -70,9 +88,9 @@ def upsert_jdbc(
     """A ``foreachBatch`` function: the executors load a staging table, one statement merges it.
 
     ``merge`` writes the statement, for databases with another form of it. A repeated batch
-    merges the same rows again and changes nothing.
+    merges the same rows again and changes nothing. Each call has a staging table of its own.
     """
-    side = staging or f"{table}_staging"
+    side = staging or f"{table}_staging_{uuid.uuid4().hex[:12]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = latest_by_key(batch, keys, order)

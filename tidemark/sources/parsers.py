@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.schemas import struct
 
@@ -15,20 +16,25 @@ def _at(parts: Column, i: int) -> Column:
     return F.element_at(parts, i + 1)
 
 
+def _padded(text: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("blanks around a number: '"), text, F.lit("'")))
+
+
 def parse_delimited(
     df: DataFrame, schema: str, line: str = "value", sep: str = ",", tolerant: bool = False
 ) -> DataFrame:
     """The fields of a line, cast by position to the schema; other columns are kept.
 
-    ``tolerant`` gives null for a missing or malformed field instead of failing.
+    ``sep`` is taken as it stands. Blanks around a number are malformed. ``tolerant`` gives null
+    for a missing or malformed field instead of failing.
     """
-    parts = F.split(F.col(line), sep)
+    parts = F.split(F.col(line), "".join(c if c.isalnum() else f"\\{c}" for c in sep))
     fields = []
     for i, f in enumerate(struct(schema).fields):
-        if tolerant:
-            fields.append(F.get(parts, i).try_cast(f.dataType).alias(f.name))
-        else:
-            fields.append(_at(parts, i).cast(f.dataType).alias(f.name))
+        text = F.get(parts, F.lit(i)) if tolerant else _at(parts, i)
+        if not isinstance(f.dataType, StringType):
+            text = F.when(text.rlike("^\\s|\\s$"), F.lit(None) if tolerant else _padded(text)).otherwise(text)
+        fields.append((text.try_cast(f.dataType) if tolerant else text.cast(f.dataType)).alias(f.name))
     return df.select(*[c for c in df.columns if c != line], *fields)
 
 

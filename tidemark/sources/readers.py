@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.timing import interval_text
 from tidemark.schemas import struct
@@ -16,15 +17,6 @@ def text_lines_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer partitions than there are cores.
-
-    For costly work per row on a few large files. A scan with enough partitions is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def text_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """Lines of the files that arrive in a folder."""
     reader = spark.readStream.format("text")
@@ -33,9 +25,14 @@ def text_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     return reader.load(folder)
 
 
+def _every_field(rows: DataFrame) -> DataFrame:
+    """The same rows, with all columns in use: Spark parses only fields that a query needs."""
+    return rows.where(F.length(F.concat_ws("", *rows.columns)) >= 0)
+
+
 def csv_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Headerless delimited records by position; a bad record fails the job."""
-    return spark.read.schema(struct(schema)).option("mode", "FAILFAST").csv(path)
+    return _every_field(spark.read.schema(struct(schema)).option("mode", "FAILFAST").csv(path))
 
 
 def csv_stream(
@@ -44,7 +41,7 @@ def csv_stream(
     reader = spark.readStream.schema(struct(schema)).option("mode", "FAILFAST")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(folder)
+    return _every_field(reader.csv(folder))
 
 
 def rows_of(spark: SparkSession, rows: Iterable, schema: str) -> DataFrame:
@@ -66,6 +63,20 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def table_stream(
+    spark: SparkSession, path: str, schema: str | None = None, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """A parquet table as a stream of its files, a bounded number of bytes at a time if wanted.
+
+    The path is given as a pattern, because a stream takes a single file only in that form.
+    """
+    known = struct(schema) if schema else spark.read.parquet(path).schema
+    reader = spark.readStream.schema(known)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def event_table(
     stream: DataFrame, ts: str, delay: timedelta, names: dict[str, str] | None = None
 ) -> DataFrame:

@@ -1,19 +1,18 @@
-"""Keyed state and timers on live streams.
+"""Keyed results and alerts on live streams, with state and timers in Spark's state store.
 
-The rows of a key in a micro-batch reach its processor in no order, so they are sorted by
-the order column first. Their number is bounded by the rows a trigger admits; set
-``maxFilesPerTrigger`` or the like on the source to bound it. State is kept in RocksDB on
-the executors and in the checkpoint.
+Rows count in the order they arrive: micro-batch by micro-batch, and inside a micro-batch by the
+order column. The rows of a key in a micro-batch are sorted in one task, so bound a micro-batch
+with ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` on the source. The session needs the RocksDB
+state store (``session.rocksdb``).
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from datetime import timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,64 +22,61 @@ from tidemark.schemas import struct
 from tidemark.sources.readers import event_table
 
 
-def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(order, ignore_index=True)
-
-
 class _Keyed(StatefulProcessor):
-    """Base: remembers one number per key."""
+    """Base: one remembered row per key, of the columns ``memory``."""
 
-    number = "long"
-    order = ["seq"]
+    memory = "n long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", f"last {self.number}")
+        self.last = handle.getValueState("last", self.memory)
 
-    def remembered(self, default):
-        return self.last.get()[0] if self.last.exists() else default
+    def remembered(self, default: tuple) -> tuple:
+        return tuple(self.last.get()) if self.last.exists() else default
 
     def close(self) -> None:
         pass
 
 
-class RunningSum(_Keyed):
-    """The sum so far, once per row."""
+class RunningCount(_Keyed):
+    """The count so far, once per row."""
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, self.order)
-        total = pdf["addend"].cumsum() + self.remembered(0)
-        self.last.update((int(total.iloc[-1]),))
-        yield pd.DataFrame({"k": pdf["k"], "seq": pdf["seq"], "cnt": total})
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        (n,) = self.remembered((0,))
+        for row in sorted(rows, key=lambda r: r.seq):
+            n += 1
+            yield Row(k=key[0], seq=row.seq, cnt=n)
+        self.last.update((n,))
 
 
 class Changelog(_Keyed):
     """The withdrawn and the new count, for each row."""
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, self.order)
-        n = np.arange(1, len(pdf) + 1) + self.remembered(0)
-        self.last.update((int(n[-1]),))
-        added = pd.DataFrame({"k": pdf["k"], "seq": pdf["seq"], "op": "+", "cnt": n})
-        gone = added.assign(op="-", cnt=n - 1)
-        yield pd.concat([gone[gone["cnt"] > 0], added], ignore_index=True)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        (n,) = self.remembered((0,))
+        for row in sorted(rows, key=lambda r: r.seq):
+            if n:
+                yield Row(k=key[0], seq=row.seq, op="-", cnt=n)
+            n += 1
+            yield Row(k=key[0], seq=row.seq, op="+", cnt=n)
+        self.last.update((n,))
 
 
 class Jumps(_Keyed):
     """Rows that differ from the key's row before by more than a threshold."""
 
-    number = "double"
+    memory = "v double"
 
     def __init__(self, threshold: float) -> None:
         self.threshold = threshold
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, self.order)
-        values = pdf["v"].to_numpy()
-        before = np.concatenate([[self.remembered(np.nan)], values[:-1]])
-        self.last.update((float(values[-1]),))
-        out = pdf.assign(previous=before)
-        yield out[np.abs(values - before) > self.threshold][["k", "seq", "ts_ms", "previous", "v"]]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        (before,) = self.remembered((None,))
+        for row in sorted(rows, key=lambda r: r.seq):
+            if before is not None and row.v is not None and abs(row.v - before) > self.threshold:
+                yield Row(k=key[0], seq=row.seq, ts_ms=row.ts_ms, previous=before, v=row.v)
+            before = row.v
+        self.last.update((before,))
 
 
 class CountWindow(_Keyed):
@@ -93,95 +89,75 @@ class CountWindow(_Keyed):
         super().init(handle)
         self.tail = handle.getListState("tail", "v double")
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, self.order)
-        kept = [v for (v,) in self.tail.get()] if self.tail.exists() else []
-        lead = np.zeros(self.size - 1)
-        if kept:
-            lead[-len(kept):] = kept
-        values = np.concatenate([lead, pdf["v"].to_numpy()])
-        sums = np.lib.stride_tricks.sliding_window_view(values, self.size).sum(axis=1)
-        n = np.arange(1, len(pdf) + 1) + self.remembered(0)
-        self.last.update((int(n[-1]),))
-        if self.size > 1:
-            length = min(self.size - 1, len(kept) + len(pdf))
-            self.tail.put([(float(v),) for v in values[-length:]])
-        fired = n % self.slide == 0
-        yield pd.DataFrame({"k": pdf["k"][fired], "fired_at": n[fired], "total": sums[fired]})
-
-
-class SustainedRise(StatefulProcessor):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        (n,) = self.remembered((0,))
+        held = deque((v for (v,) in self.tail.get()) if self.tail.exists() else (), maxlen=self.size)
+        for row in sorted(rows, key=lambda r: r.seq):
+            n += 1
+            held.append(row.v)
+            if n % self.slide == 0:
+                yield Row(k=key[0], fired_at=n, total=sum(held))
+        self.last.update((n,))
+        self.tail.put([(v,) for v in held])
+
+
+class SustainedRise(_Keyed):
     """Alert a span after a row if its run of rises still lasts and is long enough.
 
     Spark fires timers after the rows of a micro-batch, so the deadlines that are due between
     two rows of the batch are settled here first; a timer serves those that are left.
     """
 
+    memory = "v double, start_ms long, rises long"
+
     def __init__(self, wait_ms: int, min_rises: int) -> None:
         self.wait_ms, self.min_rises = wait_ms, min_rises
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.run = handle.getValueState("run", "v double, start_ms long, rises long")
+        super().init(handle)
         self.pending = handle.getListState("pending", "due_ms long, seq long")
 
-    def close(self) -> None:
-        pass
-
-    def _load(self):
-        run = tuple(self.run.get()) if self.run.exists() else None
-        pending = [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
-        return run, pending
-
-    def _settle(self, run, pending, before, out):
-        """Fire the deadlines earlier than a time and return the others."""
-        if pending and run[2] >= self.min_rises:
-            out.extend((seq, due, run[1], run[2]) for due, seq in pending if due < before)
-        return [p for p in pending if p[0] >= before]
-
-    def _save(self, run, pending):
-        self.run.update(run)
-        if pending:
-            self.pending.put(pending)
-            self.handle.registerTimer(pending[0][0])
+    def _waiting(self) -> deque:
+        return deque((tuple(p) for p in self.pending.get()) if self.pending.exists() else ())
+
+    def _due(self, key, run: tuple, waiting: deque, before: int) -> Iterator[Row]:
+        """Take the deadlines earlier than a time; alert if the run is long enough."""
+        while waiting and waiting[0][0] < before:
+            due, seq = waiting.popleft()
+            if run[2] >= self.min_rises:
+                yield Row(k=key[0], seq=seq, timer_ms=due, run_start_ms=run[1], rises=run[2])
+
+    def _save(self, run: tuple, waiting: deque) -> None:
+        self.last.update(run)
+        if waiting:
+            self.pending.put(list(waiting))
+            self.handle.registerTimer(waiting[0][0])
         else:
             self.pending.clear()
 
-    def _frame(self, key, out):
-        rows = [(key[0], *alert) for alert in out]
-        return pd.DataFrame(rows, columns=["k", "seq", "timer_ms", "run_start_ms", "rises"])
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, ["ts_ms", "seq"])
-        run, pending = self._load()
-        out = []
-        columns = (pdf[c].tolist() for c in ("ts_ms", "seq", "v"))
-        for ts_ms, seq, value in zip(*columns):
-            if run is None:
-                run = (value, ts_ms, 0)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        run, waiting = self.remembered(()), self._waiting()
+        for row in sorted(rows, key=lambda r: (r.ts_ms, r.seq)):
+            if not run:
+                run = (row.v, row.ts_ms, 0)
             else:
-                pending = self._settle(run, pending, ts_ms, out)
-                if value > run[0]:
-                    run = (value, run[1], run[2] + 1)
-                elif value < run[0]:
-                    run, pending = (value, ts_ms, 0), []
-            pending.append((ts_ms + self.wait_ms, seq))
-        self._save(run, pending)
-        if out:
-            yield self._frame(key, out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        run, pending = self._load()
-        out = []
-        passed = timerValues.getCurrentWatermarkInMs() + 1
-        pending = self._settle(run, pending, passed, out)
-        self._save(run, pending)
-        if out:
-            yield self._frame(key, out)
+                yield from self._due(key, run, waiting, row.ts_ms)
+                if row.v > run[0]:
+                    run = (row.v, run[1], run[2] + 1)
+                elif row.v < run[0]:
+                    run = (row.v, row.ts_ms, 0)
+                    waiting.clear()
+            waiting.append((row.ts_ms + self.wait_ms, row.seq))
+        self._save(run, waiting)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        run, waiting = self.remembered(()), self._waiting()
+        yield from self._due(key, run, waiting, timerValues.getCurrentWatermarkInMs() + 1)
+        self._save(run, waiting)
 
 
 def _apply(stream: DataFrame, processor: StatefulProcessor, out: str, time_mode: str = "None") -> DataFrame:
-    return stream.groupBy("k").transformWithStateInPandas(
+    return stream.groupBy("k").transformWithState(
         statefulProcessor=processor,
         outputStructType=struct(out),
         outputMode="Append",
@@ -194,8 +170,8 @@ def _kind(df: DataFrame, column: str) -> str:
 
 
 def live_running_count(stream: DataFrame, key: str, order: str) -> DataFrame:
-    rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"), F.lit(1).alias("addend"))
-    out = _apply(rows, RunningSum(), f"k {_kind(rows, 'k')}, seq long, cnt long")
+    rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"))
+    out = _apply(rows, RunningCount(), f"k {_kind(rows, 'k')}, seq long, cnt long")
     return out.select(F.col("seq").alias(order), F.col("k").alias(key), "cnt")
 
 
@@ -240,6 +216,7 @@ def live_sustained_rise(
     min_rises: int = 5,
     delay: timedelta = timedelta(0),
 ) -> DataFrame:
+    """Alerts that are due by the watermark; rows behind the watermark are dropped by Spark."""
     rows = event_table(stream, ts, delay).select(
         F.col(key).alias("k"), F.col(ts), F.col(order).alias("seq"),
         epoch_millis(F.col(ts)).alias("ts_ms"), F.col(value).cast("double").alias("v"),

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.timing import interval_text
 from tidemark.operators import windows
-from tidemark.operators.topn import top_n
 from tidemark.operators.windows import END, START, Mergeable
 from tidemark.sources.readers import event_table
 
@@ -45,21 +44,22 @@ def live_extreme_row(
     return windows.extreme_row(marked, ts, size, keys, value, order, pick, columns)
 
 
-def live_distinct_count(
+def live_first_visits(
     stream: DataFrame,
     ts: str,
     value: str,
     size: timedelta,
     slide: timedelta | None = None,
     delay: timedelta = NO_DELAY,
-    name: str = "uv",
 ) -> DataFrame:
-    """Distinct values per window as two aggregates in a row: per value, then per window."""
+    """Each value once per window, as soon as it is seen.
+
+    Their number per window is the distinct count. State holds a value until its window is past.
+    """
     marked = event_table(stream, ts, delay)
-    w = F.window(F.col(ts), interval_text(size), interval_text(slide or size)).alias("w")
-    once = marked.groupBy(w, value).agg(F.count(F.lit(1)).alias("rows"))
-    out = once.groupBy("w").agg(F.count(value).alias(name))
-    return out.select(F.col("w.start").alias(START), F.col("w.end").alias(END), name)
+    w = F.window(F.col(ts), interval_text(size), interval_text(slide or size))
+    once = marked.select(w.alias("w"), value).dropDuplicates(["w", value])
+    return once.select(F.col("w.start").alias(START), F.col("w.end").alias(END), value)
 
 
 def processing_time(stream: DataFrame, name: str = "processed_at") -> DataFrame:
@@ -76,16 +76,7 @@ def each_batch(out: DataFrame, write: Callable[[DataFrame, int], None], mode: st
     return out.writeStream.outputMode(mode).foreachBatch(write)
 
 
-def ranked_folder(
-    path: str, group: str, value: str, key: str, n: int = 5
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that ranks the windows a batch has closed.
-
-    All counts of a window close in one batch, so each window is ranked once. A batch that is
-    delivered again replaces its own folder.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        top_n(batch, group, value, key, n).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
+def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Run a query over everything that has arrived and stop."""
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
