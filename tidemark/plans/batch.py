@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import text_lines
 from tidemark.operators import aggregates, keyed, lookup
 from tidemark.operators.counts import sliding_count, tumbling_count
+from tidemark.operators.setup import map_with_setup
 from tidemark.plans.catalog import EV, events, own_name, query, table
 from tidemark.schemas import BEHAVIOR
 from tidemark.session import scratch_path
@@ -119,6 +122,30 @@ def broadcast_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", "n_name", "c_acctbal")
 
 
+WEIGHTS = [("view", 1), ("click", 3), ("purchase", 20)]
+
+
+@query(f"""
+SELECT event_type, weight, count(*) AS cnt FROM events
+LEFT JOIN (VALUES {", ".join(map(str, WEIGHTS))}) w(kind, weight) ON kind = event_type GROUP BY event_type, weight
+""")
+def literal_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts with a weight from literal rows; kinds without one have none."""
+    weights = readers.rows_of(spark, [(k, w, i) for i, (k, w) in enumerate(WEIGHTS)], "event_type string, weight int, position int")
+    counts = aggregates.group_count(table(spark, sf_dir, "events"), "event_type")
+    return lookup.first_match(counts, weights, "event_type", "position", how="left")
+
+
+@query(f"WITH {EV} SELECT event_id, item_id FROM ev")
+def item_with_setup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items found by a pattern that each task compiles once."""
+    def find(pattern: re.Pattern, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows[["event_id"]].assign(item_id=rows["props"].str.extract(pattern, expand=False).astype("Int64"))
+
+    rows = table(spark, sf_dir, "events").select("event_id", "props")
+    return map_with_setup(rows, lambda: re.compile("([0-9]+)"), find, "event_id long, item_id long")
+
+
 @query("SELECT count(*) AS cnt FROM part")
 def accumulated_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, seen = aggregates.counted(table(spark, sf_dir, "part"))
