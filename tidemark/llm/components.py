@@ -14,13 +14,13 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = durable(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = durable(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that is not the least of its component, for edges (a, b).
 
     Each round is two joins on node ids, cut off by a checkpoint; minima are combined before the
-    shuffle. The number of rounds grows with the logarithm of the longest path.
+    shuffle and written, so that Spark can split a node with many edges in the join. The number of rounds grows with the logarithm of the longest path.
     """
     at = durable(edges.where("a <> b").distinct())
     before = _state(at)

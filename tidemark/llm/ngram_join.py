@@ -219,8 +219,8 @@ def pools(described: DataFrame) -> DataFrame:
     classes = classes.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("weight").alias("weight"))
     keyed = described.select(F.col("doc_id").alias("rep"), "keys").join(classes, "rep").select(
         "rep", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(
-        "pivot <> other").select("key", "pivot")
+    shared = durable(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(
+        "pivot <> other").select("key", "pivot"))
     edges = keyed.join(shared, "key").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     found = components(edges)
     member = found.select(F.col("node").alias("rep"), F.col("root").alias("pool"))
