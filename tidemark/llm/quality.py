@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import durable
 from tidemark.llm.text_hash import U, Words, mix, word_slices
 
 DIM = 1 << 18
@@ -165,8 +166,14 @@ def training_ids(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
     """(__id, good): at most ``per_class`` labelled ids of each class, outside the held-out fold."""
     known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
     here = docs.select("doc_id").distinct().join(known.where(~held_out(F.col("doc_id"))), "doc_id")
-    order = Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = here.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_class)
+    here = durable(here.withColumn("__h", F.xxhash64("doc_id")))
+    # A first cut at a hash value leaves about twice as many as are wanted, so that a large class
+    # is not ranked in one task.
+    sizes = {r.good: r["count"] for r in here.groupBy("good").count().collect()}
+    low = [F.when(F.col("good") == g, -(2**63) + min(2**64 - 1, 2**64 * 2 * per_class // n)) for g, n in sizes.items()]
+    few = here.where(F.col("__h") <= F.coalesce(*low)) if low else here
+    order = Window.partitionBy("good").orderBy("__h", "doc_id")
+    ranked = few.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_class)
     return ranked.select(F.col("doc_id").alias("__id"), "good")
 
 
