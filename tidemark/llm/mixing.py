@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 REST = "*"
 BLOCK_DOCS = 32
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 RESULTS = ("mix_source", "mix_slot", "mix_offset")
 # Target weights of the registered query, in hundredths.
 WEIGHTS = {"src0": 20, "src1": 10, "src2": 10, "src3": 5, "src4": 5, "src5": 3, "src6": 2, REST: 45}
