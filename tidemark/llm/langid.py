@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 TEXTS = 96
 PIECE = 2000
-SALTS = 16
+SPARE = 4
 LEVEL = 3
 NARROW = 0.01
 FOLDS, HELD = 4, 2
@@ -44,15 +44,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, texts: int = TEXTS, piece: int = PIECE) -> DataFrame:
-    """(lang, part): the sampled pieces. A first limit per salt keeps a large language spread."""
+    """(lang, h, part): the sampled pieces, those of the lowest text hashes.
+
+    A first cut at a hash value, from the number of different texts of each language, leaves about
+    ``SPARE`` times as many as are wanted, so that a large language is not ranked in one task.
+    """
     known = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
-    ).select("lang", F.substring(letters(F.col("text")), 1, piece).alias("part"))
-    known = known.withColumn("h", F.xxhash64("part")).withColumn("salt", F.pmod("h", F.lit(SALTS)))
-    first = Window.partitionBy("lang", "salt").orderBy("h", "part")
-    some = known.withColumn("r", F.dense_rank().over(first)).where(F.col("r") <= texts).dropDuplicates(["lang", "h"])
-    then = Window.partitionBy("lang").orderBy("h")
-    return some.withColumn("r", F.row_number().over(then)).where(F.col("r") <= texts).select("lang", "h", "part")
+    ).select("lang", F.xxhash64("text").alias("h"), "text")
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    cuts = [F.when(F.col("lang") == r.lang, -(2**63) + min(2**64 - 1, 2**64 * SPARE * texts // r.n)) for r in sizes]
+    few = known.where(F.col("h") <= F.coalesce(*cuts)) if cuts else known.limit(0)
+    parts = few.select("lang", "h", F.substring(letters(F.col("text")), 1, piece).alias("part"))
+    order = Window.partitionBy("lang").orderBy("h")
+    ranked = parts.dropDuplicates(["lang", "h"]).withColumn("r", F.row_number().over(order))
+    return ranked.where(F.col("r") <= texts).select("lang", "h", "part")
 
 
 def dictionaries(docs: DataFrame, texts: int = TEXTS, piece: int = PIECE) -> dict[str, bytes]:
