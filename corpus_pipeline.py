@@ -9,7 +9,8 @@ from tidemark.llm.exact_dedup import keep_first
 from tidemark.llm.mixing import WEIGHTS, mix_sources
 from tidemark.llm.ngram_join import one_of_each
 from tidemark.llm.quality import keep_good
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import scratch_path
+from tidemark.sinks.folders import remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +48,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to ``documents``; each result is written, and removed after the next one."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
 
 

@@ -87,6 +87,7 @@ def test_index_takes_insertions_and_deletions(spark):
     index = dedup.build_index(rows, 4)
     more = dedup.digests(make_docs(spark, ["c", "d"], first=10))
     gone = dedup.digests(make_docs(spark, [(0, "a"), (1, "b"), (99, "never there")]))
-    after = dedup.update_index(index, 16, more, gone)
-    got = {r.digest: r.live for r in after.collect()}
-    assert got == {digest("b"): 1, digest("c"): 2, digest("d"): 1}
+    left = dedup.digests(make_docs(spark, [(2, "b"), (3, "c"), (10, "c"), (11, "d")]))
+    after = dedup.update_index(index, 16, more, gone, left)
+    got = {r.digest: (r.keep_id, r.live) for r in after.collect()}
+    assert got == {digest("b"): (2, 1), digest("c"): (3, 2), digest("d"): (11, 1)}

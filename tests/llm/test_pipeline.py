@@ -94,6 +94,11 @@ def test_all_are_mixed(stages):
     assert len({(r.mix_slot, r.mix_offset) for r in after.values()}) == len(after)
 
 
+def test_run_gives_the_last_stage(spark, stages):
+    got = {r.doc_id: r.mix_slot for r in pipeline.run(spark, DATA).collect()}
+    assert got == {i: r.mix_slot for i, r in stages[0][-1].items()}
+
+
 def test_odd_tables(spark, tmp_path):
     """Nulls, repeated rows and an empty table pass all stages."""
     for table in ("labels", "benchmark"):

@@ -182,17 +182,27 @@ def build_index(rows: DataFrame, count: int) -> DataFrame:
     return _filled(partial.withColumn("shard", _shard_of(shards)), shards)
 
 
-def update_index(index: DataFrame, shards: int, inserted: DataFrame, deleted: DataFrame) -> DataFrame:
+def update_index(
+    index: DataFrame, shards: int, inserted: DataFrame, deleted: DataFrame, live: DataFrame | None = None
+) -> DataFrame:
     """The index after insertions and deletions of digest rows.
 
-    Stored keys enter first, so a shard's filter is filled from them. Where the row that stayed
-    is deleted, the caller names the next one by inserting it; ``live`` stays right throughout.
+    Stored keys enter first, so a shard's filter is filled from them. ``live`` are the digest rows
+    of all documents that are left; it names the next row to stay where the one that stayed goes.
     """
     spec = "digest string, keep_id long, live long"
     plus = inserted.mapInPandas(_combine, spec)
     minus = deleted.mapInPandas(_combine, spec).withColumn("live", -F.col("live"))
     moved = plus.unionByName(minus).withColumn("shard", _shard_of(shards))
-    return _filled(index.unionByName(moved), shards)
+    after = _filled(index.unionByName(moved), shards)
+    if live is None:
+        return after
+    after = durable(after)
+    gone = deleted.select("digest", F.coalesce("doc_id", F.lit(_NO_ID)).alias("keep_id"))
+    lost = after.join(gone, ["digest", "keep_id"], "left_semi").select("digest")
+    next_id = live.join(lost, "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("next_id"))
+    return after.join(next_id, "digest", "left").select(
+        "shard", "digest", F.coalesce("next_id", "keep_id").alias("keep_id"), "live")
 
 
 def _filled(rows: DataFrame, shards: int) -> DataFrame:
