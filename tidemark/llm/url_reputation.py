@@ -6,8 +6,8 @@ from the spread of the rates by the method of moments, is updated with the count
 few labels so falls back to its domain, and that to its suffix. A url is allowed when the lower
 posterior bound of its host's share of good pages reaches ``min_good``.
 
-Only DataFrame functions are used. Per-host counts are combined before the shuffle; the joins
-back to the pages are on hosts, where Spark splits a hot host.
+Only DataFrame functions are used. Per-host counts are combined before the shuffle and written
+once for all levels; the join back to the pages is on hosts, where Spark splits a hot host.
 
 Defined cases: a null url or one without ``://`` has empty host and path, takes part in the
 global prior only through its (empty) host, and gets a verdict like any other host. A null
@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.scratch import durable
+
 LEVELS = ("suffix", "domain", "host")
 Z = 1.645
 MIN_GOOD = 0.5
@@ -86,7 +88,7 @@ def host_reputation(parts: DataFrame, outcomes: DataFrame) -> DataFrame:
     ``outcomes`` has (page_id, good); the one-row priors are read by the driver.
     """
     known = outcomes.where("good IS NOT NULL").select("page_id", F.col("good").cast("long").alias("good"))
-    hosts = (
+    hosts = durable(
         parts.join(known, "page_id", "left")
         .groupBy(*LEVELS)
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
