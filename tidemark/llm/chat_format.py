@@ -91,12 +91,11 @@ def read_back(rendered: DataFrame) -> DataFrame:
 def events_of(rows: DataFrame) -> DataFrame:
     """A log for finished rows (conv_id, turn, role, text): each is opened and streamed in halves.
 
-    Rows of one turn are ordered by role, then a hash of the text; equal rows stay apart.
+    Rows of one turn are ordered by role, then a hash of the text. The number of a row only keeps
+    equal rows apart, so it may differ from run to run.
     """
     text = F.coalesce("text", F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
-    rank = F.row_number().over(Window.partitionBy("conv_id", "turn", "role", F.xxhash64("text")).orderBy("turn"))
-
     def event(seq: int, kind: str, role: Column, part: Column) -> Column:
         return F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("event"), role.alias("role"), part.alias("text"))
 
@@ -106,7 +105,8 @@ def events_of(rows: DataFrame) -> DataFrame:
         event(1, "delta", nothing, F.substr(text, F.lit(1), half)),
         event(2, "delta", nothing, F.substr(text, half + 1, F.length(text))))
     keyed = rows.select(
-        "conv_id", F.struct("turn", "role", F.xxhash64("text").alias("text"), rank.alias("copy")).alias("message"),
+        "conv_id",
+        F.struct("turn", "role", F.xxhash64("text").alias("text"), F.monotonically_increasing_id().alias("row")).alias("message"),
         events.alias("events"))
     return keyed.select("conv_id", "message", F.inline("events"))
 
