@@ -38,7 +38,7 @@ def _zoneless(df: DataFrame) -> DataFrame:
 
 
 def _appended(out: DataFrame, label: str) -> DataFrame:
-    """What an append-mode query writes."""
+    """What an append-mode query writes; processors need the RocksDB store."""
     path = scratch_path(out.sparkSession, label)
     with rocksdb(out.sparkSession):
         live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
@@ -49,9 +49,8 @@ def _upserted(out: DataFrame, label: str, key: list[str], order: list[str], mode
     """The rows that an upsert by key leaves."""
     spark = out.sparkSession
     path = scratch_path(spark, label)
-    with rocksdb(spark):
-        writer = live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode)
-        live.run_available(writer, f"{path}/checkpoint")
+    writer = live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode)
+    live.run_available(writer, f"{path}/checkpoint")
     return _zoneless(read_upserted(spark, f"{path}/out", key, order))
 
 
