@@ -18,7 +18,7 @@ def test_words_by_white_space():
 
 
 def test_slices_hold_whole_texts():
-    texts = [prose(i, 3000) for i in range(120)] + ["", prose(1, 400_000)]
+    texts = [prose(i, 3000) for i in range(120)] + ["", prose(1, 700_000)]
     assert words(*texts) == [t.split() for t in texts]
 
 
