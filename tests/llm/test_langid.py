@@ -59,6 +59,22 @@ def test_sample_is_bounded_and_whole_texts_are_judged(spark):
     assert judge.judge(text.encode())[0] == "bb"  # the beginning does not decide
 
 
+def test_all_of_a_long_text_counts(spark):
+    judge = langid.Compressors(langid.dictionaries(case(spark)))
+    for first, rest in (("aa", "bb"), ("bb", "cc")):
+        text = say(first, 1, 40_000)[:100_000] + " " + say(rest, 2, 400_000)[:1_000_000]
+        assert judge.judge(text.encode())[0] == rest
+    short, long = (judge.judge(say("cc", 3, n).encode()) for n in (6_000, 400_000))
+    assert short[0] == long[0] == "cc"
+    assert abs(short[1] - long[1]) < 0.05  # the margin does not fade with the length
+
+
+def test_slices_are_the_whole_text():
+    for text in (b"", b"word", b"ab cde " * 5000, b"x" * 10_000, ("añ" * 5000 + " b ").encode() * 3):
+        parts = [bytes(p) for p in langid.slices(text)]
+        assert b"".join(parts) == text and max(map(len, parts)) <= langid.SLICE
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = langid.predict_languages(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
