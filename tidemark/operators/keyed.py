@@ -11,6 +11,9 @@ from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
 from tidemark.operators.scan import BLOCK, Running, cut, running, split
 
+#: Rows of a rise: the last one before a micro-batch, one whose alert is not yet due, a new one.
+LAST, PENDING, NEW = 0, 1, 2
+
 
 def with_running(
     df: DataFrame,
@@ -81,7 +84,14 @@ def _rise_marks(rows: DataFrame, key: str, span: timedelta) -> DataFrame:
 
     ``run`` is the run of the row; ``run_then`` and ``rises`` are the run of its key at time
     ``t`` and the rises in it. A drop starts a new run, an equal value changes nothing.
+
+    Rows of a live stream have a ``kind``: the ``LAST`` row of a key brings the start of its run and
+    the rises in it, a ``PENDING`` row of that run only asks at its time.
     """
+    live = "kind" in rows.columns
+    pending = rows.where(F.col("kind") == PENDING) if live else None
+    rows = rows.where(F.col("kind") != PENDING) if live else rows
+    extra = ["v", "start_ms", "rises_in", "kind"] if live else []
     at, by_time = F.col("ts_ms"), ["ts_ms", "seq"]
     blocked = [BLOCK] if BLOCK in rows.columns else []
     seen = running(
@@ -90,8 +100,11 @@ def _rise_marks(rows: DataFrame, key: str, span: timedelta) -> DataFrame:
     drop, rise = F.col("v") < F.col("prev"), F.col("v") > F.col("prev")
     begins = F.col("before").isNull() | F.coalesce(drop, F.lit(False))
     flagged = seen.select(
-        key, *blocked, "ts_ms", "seq", drop.alias("drop"), rise.alias("rise"), begins.alias("begins")
+        key, *blocked, "ts_ms", "seq", *extra, drop.alias("drop"), rise.alias("rise"), begins.alias("begins")
     )
+    ups = F.when(F.col("rise"), 1).otherwise(0)
+    rises_in = F.coalesce("rises_in", F.lit(0)) if live else F.lit(0)
+    start = F.coalesce("start_ms", at) if live else at
     # Runs begin in time order, so the latest start is the maximum.
     counted = running(
         flagged,
@@ -99,17 +112,23 @@ def _rise_marks(rows: DataFrame, key: str, span: timedelta) -> DataFrame:
         by_time,
         {
             "run": Running("sum", F.when(F.col("drop"), 1).otherwise(0)),
-            "ups": Running("sum", F.when(F.col("rise"), 1).otherwise(0)),
-            "run_start_ms": Running("max", F.when(F.col("begins"), at)),
+            "ups": Running("sum", ups + rises_in if live else ups),
+            "run_start_ms": Running("max", F.when(F.col("begins"), start)),
         },
     )
     # "run", "ups" and its value at the start of a run never fall, so the last is the maximum.
     own = F.struct(at.alias("t"), F.lit(0).alias("asks"))
     due = F.struct((at + millis(span)).alias("t"), F.lit(1).alias("asks"))
+    asked = F.when(F.col("kind") == NEW, F.array(own, due)).otherwise(F.array(own)) if live else F.array(own, due)
+    base = F.col("ups") - rises_in if live else F.col("ups")
     marks = counted.select(
-        key, "seq", "run", "run_start_ms", "ups",
-        F.when(F.col("begins"), F.col("ups")).alias("base"), F.inline(F.array(own, due)),
+        key, "seq", *extra[:1], "run", "run_start_ms", "ups",
+        F.when(F.col("begins"), base).alias("base"), F.inline(asked),
     )
+    if live:
+        asks = pending.select(
+            key, "seq", F.lit(0).alias("run"), F.col("start_ms").alias("run_start_ms"), at.alias("t"), F.lit(1).alias("asks"))
+        marks = marks.unionByName(asks, allowMissingColumns=True)
     if blocked:
         blocks = rows.agg(F.count_distinct(BLOCK)).first()[0]
         marks = cut(marks, [key, "t", "asks", "seq"], 2 * blocks)
@@ -125,10 +144,26 @@ def _rise_marks(rows: DataFrame, key: str, span: timedelta) -> DataFrame:
         },
     )
     rises = (F.col("ups_then") - F.col("base_then")).cast("long").alias("rises")
-    return marks.select(key, "t", "asks", "seq", "run", "run_start_ms", "run_then", rises)
+    return marks.select(key, "t", "asks", "seq", *extra[:1], "run", "run_start_ms", "run_then", rises)
+
+
+def rise_marks(rows: DataFrame, key: str, span: timedelta, rows_per_block: int | None = None) -> DataFrame:
+    """The marks of the rows of all keys, hot ones in blocks."""
+    return split(rows, [key], ["ts_ms", "seq"], lambda part: _rise_marks(part, key, span), rows_per_block)
+
+
+def open_rises(marks: DataFrame, key: str, until_ms: int | None) -> DataFrame:
+    """What a live stream carries on: the last row of each key, and the rows that are due later."""
+    columns = [F.col("seq"), F.col("v"), F.col("run_start_ms").alias("start_ms")]
+    ts, rises_in = F.col("t").alias("ts_ms"), F.col("rises").alias("rises_in")
+    own = F.struct(ts, *columns, rises_in, F.lit(LAST).alias("kind"))
+    last = marks.where(F.col("asks") == 0).groupBy(key).agg(F.max_by(own, F.struct("t", "seq")).alias("row"))
+    waits = (F.col("asks") == 1) & (F.col("t") > F.lit(until_ms)) & (F.col("run_then") == F.col("run"))
+    waiting = marks.where(waits).select(key, ts, *columns, rises_in, F.lit(PENDING).alias("kind"))
+    return last.select(key, "row.*").unionByName(waiting)
 
 
-def _rises_due(
+def rises_due(
     marks: DataFrame, key: str, min_rises: int, until_ms: int | None = None
 ) -> DataFrame:
     """Alerts of the rows whose run still lasts at their due time, up to a time."""
@@ -167,6 +202,6 @@ def sustained_rise_alert(
     until = rows.agg(F.max("ts_ms")).first()[0] if at_end == "hold" else None
 
     def work(part: DataFrame) -> DataFrame:
-        return _rises_due(_rise_marks(part, key, span), key, min_rises, until)
+        return rises_due(_rise_marks(part, key, span), key, min_rises, until)
 
     return split(rows, [key], ["ts_ms", "seq"], work, rows_per_block)

@@ -19,7 +19,7 @@ from tidemark.schemas import BEHAVIOR
 from tidemark.session import rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources import parsers, readers
-from tidemark.streaming import lateness, stateful
+from tidemark.streaming import carried, lateness
 from tidemark.streaming import windows as live
 
 BATCH_BYTES = 1 << 30
@@ -38,7 +38,7 @@ def _zoneless(df: DataFrame) -> DataFrame:
 
 
 def _appended(out: DataFrame, label: str) -> DataFrame:
-    """What an append-mode query writes; processors need the RocksDB store."""
+    """What an append-mode query writes; state is kept in the RocksDB store."""
     path = scratch_path(out.sparkSession, label)
     with rocksdb(out.sparkSession):
         live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
@@ -54,6 +54,13 @@ def _upserted(out: DataFrame, label: str, key: list[str], order: list[str], mode
     return _zoneless(read_upserted(spark, f"{path}/out", key, order))
 
 
+def _carried(rows: DataFrame, label: str, step: carried.Step) -> DataFrame:
+    """Keyed results of each micro-batch, with what its keys carry on."""
+    path = scratch_path(rows.sparkSession, label)
+    live.run_available(live.each_batch(rows, carried.each_carried(path, step)), f"{path}/checkpoint")
+    return carried.read_results(rows.sparkSession, path)
+
+
 WINDOW = ["window_start", "window_end"]
 
 
@@ -131,33 +138,33 @@ def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(b.RUNNING_SQL)
 def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stream(spark, sf_dir, "events")
-    return _appended(stateful.live_running_count(rows, "event_type", "event_id"), "running")
+    return _carried(rows, "running", carried.running_count("event_type", "event_id"))
 
 
 @query(b.CHANGELOG_SQL)
 def stream_retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stream(spark, sf_dir, "events")
-    return _appended(stateful.live_changelog(rows, "event_type", "event_id"), "changelog")
+    return _carried(rows, "changelog", carried.changelog("event_type", "event_id"))
 
 
 @query(b.COUNT_5_2_SQL)
 def stream_count_window_5_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stream(spark, sf_dir, "events")
-    fired = _appended(stateful.live_count_window(rows, "user_id", "value", "event_id", 5, 2), "count-window")
+    fired = _carried(rows, "count-window", carried.count_window("user_id", "value", "event_id", 5, 2))
     return fired.select("user_id", "fired_at", F.round("total", 2).alias("sum_value"))
 
 
 @query(b.JUMP_SQL)
 def stream_jump_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stream(spark, sf_dir, "events")
-    return _appended(stateful.live_jump_alert(rows, "user_id", "value", "ts", "event_id", b.JUMP), "jumps")
+    return _carried(rows, "jumps", carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP))
 
 
 @query(b.RISE_SQL + " AND ts_ms + 18000000 <= (SELECT max(epoch_us(ts) // 1000) FROM events)")
 def stream_sustained_rise_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts whose timers the stream's own watermark has reached."""
+    """Alerts that are due by the largest time the stream has seen."""
     rows = _stream(spark, sf_dir, "events")
-    return _appended(stateful.live_sustained_rise(rows, "user_id", "value", "ts", "event_id", b.RISE_SPAN), "rises")
+    return _carried(rows, "rises", carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN))
 
 
 def _split(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:

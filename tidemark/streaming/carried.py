@@ -1,0 +1,150 @@
+"""Keyed results and alerts on live streams, with hot keys of a micro-batch split.
+
+A ``foreachBatch`` function numbers the rows of a micro-batch by the scan of ``operators.scan``, so
+that no key fills one task, and keeps only what a key carries into the next one: its count, its last
+values or its run. What was carried in joins the batch as rows that stand before all new ones.
+
+Rows count in the order they arrive: micro-batch by micro-batch, and inside one by the order
+column. Results are in the folder ``out``; a batch that comes again gives the same ones.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.messages import jump_message
+from tidemark.functions.timing import epoch_millis
+from tidemark.operators import keyed
+from tidemark.operators.counts import fire
+from tidemark.operators.scan import Running
+from tidemark.session import written
+from tidemark.sinks.folders import is_complete, remove
+
+#: From the rows of a batch and those carried in: the results, and the rows to carry on.
+Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
+FRESH = "__fresh"
+
+
+def each_carried(path: str, step: Step) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function; what was carried before the last batch is removed."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, target = batch.sparkSession, f"batch_id={batch_id}"
+        if is_complete(spark, f"{path}/carry/{target}"):
+            return
+        carry = spark.read.parquet(f"{path}/carry/batch_id={batch_id - 1}") if batch_id > 0 else None
+        out, kept = step(batch, carry)
+        out.write.mode("overwrite").parquet(f"{path}/out/{target}")
+        kept.write.mode("overwrite").parquet(f"{path}/carry/{target}")
+        if batch_id > 1:
+            remove(spark, f"{path}/carry/batch_id={batch_id - 2}")
+
+    return write
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """All results so far."""
+    return spark.read.parquet(f"{path}/out").drop("batch_id")
+
+
+def _joined(rows: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """The rows of a batch after those carried in, which lack some columns."""
+    fresh = rows.withColumn(FRESH, F.lit(True))
+    if carry is None:
+        return fresh
+    return fresh.unionByName(carry.withColumn(FRESH, F.lit(False)), allowMissingColumns=True)
+
+
+def running_count(key: str, order: str, rows_per_block: int | None = None) -> Step:
+    """The count so far, once per row."""
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        rows = _joined(batch.select(order, key, F.lit(1).cast("long").alias("n")), carry)
+        counted = keyed.running_sum(rows, key, [FRESH, order], F.col("n"), rows_per_block=rows_per_block)
+        return counted.where(FRESH).select(order, key, "cnt"), rows.groupBy(key).agg(F.sum("n").alias("n"))
+
+    return step
+
+
+def changelog(key: str, order: str, rows_per_block: int | None = None) -> Step:
+    """The withdrawn and the new count, for each row."""
+    count = running_count(key, order, rows_per_block)
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        counted, kept = count(batch, carry)
+        return keyed.count_changes(counted, key, [order]), kept
+
+    return step
+
+
+def jump_alert(
+    key: str, value: str, ts: str, order: str, threshold: float, rows_per_block: int | None = None
+) -> Step:
+    """Rows that differ from the key's row before by more than a threshold."""
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        rows = _joined(batch.select(order, key, ts, F.col(value).cast("double").alias("v")), carry)
+        before = {"previous": Running("prev", F.col("v"))}
+        seen = keyed.with_running(rows, [key], [FRESH, order], before, rows_per_block)
+        jumps = seen.where(F.col(FRESH) & (F.abs(F.col("v") - F.col("previous")) > threshold))
+        message = jump_message(F.col(ts), F.col(key), threshold).alias("message")
+        out = jumps.select(order, message, "previous", F.col("v").alias("current"))
+        return out, rows.groupBy(key).agg(F.max_by("v", F.struct(FRESH, order)).alias("v"))
+
+    return step
+
+
+def count_window(
+    key: str, value: str, order: str, size: int, slide: int, rows_per_block: int | None = None
+) -> Step:
+    """Sum of the last ``size`` rows, at every ``slide``-th row of the key.
+
+    The last rows of a key are carried with their numbers; the last of them counts for all before.
+    """
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        one, none = F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("at")
+        rows = _joined(batch.select(order, key, F.col(value).cast("double").alias("v"), one, none), carry)
+        number = {"row_no": Running("sum", F.col("n"))}
+        numbered = keyed.with_running(rows, [key], [FRESH, "at", order], number, rows_per_block)
+        own = F.when(F.col(FRESH), F.col("row_no")).otherwise(F.col("at"))
+        numbered = written(numbered.select(key, "v", FRESH, own.alias("row_no")), "numbered")
+        fired = fire(numbered, key, size, slide, {"total": F.sum("v"), "new": F.max_by(FRESH, "row_no")})
+        last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("row_no")))
+        kept = numbered.withColumn("r", last).where(F.col("r") <= max(1, size - 1)).select(
+            key, "v", F.when(F.col("r") == 1, F.col("row_no")).otherwise(0).alias("n"), F.col("row_no").alias("at"))
+        return fired.where("new").drop("new"), kept
+
+    return step
+
+
+def sustained_rise(
+    key: str,
+    value: str,
+    ts: str,
+    order: str,
+    span: timedelta,
+    min_rises: int = 5,
+    rows_per_block: int | None = None,
+) -> Step:
+    """Alerts that are due by the largest time seen; rows not above that of earlier batches are dropped."""
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        nothing = F.lit(None).cast("long")
+        rows = batch.select(
+            F.col(key), epoch_millis(F.col(ts)).alias("ts_ms"), F.col(order).alias("seq"),
+            F.col(value).cast("double").alias("v"), nothing.alias("start_ms"), nothing.alias("rises_in"),
+            F.lit(keyed.NEW).alias("kind"))
+        if carry is not None:
+            seen = carry.where(F.col("kind") == keyed.LAST).agg(F.max("ts_ms")).first()[0]
+            rows = (rows if seen is None else rows.where(F.col("ts_ms") > seen)).unionByName(carry)
+        until = rows.where(F.col("kind") != keyed.PENDING).agg(F.max("ts_ms")).first()[0]
+        marks = written(keyed.rise_marks(rows, key, span, rows_per_block), "rises")
+        kept = keyed.open_rises(marks, key, until)
+        return keyed.rises_due(marks, key, min_rises, until), kept
+
+    return step

@@ -1,8 +1,8 @@
 """Keyed results and alerts on live streams, with state and timers in Spark's state store.
 
 Rows count in the order they arrive: micro-batch by micro-batch, and inside a micro-batch by the
-order column. The rows of a key in a micro-batch are sorted in one task, so bound a micro-batch
-with ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` on the source. The session needs the RocksDB
+order column. The rows of a key in a micro-batch are sorted in one task; where a key is hot use
+``carried``, which splits it, as the registered queries do. The session needs the RocksDB
 state store (``session.rocksdb``).
 """
 
