@@ -1,28 +1,34 @@
 """The same questions asked of live streams.
 
-Each query reads the files of a table as a stream, ``BATCH_BYTES`` at a time, until it has read
-what is there. Windows that are still open are given by update mode and an upsert, so nothing has
-to close them. Results must equal the SQL of the batch query.
+A table is given to a query as a stream in the order in which its rows arrived, a bounded number of
+rows at a time (``replay``); where that order does not matter, the query reads the files of the table
+as they are, ``BATCH_BYTES`` at a time. Windows that are still open are given by update mode and an
+upsert, so nothing has to close them. Results must equal the SQL of the batch query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import first_number
+from tidemark.functions.timing import epoch_millis
 from tidemark.operators import topn, windows
 from tidemark.plans import batch as b
 from tidemark.plans import windows as w
-from tidemark.plans.catalog import query
+from tidemark.plans.catalog import query, table
 from tidemark.schemas import BEHAVIOR
 from tidemark.session import rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources import parsers, readers
 from tidemark.streaming import carried, lateness
 from tidemark.streaming import windows as live
+from tidemark.streaming.replay import replay
 
 BATCH_BYTES = 1 << 30
+Order = Sequence[str | Column]
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,63 +43,93 @@ def _zoneless(df: DataFrame) -> DataFrame:
     return df
 
 
-def _appended(out: DataFrame, label: str) -> DataFrame:
+Shape = Callable[[DataFrame], DataFrame]
+
+
+def _appended(rows: DataFrame, by: Order, shape: Shape, label: str) -> DataFrame:
     """What an append-mode query writes; state is kept in the RocksDB store."""
-    path = scratch_path(out.sparkSession, label)
-    with rocksdb(out.sparkSession):
-        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
-    return _zoneless(out.sparkSession.read.schema(out.schema).parquet(f"{path}/out"))
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    schemas = []
 
+    def step(stream: DataFrame) -> None:
+        out = shape(stream)
+        schemas.append(out.schema)
+        with rocksdb(spark):
+            live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
 
-def _upserted(out: DataFrame, label: str, key: list[str], order: list[str], mode: str = "update") -> DataFrame:
+    replay(rows, by, step)
+    return _zoneless(spark.read.schema(schemas[0]).parquet(f"{path}/out"))
+
+
+def _upsert(out: DataFrame, path: str, key: list[str], order: list[str], mode: str = "update") -> None:
+    live.run_available(live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode), f"{path}/checkpoint")
+
+
+def _upserted(
+    rows: DataFrame, by: Order, shape: Shape, label: str, key: list[str], order: list[str], mode: str = "update",
+    **files,
+) -> DataFrame:
     """The rows that an upsert by key leaves."""
-    spark = out.sparkSession
+    spark = rows.sparkSession
     path = scratch_path(spark, label)
-    writer = live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode)
-    live.run_available(writer, f"{path}/checkpoint")
+    replay(rows, by, lambda stream: _upsert(shape(stream), path, key, order, mode), **files)
     return _zoneless(read_upserted(spark, f"{path}/out", key, order))
 
 
-def _carried(rows: DataFrame, label: str, step: carried.Step) -> DataFrame:
+def _counted(out: DataFrame, label: str, key: list[str]) -> DataFrame:
+    """Counts of rows in any order."""
+    path = scratch_path(out.sparkSession, label)
+    _upsert(out, path, key, ["cnt"])
+    return _zoneless(read_upserted(out.sparkSession, f"{path}/out", key, ["cnt"]))
+
+
+def _carried(rows: DataFrame, by: Order, label: str, step: carried.Step) -> DataFrame:
     """Keyed results of each micro-batch, with what its keys carry on."""
     path = scratch_path(rows.sparkSession, label)
-    live.run_available(live.each_batch(rows, carried.each_carried(path, step)), f"{path}/checkpoint")
+    write = carried.each_carried(path, step)
+    replay(rows, by, lambda stream: live.run_available(live.each_batch(stream, write), f"{path}/checkpoint"))
     return carried.read_results(rows.sparkSession, path)
 
 
+BY_TIME = ["ts", "event_id"]
 WINDOW = ["window_start", "window_end"]
 
 
 @query(w.SLIDING_SQL)
 def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     aggs = [windows.count_rows(), windows.first_of(F.col("ts"), F.col("event_id"), "first_ts")]
-    out = live.live_windowed(rows, "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"], w.MONTH)
-    return _upserted(out, "sliding", ["event_type", *WINDOW], ["cnt"])
+    shape = lambda s: live.live_windowed(s, "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"], w.MONTH)
+    return _upserted(rows, BY_TIME, shape, "sliding", ["event_type", *WINDOW], ["cnt"])
 
 
 @query(w.ROW_SQL.format(size="1 hour", direction="DESC"))
 def stream_tumbling_max_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    out = live.live_extreme_row(
-        rows, "ts", w.HOUR, ["event_type"], "value", "event_id", "max", ["event_id", "ts", "value"], w.MONTH
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    shape = lambda s: live.live_extreme_row(
+        s, "ts", w.HOUR, ["event_type"], "value", "event_id", "max", ["event_id", "ts", "value"], w.MONTH
     )
-    return _upserted(out, "max-row", ["event_type", *WINDOW], ["value"])
+    return _upserted(rows, BY_TIME, shape, "max-row", ["event_type", *WINDOW], ["value"])
 
 
 @query(w.UV_SQL)
 def stream_uv_3h_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events").where(w.VIEW).select("ts", "user_id")
-    first = live.live_first_visits(rows, "ts", "user_id", w.THREE_HOURS, w.HOUR, w.MONTH)
-    return _appended(first, "uv").groupBy(*WINDOW).agg(F.count("user_id").alias("uv"))
+    rows = table(spark, sf_dir, "events").where(w.VIEW).select("ts", "user_id")
+    shape = lambda s: live.live_first_visits(s, "ts", "user_id", w.THREE_HOURS, w.HOUR, w.MONTH)
+    return _appended(rows, ["ts"], shape, "uv").groupBy(*WINDOW).agg(F.count("user_id").alias("uv"))
 
 
 @query(w.HOT_ITEMS_SQL)
 def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts kept by upsert; the ranking is taken of the counts when it is asked for."""
-    rows = _stream(spark, sf_dir, "events").where(w.VIEW).select("ts", first_number(F.col("props")).alias("item_id"))
-    counts = live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"], w.MONTH)
-    kept = _upserted(counts.select("item_id", "window_end", "cnt"), "hot-items", ["item_id", "window_end"], ["cnt"])
+    rows = table(spark, sf_dir, "events").where(w.VIEW).select("ts", first_number(F.col("props")).alias("item_id"))
+
+    def shape(s: DataFrame) -> DataFrame:
+        counts = live.live_windowed(s, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"], w.MONTH)
+        return counts.select("item_id", "window_end", "cnt")
+
+    kept = _upserted(rows, ["ts"], shape, "hot-items", ["item_id", "window_end"], ["cnt"])
     return topn.top_n(kept, "window_end", "cnt", "item_id")
 
 
@@ -101,7 +137,7 @@ def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts in update mode, upserted by key."""
     counts = _stream(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
-    return _upserted(counts, "counts", ["event_type"], ["cnt"])
+    return _counted(counts, "counts", ["event_type"])
 
 
 @query(b.GROUP_COUNT_SQL)
@@ -109,7 +145,7 @@ def stream_wall_clock_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of processing time; which window a row falls in varies, the totals do not."""
     timed = live.processing_time(_stream(spark, sf_dir, "events").select("event_type"))
     out = live.live_windowed(timed, "processed_at", w.FIFTEEN, [windows.count_rows()], keys=["event_type"])
-    kept = _upserted(out, "wall-clock", ["event_type", *WINDOW], ["cnt"])
+    kept = _counted(out, "wall-clock", ["event_type", *WINDOW])
     return kept.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
 
@@ -121,63 +157,70 @@ GROUP BY event_type, window_start, window_end
 """)
 def stream_text_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited text files as a stream, parsed and counted per window."""
-    folder = scratch_path(spark, "lines")
-    b.behavior_lines(spark, sf_dir).write.text(folder)
-    parsed = parsers.parse_delimited(readers.text_stream(spark, folder), BEHAVIOR)
-    rows = parsed.select("behavior", F.timestamp_seconds("ts_s").alias("ts"))
-    out = live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["behavior"], w.MONTH)
-    return _upserted(out, "text-counts", ["behavior", *WINDOW], ["cnt"])
+    def shape(lines: DataFrame) -> DataFrame:
+        parsed = parsers.parse_delimited(lines, BEHAVIOR)
+        rows = parsed.select("behavior", F.timestamp_seconds("ts_s").alias("ts"))
+        return live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["behavior"], w.MONTH)
+
+    seconds = F.substring_index("value", ",", -1).cast("long")
+    return _upserted(b.behavior_lines(spark, sf_dir), [seconds], shape, "text-counts", ["behavior", *WINDOW], ["cnt"], form="text")
 
 
 @query(b.UPSERT_SQL)
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return _upserted(rows, "orders", ["o_custkey"], ["o_orderdate", "o_orderkey"], "append")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    by = ["o_orderdate", "o_orderkey"]
+    return _upserted(rows, by, lambda s: s, "orders", ["o_custkey"], by, "append")
 
 
 @query(b.RUNNING_SQL)
 def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events")
-    return _carried(rows, "running", carried.running_count("event_type", "event_id"))
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return _carried(rows, ["event_id"], "running", carried.running_count("event_type", "event_id"))
 
 
 @query(b.CHANGELOG_SQL)
 def stream_retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events")
-    return _carried(rows, "changelog", carried.changelog("event_type", "event_id"))
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return _carried(rows, ["event_id"], "changelog", carried.changelog("event_type", "event_id"))
 
 
 @query(b.COUNT_5_2_SQL)
 def stream_count_window_5_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events")
-    fired = _carried(rows, "count-window", carried.count_window("user_id", "value", "event_id", 5, 2))
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    fired = _carried(rows, ["event_id"], "count-window", carried.count_window("user_id", "value", "event_id", 5, 2))
     return fired.select("user_id", "fired_at", F.round("total", 2).alias("sum_value"))
 
 
 @query(b.JUMP_SQL)
 def stream_jump_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "events")
-    return _carried(rows, "jumps", carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP))
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return _carried(rows, ["event_id"], "jumps", carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP))
 
 
 @query(b.RISE_SQL + " AND ts_ms + 18000000 <= (SELECT max(epoch_us(ts) // 1000) FROM events)")
 def stream_sustained_rise_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts that are due by the largest time the stream has seen."""
-    rows = _stream(spark, sf_dir, "events")
-    return _carried(rows, "rises", carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN))
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return _carried(rows, [epoch_millis(F.col("ts"))], "rises", carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN))
 
 
-def _split(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    rows = w.with_arrival(_stream(spark, sf_dir, "events"))
+def _split(spark: SparkSession, sf_dir: str, path: str, then: Callable[[DataFrame], None] | None = None) -> None:
+    """Accepted and late rows of each part of the arrivals; ``then`` reads the accepted ones so far."""
     write = lateness.split_late(path, "ts", w.ARRIVAL, w.TEN_MINUTES, delay=w.DELAY, lateness=w.LATENESS)
-    live.run_available(live.each_batch(rows, write), f"{path}/checkpoint-split")
-    return rows
+
+    def step(stream: DataFrame) -> None:
+        live.run_available(live.each_batch(stream, write), f"{path}/checkpoint-split")
+        if then:
+            then(lateness.accepted_stream(stream, path))
+
+    replay(w.jittered(spark, sf_dir), w.ARRIVAL, step)
 
 
 @query(f"WITH {w.STATUS_CTE} SELECT {w.LATE_COLUMNS} FROM status WHERE status = 'late'")
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "late")
-    rows = _split(spark, sf_dir, path)
+    _split(spark, sf_dir, path)
     return spark.read.parquet(f"{path}/late").drop("batch_id")
 
 
@@ -190,9 +233,14 @@ SELECT event_type, window_start, window_end, event_id, value FROM (
 def stream_window_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the accepted rows, emitted again for each change, newest result per window."""
     path = scratch_path(spark, "accepted")
-    rows = _split(spark, sf_dir, path)
-    kept = lateness.kept_events(lateness.accepted_stream(rows, path), "ts", w.DELAY, w.LATENESS)
-    best = windows.extreme_row(
-        kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"]
-    )
-    return _upserted(best, "firings", ["event_type", *WINDOW], ["event_id"])
+    key, order = ["event_type", *WINDOW], ["event_id"]
+
+    def fire(accepted: DataFrame) -> None:
+        kept = lateness.kept_events(accepted, "ts", w.DELAY, w.LATENESS)
+        best = windows.extreme_row(
+            kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"]
+        )
+        _upsert(best, f"{path}/firings", key, order)
+
+    _split(spark, sf_dir, path, fire)
+    return _zoneless(read_upserted(spark, f"{path}/firings/out", key, order))

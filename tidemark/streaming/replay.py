@@ -1,0 +1,51 @@
+"""A table fed to streams in the order its rows arrived, a bounded number of rows at a time.
+
+The files of a table may hold its rows in any order. They are written once, cut by ranges of the
+order of arrival, and each range is given to the streams and read to its end before the next one
+arrives; so micro-batches follow that order whatever the files and their times are.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.session import scratch_path
+
+BATCH_ROWS = 20_000_000
+FILES = 8
+PART = "__part"
+
+
+def _parts(rows: DataFrame, by: Sequence[str | Column], batch_rows: int, path: str) -> list[DataFrame]:
+    """The rows in ranges of their order, each of some files. Rows that are equal in it stay together."""
+    spark = rows.sparkSession
+    parts = max(1, math.ceil(rows.count() / batch_rows))
+    ranged = rows.repartitionByRange(parts * FILES, *by)
+    ranged.withColumn(PART, F.floor(F.spark_partition_id() / FILES)).write.partitionBy(PART).parquet(path)
+    kept = spark.read.parquet(path).select(PART).distinct().collect() if rows.take(1) else []
+    read = spark.read.schema(rows.schema)
+    return [read.parquet(f"{path}/{PART}={n}") for n in sorted(r[0] for r in kept)] or [rows.limit(0)]
+
+
+def replay(
+    rows: DataFrame,
+    by: Sequence[str | Column],
+    step: Callable[[DataFrame], None],
+    batch_rows: int | None = None,
+    form: str = "parquet",
+    keep: Sequence[str] | None = None,
+) -> None:
+    """``step`` runs queries, with checkpoints, over the stream of all that has arrived, after each part.
+
+    ``form`` is the format of the files that arrive, ``keep`` the columns they hold if not all.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "replay")
+    for part in _parts(rows, by, batch_rows or BATCH_ROWS, f"{path}/parts"):
+        arrived = part.select(*keep) if keep else part
+        arrived.write.mode("append").format(form).save(f"{path}/in")
+        step(spark.readStream.schema(arrived.schema).format(form).load(f"{path}/in"))
