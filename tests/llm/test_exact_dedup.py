@@ -91,3 +91,11 @@ def test_index_takes_insertions_and_deletions(spark):
     after = dedup.update_index(index, 16, more, gone, left)
     got = {r.digest: (r.keep_id, r.live) for r in after.collect()}
     assert got == {digest("b"): (2, 1), digest("c"): (3, 2), digest("d"): (11, 1)}
+
+
+def test_large_ids_beside_a_null_id(spark):
+    """Ids above 2^53 stay exact in a batch that holds a null id."""
+    big = 2**53 + 1
+    docs = make_docs(spark, [(big, "x"), (big + 2, "x"), (None, "y"), (big + 4, "z")]).coalesce(1)
+    got = {r.doc_id: (r.keep_id, r.kept) for r in dedup.exact_duplicates(docs).where("doc_id IS NOT NULL").collect()}
+    assert got == {big: (big, True), big + 2: (big, False), big + 4: (big + 4, True)}

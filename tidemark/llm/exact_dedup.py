@@ -134,11 +134,17 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("digest"))
 
 
+def _with_ids(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID).cast("long")))
+
+
 def _combine(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per digest of an Arrow batch, so that a hot text sends one row a batch."""
+    """One row per digest of an Arrow batch, so that a hot text sends one row a batch.
+
+    Ids must not be null: a batch with a null would come as floats, which round large ids.
+    """
     for batch in batches:
-        ids = batch["doc_id"].astype("Int64").fillna(_NO_ID).astype("int64")
-        grouped = batch.assign(doc_id=ids).groupby("digest", sort=False)
+        grouped = batch.groupby("digest", sort=False)
         yield grouped.agg(keep_id=("doc_id", "min"), live=("doc_id", "size")).reset_index()
 
 
@@ -178,7 +184,7 @@ def _shard_of(shards: int) -> Column:
 def build_index(rows: DataFrame, count: int) -> DataFrame:
     """Stored keys (shard, digest, keep_id, live) of ``count`` digest rows."""
     shards = _shards(count)
-    partial = rows.mapInPandas(_combine, "digest string, keep_id long, live long")
+    partial = _with_ids(rows).mapInPandas(_combine, "digest string, keep_id long, live long")
     return _filled(partial.withColumn("shard", _shard_of(shards)), shards)
 
 
@@ -191,8 +197,8 @@ def update_index(
     of all documents that are left; it names the next row to stay where the one that stayed goes.
     """
     spec = "digest string, keep_id long, live long"
-    plus = inserted.mapInPandas(_combine, spec)
-    minus = deleted.mapInPandas(_combine, spec).withColumn("live", -F.col("live"))
+    plus = _with_ids(inserted).mapInPandas(_combine, spec)
+    minus = _with_ids(deleted).mapInPandas(_combine, spec).withColumn("live", -F.col("live"))
     moved = plus.unionByName(minus).withColumn("shard", _shard_of(shards))
     after = _filled(index.unionByName(moved), shards)
     if live is None:
