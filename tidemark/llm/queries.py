@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, langid, license_scan, mixing, ngram_join, quality, url_reputation, warc
+from tidemark.llm import (
+    bpe_codec, chat_format, decontaminate, exact_dedup, importance, langid, license_scan, mixing, ngram_join, quality,
+    url_reputation, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies on the driver's machine."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -61,9 +70,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_license_scan, op2_ngram_join, op3_url_reputation, op4_chat_format, op5_decontaminate, op6_quality,
-    op7_exact_dedup, op8_warc, op9_mix_sources, op10_language)}
+    op7_exact_dedup, op8_warc, op9_mix_sources, op10_language, op12_bpe_codec,
+    op13_importance_resampling)}
 ORACLE = {
     "op2_ngram_join": ngram_join.SQL,
     "op3_url_reputation": url_reputation.SQL,
