@@ -169,7 +169,7 @@ class ByteBpe:
         self._kept = dict(self._marked)
         self.merged_words = self.proposed_words = 0
         lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        self._length = lengths
+        self.lengths = lengths
         self._start = np.cumsum(lengths) - lengths
         self._blob = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
 
@@ -281,7 +281,7 @@ class ByteBpe:
 
     def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all tokens in a row, and the end of each token in them."""
-        lengths = self._length[ids]
+        lengths = self.lengths[ids]
         end = np.cumsum(lengths)
         total = int(end[-1]) if len(end) else 0
         place = np.repeat(self._start[ids] - (end - lengths), lengths) + np.arange(total)

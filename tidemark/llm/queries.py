@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe_codec, chat_format, decontaminate, exact_dedup, importance, langid, license_scan, mixing, ngram_join, quality,
-    url_reputation, warc)
+    token_alignment, url_reputation, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -80,7 +85,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_license_scan, op2_ngram_join, op3_url_reputation, op4_chat_format, op5_decontaminate, op6_quality,
-    op7_exact_dedup, op8_warc, op9_mix_sources, op10_language, op12_bpe_codec,
+    op7_exact_dedup, op8_warc, op9_mix_sources, op10_language, op11_token_alignment, op12_bpe_codec,
     op13_importance_resampling)}
 ORACLE = {
     "op2_ngram_join": ngram_join.SQL,
