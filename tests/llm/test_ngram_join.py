@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_data import changed, make_docs, prose, rows_of
+from pyspark.sql import functions as F
 
 from tidemark.llm import ngram_join as join
 
@@ -57,9 +58,66 @@ def test_null_and_repeated_ids(spark):
     assert got == Counter({(None, 4, 3): 1, (4, 4, 3): 2, (None, None, 0): 1, (9, 4, 3): 1})
 
 
+def test_an_id_on_two_texts(spark):
+    """Rows count by their own text: an unrelated text under the id of a near copy stays."""
+    a, other = prose(1), prose(2)
+    docs = make_docs(spark, [(1, a), (5, changed(a, 1)), (5, other)])
+    assert Counter(rows_of(join.similar_documents(docs))) == Counter({(1, 1, 1): 1, (5, 1, 1): 1, (5, 5, 0): 1})
+    assert sorted((r.doc_id, r.text) for r in join.one_of_each(docs).collect()) == [(1, a), (5, other)]
+
+
+def test_near_copies_without_ids(spark):
+    a = prose(1)
+    docs = make_docs(spark, [(None, a), (None, changed(a, 1)), (None, prose(2)), (None, a), (7, prose(3)), (7, prose(3))])
+    got = Counter(rows_of(join.similar_documents(docs)))
+    assert got == Counter({(None, None, 2): 3, (None, None, 0): 1, (7, 7, 1): 2})
+    kept = [r.text for r in join.one_of_each(docs).collect()]
+    assert len(kept) == 3 and len(set(kept) & {a, changed(a, 1)}) == 1 and {prose(2), prose(3)} <= set(kept)
+
+
+def test_columns_with_the_names_of_working_columns(spark):
+    docs = make_docs(spark, [prose(1), changed(prose(1), 1), prose(2)])
+    for name in ("__key", "__same", "__hash", "lead", "node", "key", "text_hash", "grams", "h1", "weight"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.node, r["__key"]) for r in kept.collect()) == [(0, "node", "__key"), (2, "node", "__key")]
+
+
+def neighbours(n, words=120, step=12):
+    """Texts of a running window over one long text: each is like the next one only."""
+    long = prose(5, words + step * n, 10**6).split()
+    return [" ".join(long[k * step:k * step + words]) for k in range(n)]
+
+
+def test_a_long_chain_is_one_component(spark):
+    got = join.similar_documents(make_docs(spark, neighbours(1500)), chunk=256)
+    rows = got.collect()
+    assert {r.class_id for r in rows} == {0}
+    assert Counter(r.n_links for r in rows) == Counter({2: 1498, 1: 2})
+
+
+def test_pairs_just_above_the_threshold_are_all_found(spark):
+    """With s shingles shared of s + d in both, the similarity lies between 0.80 and 0.82."""
+    texts = []
+    for k in range(10_000):
+        words = prose(10_000 + k, 104, 10**9).split()
+        texts += [" ".join(words), " ".join(words[:-11] + [f"x{k}y{i}" for i in range(11)])]
+    rows = join.similar_documents(make_docs(spark, texts)).collect()
+    grams = 100
+    assert 0.8 <= (grams - 11) / (grams + 11) < 0.82
+    assert sum(r.n_links for r in rows) == len(texts)
+
+
+def test_a_very_long_text(spark):
+    words = prose(4, 200_000, 10**6).split()
+    texts = [" ".join(words), " ".join(words[:199_000] + ["z"] * 1000), prose(1)]
+    assert rows_of(join.similar_documents(make_docs(spark, texts))) == [(0, 0, 1), (1, 0, 1), (2, 2, 0)]
+
+
 def test_posterior_bound_is_that_of_the_uniform_prior():
     t, grid = 0.8, np.linspace(0, 1, 200_001)
-    for n in (28, 112, 196):
+    for n in (25, 100, 200):
         m = join.least_matches(n, t, 1e-6)
 
         def reaches(m):

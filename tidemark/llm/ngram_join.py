@@ -1,22 +1,29 @@
 """Documents whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-Copies (equal sets) become one class first. Every class has a MinHash signature of ``BANDS`` by
-``ROWS`` values; classes that agree in a band meet in a pool (components over band buckets, so
-buckets are never expanded into pairs). Inside a pool pairs are pruned by a Bayesian test: the
-signatures are compared a few values at a time, and a pair is dropped once the posterior
-probability (uniform prior) that its similarity reaches the threshold falls below ``TOLERANCE``.
-The rest is verified exactly on the shingle sets. A pool larger than ``CHUNK`` is cut into
-chunks, and pairs of chunks are separate pieces of work of bounded size. No pair leaves a task:
-a piece gives, per class, the number of its links and the least class it is connected to.
-
-At a similarity of exactly 0.8 a pair misses all bands with probability 0.0014, at 0.85 with
-0.00002, and may then still meet in a pool; the test drops it with at most ``TOLERANCE``.
+Copies (equal sets) become one class first; all further work is on classes, which have numbers of
+their own, so ids may repeat or be null. Every class has a MinHash signature of ``BANDS`` by ``ROWS``
+values, and only classes that agree in a whole band, that is, share a bucket, are compared.
+
+To meet each pair once and never emit pairs, a class has a home, the largest bucket it is in.
+Classes of one home form a cell and are compared there; two cells meet in a piece of work of their
+own, to which only the classes go that share a bucket with the other cell. A cell above ``CHUNK``
+classes is cut, and pairs of its parts are separate pieces, so every piece is bounded and a chain of
+neighbours costs what its buckets hold, not the square of its length. Inside a piece, pairs
+that share a bucket are pruned by a Bayesian test: the signatures are compared a few values at a
+time, and a pair is dropped once the posterior probability (uniform prior) that its similarity
+reaches the threshold falls below ``TOLERANCE``. The rest is verified exactly on the shingle sets. No
+pair leaves its task: a piece gives, per class, the number of its links and the least class it
+is connected to, and one run of connected components joins these.
+
+At a similarity of exactly 0.8 a pair misses all bands with probability 1.3e-7 and is dropped by the
+test with at most ``TOLERANCE``. Each further similar pair has the same odds, whatever the size.
 
 Results per document: ``class_id``, the least doc_id of its component, and ``n_links``, how many
 other documents, copies included, are similar to it. Defined cases: fewer than five words make
-one shingle; documents without words (null, empty) are copies of each other; rows that repeat an
-id share a class; a null id joins the class of its copies, or has none; an empty table gives no
-rows; other columns are ignored.
+one shingle; documents without words (null, empty) are copies of each other; rows that repeat an id
+count each, by their own texts; null ids are rows like others, and a component of null ids only
+has a null class_id; a long text gives one row that is as long as its shingles; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import durable
+from tidemark.llm.scratch import few, free_names, written
 from tidemark.llm.text_hash import U, gram_sets, mix, word_slices
 
 WORDS = 5
 SIMILAR = 0.8
-ROWS, BANDS = 7, 28
+ROWS, BANDS = 5, 40
 TOLERANCE = 1e-6
-STEP = 28
+STEP = 25
 CHUNK = 1024
 _rng = np.random.default_rng(8675309)
 _TIMES = (_rng.integers(0, 2**31, size=ROWS * BANDS) * 2 + 1).astype(np.uint32)
@@ -70,25 +77,28 @@ def _binary(sets: list[np.ndarray]) -> pa.Array:
 def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, second, keys = [], [], []
-        for words in word_slices(batch.column(1)):
+        for words in word_slices(batch.column(0)):
             for grams in gram_sets(words, WORDS):
                 first.append(int(grams.sum(dtype=U).view(np.int64)))
                 second.append(int(mix(grams).sum(dtype=U).view(np.int64)))
                 keys.append(band_keys(signature(grams)) if len(grams) else np.zeros(0, np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-             pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "h1", "h2", "keys"])
+            [*batch.columns[1:], pa.array(first, pa.int64()), pa.array(second, pa.int64()),
+             pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "text_hash", "h1", "h2", "keys"])
 
 
 def _with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with the text, their first column, replaced by its shingle set."""
+    """Class and shingle set of each text; a class that comes again in a task is left out."""
+    seen: set[int] = set()
     for batch in batches:
+        nodes = batch.column(1).to_pylist()
+        fresh = [k for k, n in enumerate(nodes) if n not in seen and n not in nodes[:k]]
+        seen.update(nodes)
+        batch = batch.take(pa.array(fresh, pa.int64()))
         sets = [s for words in word_slices(batch.column(0)) for s in gram_sets(words, WORDS)]
         # Rows are given in small batches, because a set may be larger than its text.
         for at in range(0, len(sets), 256):
-            rest = [c.slice(at, 256) for c in batch.columns[1:]]
-            yield pa.RecordBatch.from_arrays(
-                [_binary(sets[at : at + 256]), *rest], ["grams", *batch.schema.names[1:]])
+            yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, 256), _binary(sets[at : at + 256])], ["node", "grams"])
 
 
 @cache
@@ -106,7 +116,7 @@ def least_matches(n: int, similar: float, tolerance: float) -> int:
 
 
 class Piece:
-    """The classes of one pool, or of two of its chunks, and the links found between them."""
+    """The classes of a cell or of two sides, and the links found between them."""
 
     def __init__(self, similar: float = SIMILAR, tolerance: float = TOLERANCE):
         self.similar, self.tolerance = similar, tolerance
@@ -114,14 +124,14 @@ class Piece:
         self.weights: list[int] = []
         self.sides: list[int] = []
         self.sets: list[np.ndarray] = []
-        self.seen: set[tuple[int, int]] = set()
+        self.seen: set[int] = set()
 
-    def add(self, rep: int, weight: int, side: int, grams: bytes) -> None:
+    def add(self, node: int, weight: int, side: int, grams: bytes) -> None:
         """Take a class once; a repeated row of its document comes again."""
-        if (rep, hash(grams)) in self.seen:
+        if node in self.seen:
             return
-        self.seen.add((rep, hash(grams)))
-        self.ids.append(rep)
+        self.seen.add(node)
+        self.ids.append(node)
         self.weights.append(weight)
         self.sides.append(side)
         self.sets.append(np.frombuffer(grams, dtype=U))
@@ -156,6 +166,7 @@ class Piece:
         """Ids, linked documents of each, and the least id each is connected to."""
         n = len(self.ids)
         signs = np.stack([signature(s) for s in self.sets])
+        keys = np.stack([band_keys(s) for s in signs])
         sizes = np.array([len(s) for s in self.sets])
         sides, weights = np.array(self.sides), np.array(self.weights)
         cross = len(set(self.sides)) > 1
@@ -172,6 +183,7 @@ class Piece:
             others = np.arange(i + 1, n)
             if cross:
                 others = others[sides[others] != sides[i]]
+            others = others[(keys[others] == keys[i]).any(axis=1)]
             for j in (found := self._linked(i, self._survivors(i, others, signs, sizes), sizes)):
                 a, b = top(i), top(int(j))
                 if a != b:
@@ -182,90 +194,130 @@ class Piece:
         return self.ids, counts.tolist(), [self.ids[top(i)] for i in range(n)]
 
 
+PIECE = ["first", "second", "low", "high"]
+
+
 def _pieces(similar: float, tolerance: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (pool, low, high); only one piece is held at a time."""
+        """Rows come sorted by piece; only one is held at a time."""
 
-        def out() -> pa.RecordBatch:
-            found = piece.links() if piece.ids else ([], [], [])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in found], ["rep", "links", "root"])
+        def out() -> Iterator[pa.RecordBatch]:
+            if at is not None and (at[0] == at[1] and at[2] == at[3] or len(set(piece.sides)) > 1):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in piece.links()], ["node", "links", "root"])
 
         at, piece = None, Piece(similar, tolerance)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("pool", "low", "high", "rep", "weight", "side")]
+            columns = [batch.column(c).to_pylist() for c in (*PIECE, "node", "weight", "side")]
             grams = batch.column("grams")
-            for k, (pool, low, high, rep, weight, side) in enumerate(zip(*columns)):
-                if (pool, low, high) != at:
-                    if at is not None and (at[1] == at[2] or len(set(piece.sides)) > 1):
-                        yield out()
-                    at, piece = (pool, low, high), Piece(similar, tolerance)
-                piece.add(rep, weight, side, grams[k].as_py())
-        if at is not None and (at[1] == at[2] or len(set(piece.sides)) > 1):
-            yield out()
+            for k, (*place, node, weight, side) in enumerate(zip(*columns)):
+                if place != at:
+                    yield from out()
+                    at, piece = place, Piece(similar, tolerance)
+                piece.add(node, weight, side, grams[k].as_py())
+        yield from out()
 
     return run
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, a 128-bit hash of its shingle set in two halves, and its band keys; written once."""
-    schema = "doc_id long, h1 long, h2 long, keys array<long>"
-    return durable(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_described, schema))
-
-
-def pools(described: DataFrame) -> DataFrame:
-    """(rep, weight, pool, members) of the classes that share a band bucket with another."""
-    classes = described.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"))
-    classes = classes.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("weight").alias("weight"))
-    keyed = described.select(F.col("doc_id").alias("rep"), "keys").join(classes, "rep").select(
-        "rep", F.explode("keys").alias("key"))
-    shared = durable(keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where(
-        "pivot <> other").select("key", "pivot"))
-    edges = keyed.join(shared, "key").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    found = components(edges)
-    member = found.select(F.col("node").alias("rep"), F.col("root").alias("pool"))
-    member = member.unionByName(found.select(F.col("root").alias("rep"), F.col("root").alias("pool")).distinct())
-    sizes = member.groupBy("pool").agg(F.count("*").alias("members"))
-    return member.join(sizes, "pool").join(classes, "rep").select("rep", "weight", "pool", "members")
-
-
-def linked(docs: DataFrame, member: DataFrame, similar: float, tolerance: float, chunk: int) -> DataFrame:
-    """(rep, links, root) of every piece of work."""
-    text = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(member, "rep")
-    sets = text.select("text", "rep", "weight", "pool", "members").mapInArrow(
-        _with_sets, "grams binary, rep long, weight long, pool long, members long")
-    chunks = F.ceil(F.col("members") / chunk).cast("int")
-    cut = sets.withColumn("chunks", chunks).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "pool", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-        "rep", "weight", "side", "grams")
-    ordered = dealt.repartition("pool", "low", "high").sortWithinPartitions("pool", "low", "high")
-    return ordered.mapInArrow(_pieces(similar, tolerance), "rep long, links long, root long")
+    """doc_id, a hash of the text, a 128-bit hash of its shingle set in two halves, and band keys; written once."""
+    rows = docs.select("text", F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"))
+    return written(rows.mapInArrow(_described, "doc_id long, text_hash long, h1 long, h2 long, keys array<long>"), "signatures")
+
+
+def classes_of(described: DataFrame) -> DataFrame:
+    """Number, copies, band keys and the leading row of each class: its least id, null ids last."""
+    lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    grouped = described.groupBy("h1", "h2").agg(F.min(lead).alias("lead"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    return written(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
+
+
+def meetings(classes: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Classes that share a bucket, with their homes, and the pieces of work each goes to."""
+    keyed = classes.select("node", F.explode("keys").alias("key"))
+    shared = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    inside = written(keyed.join(shared, "key"), "shared-buckets")
+    homes = written(inside.groupBy("node").agg(F.max_by("key", F.struct("n", "key")).alias("home")), "homes")
+    placed = inside.select("key", "node").join(homes, "node")
+    cells = placed.groupBy("key", "home").agg(F.count("*").alias("rows"))
+    mixed = cells.groupBy("key").agg(F.count("*").alias("cells")).where("cells > 1").select("key")
+    others = written(cells.select("key", F.col("home").alias("other")).join(mixed, "key"), "mixed-buckets")
+    across = placed.join(others, "key").where("home <> other").select("node", "home", "other").distinct()
+    parts = homes.groupBy("home").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    both = homes.select("node", "home", F.col("home").alias("other")).unionByName(across)
+    both = both.join(parts, "home").join(parts.select(F.col("home").alias("other"), F.col("parts").alias("their")), "other")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = both.withColumn("part", part).withColumn("facing", F.explode(F.sequence(F.lit(0), F.col("their") - 1)))
+    alone, before = F.col("home") == F.col("other"), F.col("home") < F.col("other")
+    dealt = dealt.select(
+        "node", F.least("home", "other").alias("first"), F.greatest("home", "other").alias("second"),
+        F.when(alone, F.least("part", "facing")).when(before, F.col("part")).otherwise(F.col("facing")).alias("low"),
+        F.when(alone, F.greatest("part", "facing")).when(before, F.col("facing")).otherwise(F.col("part")).alias("high"),
+        F.when(alone, F.col("part")).otherwise(before.cast("int")).alias("side"))
+    return homes, dealt
+
+
+def linked(docs: DataFrame, classes: DataFrame, similar: float, tolerance: float, chunk: int) -> DataFrame:
+    """(node, links, root) of every piece of work."""
+    homes, dealt = meetings(classes, chunk)
+    member = written(classes.join(homes, "node").select(
+        "node", F.col("copies").alias("weight"), F.col("lead.doc_id").alias("lead_id"), F.col("lead.text_hash").alias("lead_hash")), "members")
+    text = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    chosen = text.join(few(member), F.col("id").eqNullSafe(F.col("lead_id")) & (F.col("hash") == F.col("lead_hash")))
+    sets = written(chosen.select("text", "node").mapInArrow(_with_sets, "node long, grams binary"), "shingle-sets")
+    rows = dealt.join(member.select("node", "weight"), "node").join(sets, "node")
+    ordered = rows.repartition(*PIECE).sortWithinPartitions(*PIECE)
+    return written(ordered.mapInArrow(_pieces(similar, tolerance), "node long, links long, root long"), "links")
+
+
+def classified(
+    docs: DataFrame, similar: float = SIMILAR, tolerance: float = TOLERANCE, chunk: int = CHUNK
+) -> DataFrame:
+    """doc_id and text_hash of every row with its class_id, n_links, and whether its text and id lead."""
+    described = describe(docs)
+    classes = classes_of(described)
+    found = linked(docs, classes, similar, tolerance, chunk)
+    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    joined = counts.join(roots, "node", "left").select("node", "links", F.coalesce("root", "node").alias("root"))
+    joined = joined.join(classes.select("node", "lead"), "node")
+    leads = joined.groupBy("root").agg(F.min("lead").alias("first"))
+    near = joined.join(leads, "root").select("node", "links", "first")
+    known = classes.select("h1", "h2", "node", "copies", "lead").join(near, "node", "left").select(
+        "h1", "h2", F.coalesce("first", "lead").alias("first"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+    leads = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return described.select("doc_id", "text_hash", "h1", "h2").join(known, ["h1", "h2"]).select(
+        "doc_id", "text_hash", F.col("first.doc_id").alias("class_id"), "n_links", leads.alias("leads"))
 
 
 def similar_documents(
     docs: DataFrame, similar: float = SIMILAR, tolerance: float = TOLERANCE, chunk: int = CHUNK
 ) -> DataFrame:
     """doc_id, class_id, n_links of every document."""
-    described = describe(docs)
-    found = durable(linked(docs, durable(pools(described)), similar, tolerance, chunk))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = described.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    known = (
-        classes.join(counts, "rep", "left")
-        .join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-        .select(
-            "h1", "h2", F.coalesce("root", "rep").alias("class_id"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
-    )
-    return described.select("doc_id", "h1", "h2").join(known, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
+    return classified(docs, similar, tolerance, chunk).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group of similar ones, with all its columns: the least id stays."""
-    gone = similar_documents(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One document of each group of similar ones, with all its columns: the least id stays.
+
+    Rows are told apart by id and text, so other texts under the same id stay. Of rows that repeat
+    both, one stays; they are put together apart from the others, which are not shuffled.
+    """
+    rows = written(classified(docs).select("doc_id", "text_hash", "leads"), "similar")
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    told = free_names(docs, "key", "same", "hash")
+    keyed = docs.withColumn(told[0], key)
+    again = rows.where("leads").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    gone = rows.where("NOT leads").select("doc_id", "text_hash").unionByName(again)
+    gone = written(gone.select(F.col("doc_id").alias(told[1]), F.col("text_hash").alias(told[2])).distinct(), "gone")
+    again = written(again.select(F.col("doc_id").alias(told[1]), F.col("text_hash").alias(told[2])), "repeated")
+    same = F.col(f"{told[0]}.id").eqNullSafe(F.col(told[1])) & (F.col(f"{told[0]}.hash") == F.col(told[2]))
+    kept = keyed.join(few(gone), same, "left_anti").drop(told[0])
+    if again.isEmpty():
+        return kept
+    repeated = keyed.join(few(again), same, "left_semi").dropDuplicates([told[0]]).drop(told[0])
+    return kept.unionByName(repeated)
 
 
 _SHINGLES = f"""

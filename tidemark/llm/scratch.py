@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path, written
 
-__all__ = ["durable", "scratch_path", "written"]
+__all__ = ["durable", "few", "free_names", "scratch_path", "written"]
+
+FEW = 1_000_000
+
+
+def few(df: DataFrame, rows: int = FEW) -> DataFrame:
+    """A written table of narrow rows: sent to every task if it has at most ``rows``, else joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of the frame has, however it is spelled."""
+    taken, mark = {c.lower() for c in df.columns}, "__"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
 
 
 def durable(df: DataFrame) -> DataFrame:
