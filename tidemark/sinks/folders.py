@@ -28,3 +28,9 @@ def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
 def remove(spark: SparkSession, path: str) -> None:
     store, at = _path(spark, path)
     store.delete(at, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and store that the cluster gives to paths without them."""
+    store, at = _path(spark, path)
+    return store.makeQualified(at).toString()
