@@ -75,7 +75,8 @@ def encoded(vocabulary: Vocabulary, text: Column) -> Column:
         tables = vocabulary.tables()
         return int_lists([ids for part in text_slices(texts) for ids in tables.encode(part)])
 
-    return encode(text)
+    # Otherwise Spark may copy the call into each use of its result and encode twice.
+    return encode.asNondeterministic()(text)
 
 
 def decoded(vocabulary: Vocabulary, ids: Column) -> Column:
