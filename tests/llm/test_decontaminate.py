@@ -2,6 +2,7 @@ import re
 
 import pytest
 from llm_data import changed, make_docs, prose, rows_of
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as dec
 
@@ -63,6 +64,36 @@ def test_only_documents_with_an_item_go(spark, case):
     assert kept.columns == make_docs(spark, docs).columns
 
 
+def test_an_item_id_on_two_texts(spark):
+    """A document with all of the short text and a part of the long one is found by the short one."""
+    short, long = prose(1, 8, 900), prose(2, 400, 900)
+    docs = [(1, prose(3, 100) + " " + short + " " + " ".join(long.split()[:60])), (2, prose(4, 100)), (None, long)]
+    items = [(7, short), (7, long), (None, short)]
+    table = spark.createDataFrame([(*i, 1) for i in items], ITEMS)
+    got = dec.contaminated(make_docs(spark, docs), table)
+    assert rows_of(got, "doc_id", "item_id", "shared", "total") == brute(docs, items)
+    assert [r.doc_id for r in dec.without_benchmark(make_docs(spark, docs), table).collect()] == [2]
+
+
+def test_an_id_on_two_documents(spark):
+    """Only the text with the item goes, though both have one id, and names of working columns stay."""
+    item = prose(1, 40, 900)
+    docs = make_docs(spark, [(1, prose(2) + " " + item), (1, prose(2)), (None, item), (None, prose(5))])
+    for name in ("__key", "__id", "__mark", "mark", "item_id", "hash", "need"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = dec.without_benchmark(docs, spark.createDataFrame([(9, item, 1)], ITEMS))
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text", "__key", "hash") == sorted(
+        [(1, prose(2), "__key", "hash"), (None, prose(5), "__key", "hash")], key=repr)
+
+
+def test_a_very_long_text(spark):
+    item = prose(1, 30, 900)
+    text = prose(2, 150_000) + " " + item + " " + prose(3, 150_000)
+    table = spark.createDataFrame([(9, item, 1)], ITEMS)
+    assert rows_of(dec.contaminated(make_docs(spark, [text, prose(4)]), table), "doc_id", "item_id") == [(0, 9)]
+
+
 def test_plan_has_no_python(spark, case):
     docs, items = case
     rows = make_docs(spark, docs).selectExpr("doc_id", "text")

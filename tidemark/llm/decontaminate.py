@@ -11,7 +11,9 @@ its size limit and shuffles by hash beyond it.
 
 Words are runs of letters and digits in lower case; shingles have five words. Defined cases:
 null and short texts, on either side, have no shingle and match nothing; a repeated document
-row or item gives a row each; empty tables give no rows; other columns are ignored.
+row or item gives a row each; an item is its id and its text, so an id on several texts is searched for
+each of them; null ids are ids like others; the shingles of a very long text are hashed as one
+array, and found hashes alone are shuffled; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import without_rows
 from tidemark.llm.scratch import written
 
 WORDS = 5
@@ -50,29 +53,30 @@ def shingles(text: Column) -> Column:
 
 
 def sketch(items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """item_id, need, hash: the smallest hashes of each item and how many must be found."""
-    sized = items.select("item_id", F.array_sort(F.array_distinct(hashes(F.col("text")))).alias("h")).withColumn(
+    """item_id, item_key, need, hash: the smallest hashes of each item and how many must be found."""
+    sized = items.select("item_id", F.xxhash64("text").alias("item_key"), F.array_sort(F.array_distinct(hashes(F.col("text")))).alias("h")).withColumn(
         "q", F.size("h")).where("q > 0")
     slack = F.lit(1 - containment + 1e-9)
     above = F.pow(F.lit(2), F.floor(F.log2("q")) + 1)
     m = F.least(F.col("q"), (2 * F.floor(slack * above) + 1).cast("int"))
     need = m - F.floor(slack * F.col("q")).cast("int")
-    return sized.select("item_id", need.alias("need"), F.explode(F.slice("h", F.lit(1), m)).alias("hash"))
+    return sized.select("item_id", "item_key", need.alias("need"), F.explode(F.slice("h", F.lit(1), m)).alias("hash"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, item_id, shared, total, containment, text_key of every pair that reaches the share."""
     small = written(sketch(items, containment), "sketch")
     found = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(hashes(F.col("text"))).alias("hash"))
-    hits = found.join(small, "hash").groupBy("doc_id", "text_key", "item_id").agg(
+    hits = found.join(small, "hash").groupBy("doc_id", "text_key", "item_id", "item_key").agg(
         F.count_distinct("hash").alias("hits"), F.max("need").alias("need"))
     pairs = written(hits.where("hits >= need").select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("item_id").alias("__item")), "pairs")
-    whole = items.select("item_id", shingles(F.col("text")).alias("__wanted"))
+        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("item_id").alias("__item"),
+        F.col("item_key").alias("__item_key")), "pairs")
+    whole = items.select("item_id", F.xxhash64("text").alias("item_key"), shingles(F.col("text")).alias("__wanted"))
     text = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     checked = (
         text.join(pairs, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key")))
-        .join(whole, F.col("__item").eqNullSafe(F.col("item_id")))
+        .join(whole, F.col("__item").eqNullSafe(F.col("item_id")) & (F.col("__item_key") == F.col("item_key")))
         .withColumn("shared", F.size(F.array_intersect(shingles(F.col("text")), "__wanted")).cast("long"))
         .withColumn("total", F.size("__wanted").cast("long"))
     )
@@ -82,9 +86,8 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__bad")).distinct()
-    here = F.xxhash64(F.col("text"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__doc")) & (here == F.col("__bad")), "left_anti")
+    bad = contaminated(docs, items).select("doc_id", F.col("text_key").alias("mark")).distinct()
+    return without_rows(docs, F.xxhash64("text"), written(bad, "contaminated"))
 
 
 SQL = f"""

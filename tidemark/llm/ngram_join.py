@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import few, free_names, written
+from tidemark.llm.rows import few, without_rows
+from tidemark.llm.scratch import written
 from tidemark.llm.text_hash import U, gram_sets, mix, word_slices
 
 WORDS = 5
@@ -304,20 +305,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows are told apart by id and text, so other texts under the same id stay. Of rows that repeat
     both, one stays; they are put together apart from the others, which are not shuffled.
     """
-    rows = written(classified(docs).select("doc_id", "text_hash", "leads"), "similar")
-    key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
-    told = free_names(docs, "key", "same", "hash")
-    keyed = docs.withColumn(told[0], key)
-    again = rows.where("leads").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
-    gone = rows.where("NOT leads").select("doc_id", "text_hash").unionByName(again)
-    gone = written(gone.select(F.col("doc_id").alias(told[1]), F.col("text_hash").alias(told[2])).distinct(), "gone")
-    again = written(again.select(F.col("doc_id").alias(told[1]), F.col("text_hash").alias(told[2])), "repeated")
-    same = F.col(f"{told[0]}.id").eqNullSafe(F.col(told[1])) & (F.col(f"{told[0]}.hash") == F.col(told[2]))
-    kept = keyed.join(few(gone), same, "left_anti").drop(told[0])
-    if again.isEmpty():
-        return kept
-    repeated = keyed.join(few(again), same, "left_semi").dropDuplicates([told[0]]).drop(told[0])
-    return kept.unionByName(repeated)
+    rows = written(classified(docs).select("doc_id", F.col("text_hash").alias("mark"), "leads"), "similar")
+    gone = written(rows.where("NOT leads").select("doc_id", "mark").distinct(), "gone")
+    again = rows.where("leads").groupBy("doc_id", "mark").agg(F.count("*").alias("rows")).where("rows > 1")
+    return without_rows(docs, F.xxhash64("text"), gone, written(again.select("doc_id", "mark"), "repeated"))
 
 
 _SHINGLES = f"""
