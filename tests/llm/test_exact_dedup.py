@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 from llm_data import make_docs, prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup as dedup
 
@@ -38,6 +39,15 @@ def test_null_and_repeated_ids(spark):
     assert kept.columns == docs.columns
 
 
+def test_columns_with_the_names_of_working_columns(spark):
+    docs = make_docs(spark, [(3, "x y"), (3, "x  y"), (3, "x y"), (4, "x\ty"), (5, "z")])
+    for name in ("__key", "__id", "__mark", "__digest", "__kept", "mark", "digest", "keep_id"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__digest"], r.keep_id) for r in kept.collect()) == [(3, "__digest", "keep_id"), (5, "__digest", "keep_id")]
+
+
 def test_filter_deletes_and_overflows():
     rnd = random.Random(1)
     f = dedup.CuckooFilter(16)

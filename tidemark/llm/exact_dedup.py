@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import durable
+from tidemark.llm.rows import without_rows
+from tidemark.llm.scratch import durable, written
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 SHARD_KEYS = 200_000
@@ -232,13 +233,15 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    stays = exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("digest").alias("__kept"))
-    named = docs.withColumn("__digest", F.sha2(normalised(F.col("text")), 256))
-    joined = named.join(
-        stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    """The documents that stay, with all their columns.
+
+    The rows that go are named by id and digest; no text is shuffled while these are few.
+    """
+    rows = written(exact_duplicates(docs).select("doc_id", F.col("digest").alias("mark"), "keep_id", "kept"), "duplicates")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = written(rows.where(~stays).select("doc_id", "mark").distinct(), "gone")
+    again = written(rows.where(stays & ~F.col("kept")).select("doc_id", "mark").distinct(), "repeated")
+    return without_rows(docs, F.sha2(normalised(F.col("text")), 256), gone, again)
 
 
 SQL = """
