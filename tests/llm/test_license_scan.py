@@ -1,7 +1,11 @@
+import random
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from llm_data import changed, make_docs, prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import license_scan as scan
 from tidemark.llm.license_templates import TEMPLATES
@@ -72,8 +76,55 @@ def test_alignment_equals_full_table(seed):
 
 def test_winnowing_selects_from_every_window():
     h = np.random.default_rng(1).integers(0, 2**63, 200).astype(np.uint64)
-    places = scan.winnowed(h)
-    assert all(any(i <= p < i + scan.WINDOW for p in places) for i in range(len(h) - scan.WINDOW + 1))
+    places = scan.winnowed(h, 4)
+    assert all(any(i <= p < i + 4 for p in places) for i in range(len(h) - 3))
+
+
+SHORT = {k: v for k, v in TEMPLATES.items() if len(v.split()) < 30}
+
+
+@pytest.mark.parametrize("name", sorted(SHORT))
+def test_short_notices_with_changed_words(spark, name):
+    """As many words as the coverage allows are replaced, one after the other and spread over the notice."""
+    words = re.findall(r"[^\W_]+", SHORT[name])
+    spare = int(0.2 * len(words) + 1e-9)
+    texts = []
+    if spare:
+        for first in range(len(words)):
+            other = [w if (k - first) % -(-len(words) // spare) or k < first else f"other{k}" for k, w in enumerate(words)]
+            texts.append(prose(1, 30) + " " + " ".join(other) + " " + prose(2, 30))
+    got = scan.scan_licenses(make_docs(spark, [SHORT[name], *texts])).where(F.col("template") == name).collect()
+    assert {r.doc_id for r in got} == set(range(len(texts) + 1))
+
+
+def every_diagonal(templates, texts, coverage=0.8):
+    """(text, template) pairs whose alignment reaches the coverage on any diagonal, without fingerprints."""
+    out = set()
+    for i, text in enumerate(texts):
+        h = word_hashes(text)
+        for name, notice in templates.items():
+            t = word_hashes(notice)
+            for diagonal in range(-len(t), len(h) + 1, scan.BAND):
+                if scan.align(t, h, diagonal)[1] >= coverage * len(t):
+                    out.add((i, name))
+                    break
+    return out
+
+
+def word_hashes(text):
+    return next(word_slices(pa.array([text]), lower=True, blank=PUNCTUATION)).hash
+
+
+def test_candidates_lose_nothing_that_a_scan_of_all_diagonals_finds(spark):
+    rnd = random.Random(4)
+    texts = []
+    for k in range(60):
+        words = re.findall(r"[^\W_]+", SHORT[sorted(SHORT)[k % len(SHORT)]])
+        for _ in range(rnd.randrange(3)):
+            words[rnd.randrange(len(words))] = f"z{rnd.randrange(99)}"
+        texts.append(prose(k, 10) + " " + " ".join(words) + " " + prose(k + 100, 12))
+    got = scan.scan_licenses(make_docs(spark, texts), SHORT).collect()
+    assert {(r.doc_id, r.template) for r in got} == every_diagonal(SHORT, texts)
 
 
 def test_short_template_is_refused():

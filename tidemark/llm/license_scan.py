@@ -1,9 +1,12 @@
 """License notices in documents: winnowed fingerprints, then banded alignment.
 
-Of the hashes of all runs of ``GRAM`` words of a template the least of every ``WINDOW``
-neighbours are its fingerprints; an inverted index maps them to templates and places. All runs
-of a document are looked up, so any shared run of ``GRAM + WINDOW - 1`` words is noticed. Hits of
-a template that lie within ``BAND`` of one diagonal are a candidate. There the words of template
+Of the hashes of all runs of a few words of a template the least of every window of neighbours are
+its fingerprints; an inverted index maps them to templates and places. A notice that keeps the
+coverage may have ``floor((1 - coverage) m)`` of its ``m`` words replaced, so some run of words between
+them is intact; the size of grams (``GRAM`` at most) and of the window are chosen per template so that
+an intact run of that length always holds a fingerprint. All runs
+of a document are looked up. Hits of a template that lie within ``BAND`` of one diagonal are a
+candidate if enough of the template's words stand there at all. Then the words of template
 and document are aligned (local alignment, match +2, mismatch and gap -1) inside the band; the
 result is how many template words match, and where the match begins and ends in the text.
 
@@ -28,26 +31,32 @@ from pyspark.sql import DataFrame
 from tidemark.llm.license_templates import TEMPLATES
 from tidemark.llm.text_hash import PUNCTUATION, U, Words, mix, word_slices
 
-GRAM, WINDOW = 3, 4
+GRAM = 3
 BAND = 12
 COVERAGE = 0.8
 MATCH, MISS = 2, -1
 SCHEMA = "doc_id long, template string, matched long, total long, coverage double, start long, end long"
 
 
-def _grams(h: np.ndarray) -> np.ndarray:
-    n = max(0, len(h) - GRAM + 1)
-    total = np.zeros(n, dtype=U)
-    for k in range(GRAM):
+def _grams(h: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(h) - size + 1)
+    total = np.full(n, size, dtype=U)
+    for k in range(size):
         total = mix(total + h[k : k + n])
     return total
 
 
-def winnowed(hashes: np.ndarray) -> np.ndarray:
+def intact(words: int, coverage: float) -> int:
+    """Words of the longest run that is sure to be intact when the coverage is kept."""
+    changed = int((1 - coverage) * words + 1e-9)
+    return -(-(words - changed) // (changed + 1))
+
+
+def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
     """Places of the least hash, the last of equal ones, in each window of neighbours."""
     if len(hashes) == 0:
         return np.zeros(0, np.int64)
-    width = min(WINDOW, len(hashes))
+    width = min(window, len(hashes))
     seen = np.lib.stride_tricks.sliding_window_view(hashes, width)
     least = width - 1 - np.argmin(seen[:, ::-1], axis=1)
     return np.unique(least + np.arange(len(seen)))
@@ -59,24 +68,30 @@ class Index:
 
     names: list[str]
     words: list[np.ndarray]
+    sizes: list[int]  # of grams
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
     known: np.ndarray  # the distinct fingerprints
 
 
-def build_index(templates: dict[str, str]) -> Index:
+def build_index(templates: dict[str, str], coverage: float = COVERAGE) -> Index:
     names, words, rows = list(templates), [], []
+    sizes = set()
     for number, text in enumerate(templates.values()):
         h = next(word_slices(pa.array([text]), lower=True, blank=PUNCTUATION)).hash
         if len(h) < GRAM:
             raise ValueError(f"template {names[number]!r} has fewer than {GRAM} words")
-        grams = _grams(h)
+        run = intact(len(h), coverage)
+        size = min(GRAM, run)
+        sizes.add(size)
+        grams = _grams(h, size)
         words.append(h)
-        rows += [(int(grams[p]), number, int(p)) for p in winnowed(grams)]
+        rows += [(int(grams[p]), number, int(p)) for p in winnowed(grams, run - size + 1)]
     rows.sort()
     prints = np.array([r[0] for r in rows], dtype=U)
-    return Index(names, words, prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.unique(prints))
+    return Index(
+        names, words, sorted(sizes), prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.unique(prints))
 
 
 def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int, int]:
@@ -120,13 +135,17 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, i
 
 def _candidates(words: Words, index: Index) -> Iterator[tuple[int, int, int]]:
     """(text, template, diagonal) where fingerprints of a template gather around a diagonal."""
-    grams = _grams(words.hash)
-    at = np.minimum(np.searchsorted(index.known, grams), len(index.known) - 1)
-    hits = np.flatnonzero(index.known[at] == grams)
-    doc = np.searchsorted(words.first, hits, side="right") - 1
-    hits, doc = hits[hits + GRAM <= words.first[doc + 1]], doc[hits + GRAM <= words.first[doc + 1]]
-    begin = np.searchsorted(index.prints, grams[hits], side="left")
-    end = np.searchsorted(index.prints, grams[hits], side="right")
+    found = []
+    for size in index.sizes:
+        grams = _grams(words.hash, size)
+        at = np.minimum(np.searchsorted(index.known, grams), len(index.known) - 1)
+        hits = np.flatnonzero(index.known[at] == grams)
+        doc = np.searchsorted(words.first, hits, side="right") - 1
+        inside = hits + size <= words.first[doc + 1]
+        found.append((hits[inside], doc[inside], grams[hits[inside]]))
+    hits, doc, grams = (np.concatenate(x) for x in zip(*found))
+    begin = np.searchsorted(index.prints, grams, side="left")
+    end = np.searchsorted(index.prints, grams, side="right")
     many = end - begin
     which = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     doc, hits = np.repeat(doc, many), np.repeat(hits, many)
@@ -143,7 +162,12 @@ def _candidates(words: Words, index: Index) -> Iterator[tuple[int, int, int]]:
 def _finds(words: Words, index: Index, coverage: float) -> list[tuple]:
     found: dict[tuple[int, int], list] = {}
     for d, t, diagonal in _candidates(words, index):
-        text = words.hash[words.first[d] : words.first[d + 1]].copy()
+        template = index.words[t]
+        begin = words.first[d]
+        near = words.hash[max(begin, begin + diagonal - BAND) : min(words.first[d + 1], begin + diagonal + len(template) + BAND)]
+        if np.isin(template, near).sum() < coverage * len(template):
+            continue
+        text = words.hash[begin : words.first[d + 1]].copy()
         while True:  # a notice may stand in the band more than once
             _, matched, first, last = align(index.words[t], text, diagonal)
             if matched < coverage * len(index.words[t]):
@@ -186,5 +210,5 @@ def scan_batches(index: Index, coverage: float):
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """A row per notice found; see the module for the columns."""
-    index = build_index(templates)
+    index = build_index(templates, coverage)
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(scan_batches(index, coverage), SCHEMA)
