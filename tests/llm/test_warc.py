@@ -75,6 +75,34 @@ def test_stream_is_cut_anywhere(members, monkeypatch):
         assert got == [r for k in range(members) for r in records[k::members]]
 
 
+@pytest.mark.parametrize("members", [1, 3])
+def test_a_cut_at_any_byte_fails(members):
+    records = [warc.record(i, "http://x", bytes([65 + i]) * 50, "d", None) for i in range(3)]
+    parts = [b"".join(records)] if members == 1 else records
+    data = b"".join(gzip.compress(p) for p in parts)
+    whole = {sum(len(gzip.compress(p)) for p in parts[:k]) for k in range(1, len(parts) + 1)}
+    for end in range(len(data)):
+        if end not in whole:
+            with pytest.raises(ValueError):
+                list(warc.stream_records(io.BytesIO(data[:end])))
+
+
+def test_padding_after_members(monkeypatch):
+    records = [warc.record(i, None, bytes([65 + i]) * 5000, "d", None) for i in range(4)]
+    data = b"".join(gzip.compress(r) + b"\0" * 700 for r in records)
+    for chunk in (1, 64, 1 << 20):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        assert [h + b + b"\r\n\r\n" for h, b in warc.stream_records(io.BytesIO(data))] == records
+
+
+def test_archives_are_read_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_BYTES", 500)
+    index = warc.normalise(warc.write_archives(pages(spark)))
+    rows = warc.read_records(index)
+    assert rows.rdd.getNumPartitions() > 10
+    assert rows_of(rows) == expected()
+
+
 def test_cut_off_archive_fails():
     data = gzip.compress(warc.record(1, None, b"x" * 5000, "d", None)[:-2000])
     with pytest.raises(ValueError):

@@ -4,7 +4,8 @@
 tools write them. ``normalise`` inflates such a stream once, record by record, rewrites every
 record as a gzip member of its own and writes a sidecar index (JSON lines with offset, length
 and the record's headers), so that any record can be read without the ones before it.
-``read_records`` does that, a few records at a time.
+``read_records`` does that, a range of an archive at a time. An archive that ends before its last
+gzip member does is refused; zero bytes after the last member are padding.
 
 An archive closes at ``ARCHIVE_BYTES`` of records, so a task never holds more than one record
 and its buffers. Files go to the shared folder under names of their own; only names that reached
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import posixpath
 import uuid
 import zlib
@@ -33,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import durable, scratch_path, written
+from tidemark.sinks.folders import qualified
 
 ARCHIVE_BYTES = 64 << 20
 REVISIT_BYTES = 100
+RANGE_BYTES = 8 << 20
 LEVEL = 4
 CHUNK = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -46,7 +50,7 @@ INDEX_SCHEMA = (
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The store of a path; folders without a scheme or with ``file:`` are shared mounts."""
+    """The store of a qualified path; folders with ``file:`` are shared mounts."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
@@ -134,26 +138,38 @@ def write_archives(pages: DataFrame) -> DataFrame:
         .groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("pages"))
         .where("pages > 1").select("digest", "first_id"))
     joined = rows.join(written(firsts, "payloads"), "digest", "left")
-    folder = scratch_path(pages.sparkSession, "archives")
+    folder = qualified(pages.sparkSession, scratch_path(pages.sparkSession, "archives"))
     return durable(joined.select("page_id", "url", "html", "digest", "first_id").mapInArrow(
         _writer(folder), "archive string, records long"))
 
 
 def stream_records(source) -> Iterator[tuple[bytes, bytes]]:
-    """(header block, content block) of each record of a gzip stream, inflated once in pieces."""
-    inflate = zlib.decompressobj(31)
+    """(header block, content block) of each record of a gzip stream, inflated once in pieces.
+
+    A stream that ends before its last member does is refused, even where a record ends.
+    """
+    inflate, rest, members = None, b"", 0
     held = bytearray()
 
     def more() -> bool:
-        nonlocal inflate
-        data = inflate.unconsumed_tail or inflate.unused_data or source.read(CHUNK)
-        if not data:  # what the last limited call left inside
-            data = b"" if inflate.eof else inflate.flush()
-            held.extend(data)
-            return bool(data)
-        if inflate.eof:  # another member follows
-            inflate = zlib.decompressobj(31)
-        held.extend(inflate.decompress(data, CHUNK))
+        nonlocal inflate, rest, members
+        data, rest = rest or source.read(CHUNK), b""
+        if inflate is None:  # between members; zero bytes there are padding
+            while data and not (data := data.lstrip(b"\0")):
+                data = source.read(CHUNK)
+            if not data:
+                if not members:
+                    raise ValueError("the archive holds no gzip member")
+                return False
+            inflate, members = zlib.decompressobj(31), members + 1
+        out = inflate.decompress(data, CHUNK)
+        if inflate.eof:
+            inflate, rest = None, inflate.unused_data
+        elif not data and not out:
+            raise ValueError("the archive ends inside a gzip member")
+        else:
+            rest = inflate.unconsumed_tail
+        held.extend(out)
         return True
 
     searched = 0
@@ -209,7 +225,7 @@ def _normaliser(folder: str):
 def normalise(archives: DataFrame) -> DataFrame:
     """The index (one row per record) of the normalised form of the archives in ``archive``."""
     spark = archives.sparkSession
-    folder = scratch_path(spark, "normalised")
+    folder = qualified(spark, scratch_path(spark, "normalised"))
     tasks = max(1, archives.count())
     done = durable(archives.select("archive").repartition(tasks).mapInPandas(
         _normaliser(folder), "sidecar string, records long"))
@@ -222,10 +238,9 @@ def normalise(archives: DataFrame) -> DataFrame:
     return rows.join(known, "__sidecar", "left_semi").drop("__sidecar")
 
 
-def read_member(store: fs.FileSystem, place: str, offset: int, length: int) -> tuple[dict[str, str], bytes]:
-    """Headers and content block of the record at an offset."""
-    with store.open_input_file(place) as file:
-        raw = zlib.decompress(file.read_at(length, offset), 31)
+def read_member(file, offset: int, length: int) -> tuple[dict[str, str], bytes]:
+    """Headers and content block of the record at an offset of an open archive."""
+    raw = zlib.decompress(file.read_at(length, offset), 31)
     head, _, rest = raw.partition(b"\r\n\r\n")
     said = headers(head)
     return said, rest[: int(said["content-length"])]
@@ -236,8 +251,8 @@ def _number(urn: str | None) -> int | None:
     return int(digits) if digits else None
 
 
-def _described(archive: str, offset: int, length: int) -> tuple:
-    said, block = read_member(*file_system(archive), offset, length)
+def _described(file, offset: int, length: int) -> tuple:
+    said, block = read_member(file, offset, length)
     http, _, payload = block.partition(b"\r\n\r\n")
     page = _number(said["warc-record-id"])
     if said["warc-type"] == "revisit":
@@ -249,15 +264,32 @@ def _described(archive: str, offset: int, length: int) -> tuple:
 def _reader(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    at = file = None
     for batch in batches:
-        rows = [_described(*row) for row in zip(*(c.to_pylist() for c in batch.columns))]
+        rows = []
+        for archive, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
+            if archive != at:
+                if file is not None:
+                    file.close()
+                store, place = file_system(archive)
+                at, file = archive, store.open_input_file(place)
+            rows.append(_described(file, offset, length))
         columns = list(zip(*rows)) if rows else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    if file is not None:
+        file.close()
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every indexed record."""
-    return index.select("archive", "offset", "length").mapInArrow(
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every indexed record.
+
+    Records are dealt by ranges of ``RANGE_BYTES`` of their archives, so the work follows the bytes to be
+    read and not the small index, and a task opens an archive once for a range.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    span = F.floor(F.col("offset") / RANGE_BYTES)
+    dealt = index.select("archive", "offset", "length").repartition(max(1, math.ceil(total / RANGE_BYTES)), "archive", span)
+    return dealt.sortWithinPartitions("archive", "offset").mapInArrow(
         _reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
