@@ -59,6 +59,16 @@ def test_sample_is_bounded_and_whole_texts_are_judged(spark):
     assert judge.judge(text.encode())[0] == "bb"  # the beginning does not decide
 
 
+def test_pieces_come_from_whole_texts(spark):
+    """Of texts that begin in one language and go on in another, pieces show both parts."""
+    texts = [say("aa", i, 300) + " " + say("bb", i, 300) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "x", "s", 0) for i, t in enumerate(texts)], DOCS)
+    parts = [p.part for p in langid.training_texts(docs, texts=60, piece=200).collect()]
+    assert len(parts) == 60 and all(any(p in t for t in texts) for p in parts)
+    later = sum("sch" in p or "ung" in p or "pf" in p for p in parts)
+    assert 15 < later < 55
+
+
 def test_all_of_a_long_text_counts(spark):
     judge = langid.Compressors(langid.dictionaries(case(spark)))
     for first, rest in (("aa", "bb"), ("bb", "cc")):

@@ -8,8 +8,8 @@ dictionary, and the beginning would decide. The smallest sum of sizes names the
 score is the share by which it beats the second (0 if they tie). ``reliable`` is false where
 that margin is below ``NARROW``. Ties go to the language that sorts first.
 
-The sample takes, per language, ``TEXTS`` different training texts chosen by a hash, of each at
-most ``PIECE`` characters, so a dictionary has a fixed bound and the number of languages bounds
+The sample takes, per language, ``TEXTS`` different training texts chosen by a hash, of each a
+piece of at most ``PIECE`` characters at a place that the hash draws from the whole text, so a dictionary has a fixed bound and the number of languages bounds
 what is collected. Texts are then compressed where they lie; nothing is shuffled.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with no training
@@ -59,7 +59,9 @@ def training_texts(docs: DataFrame, texts: int = TEXTS, piece: int = PIECE) -> D
     sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     cuts = [F.when(F.col("lang") == r.lang, -(2**63) + min(2**64 - 1, 2**64 * SPARE * texts // r.n)) for r in sizes]
     few = known.where(F.col("h") <= F.coalesce(*cuts)) if cuts else known.limit(0)
-    parts = few.select("lang", "h", F.substring(letters(F.col("text")), 1, piece).alias("part"))
+    spelled = few.select("lang", "h", letters(F.col("text")).alias("letters"))
+    start = 1 + F.pmod("h", F.greatest(F.lit(1), F.length("letters") - piece + 1))
+    parts = spelled.select("lang", "h", F.substr("letters", start.cast("int"), F.lit(piece)).alias("part"))
     order = Window.partitionBy("lang").orderBy("h")
     ranked = parts.dropDuplicates(["lang", "h"]).withColumn("r", F.row_number().over(order))
     return ranked.where(F.col("r") <= texts).select("lang", "h", "part")
