@@ -37,13 +37,16 @@ def brute(rows, weights, block):
     period, placed = mixing.slots_of({mixing.REST: 1, **weights})
     groups = {}
     for r in rows:
-        groups.setdefault(r[1] if r[1] in weights else mixing.REST, []).append(r)
+        groups.setdefault(r[1], []).append(r)
+    rest = sorted((s for s in groups if s not in weights), key=lambda s: (s is not None, s or ""))
     out = []
     for source, mine in groups.items():
         mine.sort(key=lambda r: (r[0] is not None, hashlib.md5(str(r[0]).encode()).hexdigest() if r[0] is not None else "", r[0] or 0))
+        slots = placed[source if source in weights else mixing.REST]
         for n, (doc_id, _) in enumerate(mine):
-            b, share = n // block, len(placed[source])
-            out.append((doc_id, source, b // share * period + placed[source][b % share], n % block))
+            b, share = n // block, len(slots)
+            b = b if source in weights else b * len(rest) + rest.index(source)
+            out.append((doc_id, source or mixing.REST, b // share * period + slots[b % share], n % block))
     return sorted(out, key=repr)
 
 
@@ -62,14 +65,40 @@ def test_places(spark, monkeypatch, bucket_docs):
 
 def test_shares_hold_while_all_sources_last(spark):
     weights = {"src1": 6, "src2": 3, mixing.REST: 1}
-    docs = make_docs(spark, [f"t{i}" for i in range(3000)])
+    docs = make_docs(spark, [f"t{i}" for i in range(3000)]).where("source IS NOT NULL")
     mixed = mixing.mix_sources(docs, weights, block_docs=4)
-    order = [r.mix_source for r in mixed.orderBy("mix_slot", "mix_offset").collect()][:1600]
+    order = [r.mix_source if r.mix_source in weights else mixing.REST for r in mixed.orderBy("mix_slot", "mix_offset").collect()][:1600]
     for n in range(40, 1601, 40):
         for source, weight in weights.items():
             assert abs(order[:n].count(source) - n * weight / 10) < 4
 
 
+def test_each_source_without_a_weight_has_its_own_share(spark):
+    """Ten sources share a half: while all last, none is a block away from a twentieth."""
+    rows = [(i, "big" if i % 2 else f"s{i // 2 % 10}") for i in range(4000)]
+    docs = spark.createDataFrame([(i, f"text {i}", "en", s, 1) for i, s in rows], DOCS)
+    mixed = mixing.mix_sources(docs, {"big": 1, mixing.REST: 1}, block_docs=4)
+    order = [r.mix_source for r in mixed.orderBy("mix_slot", "mix_offset").collect()]
+    for n in range(8, 4001, 8):
+        for k in range(10):
+            assert abs(order[:n].count(f"s{k}") - n / 20) < 4
+
+
+def test_columns_with_the_names_of_working_columns(spark):
+    docs = make_docs(spark, [f"t{i}" for i in range(50)])
+    for name in ("row", "h", "n", "lane", "turn", "bucket", "its_source", "place", "start", "__g", "__n"):
+        docs = docs.withColumn(name, F.lit(name))
+    mixed = mixing.mix_sources(docs, {"src1": 1})
+    assert mixed.columns == [*docs.columns, *mixing.RESULTS]
+    assert {(r.row, r.n, r["__g"]) for r in mixed.collect()} == {("row", "n", "__g")}
+
+
+def test_very_long_texts_and_null_ids(spark):
+    docs = make_docs(spark, [(None, "x " * 500_000), (None, "y"), (None, "y"), (3, "z")])
+    got = mixing.mix_sources(docs, {"src1": 1}).collect()
+    assert len({(r.mix_slot, r.mix_offset) for r in got}) == 4
+
+
 def test_repeated_rows_are_all_kept(spark):
     docs = make_docs(spark, [(1, "a")] * 5 + [(1, "b")])
     got = mixing.mix_sources(docs, {"src1": 1}).orderBy("mix_offset").collect()

@@ -7,14 +7,20 @@ one, every block lies inside its window. So at any slot a source is less than on
 from its share. Shares are whole numbers of slots, hence the schedule repeats every ``D`` slots
 and only that many are computed, from the weights alone.
 
+Sources without a weight of their own share that of ``REST`` equally: its blocks are dealt to them in
+turn, which is the same schedule for equal shares, so each of them is less than one block away from
+its part as well. Their number is counted, their names are numbered in one task.
+
 A document's place is ``mix_slot`` (period times ``D`` plus slot) and ``mix_offset`` in the
 block. When a source runs dry its slots stay empty and the others keep their relative shares;
 no document is dropped or repeated. Documents are numbered inside hash buckets and the bucket
-offsets are added, so no task holds a whole source. Only DataFrame functions are used.
+offsets are added, so no task holds a whole source; the offsets of a source, one row per bucket of
+about ``BUCKET_DOCS`` documents, meet in one task. Only DataFrame functions are used.
 
-Defined cases: sources without a weight, null ones included, share the weight of ``REST``. Equal
-ids are ordered by a hash of the text, equal rows at will. Null ids come first. Empty input gives no rows;
-all columns are kept, but ones named as the three results are replaced.
+Defined cases: null is a source like those without a weight, shown as ``REST``. Equal
+ids are ordered by a hash of the text, equal rows at will. Null ids come first, dealt to buckets by their
+texts. The length of a text has no influence. Empty input gives no rows; all columns are kept, but ones
+named as the three results are replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +31,9 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import few
+from tidemark.llm.scratch import written
+
 REST = "*"
 BLOCK_DOCS = 32
 BUCKET_DOCS = 2_000
@@ -51,19 +60,28 @@ def slots_of(weights: dict[str, int]) -> tuple[int, dict[str, list[int]]]:
     return period, placed
 
 
-def numbered(docs: DataFrame, group: str, order: list[Column], bucket: Column) -> DataFrame:
-    """``__n``: the place of a row inside its group, counted bucket by bucket."""
-    keyed = docs.withColumn("__bucket", bucket)
-    sizes = keyed.groupBy(group, "__bucket").agg(F.count("*").alias("__rows"))
-    before = Window.partitionBy(group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+def numbered(rows: DataFrame, group: str, order: list[Column], bucket: Column) -> DataFrame:
+    """``n``: the place of a row inside its group, counted bucket by bucket."""
+    keyed = rows.withColumn("bucket", bucket)
+    sizes = keyed.groupBy(group, "bucket").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        F.col(group).alias("__g"), F.col("__bucket").alias("__b"),
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    inside = F.row_number().over(Window.partitionBy(group, "__bucket").orderBy(*order)) - 1
-    ranked = keyed.withColumn("__in", inside)
-    joined = ranked.join(starts, (F.col(group) == F.col("__g")) & (F.col("__bucket") == F.col("__b")))
-    return joined.withColumn("__n", F.col("__start") + F.col("__in")).drop(
-        "__g", "__b", "__bucket", "__start", "__in")
+        F.col(group).alias("its_group"), F.col("bucket").alias("its_bucket"),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy(group, "bucket").orderBy(*order)) - 1
+    joined = keyed.withColumn("place", inside).join(
+        starts, (F.col(group) == F.col("its_group")) & (F.col("bucket") == F.col("its_bucket")))
+    return joined.withColumn("n", F.col("start") + F.col("place"))
+
+
+def lanes(docs: DataFrame, named: list[str]) -> DataFrame:
+    """Number of each source, and its turn among those without a weight (null for the others)."""
+    rest = ~F.coalesce(F.col("source").isin(named), F.lit(False))
+    order = Window.orderBy(F.col("source").isNotNull(), "source")
+    numbers = docs.select("source").distinct().select(
+        F.col("source").alias("its_source"), F.row_number().over(order).alias("lane"),
+        F.when(rest, F.sum(rest.cast("long")).over(order) - 1).alias("turn"))
+    return written(numbers, "sources")
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -71,22 +89,26 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOC
     weights = {REST: 1, **weights}
     period, placed = slots_of(weights)
     buckets = max(1, docs.count() // BUCKET_DOCS)
-    named = [s for s in weights if s != REST]
-    rows = docs.drop(*RESULTS).withColumn(
-        "mix_source", F.when(F.col("source").isin(named), F.col("source")).otherwise(REST)
-    ).withColumn("__h", F.md5(F.col("doc_id").cast("string")))
-    part = F.conv(F.substring(F.coalesce("__h", F.lit("000000")), 1, 6), 16, 10).cast("long")
-    bucket = F.floor(part * buckets / (1 << 24))
-    ranked = numbered(rows, "mix_source", [F.col("__h"), F.col("doc_id"), F.xxhash64("text")], bucket)
-    block = F.floor(F.col("__n") / block_docs)
+    sources = lanes(docs, [s for s in weights if s != REST])
+    sharing = sources.where("turn IS NOT NULL").count()
+    # A whole row travels as one column, so no working column can meet one of its own.
+    rows = docs.drop(*RESULTS).select(F.struct("*").alias("row"))
+    rows = rows.join(few(sources), F.col("row.source").eqNullSafe(F.col("its_source")))
+    rows = rows.withColumn("h", F.md5(F.col("row.doc_id").cast("string"))).withColumn("text_hash", F.xxhash64("row.text"))
+    part = F.conv(F.substring("h", 1, 6), 16, 10).cast("long")
+    bucket = F.coalesce(F.floor(part * buckets / (1 << 24)), F.pmod("text_hash", F.lit(buckets)) - buckets)
+    ranked = numbered(rows, "lane", [F.col("h"), F.col("row.doc_id"), F.col("text_hash")], bucket)
+    own = F.floor(F.col("n") / block_docs)
+    block = F.when(F.col("turn").isNull(), own).otherwise(own * sharing + F.col("turn"))
+    scheduled = F.when(F.col("turn").isNull(), F.col("its_source")).otherwise(REST)
     table = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.array(*map(F.lit, at)))])
     shares = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.lit(len(at)))])
-    share = shares[F.col("mix_source")]
-    slot = F.get(table[F.col("mix_source")], (block % share).cast("int"))
-    return ranked.withColumns({
-        "mix_slot": (F.floor(block / share) * period + slot).cast("long"),
-        "mix_offset": (F.col("__n") % block_docs).cast("long"),
-    }).drop("__n", "__h")
+    share = shares[scheduled]
+    slot = F.get(table[scheduled], (block % share).cast("int"))
+    return ranked.select(
+        "row.*", F.coalesce("its_source", F.lit(REST)).alias("mix_source"),
+        (F.floor(block / share) * period + slot).cast("long").alias("mix_slot"),
+        (F.col("n") % block_docs).cast("long").alias("mix_offset"))
 
 
 def _sql() -> str:
@@ -94,13 +116,17 @@ def _sql() -> str:
     values = ", ".join(f"('{s}', {k}, {at}, {len(slots)})" for s, slots in placed.items() for k, at in enumerate(slots))
     named = ", ".join(f"'{s}'" for s in WEIGHTS if s != REST)
     return f"""
-WITH t(mix_source, k, slot, share) AS (VALUES {values}),
-s AS (SELECT doc_id, text, CASE WHEN source IN ({named}) THEN source ELSE '{REST}' END AS mix_source FROM documents),
-n AS (SELECT doc_id, mix_source, row_number() OVER (
-  PARTITION BY mix_source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, text) - 1 AS n FROM s)
-SELECT doc_id, n.mix_source, CAST((n // {BLOCK_DOCS}) // share * {period} + slot AS BIGINT) AS mix_slot,
+WITH t(lane, k, slot, share) AS (VALUES {values}),
+s AS (SELECT doc_id, text, source, CASE WHEN source IN ({named}) THEN source ELSE '{REST}' END AS lane FROM documents),
+r AS (SELECT source, row_number() OVER (ORDER BY source IS NOT NULL, source) - 1 AS turn, count(*) OVER () AS sharing
+  FROM (SELECT DISTINCT source FROM s WHERE lane = '{REST}')),
+n AS (SELECT doc_id, source, lane, row_number() OVER (
+  PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, text) - 1 AS n FROM s),
+b AS (SELECT n.*, CASE WHEN lane = '{REST}' THEN n // {BLOCK_DOCS} * sharing + turn ELSE n // {BLOCK_DOCS} END AS b
+  FROM n LEFT JOIN r ON n.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, coalesce(source, '{REST}') AS mix_source, CAST(b // share * {period} + slot AS BIGINT) AS mix_slot,
   CAST(n % {BLOCK_DOCS} AS BIGINT) AS mix_offset
-FROM n JOIN t ON n.mix_source = t.mix_source AND (n // {BLOCK_DOCS}) % share = k
+FROM b JOIN t ON b.lane = t.lane AND b % share = k
 """
 
 
