@@ -32,6 +32,14 @@ def test_unlabelled_texts_are_told_apart(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.predicted}
 
 
+def test_columns_with_the_names_of_working_columns(spark):
+    docs, labels = case(spark)
+    named = docs.withColumn("__score", F.lit("mine")).withColumn("__id", F.lit("too")).withColumn("good", F.lit(1))
+    kept = quality.keep_good(named, labels)
+    assert kept.columns == named.columns
+    assert {r["__score"] for r in kept.collect()} == {"mine"}
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels = case(spark)
     flipped = labels.withColumn(

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import free_names
 from tidemark.llm.scratch import durable
 from tidemark.llm.text_hash import U, Words, mix, word_slices
 
@@ -184,15 +185,17 @@ def _feature_rows(batches):
             doc, feature = indicators(words)
             cut = np.searchsorted(doc, np.arange(words.n_texts + 1))
             rows += [feature[cut[d] : cut[d + 1]].astype(np.int32).tobytes() for d in range(words.n_texts)]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], ["features", "good"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *batch.columns[1:]], ["features", "good", "id"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Sample, read the features of the sampled texts and fit; the sample bounds what the driver gets."""
     ids = F.broadcast(training_ids(docs, labels, per_class))  # two times per_class rows at most
     sample = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("__id"))
-    found: pd.DataFrame = (
-        sample.select("text", "good").mapInArrow(_feature_rows, "features binary, good boolean").toPandas())
+    read = sample.select("text", "good", F.col("__id").cast("long")).mapInArrow(
+        _feature_rows, "features binary, good boolean, id long")
+    # Of rows that repeat an id one text is learned, so the driver gets two times per_class rows at most.
+    found: pd.DataFrame = read.groupBy("id", "good").agg(F.min("features").alias("features")).toPandas()
     found = found.sort_values(["features"], kind="stable")
     rows = [np.frombuffer(f, np.int32) for f in found["features"]]
     order = np.random.default_rng(7).permutation(len(rows))
@@ -221,4 +224,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
 def keep_good(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """The documents predicted good, with all their columns."""
     model = fit(docs, labels, per_class)
-    return docs.withColumn("__score", scores(docs, model)).where(F.col("__score") >= ACCEPT).drop("__score")
+    (score,) = free_names(docs, "score")
+    return docs.withColumn(score, scores(docs, model)).where(F.col(score) >= ACCEPT).drop(score)
