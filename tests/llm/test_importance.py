@@ -1,0 +1,101 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from conftest import DATA
+from llm_data import make_docs, prose
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tidemark.llm import importance
+
+TARGET = "item_id long, text string"
+
+
+def feature_buckets(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    both = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    return len(words), [zlib.crc32(x.encode()) % 10_000 for x in both]
+
+
+def brute(docs, items):
+    """Rows of the result without ids twice: doc_id, n_features, weight, score, rank."""
+    found = [(i, *feature_buckets(t)) for i, t in docs]
+    corpus, target = Counter(), Counter()
+    for _, _, b in found:
+        corpus.update(b)
+    for t in items:
+        target.update(feature_buckets(t)[1])
+    s, t = sum(corpus.values()), sum(target.values())
+    gain = [math.floor(1000 * math.log((target[b] + 1) * (s + 10_000) / ((corpus[b] + 1) * (t + 10_000)))) for b in range(10_000)]
+    rows = []
+    for i, n, b in found:
+        weight = sum(gain[x] for x in b) // len(b) if b else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append((i, n, len(b), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))))
+    enough = sorted((r for r in rows if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    rank = {r[0]: k for k, r in enumerate(enough[: 25 * len(enough) // 100], 1)}
+    return sorted(((i, n, w, score, rank.get(i)) for i, _, n, w, score in rows), key=repr)
+
+
+def result(df):
+    return sorted(map(tuple, df.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=repr)
+
+
+def test_the_query_equals_brute_force(spark):
+    read = lambda name: spark.read.parquet(f"{DATA}/{name}.parquet").collect()
+    want = brute([(r.doc_id, r.text) for r in read("documents")], [r.text for r in read("benchmark")])
+    got = contract.queries()["op13_importance_resampling"](spark, DATA)
+    assert result(got) == want
+    assert all(kind == "bigint" for _, kind in got.dtypes)
+
+
+def test_odd_rows(spark):
+    texts = [None, "", "\0\0", "É é ÀB ab", "one", "a\0b", "x-y_z 1.5", "word " * 19, "word " * 20, "日本 語", prose(1, 30_000)]
+    docs = list(enumerate(texts + [prose(k, 25) for k in range(40)])) + [(None, prose(99, 40))]
+    items = [None, "", prose(3, 100), "É é word word"]
+    target = spark.createDataFrame(list(enumerate(items)), TARGET)
+    frame = make_docs(spark, docs).withColumn("weight", F.lit("mine")).withColumn("row", F.lit(0))
+    assert result(importance.resample(frame, target)) == brute(docs, items)
+    assert importance.resample(frame.limit(0), target).collect() == []
+    assert result(importance.resample(frame, target.limit(0))) == brute(docs, [])
+
+
+def test_repeated_rows_get_ranks_of_their_own(spark):
+    docs = make_docs(spark, [(1, prose(1, 30))] * 40 + [(2, prose(2, 30))] * 40)
+    got = importance.resample(docs, spark.createDataFrame([(1, prose(1, 30))], TARGET)).collect()
+    assert sorted(r["rank"] for r in got if r["rank"]) == list(range(1, 21))
+    drawn = [r for r in got if r["rank"]]
+    assert min(r.score for r in drawn) >= max(r.score for r in got if not r["rank"])
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, 1 << 20])
+def test_pieces_hold_the_features_of_whole_texts(size):
+    texts = ["", "a", "a b", "- a -- b - ", "long" * 30 + " x " + "y" * 90, "." * 200, "w " * 100 + "." * 80, "é" * 60 + " é", None, " a b c d e f g"]
+    got = [Counter() for _ in texts]
+    words = [0] * len(texts)
+    for part in importance.features(pa.array(texts), size):
+        for t, b in zip(part.text.tolist(), part.bucket.tolist()):
+            got[t][b] += 1
+        words = [w + n for w, n in zip(words, part.words.tolist())]
+    want = [feature_buckets(t) for t in texts]
+    assert got == [Counter(b) for _, b in want] and words == [n for n, _ in want]
+
+
+def test_like_documents_are_drawn(spark):
+    like = [prose(k, 60, 30) for k in range(100)]
+    texts = like + [" ".join(f"q{w}" for w in prose(k, 60, 30).split()) for k in range(300)]
+    target = spark.createDataFrame([(k, prose(1000 + k, 60, 30)) for k in range(50)], TARGET)
+    got = importance.resample(make_docs(spark, texts), target).where("rank IS NOT NULL").collect()
+    assert len(got) == 100 and sum(r.doc_id < 100 for r in got) > 60
+
+
+def test_no_text_is_shuffled(spark):
+    plan = importance.resample(
+        make_docs(spark, ["a b"]), spark.createDataFrame([(1, "a")], TARGET))._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan
