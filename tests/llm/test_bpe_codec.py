@@ -122,8 +122,12 @@ def test_ids_that_are_no_text(spark):
 
 
 def test_each_text_is_encoded_once(spark):
-    plan = codec.digests(make_docs(spark, ["a"]), PATH)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("encode(text") == 1
+    docs = make_docs(spark, ["a"])
+    vocabulary = codec.Vocabulary(docs, PATH)
+    ids = docs.select(codec.encoded(vocabulary, F.col("text")).alias("ids"))
+    apart = ids.select("ids", codec.decoded(vocabulary, F.col("ids")).alias("decoded"))
+    for df, call in ((codec.digests(docs, PATH), "there_and_back(text"), (apart, "encode(text")):
+        assert df._jdf.queryExecution().executedPlan().toString().count(call) == 1
 
 
 def test_the_query_equals_the_library(spark, library):

@@ -67,13 +67,28 @@ def int_lists(rows: list[bytes]) -> pa.Array:
         pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))]))
 
 
+def _encode(tables: ByteBpe, texts: pa.Array) -> pa.Array:
+    return int_lists([ids for part in text_slices(texts) for ids in tables.encode(part)])
+
+
+def _decode(tables: ByteBpe, lists: pa.Array) -> pa.Array:
+    out = []
+    for at in range(0, len(lists), 256):
+        part = lists.slice(at, 256)
+        end = np.cumsum(part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        data, token_end = tables.joined(part.flatten().to_numpy(zero_copy_only=False))
+        data, token_end = data.tobytes(), np.concatenate([[0], token_end])
+        cut = [0, *token_end[end].tolist()]
+        out += [data[a:b].decode(errors="replace") for a, b in zip(cut, cut[1:])]
+    return pa.array(out, pa.string())
+
+
 def encoded(vocabulary: Vocabulary, text: Column) -> Column:
     """The ids of a text column as an array."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        tables = vocabulary.tables()
-        return int_lists([ids for part in text_slices(texts) for ids in tables.encode(part)])
+        return _encode(vocabulary.tables(), texts)
 
     # Otherwise Spark may copy the call into each use of its result and encode twice.
     return encode.asNondeterministic()(text)
@@ -84,24 +99,24 @@ def decoded(vocabulary: Vocabulary, ids: Column) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        tables, out = vocabulary.tables(), []
-        for at in range(0, len(lists), 256):
-            part = lists.slice(at, 256)
-            end = np.cumsum(part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            data, token_end = tables.joined(part.flatten().to_numpy(zero_copy_only=False))
-            data, token_end = data.tobytes(), np.concatenate([[0], token_end])
-            cut = [0, *token_end[end].tolist()]
-            out += [data[a:b].decode(errors="replace") for a, b in zip(cut, cut[1:])]
-        return pa.array(out, pa.string())
+        return _decode(vocabulary.tables(), lists)
 
     return decode(ids)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, the ids of its text and the text that they decode to, for every row."""
+    """doc_id, the ids of its text and the text that they decode to, for every row.
+
+    One worker does both, so a task holds the tables once.
+    """
     vocabulary = Vocabulary(docs, path)
-    ids = docs.select("doc_id", encoded(vocabulary, F.col("text")).alias("ids"))
-    return ids.select("doc_id", "ids", decoded(vocabulary, F.col("ids")).alias("decoded"))
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        ids = _encode(vocabulary.tables(), texts)
+        return pa.StructArray.from_arrays([ids, _decode(vocabulary.tables(), ids)], ["ids", "decoded"])
+
+    return docs.select("doc_id", there_and_back(F.col("text")).alias("both")).select("doc_id", "both.ids", "both.decoded")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
