@@ -1,5 +1,6 @@
 """Live forms must give what a replay in arrival order gives, however the input is cut."""
 
+import time
 from datetime import timedelta
 
 import pytest
@@ -7,13 +8,16 @@ from feed import feed
 from fixtures import SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, keyed, windows
+from tidemark.operators import aggregates, keyed, topn, windows
+from tidemark.operators import lateness as late
 from tidemark.operators.counts import sliding_count
-from tidemark.session import scratch_path
+from tidemark.session import rocksdb, scratch_path
+from tidemark.sinks import folders
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources.readers import table_stream, text_stream
-from tidemark.streaming import lateness, stateful
+from tidemark.streaming import lateness, stamped, stateful
 from tidemark.streaming import windows as live
+from tidemark.streaming.ordered import arrival_files, arrivals, file_stream
 
 pytestmark = pytest.mark.usefixtures("few_partitions")
 S = lambda n: timedelta(seconds=n)
@@ -124,14 +128,133 @@ def test_windows_by_upsert_equal_batch(spark):
     assert rows_of(read_upserted(spark, path, key, ["cnt"]), *want.columns) == rows_of(want)
 
 
-def test_first_visits_are_the_distinct_count(spark):
+def closed(rows, seconds=6000):
+    """The rows in order, and a last one that closes all windows."""
+    last = rows.orderBy(F.desc("ts")).limit(1).withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {seconds} SECONDS"))
+    return last.select(*[F.col(c) if c == "ts" else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+
+
+def test_chained_aggregates_are_the_distinct_count(spark):
     rows = keyed_rows(spark)
-    parts, _ = batches(rows, "shuffled")
-    first = collected(spark, parts, lambda s: live.live_first_visits(s, "ts", "v", S(30), S(10), S(6000)))
-    got = first.groupBy("window_start", "window_end").agg(F.count("v").alias("uv"))
+    stream = arrivals(rows, ["ts"], closed(rows), batch_rows=50)
+    path = scratch_path(spark, "chained")
+    out = live.live_distinct_count(stream, "ts", "v", S(30), S(10))
+    live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
+    got = spark.read.parquet(f"{path}/out")
     assert rows_of(got) == rows_of(windows.distinct_count(rows, "ts", "v", S(30), S(10)))
 
 
+def test_windows_are_ranked_when_they_close(spark):
+    """Each window is in one folder only, and windows that are open are not ranked."""
+    rows = keyed_rows(spark)
+    path = scratch_path(spark, "ranked")
+    write = live.ranked_on_close(f"{path}/out", "window_end", "cnt", "k", 2)
+
+    def run(stream):
+        counts = live.live_windowed(stream, "ts", S(30), [windows.count_rows()], S(10), ["k"]).select("k", "window_end", "cnt")
+        with rocksdb(spark):
+            live.run_available(live.each_batch(counts, write), f"{path}/checkpoint")
+        return spark.read.parquet(f"{path}/out")
+
+    folder = arrival_files(rows, ["ts"], batch_rows=50)
+    got = run(file_stream(rows, folder))
+    last = rows.agg(F.max("ts")).first()[0]
+    assert got.where(F.col("window_end") > F.lit(last)).isEmpty() and not got.isEmpty()
+    closed(rows).coalesce(1).write.mode("append").parquet(folder)  # the query goes on from its checkpoint
+    got = run(file_stream(rows, folder))
+    assert got.groupBy("window_end").agg(F.count_distinct("batch_id").alias("n")).where("n > 1").isEmpty()
+    want = topn.hot_keys(rows, "ts", "k", S(30), S(10), 2)
+    assert rows_of(got.drop("batch_id"), *want.columns) == rows_of(want)
+
+
+JUMBLED = "CASE WHEN seq % 7 = 3 THEN ms - 45000 WHEN seq % 11 = 5 THEN ms - 300000 ELSE ms END"
+
+
+@pytest.mark.parametrize("batch_rows", [11, 1000])
+def test_every_firing_of_a_window(spark, batch_rows):
+    """Rows that come late fire their windows again, whatever the micro-batches are."""
+    rows = keyed_rows(spark).withColumn("ts", F.timestamp_millis(F.expr(JUMBLED))).withColumn("two", F.lit(0))
+    rows = rows.select("k", "ts", "v", "seq", "two")
+    path = scratch_path(spark, "firings")
+    with rocksdb(spark):
+        live.run_available(live.each_batch(
+            arrivals(rows, ["seq"], batch_rows=batch_rows), stamped.stamp(path, "ts", ["seq"], S(5))), f"{path}/first")
+        stamped.close(spark, rows, path, stamped.seen_ms(spark, path) + 10**8)
+        clocked = stamped.clocked(stamped.stamped_stream(rows, path), "ts", S(5))
+        out = stateful.live_window_firings(clocked, "ts", "k", "v", ["seq", "two"], S(30), S(40), ["seq", "v"], slide=S(10))
+        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/second")
+    status = late.classify_late(rows, "ts", ["seq"], S(30), S(10), delay=S(5), lateness=S(40))
+    want = late.window_firings(status, ["k"], "v", ["seq"], ["seq", "v"])
+    assert {r.status for r in status.select("status").distinct().collect()} == {"on_time", "refire", "late"}
+    assert rows_of(spark.read.parquet(f"{path}/out"), *want.columns) == rows_of(want)
+
+
+def rises(spark, rows, path, upto=None):
+    """Alerts by the clock; after ``upto`` micro-batches the second query stops and goes on from its checkpoint."""
+    with rocksdb(spark):
+        write = stamped.stamp(path, "ts", ["seq"])
+        live.run_available(live.each_batch(arrivals(rows, ["seq"], batch_rows=25), write), f"{path}/first")
+        stamped.close(spark, rows, path, stamped.seen_ms(spark, path) + 1)
+        stream = stamped.clocked(stamped.stamped_stream(rows, path), "ts")
+        out = stateful.live_sustained_rise(stream, "k", "v", "ts", "seq", S(20), 2, clock="clock")
+        if upto:
+            query = live.append_to(out, f"{path}/out").option("checkpointLocation", f"{path}/second")
+            running = query.trigger(availableNow=True).start()
+            while running.isActive and len(running.recentProgress) < upto:
+                time.sleep(0.02)
+            running.stop()
+        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/second")
+    return spark.read.parquet(f"{path}/out")
+
+
+def rising(spark):
+    return keyed_rows(spark, 200).withColumn("v", F.expr("CAST(seq % 23 AS DOUBLE)")).select("k", "ts", "v", "seq")
+
+
+def test_rises_after_a_restart_in_the_middle(spark):
+    rows = rising(spark)
+    want = keyed.sustained_rise_alert(rows, "k", "v", "ts", "seq", S(20), 2, at_end="hold")
+    assert not want.isEmpty()
+    for upto in (None, 2):
+        got = rises(spark, rows, scratch_path(spark, "rises"), upto)
+        assert rows_of(got, *want.columns) == rows_of(want)
+
+
+def test_rows_behind_the_clock_count_in_a_rise(spark):
+    """A late row that is lower ends the run; dropping it would give an alert."""
+    def part(late_value):
+        values = [(0, 1.0, 0), (1, 2.0, 10), (2, 3.0, 20), (3, late_value, 5), (4, 9.0, 21), (5, 9.5, 60)]
+        return spark.createDataFrame([("a", v, i, t) for i, v, t in values], "k string, v double, seq long, s long").select(
+            "k", F.timestamp_seconds("s").alias("ts"), "v", "seq")
+
+    higher, lower = (rises(spark, part(v), scratch_path(spark, "rises")) for v in (3.5, 0.5))
+    assert [r.rises for r in higher.orderBy("seq").collect()][:1] == [3]
+    assert not {r.seq for r in lower.collect()} & {0, 1, 2}
+    assert {r.seq for r in higher.collect()} > {0, 1, 2}
+
+
+@pytest.mark.parametrize("what", ["running", "changelog", "jump"])
+def test_a_stream_goes_on_from_history(spark, what):
+    rows = keyed_rows(spark)
+    history, fresh = rows.where("seq < 70"), rows.where("seq >= 70")
+    stream = arrivals(fresh, ["seq"], batch_rows=30)
+    counts = stateful.counts_so_far(history, "k")
+    if what == "running":
+        out, batch = stateful.live_running_count(stream, "k", "seq", counts), lambda df: keyed.running_sum(df, "k", ["seq"])
+    elif what == "changelog":
+        out, batch = stateful.live_changelog(stream, "k", "seq", counts), lambda df: keyed.changelog(df, "k", ["seq"])
+    else:
+        known = stateful.last_values(history, "k", "v", "seq")
+        out = stateful.live_jump_alert(stream, "k", "v", "ts", "seq", 5, known)
+        batch = lambda df: keyed.jump_alert(df.withColumn("v", F.col("v").cast("double")), "k", "v", "ts", ["seq"], 5)
+    path = scratch_path(spark, "history")
+    with rocksdb(spark):
+        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
+    columns = [c for c in out.columns]
+    both = batch(history).select(*columns).unionByName(spark.read.parquet(f"{path}/out"))
+    assert rows_of(both) == rows_of(batch(rows), *columns)
+
+
 def test_table_streams_take_a_file_and_a_folder(spark, tmp_path):
     for path in ("/root/testdata/sf0.001/nation.parquet", str(tmp_path / "n.parquet")):
         if "testdata" not in path:

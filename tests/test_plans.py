@@ -17,8 +17,9 @@ def test_no_single_task_exchange(spark, name):
     assert "SinglePartition" not in plan(QUERIES[name](spark, DATA))
 
 
-def test_only_block_maxima_meet_in_one_task(spark):
-    """Every single-task exchange of the late-row query sits on an aggregate by block."""
+def test_only_block_maxima_meet_in_one_task(spark, monkeypatch):
+    """Every single-task exchange of the late-row query sits on an aggregate by block, from two blocks on."""
+    monkeypatch.setattr("tidemark.operators.lateness.ROWS_PER_BLOCK", 3000)
     lines = plan(QUERIES["late_status"](spark, DATA)).splitlines()
     singles = [i for i, x in enumerate(lines) if "SinglePartition" in x]
     assert singles

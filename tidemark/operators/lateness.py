@@ -37,12 +37,11 @@ def with_watermark_before(
     """Add the watermark that holds when a row arrives.
 
     The running maximum over all rows is taken per block of arrivals; only the block
-    maxima (one row per block) meet in one task.
+    maxima (one row per block) meet in one task. Rows that fit into one block are not written.
     """
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(tasks, math.ceil(df.count() / (rows_per_block or ROWS_PER_BLOCK)))
+    blocks = math.ceil(df.count() / (rows_per_block or ROWS_PER_BLOCK))
     seen = {"__seen": Running("max", epoch_millis(F.col(ts)), with_current=False)}
-    rows = running(cut(df, arrival, blocks), [], list(arrival), seen)
+    rows = running(cut(df, arrival, blocks) if blocks > 1 else df, [], list(arrival), seen)
     mark = F.coalesce(F.col("__seen") - millis(delay), F.lit(NO_WATERMARK))
     return rows.withColumn(WATERMARK, mark).drop("__seen", BLOCK)
 

@@ -53,18 +53,18 @@ class Hot:
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_block: int | None = None) -> Hot | None:
     """The keys above the bound, by a sample of about 1000 rows for each block.
 
-    A wrong guess costs time and changes no result. The keys are written, so Spark knows their
-    size and sends them to every task only if they are few.
+    A wrong guess costs time and changes no result. Hot keys are counted first; only if there are some
+    are they written, so Spark knows their size and sends them to every task only if they are few.
     """
     limit = rows_per_block or ROWS_PER_BLOCK
     share = min(1.0, SAMPLE_PER_BLOCK / limit)
     sample = df.sample(share, seed=1) if share < 1 else df
     rows = F.count(F.lit(1)).alias("__rows")
-    table = written(sample.groupBy(*keys).agg(rows).where(F.col("__rows") > limit * share), "hot-keys")
-    sampled = table.agg(F.sum("__rows")).first()[0]
+    hot = sample.groupBy(*keys).agg(rows).where(F.col("__rows") > limit * share)
+    sampled = hot.agg(F.sum("__rows")).first()[0]
     if sampled is None:
         return None
-    return Hot(tuple(keys), table.select(*keys), max(2, math.ceil(sampled / share / limit)))
+    return Hot(tuple(keys), written(hot.select(*keys), "hot-keys"), max(2, math.ceil(sampled / share / limit)))
 
 
 def cut(df: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:

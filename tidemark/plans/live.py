@@ -1,21 +1,23 @@
 """The same questions asked of live streams.
 
-A table is given to a query as a stream in the order in which its rows arrived, a bounded number of
-rows at a time (``replay``); where that order does not matter, the query reads the files of the table
-as they are, ``BATCH_BYTES`` at a time. Windows that are still open are given by update mode and an
-upsert, so nothing has to close them. Results must equal the SQL of the batch query.
+A table reaches a query as a plain file stream in the order in which its rows arrived, written once, a
+bounded number of rows per micro-batch (``streaming.ordered``); where that order does not matter, the
+query reads the files of the table as they are, ``BATCH_BYTES`` at a time. Each query is started once and
+ends when all files are read. A last row far ahead closes what a query gives only when a window closes.
+Results must equal the SQL of the batch query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import first_number
-from tidemark.functions.timing import epoch_millis
-from tidemark.operators import topn, windows
+from tidemark.functions.timing import millis
+from tidemark.operators import keyed, windows
 from tidemark.plans import batch as b
 from tidemark.plans import windows as w
 from tidemark.plans.catalog import query, table
@@ -23,9 +25,9 @@ from tidemark.schemas import BEHAVIOR
 from tidemark.session import rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources import parsers, readers
-from tidemark.streaming import carried, lateness
+from tidemark.streaming import lateness, stamped, stateful
 from tidemark.streaming import windows as live
-from tidemark.streaming.replay import replay
+from tidemark.streaming.ordered import arrivals
 
 BATCH_BYTES = 1 << 30
 Order = Sequence[str | Column]
@@ -43,53 +45,32 @@ def _zoneless(df: DataFrame) -> DataFrame:
     return df
 
 
-Shape = Callable[[DataFrame], DataFrame]
+def _run(out: DataFrame, write: Callable[[DataFrame, int], None], path: str, mode: str = "append") -> None:
+    with rocksdb(out.sparkSession):
+        live.run_available(live.each_batch(out, write, mode), f"{path}/checkpoint")
 
 
-def _appended(rows: DataFrame, by: Order, shape: Shape, label: str) -> DataFrame:
-    """What an append-mode query writes; state is kept in the RocksDB store."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    schemas = []
+def _appended(out: DataFrame, label: str) -> DataFrame:
+    """What an append-mode query writes."""
+    spark, path = out.sparkSession, scratch_path(out.sparkSession, label)
+    with rocksdb(spark):
+        live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
+    return _zoneless(spark.read.schema(out.schema).parquet(f"{path}/out"))
 
-    def step(stream: DataFrame) -> None:
-        out = shape(stream)
-        schemas.append(out.schema)
-        with rocksdb(spark):
-            live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
 
-    replay(rows, by, step)
-    return _zoneless(spark.read.schema(schemas[0]).parquet(f"{path}/out"))
-
-
-def _upsert(out: DataFrame, path: str, key: list[str], order: list[str], mode: str = "update") -> None:
-    live.run_available(live.each_batch(out, upsert_folder(f"{path}/out", key, order), mode), f"{path}/checkpoint")
-
-
-def _upserted(
-    rows: DataFrame, by: Order, shape: Shape, label: str, key: list[str], order: list[str], mode: str = "update",
-    **files,
-) -> DataFrame:
+def _upserted(out: DataFrame, label: str, key: list[str], order: list[str], mode: str = "update") -> DataFrame:
     """The rows that an upsert by key leaves."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    replay(rows, by, lambda stream: _upsert(shape(stream), path, key, order, mode), **files)
+    spark, path = out.sparkSession, scratch_path(out.sparkSession, label)
+    _run(out, upsert_folder(f"{path}/out", key, order), path, mode)
     return _zoneless(read_upserted(spark, f"{path}/out", key, order))
 
 
-def _counted(out: DataFrame, label: str, key: list[str]) -> DataFrame:
-    """Counts of rows in any order."""
-    path = scratch_path(out.sparkSession, label)
-    _upsert(out, path, key, ["cnt"])
-    return _zoneless(read_upserted(out.sparkSession, f"{path}/out", key, ["cnt"]))
-
-
-def _carried(rows: DataFrame, by: Order, label: str, step: carried.Step) -> DataFrame:
-    """Keyed results of each micro-batch, with what its keys carry on."""
-    path = scratch_path(rows.sparkSession, label)
-    write = carried.each_carried(path, step)
-    replay(rows, by, lambda stream: live.run_available(live.each_batch(stream, write), f"{path}/checkpoint"))
-    return carried.read_results(rows.sparkSession, path)
+def _closing(rows: DataFrame, ts: str, wait: timedelta) -> DataFrame:
+    """One row whose time lies so far ahead that all windows of the others close; the rest of it is null."""
+    last = rows.agg(F.max(F.col(ts).cast("timestamp")).alias("last"))
+    ahead = (F.col("last") + F.lit(wait)).cast(rows.schema[ts].dataType)
+    return last.where("last IS NOT NULL").select(
+        *[ahead.alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
 
 
 BY_TIME = ["ts", "event_id"]
@@ -100,44 +81,42 @@ WINDOW = ["window_start", "window_end"]
 def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     aggs = [windows.count_rows(), windows.first_of(F.col("ts"), F.col("event_id"), "first_ts")]
-    shape = lambda s: live.live_windowed(s, "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"], w.MONTH)
-    return _upserted(rows, BY_TIME, shape, "sliding", ["event_type", *WINDOW], ["cnt"])
+    out = live.live_windowed(arrivals(rows, BY_TIME), "ts", w.HOUR, aggs, w.TEN_MINUTES, ["event_type"], w.MONTH)
+    return _upserted(out, "sliding", ["event_type", *WINDOW], ["cnt"])
 
 
 @query(w.ROW_SQL.format(size="1 hour", direction="DESC"))
 def stream_tumbling_max_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    shape = lambda s: live.live_extreme_row(
-        s, "ts", w.HOUR, ["event_type"], "value", "event_id", "max", ["event_id", "ts", "value"], w.MONTH
-    )
-    return _upserted(rows, BY_TIME, shape, "max-row", ["event_type", *WINDOW], ["value"])
+    out = live.live_extreme_row(
+        arrivals(rows, BY_TIME), "ts", w.HOUR, ["event_type"], "value", "event_id", "max", ["event_id", "ts", "value"], w.MONTH)
+    return _upserted(out, "max-row", ["event_type", *WINDOW], ["value"])
 
 
 @query(w.UV_SQL)
 def stream_uv_3h_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two aggregates in one streaming plan."""
     rows = table(spark, sf_dir, "events").where(w.VIEW).select("ts", "user_id")
-    shape = lambda s: live.live_first_visits(s, "ts", "user_id", w.THREE_HOURS, w.HOUR, w.MONTH)
-    return _appended(rows, ["ts"], shape, "uv").groupBy(*WINDOW).agg(F.count("user_id").alias("uv"))
+    stream = arrivals(rows, ["ts"], _closing(rows, "ts", 2 * w.THREE_HOURS))
+    return _appended(live.live_distinct_count(stream, "ts", "user_id", w.THREE_HOURS, w.HOUR), "uv")
 
 
 @query(w.HOT_ITEMS_SQL)
 def stream_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts kept by upsert; the ranking is taken of the counts when it is asked for."""
+    """Each window ranked in the micro-batch that closes it, and written once."""
     rows = table(spark, sf_dir, "events").where(w.VIEW).select("ts", first_number(F.col("props")).alias("item_id"))
-
-    def shape(s: DataFrame) -> DataFrame:
-        counts = live.live_windowed(s, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"], w.MONTH)
-        return counts.select("item_id", "window_end", "cnt")
-
-    kept = _upserted(rows, ["ts"], shape, "hot-items", ["item_id", "window_end"], ["cnt"])
-    return topn.top_n(kept, "window_end", "cnt", "item_id")
+    stream = arrivals(rows, ["ts"], _closing(rows, "ts", 2 * w.HOUR))
+    counts = live.live_windowed(stream, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["item_id"])
+    path = scratch_path(spark, "hot-items")
+    _run(counts.select("item_id", "window_end", "cnt"), live.ranked_on_close(f"{path}/out", "window_end", "cnt", "item_id"), path)
+    return _zoneless(spark.read.parquet(f"{path}/out").drop("batch_id"))
 
 
 @query(b.GROUP_COUNT_SQL)
 def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts in update mode, upserted by key."""
     counts = _stream(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
-    return _counted(counts, "counts", ["event_type"])
+    return _upserted(counts, "counts", ["event_type"], ["cnt"])
 
 
 @query(b.GROUP_COUNT_SQL)
@@ -145,7 +124,7 @@ def stream_wall_clock_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of processing time; which window a row falls in varies, the totals do not."""
     timed = live.processing_time(_stream(spark, sf_dir, "events").select("event_type"))
     out = live.live_windowed(timed, "processed_at", w.FIFTEEN, [windows.count_rows()], keys=["event_type"])
-    kept = _counted(out, "wall-clock", ["event_type", *WINDOW])
+    kept = _upserted(out, "wall-clock", ["event_type", *WINDOW], ["cnt"])
     return kept.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
 
@@ -157,64 +136,97 @@ GROUP BY event_type, window_start, window_end
 """)
 def stream_text_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited text files as a stream, parsed and counted per window."""
-    def shape(lines: DataFrame) -> DataFrame:
-        parsed = parsers.parse_delimited(lines, BEHAVIOR)
-        rows = parsed.select("behavior", F.timestamp_seconds("ts_s").alias("ts"))
-        return live.live_windowed(rows, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["behavior"], w.MONTH)
-
     seconds = F.substring_index("value", ",", -1).cast("long")
-    return _upserted(b.behavior_lines(spark, sf_dir), [seconds], shape, "text-counts", ["behavior", *WINDOW], ["cnt"], form="text")
+    lines = arrivals(b.behavior_lines(spark, sf_dir), [seconds], form="text")
+    parsed = parsers.parse_delimited(lines, BEHAVIOR).select("behavior", F.timestamp_seconds("ts_s").alias("ts"))
+    out = live.live_windowed(parsed, "ts", w.HOUR, [windows.count_rows()], w.TEN_MINUTES, ["behavior"], w.MONTH)
+    return _upserted(out, "text-counts", ["behavior", *WINDOW], ["cnt"])
 
 
 @query(b.UPSERT_SQL)
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     by = ["o_orderdate", "o_orderkey"]
-    return _upserted(rows, by, lambda s: s, "orders", ["o_custkey"], by, "append")
+    return _upserted(arrivals(rows, by), "orders", ["o_custkey"], by, "append")
+
+
+def _halves(rows: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """The rows up to the middle of the order, which an earlier job has read, and those that arrive."""
+    (low, high) = rows.agg(F.min(order), F.max(order)).first()
+    middle = 0 if low is None else (low + high) // 2
+    return rows.where(F.col(order) <= middle), rows.where(F.col(order) > middle)
 
 
 @query(b.RUNNING_SQL)
 def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return _carried(rows, ["event_id"], "running", carried.running_count("event_type", "event_id"))
+    """History by a batch query; the stream goes on from its counts."""
+    history, fresh = _halves(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    known = stateful.counts_so_far(history, "event_type")
+    out = stateful.live_running_count(arrivals(fresh, ["event_id"]), "event_type", "event_id", known)
+    return keyed.running_sum(history, "event_type", ["event_id"]).unionByName(_appended(out, "running"))
 
 
 @query(b.CHANGELOG_SQL)
 def stream_retract_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return _carried(rows, ["event_id"], "changelog", carried.changelog("event_type", "event_id"))
+    """History by a batch query; the stream withdraws what that gave last."""
+    history, fresh = _halves(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    known = stateful.counts_so_far(history, "event_type")
+    out = stateful.live_changelog(arrivals(fresh, ["event_id"]), "event_type", "event_id", known)
+    return keyed.changelog(history, "event_type", ["event_id"]).unionByName(_appended(out, "changelog"))
 
 
 @query(b.COUNT_5_2_SQL)
 def stream_count_window_5_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    fired = _carried(rows, ["event_id"], "count-window", carried.count_window("user_id", "value", "event_id", 5, 2))
+    out = stateful.live_count_window(arrivals(rows, ["event_id"]), "user_id", "value", "event_id", 5, 2)
+    fired = _appended(out, "count-window")
     return fired.select("user_id", "fired_at", F.round("total", 2).alias("sum_value"))
 
 
 @query(b.JUMP_SQL)
 def stream_jump_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History by a batch query; the stream compares with the last value of each key in it."""
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    return _carried(rows, ["event_id"], "jumps", carried.jump_alert("user_id", "value", "ts", "event_id", b.JUMP))
+    history, fresh = _halves(rows, "event_id")
+    known = stateful.last_values(history, "user_id", "value", "event_id")
+    out = stateful.live_jump_alert(arrivals(fresh, ["event_id"]), "user_id", "value", "ts", "event_id", b.JUMP, known)
+    return keyed.jump_alert(history, "user_id", "value", "ts", ["event_id"], b.JUMP).unionByName(_appended(out, "jumps"))
+
+
+def _stamped(rows: DataFrame, by: list[str], ts: str, delay: timedelta, until: timedelta) -> DataFrame:
+    """The rows as a stream with their clock, stamped by a first query; a last row moves the clock on."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "stamped")
+    _run(arrivals(rows, by), stamped.stamp(path, ts, by, delay), path)
+    seen = stamped.seen_ms(spark, path)
+    if seen is not None:
+        stamped.close(spark, rows, path, seen + millis(until))
+    return stamped.clocked(stamped.stamped_stream(rows, path), ts, delay)
 
 
 @query(b.RISE_SQL + " AND ts_ms + 18000000 <= (SELECT max(epoch_us(ts) // 1000) FROM events)")
 def stream_sustained_rise_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts that are due by the largest time the stream has seen."""
+    """Alerts that are due by the largest time the stream has seen, by timers."""
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    return _carried(rows, [epoch_millis(F.col("ts"))], "rises", carried.sustained_rise("user_id", "value", "ts", "event_id", b.RISE_SPAN))
+    marked = _stamped(rows, ["event_id"], "ts", timedelta(0), timedelta(milliseconds=1))
+    out = stateful.live_sustained_rise(marked, "user_id", "value", "ts", "event_id", b.RISE_SPAN, clock=stamped.CLOCK)
+    return _appended(out, "rises")
 
 
-def _split(spark: SparkSession, sf_dir: str, path: str, then: Callable[[DataFrame], None] | None = None) -> None:
-    """Accepted and late rows of each part of the arrivals; ``then`` reads the accepted ones so far."""
-    write = lateness.split_late(path, "ts", w.ARRIVAL, w.TEN_MINUTES, delay=w.DELAY, lateness=w.LATENESS)
+@query(w.FIRINGS_SQL)
+def stream_window_firings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each result of a window as a row of its own, when it is given."""
+    marked = _stamped(w.jittered(spark, sf_dir), w.ARRIVAL, "ts", w.DELAY, 2 * w.TEN_MINUTES)
+    out = stateful.live_window_firings(
+        marked, "ts", "event_type", "value", w.ARRIVAL, w.TEN_MINUTES, w.LATENESS, ["event_id", "value"])
+    return _appended(out, "firings")
 
-    def step(stream: DataFrame) -> None:
-        live.run_available(live.each_batch(stream, write), f"{path}/checkpoint-split")
-        if then:
-            then(lateness.accepted_stream(stream, path))
 
-    replay(w.jittered(spark, sf_dir), w.ARRIVAL, step)
+def _split(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Accepted and late rows of the arrivals; gives the stream of the accepted ones."""
+    write = lateness.split_late(path, "ts", w.ARRIVAL, w.TEN_MINUTES, delay=w.DELAY, lateness=w.LATENESS)
+    rows = w.jittered(spark, sf_dir)
+    _run(arrivals(rows, w.ARRIVAL), write, path)
+    return lateness.accepted_stream(rows, path)
 
 
 @query(f"WITH {w.STATUS_CTE} SELECT {w.LATE_COLUMNS} FROM status WHERE status = 'late'")
@@ -232,15 +244,7 @@ SELECT event_type, window_start, window_end, event_id, value FROM (
 """)
 def stream_window_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the accepted rows, emitted again for each change, newest result per window."""
-    path = scratch_path(spark, "accepted")
-    key, order = ["event_type", *WINDOW], ["event_id"]
-
-    def fire(accepted: DataFrame) -> None:
-        kept = lateness.kept_events(accepted, "ts", w.DELAY, w.LATENESS)
-        best = windows.extreme_row(
-            kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"]
-        )
-        _upsert(best, f"{path}/firings", key, order)
-
-    _split(spark, sf_dir, path, fire)
-    return _zoneless(read_upserted(spark, f"{path}/firings/out", key, order))
+    accepted = _split(spark, sf_dir, scratch_path(spark, "accepted"))
+    kept = lateness.kept_events(accepted, "ts", w.DELAY, w.LATENESS)
+    best = windows.extreme_row(kept, "ts", w.TEN_MINUTES, ["event_type"], "value", "event_id", "min", ["event_id", "value"])
+    return _upserted(best, "newest", ["event_type", *WINDOW], ["event_id"])

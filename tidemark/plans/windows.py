@@ -388,7 +388,7 @@ def window_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.window_with_lateness(rows, ["event_type"], "value", ARRIVAL, ["event_id", "value"])
 
 
-@query(f"""
+FIRINGS_SQL = f"""
 WITH {STATUS_CTE},
 ok AS (SELECT * FROM status WHERE status <> 'late'),
 best AS (
@@ -401,7 +401,10 @@ fired AS (
   SELECT *, row_number() OVER (PARTITION BY event_type, window_end ORDER BY arrival, event_id) AS firing_no
   FROM best WHERE status = 'refire' OR next_status IS NULL OR next_status = 'refire')
 SELECT event_type, window_start, window_end, firing_no, b.event_id AS event_id, b.value AS value FROM fired
-""")
+"""
+
+
+@query(FIRINGS_SQL)
 def window_firings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = late.with_windows(jittered(spark, sf_dir), "ts", TEN_MINUTES)
     return late.window_firings(

@@ -34,3 +34,16 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path with the scheme and store that the cluster gives to paths without them."""
     store, at = _path(spark, path)
     return store.makeQualified(at).toString()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that Spark wrote into a folder, in the order of their names."""
+    store, at = _path(spark, path)
+    found = [s.getPath() for s in store.listStatus(at)]
+    return [p.toString() for p in sorted(found, key=lambda p: p.getName()) if not p.getName().startswith(("_", "."))]
+
+
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Give a file a modification time, by which a file stream orders it."""
+    store, at = _path(spark, path)
+    store.setTimes(at, millis, -1)

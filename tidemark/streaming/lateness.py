@@ -1,9 +1,8 @@
 """Late rows of a live stream as a second output.
 
 Spark drops late rows before an operator sees them. So a first query sorts the rows of each
-micro-batch into accepted and late ones, and a second query aggregates the accepted rows. Before
-each row the watermark is the largest event time that arrived earlier, in this micro-batch or one
-before, minus the delay; how the input is cut into batches makes no difference.
+micro-batch into accepted and late ones by the watermark it stamps them with, and a second query
+aggregates the accepted rows; how the input is cut into batches makes no difference.
 """
 
 from __future__ import annotations
@@ -12,12 +11,10 @@ from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.timing import epoch_millis, millis
-from tidemark.operators.lateness import WATERMARK, is_late, with_watermark_before
-from tidemark.sinks.folders import is_complete, remove
+from tidemark.operators.lateness import WATERMARK, is_late
 from tidemark.sources.readers import event_table
+from tidemark.streaming.stamped import stamp, stamped_stream
 
 
 def split_late(
@@ -30,42 +27,18 @@ def split_late(
     lateness: timedelta = timedelta(0),
     rows_per_block: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes ``accepted``, ``late`` and the time seen so far.
+    """A ``foreachBatch`` function that writes ``accepted``, ``late`` and the time seen so far."""
 
-    The time seen before a batch comes from the mark its predecessor left. A batch that is
-    delivered again splits in the same way; folders that were complete are left as they are, so a
-    query that reads them as a stream sees no row twice. Marks before the last are removed.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = f"batch_id={batch_id}"
-        if is_complete(spark, f"{path}/marks/{target}"):
-            return
-        seen = None
-        if batch_id > 0:
-            seen = spark.read.parquet(f"{path}/marks/batch_id={batch_id - 1}").first()[0]
-        marked = with_watermark_before(batch, ts, arrival, delay, rows_per_block)
-        if seen is not None:
-            marked = marked.withColumn(WATERMARK, F.greatest(F.col(WATERMARK), F.lit(seen - millis(delay))))
-        rows = marked.withColumn("late", is_late(ts, size, slide, lateness)).drop(WATERMARK).persist()
-        try:
-            for name, part in (("accepted", rows.where(~F.col("late"))), ("late", rows.where("late"))):
-                if not is_complete(spark, f"{path}/{name}/{target}"):
-                    part.drop("late").write.mode("overwrite").parquet(f"{path}/{name}/{target}")
-            top = rows.agg(F.greatest(F.max(epoch_millis(F.col(ts))), F.lit(seen).cast("long")).alias("seen_ms"))
-            top.write.mode("overwrite").parquet(f"{path}/marks/{target}")
-        finally:
-            rows.unpersist()
-        if batch_id > 1:
-            remove(spark, f"{path}/marks/batch_id={batch_id - 2}")
+    def parts(rows: DataFrame) -> dict[str, DataFrame]:
+        late = is_late(ts, size, slide, lateness)
+        return {"accepted": rows.where(~late).drop(WATERMARK), "late": rows.where(late).drop(WATERMARK)}
 
-    return write
+    return stamp(path, ts, arrival, delay, parts, rows_per_block)
 
 
 def accepted_stream(rows: DataFrame, path: str) -> DataFrame:
     """The accepted rows of ``split_late`` as a stream; ``rows`` gives the schema."""
-    return rows.sparkSession.readStream.schema(rows.schema).parquet(f"{path}/accepted")
+    return stamped_stream(rows, path, "accepted")
 
 
 def kept_events(

@@ -1,15 +1,18 @@
 """Keyed results and alerts on live streams, with state and timers in Spark's state store.
 
 Rows count in the order they arrive: micro-batch by micro-batch, and inside a micro-batch by the
-order column. The rows of a key in a micro-batch are sorted in one task; where a key is hot use
-``carried``, which splits it, as the registered queries do. The session needs the RocksDB
-state store (``session.rocksdb``).
+order column. The rows of a key in a micro-batch are sorted in one task, so the size of a micro-batch
+bounds what a hot key asks of one (``ordered.BATCH_ROWS`` in the registered queries). A stream may go on
+where a batch query over history ended: ``initial`` holds a row per key, as the functions
+``counts_so_far`` and ``last_values`` give them, and is read once, with the first micro-batch. The
+session needs the RocksDB state store (``session.rocksdb``).
 """
 
 from __future__ import annotations
 
+from bisect import insort
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
@@ -18,8 +21,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
+from tidemark.operators.lateness import WATERMARK, with_windows
+from tidemark.operators.windows import END, START
 from tidemark.schemas import struct
 from tidemark.sources.readers import event_table
+from tidemark.streaming.stamped import CLOCK
 
 
 class _Keyed(StatefulProcessor):
@@ -31,6 +37,10 @@ class _Keyed(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", self.memory)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Take what an earlier job knew of a key, in the columns of ``memory``."""
+        self.last.update(tuple(initialState[part.split()[0]] for part in self.memory.split(",")))
+
     def remembered(self, default: tuple) -> tuple:
         return tuple(self.last.get()) if self.last.exists() else default
 
@@ -105,7 +115,9 @@ class SustainedRise(_Keyed):
     """Alert a span after a row if its run of rises still lasts and is long enough.
 
     Spark fires timers after the rows of a micro-batch, so the deadlines that are due between
-    two rows of the batch are settled here first; a timer serves those that are left.
+    two rows of the batch are settled here first; a timer serves those that are left, also of keys
+    that fell silent. Every row counts in the order of arrival; one whose time lies behind the clock has a
+    deadline like others, which may be due at once.
     """
 
     memory = "v double, start_ms long, rises long"
@@ -117,37 +129,41 @@ class SustainedRise(_Keyed):
         super().init(handle)
         self.pending = handle.getListState("pending", "due_ms long, seq long")
 
-    def _waiting(self) -> deque:
-        return deque((tuple(p) for p in self.pending.get()) if self.pending.exists() else ())
+    def _waiting(self) -> list:
+        return [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
 
-    def _due(self, key, run: tuple, waiting: deque, before: int) -> Iterator[Row]:
+    def _due(self, key, run: tuple, waiting: list, before: int) -> Iterator[Row]:
         """Take the deadlines earlier than a time; alert if the run is long enough."""
-        while waiting and waiting[0][0] < before:
-            due, seq = waiting.popleft()
+        n = 0
+        while n < len(waiting) and waiting[n][0] < before:
+            due, seq = waiting[n]
+            n += 1
             if run[2] >= self.min_rises:
                 yield Row(k=key[0], seq=seq, timer_ms=due, run_start_ms=run[1], rises=run[2])
+        del waiting[:n]
 
-    def _save(self, run: tuple, waiting: deque) -> None:
-        self.last.update(run)
+    def _save(self, run: tuple, waiting: list) -> None:
+        if run:
+            self.last.update(run)
         if waiting:
-            self.pending.put(list(waiting))
+            self.pending.put(waiting)
             self.handle.registerTimer(waiting[0][0])
         else:
             self.pending.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         run, waiting = self.remembered(()), self._waiting()
-        for row in sorted(rows, key=lambda r: (r.ts_ms, r.seq)):
+        for row in sorted((r for r in rows if r.seq is not None), key=lambda r: (r.clock_ms, r.seq)):
             if not run:
                 run = (row.v, row.ts_ms, 0)
             else:
-                yield from self._due(key, run, waiting, row.ts_ms)
+                yield from self._due(key, run, waiting, row.clock_ms)
                 if row.v > run[0]:
                     run = (row.v, run[1], run[2] + 1)
                 elif row.v < run[0]:
                     run = (row.v, row.ts_ms, 0)
                     waiting.clear()
-            waiting.append((row.ts_ms + self.wait_ms, row.seq))
+            insort(waiting, (row.ts_ms + self.wait_ms, row.seq))
         self._save(run, waiting)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -156,28 +172,108 @@ class SustainedRise(_Keyed):
         self._save(run, waiting)
 
 
-def _apply(stream: DataFrame, processor: StatefulProcessor, out: str, time_mode: str = "None") -> DataFrame:
-    return stream.groupBy("k").transformWithState(
+class WindowFirings(StatefulProcessor):
+    """Every result of a window: one over its on-time rows, then one for each row that fires it again.
+
+    The first is given at the window's end, by a timer or before the first later row; the window is
+    forgotten when the allowed lateness is over. The state is the best row so far.
+    """
+
+    def __init__(self, lateness_ms: int, sign: int, kept: Sequence[str], columns: str) -> None:
+        self.lateness_ms, self.sign, self.kept, self.columns = lateness_ms, sign, list(kept), columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("window", f"firings long, best boolean, v double, o1 long, o2 long, {self.columns}")
+
+    def _remembered(self) -> tuple[int, tuple | None]:
+        if not self.state.exists():
+            return 0, None
+        firings, best, *rest = self.state.get()
+        return firings, tuple(rest) if best else None
+
+    def _save(self, firings: int, best: tuple | None) -> None:
+        self.state.update((firings, best is not None, *(best or [None] * (3 + len(self.kept)))))
+
+    def _rank(self, best: tuple) -> tuple:
+        v = best[0]
+        return (v is not None, (v or 0) * self.sign, best[1], best[2])
+
+    def _result(self, key, firings: int, best: tuple) -> Row:
+        return Row(k=key[0], end_ms=key[1], firing_no=firings, **dict(zip(self.kept, best[3:])))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[1] is None:
+            return
+        (firings, best), last = self._remembered(), key[1] - 1
+        for row in sorted(rows, key=lambda r: (r.o1, r.o2)):
+            if last + self.lateness_ms <= row.watermark_ms:
+                continue
+            again = last <= row.watermark_ms
+            if again and firings == 0 and best:
+                firings = 1
+                yield self._result(key, firings, best)
+            mine = (row.v, row.o1, row.o2, *(row[c] for c in self.kept))
+            best = mine if best is None else min(best, mine, key=self._rank)
+            if again:
+                firings += 1
+                yield self._result(key, firings, best)
+        if best is None:
+            return
+        self._save(firings, best)
+        if firings == 0:
+            self.handle.registerTimer(last)
+        self.handle.registerTimer(last + self.lateness_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        (firings, best), at = self._remembered(), expiredTimerInfo.getExpiryTimeInMs()
+        if best and firings == 0:
+            firings = 1
+            self._save(firings, best)
+            yield self._result(key, firings, best)
+        if at >= key[1] - 1 + self.lateness_ms:
+            self.state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _apply(
+    stream: DataFrame, processor: StatefulProcessor, out: str, time_mode: str = "None", keys: Sequence[str] = ("k",),
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    return stream.groupBy(*keys).transformWithState(
         statefulProcessor=processor,
         outputStructType=struct(out),
         outputMode="Append",
         timeMode=time_mode,
+        initialState=None if initial is None else initial.groupBy(*keys),
     )
 
 
+def counts_so_far(history: DataFrame, key: str) -> DataFrame:
+    """State of a count: what ``live_running_count`` and ``live_changelog`` go on from."""
+    return history.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def last_values(history: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """State of a jump alert: the value of the last row of each key."""
+    return history.groupBy(F.col(key).alias("k")).agg(F.max_by(F.col(value).cast("double"), order).alias("v"))
+
+
 def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def live_running_count(stream: DataFrame, key: str, order: str) -> DataFrame:
+def live_running_count(stream: DataFrame, key: str, order: str, initial: DataFrame | None = None) -> DataFrame:
     rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"))
-    out = _apply(rows, RunningCount(), f"k {_kind(rows, 'k')}, seq long, cnt long")
+    out = _apply(rows, RunningCount(), f"k {_kind(rows, 'k')}, seq long, cnt long", initial=initial)
     return out.select(F.col("seq").alias(order), F.col("k").alias(key), "cnt")
 
 
-def live_changelog(stream: DataFrame, key: str, order: str) -> DataFrame:
+def live_changelog(stream: DataFrame, key: str, order: str, initial: DataFrame | None = None) -> DataFrame:
     rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"))
-    out = _apply(rows, Changelog(), f"k {_kind(rows, 'k')}, seq long, op string, cnt long")
+    out = _apply(rows, Changelog(), f"k {_kind(rows, 'k')}, seq long, op string, cnt long", initial=initial)
     return out.select(F.col("seq").alias(order), F.col("k").alias(key), "op", "cnt")
 
 
@@ -192,14 +288,15 @@ def live_count_window(
 
 
 def live_jump_alert(
-    stream: DataFrame, key: str, value: str, ts: str, order: str, threshold: float
+    stream: DataFrame, key: str, value: str, ts: str, order: str, threshold: float, initial: DataFrame | None = None
 ) -> DataFrame:
     rows = stream.select(
         F.col(key).alias("k"), F.col(order).alias("seq"),
         epoch_millis(F.col(ts)).alias("ts_ms"), F.col(value).cast("double").alias("v"),
     )
     kind = _kind(rows, "k")
-    out = _apply(rows, Jumps(threshold), f"k {kind}, seq long, ts_ms long, previous double, v double")
+    out = _apply(
+        rows, Jumps(threshold), f"k {kind}, seq long, ts_ms long, previous double, v double", initial=initial)
     message = jump_message(F.timestamp_millis("ts_ms"), F.col("k"), threshold)
     return out.select(
         F.col("seq").alias(order), message.alias("message"), "previous", F.col("v").alias("current")
@@ -214,12 +311,17 @@ def live_sustained_rise(
     order: str,
     span: timedelta,
     min_rises: int = 5,
-    delay: timedelta = timedelta(0),
+    clock: str | None = None,
 ) -> DataFrame:
-    """Alerts that are due by the watermark; rows behind the watermark are dropped by Spark."""
-    rows = event_table(stream, ts, delay).select(
-        F.col(key).alias("k"), F.col(ts), F.col(order).alias("seq"),
-        epoch_millis(F.col(ts)).alias("ts_ms"), F.col(value).cast("double").alias("v"),
+    """Alerts that are due by the clock, which is a marked event-time column that never runs back.
+
+    ``stamped.clocked`` gives one, so that rows whose time lies behind others count too. Without it the time of
+    the rows is the clock, and Spark drops rows behind it.
+    """
+    marked = stream if clock else event_table(stream, ts, timedelta(0))
+    rows = marked.select(
+        F.col(key).alias("k"), F.col(clock or ts), F.col(order).alias("seq"), epoch_millis(F.col(ts)).alias("ts_ms"),
+        epoch_millis(F.col(clock or ts)).alias("clock_ms"), F.col(value).cast("double").alias("v"),
     )
     out = _apply(
         rows,
@@ -229,3 +331,37 @@ def live_sustained_rise(
     )
     message = rise_message(F.col("timer_ms"), F.col("run_start_ms"), F.col("k"), F.col("rises"))
     return out.withColumn("message", message).withColumnRenamed("k", key)
+
+
+def live_window_firings(
+    clocked: DataFrame,
+    ts: str,
+    key: str,
+    value: str,
+    arrival: Sequence[str],
+    size: timedelta,
+    lateness: timedelta,
+    columns: Sequence[str],
+    pick: str = "min",
+    slide: timedelta | None = None,
+) -> DataFrame:
+    """Every result a window emits, live: at its end, and for each later row that it still takes.
+
+    ``clocked`` are stamped rows with their clock (see ``stamped``); ``arrival`` are two whole numbers that
+    order them. State is one row per key and open window.
+    """
+    if pick not in ("min", "max"):
+        raise ValueError("pick must be 'min' or 'max'")
+    names = [f"r{i}" for i in range(len(columns))]
+    kinds = ", ".join(f"{n} {clocked.schema[c].dataType.simpleString()}" for n, c in zip(names, columns))
+    o1, o2 = arrival
+    rows = with_windows(clocked, ts, size, slide).select(
+        F.col(key).alias("k"), epoch_millis(F.col(END)).alias("end_ms"), CLOCK, WATERMARK,
+        F.col(value).cast("double").alias("v"), F.col(o1).cast("long").alias("o1"), F.col(o2).cast("long").alias("o2"),
+        *[F.col(c).alias(n) for n, c in zip(names, columns)])
+    out = _apply(
+        rows, WindowFirings(millis(lateness), 1 if pick == "min" else -1, names, kinds),
+        f"k {_kind(rows, 'k')}, end_ms long, firing_no long, {kinds}", "EventTime", ("k", "end_ms"))
+    return out.select(
+        F.col("k").alias(key), F.timestamp_millis(F.col("end_ms") - millis(size)).alias(START),
+        F.timestamp_millis("end_ms").alias(END), "firing_no", *[F.col(n).alias(c) for n, c in zip(names, columns)])

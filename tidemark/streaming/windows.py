@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.timing import interval_text
 from tidemark.operators import windows
+from tidemark.operators.topn import top_n
 from tidemark.operators.windows import END, START, Mergeable
 from tidemark.sources.readers import event_table
 
@@ -44,22 +45,38 @@ def live_extreme_row(
     return windows.extreme_row(marked, ts, size, keys, value, order, pick, columns)
 
 
-def live_first_visits(
+def live_distinct_count(
     stream: DataFrame,
     ts: str,
     value: str,
     size: timedelta,
     slide: timedelta | None = None,
     delay: timedelta = NO_DELAY,
+    name: str = "uv",
 ) -> DataFrame:
-    """Each value once per window, as soon as it is seen.
+    """Number of distinct values per window by two aggregates in one plan, given when a window closes.
 
-    Their number per window is the distinct count. State holds a value until its window is past.
+    The first groups by window and value and hands a value on when its window is past; the second
+    counts them. Equal values of a micro-batch are one row before the shuffle.
     """
     marked = event_table(stream, ts, delay)
     w = F.window(F.col(ts), interval_text(size), interval_text(slide or size))
-    once = marked.select(w.alias("w"), value).dropDuplicates(["w", value])
-    return once.select(F.col("w.start").alias(START), F.col("w.end").alias(END), value)
+    once = marked.groupBy(w, value).agg(F.count(F.lit(1)).alias("rows"))
+    counts = once.groupBy("window").agg(F.count(value).alias(name))
+    return counts.select(F.col("window.start").alias(START), F.col("window.end").alias(END), name)
+
+
+def ranked_on_close(path: str, group: str, value: str, key: str, n: int = 5) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that ranks the windows which a micro-batch closes, each written once.
+
+    In append mode all keys of a window come in the micro-batch that closes it. A batch that comes again
+    writes its folder again.
+    """
+
+    def write(closed: DataFrame, batch_id: int) -> None:
+        top_n(closed, group, value, key, n).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
 
 
 def processing_time(stream: DataFrame, name: str = "processed_at") -> DataFrame:
