@@ -48,5 +48,5 @@ def test_keyed_replay_has_one_shuffle(spark):
 
 def test_no_python_in_query_plans(spark):
     for name, query in QUERIES.items():
-        if not name.startswith("stream_") and name != "item_with_setup":
+        if not name.startswith("stream_") and name not in ("item_with_setup", "customer_largest_orders_mean"):
             assert "Python" not in plan(query(spark, DATA)), name

@@ -16,6 +16,7 @@ from tidemark.operators.setup import map_with_setup
 from tidemark.plans.catalog import EV, events, own_name, query, table
 from tidemark.schemas import BEHAVIOR
 from tidemark.session import scratch_path
+from tidemark.sinks.declared import Sinks
 from tidemark.sinks.text import write_text
 from tidemark.sinks.upsert import latest_by_key
 from tidemark.sources import parsers, readers
@@ -187,6 +188,17 @@ def named_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.group_count(readers.table(spark, name).where("value > 10"), "event_type")
 
 
+@query("SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS cnt FROM events GROUP BY user_id")
+def sink_insert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count inserted into a declared sink twice: of the first events, then of all."""
+    sinks = Sinks(spark)
+    sinks.declare("user_counts", "id string, cnt long", scratch_path(spark, "sink"), mode="upsert")
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("user"))
+    for part in (rows.where("event_id < 1000"), rows):
+        sinks.insert_into("user_counts", aggregates.group_count(part, "user"))
+    return sinks.read("user_counts")
+
+
 CHANGELOG_SQL = """
 WITH r AS (
   SELECT event_id, event_type,

@@ -18,16 +18,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import first_number
 from tidemark.functions.timing import millis
 from tidemark.operators import keyed, windows
+from tidemark.operators.aggregates import GROUP_COUNT_SQL as GROUP_COUNT
+from tidemark.operators.aggregates import group_count
 from tidemark.plans import batch as b
 from tidemark.plans import windows as w
-from tidemark.plans.catalog import query, table
+from tidemark.plans.catalog import own_name, query, table
 from tidemark.schemas import BEHAVIOR
 from tidemark.session import rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources import parsers, readers
 from tidemark.streaming import lateness, stamped, stateful
 from tidemark.streaming import windows as live
-from tidemark.streaming.ordered import arrivals
+from tidemark.streaming.counter import RowCounter
+from tidemark.streaming.ordered import arrival_files, arrivals
 
 BATCH_BYTES = 1 << 30
 Order = Sequence[str | Column]
@@ -119,6 +122,46 @@ def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(counts, "counts", ["event_type"], ["cnt"])
 
 
+EVENT_LINES = "event_id long, event_type string, value double"
+
+
+def _live_table(spark: SparkSession, sf_dir: str) -> str:
+    """The name of a live table over delimited files."""
+    rows, name = table(spark, sf_dir, "events").select("event_id", "event_type", "value"), own_name("live_events")
+    readers.csv_stream_table(spark, name, arrival_files(rows, ["event_id"], form="csv"), EVENT_LINES, 1)
+    return name
+
+
+@query(b.GROUP_COUNT_SQL)
+def stream_group_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a live table of delimited files."""
+    counts = spark.sql(GROUP_COUNT.format(key="event_type", view=_live_table(spark, sf_dir)))
+    return _upserted(counts, "counts-sql", ["event_type"], ["cnt"])
+
+
+@query("SELECT event_type, count(*) AS cnt FROM events WHERE value > 10 GROUP BY event_type")
+def stream_named_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live table read by its name."""
+    rows = readers.table(spark, _live_table(spark, sf_dir)).where("value > 10")
+    return _upserted(group_count(rows, "event_type"), "counts-named", ["event_type"], ["cnt"])
+
+
+@query("SELECT count(*) AS cnt FROM events")
+def stream_accumulated_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted on their way through a running query, from what its micro-batches report."""
+    counter, path = RowCounter(own_name("rows")), scratch_path(spark, "counted")
+    rows = table(spark, sf_dir, "events").select("event_id", "value")
+    spark.streams.addListener(counter)
+    try:
+        out = counter.counted(arrivals(rows, ["event_id"]))
+        run = live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
+        if not counter.wait_for(run):
+            raise TimeoutError("the query's reports did not come")
+    finally:
+        spark.streams.removeListener(counter)
+    return spark.createDataFrame([(counter.total,)], "cnt long")
+
+
 @query(b.GROUP_COUNT_SQL)
 def stream_wall_clock_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of processing time; which window a row falls in varies, the totals do not."""

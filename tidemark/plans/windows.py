@@ -18,7 +18,10 @@ from tidemark.functions.messages import (
 from tidemark.functions.timing import epoch_micros, micros, shift
 from tidemark.operators import lateness as late
 from tidemark.operators import lookup, topn, windows
+from tidemark.operators.accumulate import LargestMean, accumulate
 from tidemark.plans.catalog import EV, events, own_name, query, table, windows_sql
+from tidemark.session import scratch_path
+from tidemark.sinks.declared import Sinks
 from tidemark.sources.readers import view
 
 HOUR = timedelta(hours=1)
@@ -276,6 +279,30 @@ def topn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.report(hot_items_top5(spark, sf_dir), "item_id", ITEM_LABEL, HEAT_LABEL)
 
 
+@query("""
+SELECT o_custkey, round(avg(o_totalprice), 4) AS largest_mean FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS rn FROM orders)
+WHERE rn <= 3 GROUP BY o_custkey
+""")
+def customer_largest_orders_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An accumulator of the user's own: the mean of each customer's three largest orders."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    out = accumulate(rows, ["o_custkey"], ["o_totalprice"], LargestMean(3), "largest_mean", "double")
+    return out.withColumn("largest_mean", F.round("largest_mean", 4))
+
+
+@query(f'SELECT item_id AS "commodityId", window_end AS "windowEnd", cnt, row_num FROM ({HOT_ITEMS_SQL})')
+def sink_insert_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking inserted into a declared sink; its key is the window and the rank."""
+    sinks = Sinks(spark)
+    columns = "commodityId long, windowEnd timestamp_ntz, cnt long, row_num long"
+    sinks.declare("top_items", columns, scratch_path(spark, "sink"), mode="upsert")
+    ranked = hot_items_top5(spark, sf_dir).select("item_id", "window_end", "cnt", "row_num")
+    sinks.insert_into("top_items", ranked)
+    sinks.insert_into("top_items", ranked.where("row_num <= 2"))
+    return sinks.read("top_items")
+
+
 # Arrival: events reach us up to 20 minutes after they happened, out of order.
 DELAY, LATENESS = timedelta(seconds=120), timedelta(seconds=240)
 ARRIVAL = ["arrival", "event_id"]

@@ -59,7 +59,13 @@ def csv_table(spark: SparkSession, name: str, path: str, schema: str) -> None:
     csv_records(spark, path, schema).createOrReplaceTempView(name)
 
 
+def csv_stream_table(spark: SparkSession, name: str, folder: str, schema: str, files_per_trigger: int | None = None) -> None:
+    """Register the delimited files that arrive in a folder as a live table: SQL over it gives a stream."""
+    csv_stream(spark, folder, schema, files_per_trigger).createOrReplaceTempView(name)
+
+
 def table(spark: SparkSession, name: str) -> DataFrame:
+    """A registered table; a stream if a live table has that name."""
     return spark.table(name)
 
 

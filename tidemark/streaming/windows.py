@@ -93,7 +93,8 @@ def each_batch(out: DataFrame, write: Callable[[DataFrame, int], None], mode: st
     return out.writeStream.outputMode(mode).foreachBatch(write)
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Run a query over everything that has arrived and stop."""
+def run_available(writer: DataStreamWriter, checkpoint: str) -> str:
+    """Run a query over everything that has arrived and stop; gives the id of the run."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return str(query.runId)
