@@ -18,7 +18,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import cache
 
 import ahocorasick
@@ -120,6 +120,21 @@ class Pairs:
         return good
 
 
+def joiner(tokens: Sequence[bytes]) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """A function that gives the bytes of many ids in a row, and the end of each token in them."""
+    lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+    start = np.cumsum(lengths) - lengths
+    blob = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def joined(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = lengths[ids]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        return blob[np.repeat(start[ids] - (end - size), size) + np.arange(total)], end
+
+    return joined
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary in the JSON form of the tokenizers library."""
 
@@ -168,10 +183,8 @@ class ByteBpe:
         self._marked = {_KEY + text: np.int32(i).tobytes() for text, i in self._added.items()}
         self._kept = dict(self._marked)
         self.merged_words = self.proposed_words = 0
-        lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        self.lengths = lengths
-        self._start = np.cumsum(lengths) - lengths
-        self._blob = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
+        self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.joined = joiner(self.tokens)
 
     def words(self, text: str) -> list[str]:
         """The words that merges do not leave. Added tokens must be taken out before."""
@@ -278,11 +291,3 @@ class ByteBpe:
                 if x >= 0 and y < n and (hit := known((ids[x], ids[y]))):
                     heapq.heappush(heap, (hit[0], x, hit[1], ids[x], ids[y]))
         return np.array([i for i in ids if i >= 0], dtype=np.int32).tobytes()
-
-    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all tokens in a row, and the end of each token in them."""
-        lengths = self.lengths[ids]
-        end = np.cumsum(lengths)
-        total = int(end[-1]) if len(end) else 0
-        place = np.repeat(self._start[ids] - (end - lengths), lengths) + np.arange(total)
-        return self._blob[place], end

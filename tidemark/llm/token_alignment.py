@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe_codec import text_slices
-from tidemark.llm.byte_bpe import ByteBpe
+from tidemark.llm.byte_bpe import ByteBpe, joiner
 from tidemark.llm.scratch import written
 
 BLOCK_DOCS = 1 << 16
@@ -68,19 +68,33 @@ class Aligned:
     text_end: np.ndarray
 
     def __post_init__(self):
-        self.ends = np.union1d(self.end_a, self.end_b)
-        self.cuts = np.intersect1d(self.end_a, self.end_b, assume_unique=True)
+        # Marks at byte offsets and counts before them take the place of searches in sorted ends.
+        mark = np.zeros(int(self.text_end[-1]) + 1 if len(self.text_end) else 1, dtype=np.int8)
+        mark[self.end_a] = 1
+        mark[self.end_b] += 2
+        self.ends, self.cuts = np.flatnonzero(mark), np.flatnonzero(mark == 3)
+        self._mark = mark
+
+    def _before(self, marked: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How many of the marked offsets lie before each end."""
+        return (np.cumsum(marked, dtype=np.int32) - marked)[ends]
 
     def text_of(self, ends: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.text_end, ends)
+        marked = np.zeros(len(self._mark), dtype=np.int8)
+        marked[self.text_end] = 1
+        return self._before(marked, ends)
 
     def per_text(self, ends: np.ndarray) -> np.ndarray:
-        return np.bincount(self.text_of(ends), minlength=len(self.rows))
+        return np.diff(np.searchsorted(ends, self.text_end, side="right"), prepend=0)
+
+    def groups_of(self, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The group of each end, and whether it is the last one there."""
+        return self._before((self._mark == 3).astype(np.int8), ends), self._mark[ends] == 3
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, first and second id of every link."""
-        a = self.a[np.searchsorted(self.end_a, self.ends)]
-        b = self.b[np.searchsorted(self.end_b, self.ends)]
+        a = self.a[self._before(self._mark & 1, self.ends)]
+        b = self.b[self._before(self._mark >> 1, self.ends)]
         return self.text_of(self.ends), a, b
 
 
@@ -92,7 +106,7 @@ class Aligner:
         self.second = sentencepiece.SentencePieceProcessor(model_proto=second)
         pieces = [self._bytes(i) for i in range(len(self.second))]
         self.length = np.array([len(p) for p in pieces], dtype=np.int64)
-        self.pieces = pieces
+        self.joined = joiner(pieces)
         self.size_a, self.size_b = len(self.first.tokens), len(pieces)
         self.names_a = self._names(self.size_a, ",|")
         self.names_b = self._names(self.size_b, ",;")
@@ -105,26 +119,39 @@ class Aligner:
     def _names(size: int, marks: str) -> np.ndarray:
         return np.array([f"{i}{mark}" for mark in marks for i in range(size)], dtype=object)
 
+    def _kept(self, ids: list[np.ndarray], joined, wanted: list[bytes]) -> np.ndarray:
+        """Which texts the tokens of a tokenizer spell byte by byte."""
+        data, end = joined(np.concatenate(ids))
+        end = np.append(0, end)[np.cumsum([len(x) for x in ids])]
+        lengths = np.array([len(x) for x in wanted])
+        good = np.diff(end, prepend=0) == lengths
+        if not good.all():  # some text changes its length: each by itself
+            begin = end - np.diff(end, prepend=0)
+            return np.array([data[i:j].tobytes() == x for i, j, x in zip(begin, end, wanted)])
+        other = np.flatnonzero(data != np.frombuffer(b"".join(wanted), dtype=np.uint8))
+        good[np.searchsorted(end, other, side="right")] = False
+        return good
+
     def align(self, texts: list[str]) -> Aligned:
         """The texts that both tokenizers keep byte by byte."""
         wanted = [(" " + t).encode() for t in texts]
         ids_a = [np.frombuffer(x, dtype=np.int32) for x in self.first.encode([" " + t for t in texts])]
-        ids_b = self.second.encode(texts, num_threads=1)
-        rows = [
-            k for k, text in enumerate(texts)
-            if text and b"".join(map(self.pieces.__getitem__, ids_b[k])) == wanted[k]
-            and self.first.joined(ids_a[k])[0].tobytes() == wanted[k]]
-        a = np.concatenate([ids_a[k] for k in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-        b = np.concatenate([np.array(ids_b[k], dtype=np.int64) for k in rows]) if rows else a
+        ids_b = [np.array(x, dtype=np.int64) for x in self.second.encode(texts, num_threads=1)]
+        good = np.array([t != "" for t in texts])
+        good &= self._kept(ids_a, self.first.joined, wanted) & self._kept(ids_b, self.joined, wanted)
+        rows = np.flatnonzero(good)
+        empty = [np.zeros(0, np.int64)]
+        a = np.concatenate([ids_a[k] for k in rows] or empty).astype(np.int64)
+        b = np.concatenate([ids_b[k] for k in rows] or empty)
         text_end = np.cumsum([len(wanted[k]) for k in rows], dtype=np.int64)
-        return Aligned(np.array(rows, dtype=np.int64), a, b, np.cumsum(self.first.lengths[a]), np.cumsum(self.length[b]), text_end)
+        return Aligned(rows, a, b, np.cumsum(self.first.lengths[a]), np.cumsum(self.length[b]), text_end)
 
     def groups(self, found: Aligned) -> list[str]:
         """The ids of each text, group by group: those of the first, ``|``, those of the second, ``;``."""
-        group_a, group_b = np.searchsorted(found.cuts, found.end_a), np.searchsorted(found.cuts, found.end_b)
         if len(found.rows) == 0:
             return []
-        last_a, last_b = found.cuts[group_a] == found.end_a, found.cuts[group_b] == found.end_b
+        group_a, last_a = found.groups_of(found.end_a)
+        group_b, last_b = found.groups_of(found.end_b)
         names = np.concatenate([self.names_a[found.a + self.size_a * last_a], self.names_b[found.b + self.size_b * last_b]])
         names = names[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")].tolist()
         stop = np.cumsum(found.per_text(found.end_a) + found.per_text(found.end_b)).tolist()
