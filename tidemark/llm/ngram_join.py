@@ -6,7 +6,8 @@ values, and only classes that agree in a whole band, that is, share a bucket, ar
 
 To meet each pair once and never emit pairs, a class has a home, the largest bucket it is in.
 Classes of one home form a cell and are compared there; two cells meet in a piece of work of their
-own, to which only the classes go that share a bucket with the other cell. A cell above ``CHUNK``
+own, to which the classes go that share a bucket with the other cell, or all of the cell where that
+is less. A cell above ``CHUNK``
 classes is cut, and pairs of its parts are separate pieces, so every piece is bounded and a chain of
 neighbours costs what its buckets hold, not the square of its length. Inside a piece, pairs
 that share a bucket are pruned by a Bayesian test: the signatures are compared a few values at a
@@ -240,10 +241,17 @@ def meetings(classes: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFra
     inside = written(keyed.join(shared, "key"), "shared-buckets")
     homes = written(inside.groupBy("node").agg(F.max_by("key", F.struct("n", "key")).alias("home")), "homes")
     placed = inside.select("key", "node").join(homes, "node")
-    cells = placed.groupBy("key", "home").agg(F.count("*").alias("rows"))
-    mixed = cells.groupBy("key").agg(F.count("*").alias("cells")).where("cells > 1").select("key")
-    others = written(cells.select("key", F.col("home").alias("other")).join(mixed, "key"), "mixed-buckets")
-    across = placed.join(others, "key").where("home <> other").select("node", "home", "other").distinct()
+    cells = written(placed.groupBy("key", "home").agg(F.count("*").alias("rows")), "cells")
+    facing = cells.select("key", F.col("home").alias("other"))
+    meets = written(cells.join(facing, "key").where("home <> other"), "meeting-cells")
+    sizes = homes.groupBy("home").agg(F.count("*").alias("size"))
+    pairs = meets.groupBy("home", "other").agg(F.sum("rows").alias("touching")).join(sizes, "home")
+    pairs = written(pairs.select("home", "other", (F.col("touching") >= F.col("size")).alias("whole")), "cell-pairs")
+    # A cell that meets another in so many buckets goes there whole, else only the classes that do.
+    all_go = homes.join(pairs.where("whole").select("home", "other"), "home")
+    some = meets.join(pairs.where("NOT whole").select("home", "other"), ["home", "other"]).select("key", "home", "other")
+    some_go = placed.join(some, ["key", "home"]).select("node", "home", "other").distinct()
+    across = all_go.select("node", "home", "other").unionByName(some_go)
     parts = homes.groupBy("home").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
     both = homes.select("node", "home", F.col("home").alias("other")).unionByName(across)
     both = both.join(parts, "home").join(parts.select(F.col("home").alias("other"), F.col("parts").alias("their")), "other")
