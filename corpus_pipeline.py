@@ -10,6 +10,7 @@ from tidemark.llm.mixing import WEIGHTS, mix_sources
 from tidemark.llm.ngram_join import one_of_each
 from tidemark.llm.quality import keep_good
 from tidemark.llm.scratch import scratch_path
+from tidemark.session import temporary
 from tidemark.sinks.folders import remove
 
 
@@ -48,11 +49,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written, and removed after the next one."""
+    """Apply the stages to ``documents``; each result is written, and removed after the next one.
+
+    The scratch tables of a stage go as soon as its result is there.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
             remove(spark, before)

@@ -116,3 +116,16 @@ def test_jdbc_upsert_stages_then_merges(spark, monkeypatch):
 
     jdbc.append_jdbc(orders(spark, (2, 3, 4)), "jdbc:x", "hot", {}, jdbc.COUNT_TYPES)
     assert seen[2] == ("jdbc:x", "hot", [(2, 3, 4)])
+
+
+def test_temporary_tables_go(spark):
+    from tidemark.session import scratch_path, temporary, written
+    from tidemark.sinks.folders import is_complete
+
+    kept = scratch_path(spark, "kept")
+    with temporary(spark):
+        inside = scratch_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        written(spark.range(5), "also").write.parquet(kept)
+    assert spark.read.parquet(kept).count() == 5
+    assert not is_complete(spark, inside) and is_complete(spark, kept)

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sinks.folders import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -59,7 +61,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Both are resolved through the file system of the cluster, never as a folder of one machine.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _temporary:
+        _temporary[-1].append(path)
+    return path
+
+
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end; what shall stay is written to a path from before."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            remove(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
