@@ -1,5 +1,7 @@
 import random
 
+import regex
+import zstandard
 from llm_data import DOCS
 from pyspark.sql import functions as F
 
@@ -85,6 +87,35 @@ def test_slices_are_the_whole_text():
         assert b"".join(parts) == text and max(map(len, parts)) <= langid.SLICE
 
 
+def spelled(text):
+    """Words in lower case, apart by one space, by a library of its own."""
+    return regex.sub(r"[^\p{L}\p{M}]+", " ", (text or "").lower()).strip()
+
+
+def test_predictions_equal_plain_compression(spark):
+    """Each slice of each text, compressed with each dictionary one after the other."""
+    docs = case(spark)
+    contents = langid.dictionaries(docs)
+
+    def size(part, content):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        packer = zstandard.ZstdCompressor(
+            level=langid.LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(packer.compress(part))
+
+    rows = docs.where("doc_id < 30 OR doc_id > 198 AND length(coalesce(text, '')) < 20000").collect()
+    got = {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify(docs, contents).collect()}
+    for r in rows:
+        text = spelled(r.text).encode()
+        if not text:
+            assert (r.doc_id, "und", 0.0) in got
+            continue
+        sums = {lang: sum(size(bytes(p), c) for p in langid.slices(text)) for lang, c in contents.items()}
+        best, second = sorted(sums.values())[:2]
+        lang = min(x for x in sums if sums[x] == best)
+        assert (r.doc_id, lang, round(1 - best / second, 9)) in got
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = langid.predict_languages(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")

@@ -4,7 +4,7 @@ from llm_data import make_docs, prose
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality
-from tidemark.llm.text_hash import word_slices
+from tidemark.llm.text_hash import mix, word_slices
 
 LABELS = "doc_id long, quality int, toxic int"
 DATA = "/root/testdata/sf0.1"
@@ -40,6 +40,50 @@ def test_columns_with_the_names_of_working_columns(spark):
     assert {r["__score"] for r in kept.collect()} == {"mine"}
 
 
+def naive_features(text):
+    """The set of a text's features by plain loops over its words."""
+    words = next(word_slices(pa.array([text])))
+    n, out = len(words.hash), set()
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        return int(mix(np.array([x & mask], dtype=np.uint64))[0])
+
+    shapes = []
+    for k in range(n):
+        raw = words.data[words.start[k]:words.end[k]]
+        kinds = [int(quality._KIND[b]) for b in raw]
+        shape = 0
+        for kind in kinds:
+            shape |= kind
+        again = int(k > 0 and words.hash[k] == words.hash[k - 1])
+        last = int(raw[-1]) if kinds[-1] == 8 else 0
+        shapes.append(shape | kinds[0] << 5 | min(len(raw), 24) // 4 << 10 | again << 13 | last << 14)
+    for values, sizes, seed in (([int(h) for h in words.hash], (1, 2), 0), (shapes, (1, 2, 3), 10)):
+        for size in sizes:
+            for k in range(n - size + 1):
+                total = seed + size
+                for v in values[k:k + size]:
+                    total = mixed(total + v)
+                out.add(total % quality.DIM)
+    return sorted(out)
+
+
+def test_scores_equal_plain_loops(spark):
+    """The query's scores against the model applied text by text, feature by feature."""
+    docs, labels = case(spark)
+    model = quality.fit(docs, labels)
+    got = {r.doc_id: r.score for r in quality.score_documents(docs, labels).collect()}
+    for r in docs.where("doc_id % 11 = 0 AND doc_id < 240 OR doc_id IN (240, 241)").collect():
+        dot = norm = 0.0
+        for f in naive_features(r.text or ""):
+            dot += float(model.weight[f])
+            norm += float(model.square[f])
+        margin = (dot / norm**0.5 if norm else 0.0) + model.bias
+        want = 1 / (1 + np.exp(-np.clip(model.slope * margin + model.shift, -30, 30)))
+        assert abs(got[r.doc_id] - want) < 1e-6
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels = case(spark)
     flipped = labels.withColumn(
