@@ -86,7 +86,7 @@ def test_each_source_without_a_weight_has_its_own_share(spark):
 
 def test_columns_with_the_names_of_working_columns(spark):
     docs = make_docs(spark, [f"t{i}" for i in range(50)])
-    for name in ("row", "h", "n", "lane", "turn", "bucket", "its_source", "place", "start", "__g", "__n"):
+    for name in ("row", "h", "n", "lane", "turn", "bucket", "its_source", "place", "start", "__g", "__n", "__h", "__LANE", "___turn"):
         docs = docs.withColumn(name, F.lit(name))
     mixed = mixing.mix_sources(docs, {"src1": 1})
     assert mixed.columns == [*docs.columns, *mixing.RESULTS]

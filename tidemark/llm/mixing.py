@@ -31,7 +31,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import few
+from tidemark.llm.rows import few, free_names
 from tidemark.llm.scratch import written
 
 REST = "*"
@@ -60,18 +60,20 @@ def slots_of(weights: dict[str, int]) -> tuple[int, dict[str, list[int]]]:
     return period, placed
 
 
-def numbered(rows: DataFrame, group: str, order: list[Column], bucket: Column) -> DataFrame:
-    """``n``: the place of a row inside its group, counted bucket by bucket."""
-    keyed = rows.withColumn("bucket", bucket)
-    sizes = keyed.groupBy(group, "bucket").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+WORKING = ("lane", "turn", "its_source", "h", "text_hash", "bucket", "place", "its_lane", "its_bucket", "start")
+
+
+def numbered(rows: DataFrame, of: dict[str, str], order: list[Column]) -> DataFrame:
+    """``start`` plus ``place``: the place of a row inside its lane, counted bucket by bucket."""
+    lane, bucket = of["lane"], of["bucket"]
+    sizes = rows.groupBy(lane, bucket).agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(lane).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        F.col(group).alias("its_group"), F.col("bucket").alias("its_bucket"),
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    inside = F.row_number().over(Window.partitionBy(group, "bucket").orderBy(*order)) - 1
-    joined = keyed.withColumn("place", inside).join(
-        starts, (F.col(group) == F.col("its_group")) & (F.col("bucket") == F.col("its_bucket")))
-    return joined.withColumn("n", F.col("start") + F.col("place"))
+        F.col(lane).alias(of["its_lane"]), F.col(bucket).alias(of["its_bucket"]),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(of["start"]))
+    inside = F.row_number().over(Window.partitionBy(lane, bucket).orderBy(*order)) - 1
+    same = (F.col(lane) == F.col(of["its_lane"])) & (F.col(bucket) == F.col(of["its_bucket"]))
+    return rows.withColumn(of["place"], inside).join(starts, same)
 
 
 def lanes(docs: DataFrame, named: list[str]) -> DataFrame:
@@ -91,24 +93,28 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOC
     buckets = max(1, docs.count() // BUCKET_DOCS)
     sources = lanes(docs, [s for s in weights if s != REST])
     sharing = sources.where("turn IS NOT NULL").count()
-    # A whole row travels as one column, so no working column can meet one of its own.
-    rows = docs.drop(*RESULTS).select(F.struct("*").alias("row"))
-    rows = rows.join(few(sources), F.col("row.source").eqNullSafe(F.col("its_source")))
-    rows = rows.withColumn("h", F.md5(F.col("row.doc_id").cast("string"))).withColumn("text_hash", F.xxhash64("row.text"))
-    part = F.conv(F.substring("h", 1, 6), 16, 10).cast("long")
-    bucket = F.coalesce(F.floor(part * buckets / (1 << 24)), F.pmod("text_hash", F.lit(buckets)) - buckets)
-    ranked = numbered(rows, "lane", [F.col("h"), F.col("row.doc_id"), F.col("text_hash")], bucket)
-    own = F.floor(F.col("n") / block_docs)
-    block = F.when(F.col("turn").isNull(), own).otherwise(own * sharing + F.col("turn"))
-    scheduled = F.when(F.col("turn").isNull(), F.col("its_source")).otherwise(REST)
+    kept = docs.drop(*RESULTS)
+    of = dict(zip(WORKING, free_names(kept, *WORKING)))
+    sources = few(sources.withColumnsRenamed({n: of[n] for n in ("lane", "turn", "its_source")}))
+    rows = kept.join(sources, F.col("source").eqNullSafe(F.col(of["its_source"])))
+    rows = rows.withColumns({of["h"]: F.md5(F.col("doc_id").cast("string")), of["text_hash"]: F.xxhash64("text")})
+    h, text_hash, turn = (F.col(of[n]) for n in ("h", "text_hash", "turn"))
+    part = F.conv(F.substring(h, 1, 6), 16, 10).cast("long")
+    bucket = F.coalesce(F.floor(part * buckets / (1 << 24)), F.pmod(text_hash, F.lit(buckets)) - buckets)
+    ranked = numbered(rows.withColumn(of["bucket"], bucket), of, [h, F.col("doc_id"), text_hash])
+    n = F.col(of["start"]) + F.col(of["place"])
+    own = F.floor(n / block_docs)
+    block = F.when(turn.isNull(), own).otherwise(own * sharing + turn)
+    scheduled = F.when(turn.isNull(), F.col(of["its_source"])).otherwise(REST)
     table = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.array(*map(F.lit, at)))])
     shares = F.create_map(*[x for s, at in placed.items() for x in (F.lit(s), F.lit(len(at)))])
     share = shares[scheduled]
     slot = F.get(table[scheduled], (block % share).cast("int"))
-    return ranked.select(
-        "row.*", F.coalesce("its_source", F.lit(REST)).alias("mix_source"),
-        (F.floor(block / share) * period + slot).cast("long").alias("mix_slot"),
-        (F.col("n") % block_docs).cast("long").alias("mix_offset"))
+    return ranked.withColumns({
+        "mix_source": F.coalesce(F.col(of["its_source"]), F.lit(REST)),
+        "mix_slot": (F.floor(block / share) * period + slot).cast("long"),
+        "mix_offset": (n % block_docs).cast("long"),
+    }).drop(*of.values())
 
 
 def _sql() -> str:
