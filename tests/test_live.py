@@ -225,7 +225,7 @@ def test_rows_behind_the_clock_count_in_a_rise(spark):
     def part(late_value):
         values = [(0, 1.0, 0), (1, 2.0, 10), (2, 3.0, 20), (3, late_value, 5), (4, 9.0, 21), (5, 9.5, 60)]
         return spark.createDataFrame([("a", v, i, t) for i, v, t in values], "k string, v double, seq long, s long").select(
-            "k", F.timestamp_seconds("s").alias("ts"), "v", "seq")
+            "k", F.timestamp_seconds(F.col("s") + 1000).alias("ts"), "v", "seq")
 
     higher, lower = (rises(spark, part(v), scratch_path(spark, "rises")) for v in (3.5, 0.5))
     assert [r.rises for r in higher.orderBy("seq").collect()][:1] == [3]

@@ -87,6 +87,7 @@ def clocked(stamped: DataFrame, ts: str, delay: timedelta = timedelta(0)) -> Dat
     """Stamped rows with their clock as event time: the watermark after the row, in milliseconds.
 
     Rows may share a clock, and Spark drops rows at the watermark, so that trails by a millisecond.
+    Spark's watermark begins at 1970, so times must lie after it.
     """
     after = F.greatest(F.col(WATERMARK), epoch_millis(F.col(ts)) - millis(delay), F.lit(NO_CLOCK))
     marked = stamped.withColumn(CLOCK, F.timestamp_millis(after))
