@@ -1,11 +1,15 @@
 """Accumulators of the user's own, and the counter of a running stream."""
 
+import pickle
 import time
 
+import pandas as pd
 import pytest
 from fixtures import rows_of
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import functions as F
 
+from tidemark.operators import accumulate as accumulators
 from tidemark.operators.accumulate import LargestMean, accumulate
 from tidemark.session import scratch_path
 from tidemark.streaming import windows as live
@@ -56,6 +60,20 @@ def test_largest_mean(spark):
     assert accumulate(rows.limit(0), ["k"], ["v"], LargestMean(2), "m", "double").collect() == []
 
 
+def test_a_batch_of_many_keys_makes_no_frame_per_key(monkeypatch):
+    """A frame per key costs more than the rows of it, where nearly every row is a key of its own."""
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = lambda self: 3
+
+    monkeypatch.setattr(accumulators, "TaskContext", Task)
+    monkeypatch.setattr(DataFrameGroupBy, "__iter__", lambda self: pytest.fail("a frame per key"))
+    rows = pd.DataFrame({"k": [5.0, None, 4.0, 5.0, None], "v": [1.0, 2.0, 3.0, 4.0, None]})
+    (got,) = accumulators._partial(["k"], ["v"], LargestMean(2))(iter([rows]))
+    held = {None if pd.isna(k) else k: pickle.loads(state) for k, state in zip(got["k"], got["__state"])}
+    assert held == {5.0: [4.0, 1.0], None: [2.0], 4.0: [3.0]} and set(got["__part"]) == {3}
+
+
 def test_plan_merges_in_phases(spark):
     rows = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
     plan = accumulate(rows, ["k"], ["v"], LargestMean(1), "m", "double")._jdf.queryExecution().executedPlan().toString()

@@ -1,9 +1,10 @@
 """Aggregates with an accumulator of the user's own, merged in phases.
 
 An accumulator says how to create, add, merge and give a result, in Python. Rows are added inside the
-Arrow batch they lie in, so a batch sends one accumulator per key; these are merged per key and part of
-the input (``FAN`` parts), and the parts then per key. Each phase reads its rows sorted by key and holds
-one accumulator at a time, so no group meets in a task, however hot its key is.
+Arrow batch they lie in, in one pass without a frame per key, so a batch sends one accumulator per key;
+these are merged per key and part of the input (``FAN`` parts), and the parts then per key. Each phase
+reads its rows sorted by key and holds one accumulator at a time, so no group meets in a task, however
+hot its key is.
 """
 
 from __future__ import annotations
@@ -58,13 +59,13 @@ def _partial(keys: list[str], values: list[str], acc: Accumulator) -> Callable[[
     def run(batches: Frames) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId() % FAN
         for batch in batches:
-            rows = []
-            for _, group in batch.groupby(keys, dropna=False, sort=False):
-                state = acc.create()
-                for row in zip(*(group[v] for v in values)):
-                    state = acc.add(state, *row)
-                rows.append((*group[keys].iloc[0], part, pickle.dumps(state)))
-            yield pd.DataFrame(rows, columns=[*keys, PART, STATE])
+            states: dict[int, Any] = {}
+            codes = batch.groupby(keys, dropna=False, sort=False).ngroup()
+            for code, *row in zip(codes, *(batch[v] for v in values)):
+                states[code] = acc.add(states[code] if code in states else acc.create(), *row)
+            # Groups lie in the order of their first rows, as ``states`` does.
+            out = batch.loc[~codes.duplicated(), keys]
+            yield out.assign(**{PART: part, STATE: [pickle.dumps(s) for s in states.values()]})
 
     return run
 
@@ -76,7 +77,7 @@ def _merged(group: list[str], acc: Accumulator, finish: str | None) -> Callable[
         at = state = None
         for batch in batches:
             rows = []
-            names = [tuple(None if pd.isna(x) else x for x in k) for k in zip(*(batch[g] for g in group))]
+            names = zip(*(batch[g].astype(object).where(batch[g].notna(), None) for g in group))
             for name, held in zip(names, batch[STATE]):
                 if name != at and at is not None:
                     rows.append((*at, acc.result(state) if finish else pickle.dumps(state)))
