@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 from feed import feed
 from fixtures import SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates, keyed, topn, windows
@@ -65,6 +66,23 @@ def test_running_count_by_arrival(spark, cut):
     assert rows_of(got, "seq", "k", "cnt") == rows_of(keyed.running_sum(arrived, "k", ["arrived"]), "seq", "k", "cnt")
 
 
+def test_a_running_count_leaves_python_in_chunks():
+    """Spark holds a dictionary per row that a key gives, so a row each would fill a worker."""
+    class State:
+        held = (3,)
+        exists = lambda self: True
+        get = lambda self: self.held
+
+        def update(self, value):
+            self.held = value
+
+    count = stateful.RunningCount()
+    count.last = State()
+    out = list(count.handleInputRows(("a",), iter(Row(k="a", seq=i) for i in range(24_999, -1, -1)), None))
+    assert [(r.before, len(r.seqs)) for r in out] == [(3, 10_000), (10_003, 10_000), (20_003, 5_000)]
+    assert [i for r in out for i in r.seqs] == list(range(25_000)) and count.last.held == (25_003,)
+
+
 @pytest.mark.parametrize("cut", ["shuffled"])
 def test_changelog_by_arrival(spark, cut):
     parts, arrived = batches(keyed_rows(spark), cut)

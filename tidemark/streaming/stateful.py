@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
+from tidemark.operators.keyed import count_changes
 from tidemark.operators.lateness import WATERMARK, with_windows
 from tidemark.operators.windows import END, START
 from tidemark.schemas import struct
@@ -49,27 +50,21 @@ class _Keyed(StatefulProcessor):
 
 
 class RunningCount(_Keyed):
-    """The count so far, once per row."""
+    """The order values of a key's new rows, sorted and in chunks, and the count before each chunk.
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        (n,) = self.remembered((0,))
-        for row in sorted(rows, key=lambda r: r.seq):
-            n += 1
-            yield Row(k=key[0], seq=row.seq, cnt=n)
-        self.last.update((n,))
+    Spark holds what a key gives in a micro-batch as one dictionary per row. So a chunk is one row, of
+    which ``live_running_count`` makes the rows again outside Python, and of the input only the order
+    values are held.
+    """
 
-
-class Changelog(_Keyed):
-    """The withdrawn and the new count, for each row."""
+    chunk = 10_000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (n,) = self.remembered((0,))
-        for row in sorted(rows, key=lambda r: r.seq):
-            if n:
-                yield Row(k=key[0], seq=row.seq, op="-", cnt=n)
-            n += 1
-            yield Row(k=key[0], seq=row.seq, op="+", cnt=n)
-        self.last.update((n,))
+        seqs = sorted(row.seq for row in rows)
+        for at in range(0, len(seqs), self.chunk):
+            yield Row(k=key[0], before=n + at, seqs=seqs[at : at + self.chunk])
+        self.last.update((n + len(seqs),))
 
 
 class Jumps(_Keyed):
@@ -267,14 +262,14 @@ def _kind(df: DataFrame, column: str) -> str:
 
 def live_running_count(stream: DataFrame, key: str, order: str, initial: DataFrame | None = None) -> DataFrame:
     rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"))
-    out = _apply(rows, RunningCount(), f"k {_kind(rows, 'k')}, seq long, cnt long", initial=initial)
-    return out.select(F.col("seq").alias(order), F.col("k").alias(key), "cnt")
+    out = _apply(rows, RunningCount(), f"k {_kind(rows, 'k')}, before long, seqs array<long>", initial=initial)
+    out = out.select("k", "before", F.posexplode("seqs").alias("at", "seq"))
+    return out.select(F.col("seq").alias(order), F.col("k").alias(key), (F.col("before") + F.col("at") + 1).alias("cnt"))
 
 
 def live_changelog(stream: DataFrame, key: str, order: str, initial: DataFrame | None = None) -> DataFrame:
-    rows = stream.select(F.col(key).alias("k"), F.col(order).alias("seq"))
-    out = _apply(rows, Changelog(), f"k {_kind(rows, 'k')}, seq long, op string, cnt long", initial=initial)
-    return out.select(F.col("seq").alias(order), F.col("k").alias(key), "op", "cnt")
+    """The withdrawn and the new count, for each row."""
+    return count_changes(live_running_count(stream, key, order, initial), key, [order])
 
 
 def live_count_window(
