@@ -34,6 +34,22 @@ def test_batches_of_a_shuffled_table(spark, shuffled, monkeypatch, name):
     check(QUERIES[name](spark, f"{shuffled}{data}"), connect(data), ORACLE[name])
 
 
+@pytest.mark.parametrize("name, label", [("count_window_5_2", "count-window"), ("sustained_rise_alert", "rises")])
+def test_state_has_few_partitions(spark, tmp_path, monkeypatch, name, label):
+    """Each one opens a store and a worker in each micro-batch; Spark's default is 200."""
+    partitions = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    monkeypatch.setattr("tidemark.plans.live.scratch_path", lambda spark, label: str(tmp_path / label))
+    spark.conf.set(partitions, "200")
+    try:
+        QUERIES[f"stream_{name}"](spark, SMALL)
+        assert spark.conf.get(partitions) == "200"
+    finally:
+        spark.conf.set(partitions, before)
+    told = (tmp_path / label / "checkpoint" / "offsets" / "0").read_text()
+    assert f'"{partitions}":"{max(16, 2 * spark.sparkContext.defaultParallelism)}"' in told
+
+
 def test_files_are_bounded_and_taken_in_order(spark, tmp_path):
     rows = spark.range(1000).select("id", F.xxhash64("id").alias("at")).repartition(5, "id")
     last = spark.createDataFrame([(-1, -(2**63))], "id long, at long")

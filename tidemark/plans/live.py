@@ -24,7 +24,7 @@ from tidemark.plans import batch as b
 from tidemark.plans import windows as w
 from tidemark.plans.catalog import own_name, query, table
 from tidemark.schemas import BEHAVIOR
-from tidemark.session import rocksdb, scratch_path
+from tidemark.session import few_stores, rocksdb, scratch_path
 from tidemark.sinks.upsert import read_upserted, upsert_folder
 from tidemark.sources import parsers, readers
 from tidemark.streaming import lateness, stamped, stateful
@@ -56,7 +56,7 @@ def _run(out: DataFrame, write: Callable[[DataFrame, int], None], path: str, mod
 def _appended(out: DataFrame, label: str) -> DataFrame:
     """What an append-mode query writes."""
     spark, path = out.sparkSession, scratch_path(out.sparkSession, label)
-    with rocksdb(spark):
+    with rocksdb(spark), few_stores(spark):
         live.run_available(live.append_to(out, f"{path}/out"), f"{path}/checkpoint")
     return _zoneless(spark.read.schema(out.schema).parquet(f"{path}/out"))
 

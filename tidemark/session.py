@@ -15,6 +15,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+STORES_PER_CORE, LEAST_STORES = 2, 16
+
 
 def build_session(app_name: str = "tidemark", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster use the submitted one."""
@@ -55,6 +58,21 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
 
 
+@contextmanager
+def few_stores(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in ``STORES_PER_CORE`` partitions a core at most.
+
+    Each partition opens its state store and a Python worker in each micro-batch, which takes longer than
+    the rows of a bounded micro-batch if there are many. The session's own choice comes back.
+    """
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(min(int(before), max(LEAST_STORES, STORES_PER_CORE * spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder of ``spark.checkpoint.dir``, or else below the warehouse.
 
