@@ -135,3 +135,15 @@ def test_every_visit_counts_in_the_url_ranking(spark):
     counts = plans.url_counts(spark, sf_dir)
     assert counts.agg(F.sum("cnt")).first()[0] == events.count() * 6
     assert counts.where("url LIKE '/item/%'").count() > 0
+
+
+def test_item_sales_hold_a_bounded_number_of_rows_in_a_task(spark, monkeypatch):
+    """Left to their size in bytes, all rows of a small table are one task."""
+    from compare import check, connect
+
+    from tidemark.plans import ORACLE, QUERIES
+
+    monkeypatch.setattr(windows, "ROWS_PER_TASK", 500, raising=False)
+    got = QUERIES["item_sales_sliding"](spark, "/root/testdata/sf0.001")
+    assert got.rdd.getNumPartitions() == 12  # of 6,000 lines
+    check(got, connect("/root/testdata/sf0.001"), ORACLE["item_sales_sliding"])

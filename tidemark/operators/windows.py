@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timing import interval_text
 
 START, END = "window_start", "window_end"
+ROWS_PER_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -76,8 +77,13 @@ def windowed(
     aggs: Sequence[Mergeable],
     slide: timedelta | None = None,
     keys: Sequence[str] = (),
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Mergeable aggregates per key and tumbling or sliding window."""
+    """Mergeable aggregates per key and tumbling or sliding window.
+
+    With ``tasks``, panes are merged in so many tasks, dealt by the keys before they are copied to their
+    windows; for many keys, where copies of different tasks would hardly meet before a shuffle.
+    """
     slide = checked_slide(size, slide)
     add = [c.alias(n) for a in aggs for n, c in a.add.items()]
     results = [c.alias(n) for a in aggs for n, c in a.result.items()]
@@ -92,6 +98,8 @@ def windowed(
     panes = panes.withColumn(START, F.col("w.start")).drop("w")
     if size != slide:
         merge = [c.alias(n) for a in aggs for n, c in a.merge.items()]
+        if keys and tasks:
+            panes = panes.repartition(tasks, *keys)
         panes = panes.withColumn(START, covering_starts(F.col(START), size, slide))
         panes = panes.groupBy(*keys, START).agg(*merge)
     return panes.select(*keys, START, (F.col(START) + F.lit(size)).alias(END), *results)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -156,9 +157,13 @@ GROUP BY l_partkey, window_start, window_end
 def item_sales_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    # A task holds a bounded number of rows; left to their size in bytes, tasks grow with the tables.
+    tasks = math.ceil(lines.count() / windows.ROWS_PER_TASK)
+    if tasks > 1:
+        lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return windows.windowed(
-        sold, "o_orderdate", MONTH, [windows.count_rows("sales")], TEN_DAYS, ["l_partkey"]
+        sold, "o_orderdate", MONTH, [windows.count_rows("sales")], TEN_DAYS, ["l_partkey"], tasks
     )
 
 
