@@ -43,7 +43,8 @@ class _Keyed(StatefulProcessor):
         self.last.update(tuple(initialState[part.split()[0]] for part in self.memory.split(",")))
 
     def remembered(self, default: tuple) -> tuple:
-        return tuple(self.last.get()) if self.last.exists() else default
+        held = self.last.get()
+        return default if held is None else tuple(held)
 
     def close(self) -> None:
         pass
@@ -96,7 +97,7 @@ class CountWindow(_Keyed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (n,) = self.remembered((0,))
-        held = deque((v for (v,) in self.tail.get()) if self.tail.exists() else (), maxlen=self.size)
+        held = deque((v for (v,) in self.tail.get()), maxlen=self.size)
         for row in sorted(rows, key=lambda r: r.seq):
             n += 1
             held.append(row.v)
@@ -125,7 +126,7 @@ class SustainedRise(_Keyed):
         self.pending = handle.getListState("pending", "due_ms long, seq long")
 
     def _waiting(self) -> list:
-        return [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
+        return [tuple(p) for p in self.pending.get()]
 
     def _due(self, key, run: tuple, waiting: list, before: int) -> Iterator[Row]:
         """Take the deadlines earlier than a time; alert if the run is long enough."""
@@ -137,9 +138,7 @@ class SustainedRise(_Keyed):
                 yield Row(k=key[0], seq=seq, timer_ms=due, run_start_ms=run[1], rises=run[2])
         del waiting[:n]
 
-    def _save(self, run: tuple, waiting: list) -> None:
-        if run:
-            self.last.update(run)
+    def _wait(self, waiting: list) -> None:
         if waiting:
             self.pending.put(waiting)
             self.handle.registerTimer(waiting[0][0])
@@ -159,12 +158,14 @@ class SustainedRise(_Keyed):
                     run = (row.v, row.ts_ms, 0)
                     waiting.clear()
             insort(waiting, (row.ts_ms + self.wait_ms, row.seq))
-        self._save(run, waiting)
+        if run:
+            self.last.update(run)
+        self._wait(waiting)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         run, waiting = self.remembered(()), self._waiting()
         yield from self._due(key, run, waiting, timerValues.getCurrentWatermarkInMs() + 1)
-        self._save(run, waiting)
+        self._wait(waiting)
 
 
 class WindowFirings(StatefulProcessor):
