@@ -73,6 +73,14 @@ def test_both_ways_of_merging_agree(tables):
     assert tables._merged(words) == [tables._merged_long(w) for w in words]
 
 
+def test_a_merge_ranks_only_the_pairs_beside_it(tables, monkeypatch):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abing \xc3\xa9=") for _ in range(60)) for _ in range(200)]
+    asked, rank = [], tables.pairs.rank
+    monkeypatch.setattr(tables.pairs, "rank", lambda left, right: asked.append(len(left)) or rank(left, right))
+    assert tables._merged(words) and sum(asked) < 3 * 60 * 200
+
+
 def test_words_kept_are_bounded(monkeypatch, library):
     monkeypatch.setattr(byte_bpe, "CACHED", 50)
     tables = byte_bpe.ByteBpe(open(PATH, "rb").read())

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -104,6 +105,57 @@ def test_equals_brute_force(spark, tokenizers, monkeypatch, docs, postings):
     assert result(align.alignment_digests(frame, FIRST, SECOND)) == brute(rows(), *tokenizers)
 
 
+def aligner():
+    return align.Aligner(open(FIRST, "rb").read(), open(SECOND, "rb").read())
+
+
+class Counted:
+    """The second tokenizer, with the number of characters it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode(texts, **options)
+
+
+def test_a_piece_is_tokenized_once():
+    """The tokenizers' work follows the different pieces, not all texts."""
+    rnd = random.Random(4)
+    words = prose(1, 60).split()
+    texts = [" ".join(rnd.choice(words) for _ in range(50)) for _ in range(200)]
+    tables = aligner()
+    tables.second = Counted(tables.second)
+    block = align.Block(0)
+    for k in range(0, len(texts), 20):
+        block.add(list(range(k, k + 20)), tables, texts[k : k + 20])
+    assert len(block.documents) == 200 and 0 < tables.second.given < 2000 < 20 * 2000 < sum(map(len, texts))
+
+
+JOINTS = [
+    " ", "  ", "   ", "\n", "\n ", " \n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "▁", "▁ ", " ▁", "'s", "'", "the", "Word", "12",
+    "=", "</s>", "<0x41>", "<|endoftext|>", "é", "e\u0301", "\u0301", "日本", "😀", "\0", "\u0378", "ab" * 40, ". ", ", "]
+
+
+@pytest.mark.parametrize("cached", [1 << 18, 30])
+def test_pieces_give_what_whole_texts_give(monkeypatch, cached):
+    monkeypatch.setattr(align, "CACHED", cached)
+    rnd = random.Random(6)
+    some = [rnd.choice([JOINTS, [" ", "the", "ing", "a", "\n", ". "]]) for _ in range(3000)]
+    texts = ["".join(rnd.choice(s) for _ in range(rnd.randrange(15))) for s in some] + [t or "" for t in ODD] + [prose(3, 200)]
+    cut, whole = aligner(), aligner()
+    whole.apart, whole._cut = False, lambda text: [text]
+    assert cut.apart
+    for k in range(0, len(texts), 500):
+        got, want = cut.linked(texts[k : k + 500]), whole.linked(texts[k : k + 500])
+        assert got.groups == want.groups
+        for name in ("counts", "text", "pair"):
+            assert (getattr(got, name) == getattr(want, name)).all()
+    assert 0 < len(cut._held.number) == len(cut._held.groups) < len(texts)
+    assert max(map(len, cut._held.number)) <= align.LONG
+
+
 def test_group_texts(spark, tokenizers):
     got = {(r.doc_id, r.groups) for r in align.groups(make_docs(spark, rows()), FIRST, SECOND).collect()}
     want = set()

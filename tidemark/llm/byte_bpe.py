@@ -20,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 from functools import cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -29,6 +30,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 CACHED = 1 << 18
 LONG = 64  # characters; longer words are not kept
 NEVER = np.iinfo(np.int64).max
+_BREAK = b"\xff"  # in no UTF-8 text; stands between words
 
 # No word of the pattern holds letters beside other signs, so no word begins like this.
 _KEY = "\0a\0"
@@ -169,10 +171,10 @@ class ByteBpe:
                 self._byte[self.tokens[i][0]] = i
         if (self._byte < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
-        self._trie = ahocorasick.Automaton()
+        self._trie = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i in vocab.values():
-            if self.pairs.sound[i]:
-                self._trie.add_word(self.tokens[i].decode("latin-1"), (i, len(self.tokens[i])))
+            if self.pairs.sound[i] and _BREAK not in self.tokens[i]:
+                self._trie.add_word(self.tokens[i].decode("latin-1"), i)
         self._trie.make_automaton()
         self._pattern = regex.compile(PATTERN)
         self._young, self._maybe_young = _young()
@@ -219,21 +221,22 @@ class ByteBpe:
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         if not words:
             return {}
-        raw = [w.encode().decode("latin-1") for w in words]
-        longest = self._trie.iter_long
-        proposed = [[v for _, v in longest(r)] for r in raw]
-        counts = np.array([len(p) for p in proposed])
-        flat = np.array([v for p in proposed for v in p], dtype=np.int64).reshape(-1, 2)
-        word = np.repeat(np.arange(len(words)), counts)
-        whole = np.bincount(word, flat[:, 1], minlength=len(words)) == [len(r) for r in raw]
+        raw = list(map(str.encode, words))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        text = _BREAK.join(raw)
+        proposed = chain.from_iterable(self._trie.iter_long(text.decode("latin-1")))
+        last, flat = np.fromiter(proposed, np.int64).reshape(-1, 2).T
+        word = np.cumsum(np.frombuffer(text, dtype=np.uint8) == _BREAK[0], dtype=np.int64)[last]
+        counts = np.bincount(word, minlength=len(words))
+        whole = np.bincount(word, self.lengths[flat], minlength=len(words)) == size
         inside = np.flatnonzero(word[1:] == word[:-1])
-        pairs, back = np.unique(flat[inside, 0] * self.pairs.size + flat[inside + 1, 0], return_inverse=True)
+        pairs, back = np.unique(flat[inside] * self.pairs.size + flat[inside + 1], return_inverse=True)
         fine = self.pairs.compatible(pairs // self.pairs.size, pairs % self.pairs.size)[back]
         whole[word[inside[~fine]]] = False
-        ids = flat[:, 0].astype(np.int32).tobytes()
+        ids = flat.astype(np.int32).tobytes()
         end = np.cumsum(counts) * 4
         out = {w: ids[b - n : b] for w, b, n in zip(words, end.tolist(), (4 * counts).tolist())}
-        failed = [(words[k], raw[k]) for k in np.flatnonzero(~whole)]
+        failed = [(words[k], raw[k].decode("latin-1")) for k in np.flatnonzero(~whole)]
         short = [(w, r) for w, r in failed if len(r) <= LONG]
         out.update(zip([w for w, _ in short], self._merged([r for _, r in short])))
         out.update((w, self._merged_long(r)) for w, r in failed if len(r) > LONG)
@@ -244,20 +247,18 @@ class ByteBpe:
     def _merged(self, words: list[str]) -> list[bytes]:
         """The ids of words by their merges; each round makes the next merge of every word at once."""
         out = [b""] * len(words)
-        data = np.frombuffer("".join(words).encode("latin-1"), dtype=np.uint8)
-        ids = self._byte[data]
+        ids = self._byte[np.frombuffer("".join(words).encode("latin-1"), dtype=np.uint8)]
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rank = self._ranks(ids, word, np.arange(len(ids)))
         while len(ids):
-            rank = np.append(self.pairs.rank(ids[:-1], ids[1:]), NEVER)
-            rank[np.flatnonzero(word[1:] != word[:-1])] = NEVER
             first = np.flatnonzero(np.diff(word, prepend=-1))
             least = np.minimum.reduceat(rank, first)
             over = least == NEVER
             if over.any():
                 end = np.append(first[1:], len(ids))
                 done = ids.astype(np.int32)
-                for a, b in zip(first[over].tolist(), end[over].tolist()):
-                    out[word[a]] = done[a:b].tobytes()
+                for k, a, b in zip(word[first[over]].tolist(), first[over].tolist(), end[over].tolist()):
+                    out[k] = done[a:b].tobytes()
                 stays = np.repeat(~over, end - first)
                 ids, word, rank, least = ids[stays], word[stays], rank[stays], least[~over]
                 first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -267,7 +268,21 @@ class ByteBpe:
             hits = np.flatnonzero(rank == wanted)
             hits = hits[np.diff(word[hits], prepend=-1) != 0]
             ids[hits] = self.pairs.gives[rank[hits]]
-            ids, word = np.delete(ids, hits + 1), np.delete(word, hits + 1)
+            stays = np.ones(len(ids), dtype=bool)
+            stays[hits + 1] = False
+            ids, word, rank = ids[stays], word[stays], rank[stays]
+            # Only the pairs of a merged token with its neighbours are new.
+            hits -= np.arange(len(hits))
+            beside = np.concatenate([hits[hits > 0] - 1, hits])
+            rank[beside] = self._ranks(ids, word, beside)
+        return out
+
+    def _ranks(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The ranks of the merges of the tokens at some places with those after them in their words."""
+        out = np.full(len(at), NEVER)
+        inside = np.flatnonzero(at < len(ids) - 1)
+        inside = inside[word[at[inside]] == word[at[inside] + 1]]
+        out[inside] = self.pairs.rank(ids[at[inside]], ids[at[inside] + 1])
         return out
 
     def _merged_long(self, word: str) -> bytes:

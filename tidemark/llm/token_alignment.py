@@ -14,6 +14,12 @@ pair's documents, and all planes together, weighted by their bits, its links. Th
 the postings: bitmaps with their pair's score are dealt by block, and a task adds up the scores
 of the documents of one block at a time. No text and no link is shuffled, only bitmaps.
 
+Texts are cut at the spaces that follow a sign which is no white space. Neither tokenizer has a token
+across such a place, so a text's tokens are those of its pieces, each with the space before it, and
+groups and links stay inside a piece. Every different piece is tokenized and aligned once and
+held, up to ``CACHED`` pieces and ``LINKS`` links; a text adds up its pieces. A text with a piece that
+is not kept byte by byte, and every text of a vocabulary for which the above may fail, is one piece.
+
 A block ends after ``BLOCK_POSTINGS`` postings at the latest, which bounds what a task holds beside the
 links of one document. A pair that stands in every document has one row per block, so no pair is hot.
 
@@ -25,10 +31,12 @@ the highest count of its second id is a best one.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain, count, repeat
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +45,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 
 from tidemark.llm.bpe_codec import text_slices
 from tidemark.llm.byte_bpe import ByteBpe, joiner
@@ -46,6 +55,10 @@ BLOCK_DOCS = 1 << 16
 BLOCK_POSTINGS = 1 << 22
 SLICE = 1 << 20
 ROWS_OUT = 1 << 14
+CACHED = 1 << 18
+LINKS = 1 << 21
+LONG = 64  # characters; longer pieces are not held
+JOINED = 256  # pieces
 LOW = 26  # bits; sums are kept in two halves that doubles hold exactly
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -79,11 +92,6 @@ class Aligned:
         """How many of the marked offsets lie before each end."""
         return (np.cumsum(marked, dtype=np.int32) - marked)[ends]
 
-    def text_of(self, ends: np.ndarray) -> np.ndarray:
-        marked = np.zeros(len(self._mark), dtype=np.int8)
-        marked[self.text_end] = 1
-        return self._before(marked, ends)
-
     def per_text(self, ends: np.ndarray) -> np.ndarray:
         return np.diff(np.searchsorted(ends, self.text_end, side="right"), prepend=0)
 
@@ -91,11 +99,47 @@ class Aligned:
         """The group of each end, and whether it is the last one there."""
         return self._before((self._mark == 3).astype(np.int8), ends), self._mark[ends] == 3
 
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, first and second id of every link."""
-        a = self.a[self._before(self._mark & 1, self.ends)]
-        b = self.b[self._before(self._mark >> 1, self.ends)]
-        return self.text_of(self.ends), a, b
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and second id of every link."""
+        return self.a[self._before(self._mark & 1, self.ends)], self.b[self._before(self._mark >> 1, self.ends)]
+
+
+@dataclass
+class Linked:
+    """The counts of each text, its groups as a text, and all links."""
+
+    counts: np.ndarray
+    groups: list[str]
+    text: np.ndarray
+    pair: np.ndarray
+
+
+class Pieces:
+    """The alignments of different pieces, by number."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.counts = np.zeros((0, len(COUNTS)), dtype=np.int64)
+        self.pairs = np.zeros(0, dtype=np.int64)
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, -1 for one that is not held."""
+        return np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def add(self, pieces: list[str], counts: np.ndarray, groups: list[str], pairs: np.ndarray) -> None:
+        self.number.update(zip(pieces, range(len(self.groups), len(self.groups) + len(pieces))))
+        self.groups += groups
+        self.counts = np.concatenate([self.counts, counts])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+    def keep(self, size: int) -> None:
+        """Forget the pieces from a number on."""
+        for _ in range(len(self.number) - size):
+            self.number.popitem()
+        self.pairs = self.pairs[: int(self.counts[:size, -1].sum())]
+        self.counts = self.counts[:size]
+        del self.groups[size:]
 
 
 class Aligner:
@@ -110,6 +154,19 @@ class Aligner:
         self.size_a, self.size_b = len(self.first.tokens), len(pieces)
         self.names_a = self._names(self.size_a, ",|")
         self.names_b = self._names(self.size_b, ",;")
+        self.apart = self._apart(second)
+        # The literal space comes first, which the search needs to be fast.
+        self._cut = re.compile(r" (?<=\S )(?!\Z)").split if self.apart else lambda text: [text]
+        self._held = Pieces()
+
+    def _apart(self, second: bytes) -> bool:
+        """Whether no token of the second vocabulary reaches across the space after another sign."""
+        spec = sentencepiece_model_pb2.ModelProto.FromString(second)
+        trainer, normal = spec.trainer_spec, spec.normalizer_spec
+        return (
+            trainer.model_type == trainer.BPE and trainer.byte_fallback and not trainer.treat_whitespace_as_suffix
+            and normal.add_dummy_prefix and normal.escape_whitespaces and not normal.remove_extra_whitespaces
+            and not normal.precompiled_charsmap and not any(re.search("[^▁]▁", p.piece) for p in spec.pieces))
 
     def _bytes(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -119,32 +176,96 @@ class Aligner:
     def _names(size: int, marks: str) -> np.ndarray:
         return np.array([f"{i}{mark}" for mark in marks for i in range(size)], dtype=object)
 
-    def _kept(self, ids: list[np.ndarray], joined, wanted: list[bytes]) -> np.ndarray:
+    @staticmethod
+    def _kept(ids: np.ndarray, counts: np.ndarray, joined, wanted: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Which texts the tokens of a tokenizer spell byte by byte."""
-        data, end = joined(np.concatenate(ids))
-        end = np.append(0, end)[np.cumsum([len(x) for x in ids])]
-        lengths = np.array([len(x) for x in wanted])
-        good = np.diff(end, prepend=0) == lengths
-        if not good.all():  # some text changes its length: each by itself
-            begin = end - np.diff(end, prepend=0)
-            return np.array([data[i:j].tobytes() == x for i, j, x in zip(begin, end, wanted)])
-        other = np.flatnonzero(data != np.frombuffer(b"".join(wanted), dtype=np.uint8))
-        good[np.searchsorted(end, other, side="right")] = False
+        data, end = joined(ids)
+        end = np.append(0, end)[np.cumsum(counts)]
+        spelled = np.diff(end, prepend=0)
+        good = spelled == lengths
+        data, wanted = data[np.repeat(good, spelled)], wanted[np.repeat(good, lengths)]
+        other = np.searchsorted(np.cumsum(lengths[good]), np.flatnonzero(data != wanted), side="right")
+        good[np.flatnonzero(good)[other]] = False
         return good
 
     def align(self, texts: list[str]) -> Aligned:
         """The texts that both tokenizers keep byte by byte."""
-        wanted = [(" " + t).encode() for t in texts]
-        ids_a = [np.frombuffer(x, dtype=np.int32) for x in self.first.encode([" " + t for t in texts])]
-        ids_b = [np.array(x, dtype=np.int64) for x in self.second.encode(texts, num_threads=1)]
-        good = np.array([t != "" for t in texts])
-        good &= self._kept(ids_a, self.first.joined, wanted) & self._kept(ids_b, self.joined, wanted)
-        rows = np.flatnonzero(good)
-        empty = [np.zeros(0, np.int64)]
-        a = np.concatenate([ids_a[k] for k in rows] or empty).astype(np.int64)
-        b = np.concatenate([ids_b[k] for k in rows] or empty)
-        text_end = np.cumsum([len(wanted[k]) for k in rows], dtype=np.int64)
-        return Aligned(rows, a, b, np.cumsum(self.first.lengths[a]), np.cumsum(self.length[b]), text_end)
+        spaced = [" " + t for t in texts]
+        encoded = [t.encode() for t in spaced]
+        lengths = np.array([len(x) for x in encoded], dtype=np.int64)
+        wanted = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        ids_a, ids_b = self.first.encode(spaced), self.second.encode(texts, num_threads=1)
+        counts_a = np.array([len(x) // 4 for x in ids_a], dtype=np.int64)
+        counts_b = np.array([len(x) for x in ids_b], dtype=np.int64)
+        a = np.frombuffer(b"".join(ids_a), dtype=np.int32).astype(np.int64)
+        b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(counts_b.sum()))
+        good = np.array([t != "" for t in texts], dtype=bool)
+        good &= self._kept(a, counts_a, self.first.joined, wanted, lengths) & self._kept(b, counts_b, self.joined, wanted, lengths)
+        a, b = a[np.repeat(good, counts_a)], b[np.repeat(good, counts_b)]
+        return Aligned(
+            np.flatnonzero(good), a, b, np.cumsum(self.first.lengths[a]), np.cumsum(self.length[b]), np.cumsum(lengths[good]))
+
+    def _hold(self, pieces: list[str], found: Aligned) -> None:
+        counts, groups = np.zeros((len(pieces), len(COUNTS)), dtype=np.int64), [""] * len(pieces)
+        if len(found.rows):
+            counts[found.rows] = np.stack([found.per_text(e) for e in (found.end_a, found.end_b, found.cuts, found.ends)], axis=1)
+            for k, text in zip(found.rows.tolist(), self.groups(found)):
+                groups[k] = text
+        a, b = found.links()
+        self._held.add(pieces, counts, groups, a * self.size_b + b)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Align and hold new pieces, many in a text; alone go those that no text continues, and changed ones."""
+        closed, alone = [], []
+        for p in pieces:
+            (closed if self.apart and p and not p[-1].isspace() and "▁" not in p else alone).append(p)
+        some = [closed[k : k + JOINED] for k in range(0, len(closed), JOINED)]
+        found = self.align([" ".join(s) for s in some])
+        kept = found.rows.tolist()
+        done = list(chain.from_iterable(some[k] for k in kept))
+        found.rows = np.arange(len(done))
+        found.text_end = np.cumsum(np.fromiter(map(len, map(str.encode, done)), np.int64, len(done)) + 1)
+        self._hold(done, found)
+        alone += chain.from_iterable(some[k] for k in set(range(len(some))).difference(kept))
+        self._hold(alone, self.align(alone))
+
+    def _numbers(self, pieces: list[list[str]]) -> tuple[np.ndarray, int]:
+        """The numbers of all pieces, and how many are held before the first long one that is new."""
+        first: dict[str, int] = {}
+        at = np.fromiter(map(first.setdefault, chain.from_iterable(pieces), count()), np.int64)
+        number = self._held.numbers(list(first))
+        new = [piece for piece, k in zip(first, number.tolist()) if k < 0]
+        self._learn([p for p in new if len(p) <= LONG])
+        stay = len(self._held.groups)
+        long = [p for p in new if len(p) > LONG]
+        self._hold(long, self.align(long))
+        number[number < 0] = self._held.numbers(new)
+        everywhere = np.zeros(len(at), dtype=np.int64)
+        everywhere[list(first.values())] = number
+        return everywhere[at], stay
+
+    def linked(self, texts: list[str]) -> Linked:
+        """All texts, in order; those that a tokenizer does not keep byte by byte have no tokens."""
+        if len(self._held.groups) > CACHED or len(self._held.pairs) > LINKS:
+            self._held = Pieces()
+        held, pieces = self._held, [self._cut(t) for t in texts]
+        number, stay = self._numbers(pieces)
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        changed = np.unique(np.repeat(np.arange(len(texts)), sizes)[held.counts[number, 0] == 0]).tolist()
+        if any(sizes[k] > 1 for k in changed):
+            for k in changed:
+                pieces[k] = [texts[k]]
+            number, _ = self._numbers(pieces)
+            sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        text, counts = np.repeat(np.arange(len(texts)), sizes), held.counts[number]
+        links = counts[:, -1]
+        begin = np.cumsum(held.counts[:, -1])[number] - links
+        place = np.repeat(begin - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))
+        stop, each = np.cumsum(sizes).tolist(), list(map(held.groups.__getitem__, number.tolist()))
+        total = np.add.reduceat(counts, np.cumsum(sizes) - sizes) if len(texts) else counts
+        out = Linked(total, [";".join(each[i:j]) for i, j in zip([0, *stop], stop)], np.repeat(text, links), held.pairs[place])
+        held.keep(stay)
+        return out
 
     def groups(self, found: Aligned) -> list[str]:
         """The ids of each text, group by group: those of the first, ``|``, those of the second, ``;``."""
@@ -181,12 +302,8 @@ def groups(docs: DataFrame, first: str, second: str) -> DataFrame:
 
     @F.arrow_udf("string")
     def grouped(texts: pa.Array) -> pa.Array:
-        aligner, out = shared.aligner(), []
-        for part in text_slices(texts, SLICE):
-            found = aligner.align(part)
-            names = dict(zip(found.rows.tolist(), aligner.groups(found)))
-            out += [names.get(k, "") for k in range(len(part))]
-        return pa.array(out, pa.string())
+        aligner = shared.aligner()
+        return pa.array([text for part in text_slices(texts, SLICE) for text in aligner.linked(part).groups], pa.string())
 
     return docs.select("doc_id", grouped(F.col("text")).alias("groups"))
 
@@ -231,19 +348,14 @@ class Block:
         self.postings = 0
 
     def add(self, ids: list, aligner: Aligner, texts: list[str]) -> None:
-        found = aligner.align(texts)
-        text, a, b = found.links()
-        slot = found.rows[text] + len(self.documents)
-        keys, times = np.unique((a * aligner.size_b + b) * BLOCK_DOCS + slot, return_counts=True)
+        found = aligner.linked(texts)
+        slot = found.text + len(self.documents)
+        keys, times = np.unique(found.pair * BLOCK_DOCS + slot, return_counts=True)
         self.keys.append(keys)
         self.times.append(times)
         self.postings += len(keys)
-        numbers = np.zeros((len(texts), len(COUNTS)), dtype=np.int64)
-        if len(found.rows):
-            numbers[found.rows] = np.stack([found.per_text(e) for e in (found.end_a, found.end_b, found.cuts, found.ends)], axis=1)
-        names = dict(zip(found.rows.tolist(), aligner.groups(found)))
-        digests = [sha256(names[k].encode()).hexdigest() if k in names else "" for k in range(len(texts))]
-        self.documents += zip(ids, *numbers.T.tolist(), digests)
+        digests = [sha256(text.encode()).hexdigest() if text else "" for text in found.groups]
+        self.documents += zip(ids, *found.counts.T.tolist(), digests)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         n = len(self.documents)
