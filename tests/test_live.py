@@ -3,6 +3,7 @@
 import time
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from feed import feed
 from fixtures import SENSOR_STATE, WORD_LINES, rows_of, sensors, skewed
@@ -238,6 +239,53 @@ def test_rises_after_a_restart_in_the_middle(spark):
         assert rows_of(got, *want.columns) == rows_of(want)
 
 
+def test_keys_of_rises_share_entries_of_the_state(spark):
+    """Calls to the store for each key took most of the time. A null key is a key like others."""
+    rows = spark.range(600).select(
+        F.expr("IF(id % 60 = 7, NULL, id % 60)").alias("k"), F.timestamp_seconds(F.col("id") + 1000).alias("ts"),
+        F.expr("CAST((id DIV 60) % 7 * 1.5 AS DOUBLE)").alias("v"), F.col("id").alias("seq"))
+    path = scratch_path(spark, "shared")
+    with rocksdb(spark):
+        live.run_available(live.each_batch(arrivals(rows, ["seq"], batch_rows=100), stamped.stamp(path, "ts", ["seq"])), f"{path}/first")
+        stamped.close(spark, rows, path, stamped.seen_ms(spark, path) + 1)
+        stream = stamped.clocked(stamped.stamped_stream(rows, path), "ts")
+        out = stateful.live_sustained_rise(stream, "k", "v", "ts", "seq", S(100), 2, clock="clock", slots=4)
+        query = live.append_to(out, f"{path}/out").option("checkpointLocation", f"{path}/second").trigger(availableNow=True).start()
+        query.awaitTermination()
+    want = keyed.sustained_rise_alert(rows, "k", "v", "ts", "seq", S(100), 2, at_end="hold")
+    assert {r.k for r in want.collect()} == {None, *range(60)} - {7}
+    assert rows_of(spark.read.parquet(f"{path}/out"), *want.columns) == rows_of(want)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+
+
+def test_only_a_long_run_waits_for_a_timer():
+    """One a key and micro-batch fired for runs that could give no alert."""
+    class State:
+        held, timers = None, []
+        get = lambda self: self.held
+        registerTimer = lambda self, at: self.timers.append(at)
+        getCurrentWatermarkInMs = lambda self: 2_000
+
+        def update(self, value):
+            self.held = value
+
+    def rows(*values):
+        clock = pa.array([ms * 1000 for ms, *_ in values], pa.timestamp("us", "UTC"))
+        columns = [pa.array(c) for c in zip(*[(seq, k, ms, v) for ms, seq, k, v in values])]
+        return [Row(frame=stateful._to_bytes(pa.record_batch([clock, *columns], ["clock", "seq", "k", "ts_ms", "v"])))]
+
+    rise, state = stateful.SustainedRise(1_000, 2), State()
+    rise.held = rise.handle = state
+    given = [*rise.handleInputRows((0,), rows((100, 1, "a", 1.0), (200, 2, "a", 2.0), (300, 3, None, 5.0)), state)]
+    assert given == [] and state.timers == []
+    given = [*rise.handleInputRows((0,), rows((400, 4, "a", 3.0), (500, 5, None, 4.0)), state)]
+    assert given == [] and state.timers == [1_100]
+    given = [*rise.handleExpiredTimer((0,), state, None)]
+    assert [(r.k, r.seq, r.timer_ms, r.run_start_ms, r.rises) for r in given] == [
+        ("a", seq, due, 100, 2) for seq, due in ((1, 1_100), (2, 1_200), (4, 1_400))]
+    assert [*rise.handleExpiredTimer((0,), state, None)] == [] and state.timers == [1_100]
+
+
 def test_rows_behind_the_clock_count_in_a_rise(spark):
     """A late row that is lower ends the run; dropping it would give an alert."""
     def part(late_value):

@@ -2,6 +2,7 @@
 
 import shutil
 
+import pyarrow.parquet as pq
 import pytest
 from compare import check, connect
 from pyspark.sql import functions as F
@@ -66,6 +67,16 @@ def test_files_are_bounded_and_taken_in_order(spark, tmp_path):
     assert all(max(a) < min(b) for a, b in zip(seen[:-1], seen[1:-1])) and sum(map(len, seen)) == 1001
 
 
+def test_files_are_filled_and_read_by_more_than_one_task(spark):
+    """A range a little above the bound gave a second file, and so a micro-batch, of few rows."""
+    rows = spark.range(400_000).select("id", F.xxhash64("id").alias("at"))
+    names = data_files(spark, ordered.arrival_files(rows, ["at"], batch_rows=100_000))
+    assert len(names) <= 6
+    wide = spark.range(1_200_000).select("id", *[F.xxhash64("id", F.lit(i)).alias(f"x{i}") for i in range(2)])
+    name = data_files(spark, ordered.arrival_files(wide, ["id"]))[0]
+    assert pq.ParquetFile(name.removeprefix("file:")).num_row_groups > 1
+
+
 def test_a_query_is_started_once(spark, monkeypatch):
     """No feed loop: one start for a query, two where a first query stamps the rows."""
     from pyspark.sql.streaming import DataStreamWriter

@@ -18,7 +18,9 @@ from tidemark.sinks.folders import data_files, set_time
 
 BATCH_ROWS = 1_000_000
 LEAST_FILES = 3
+FILLED = 0.9  # ranges are cut by a sample, and one that is above the bound would need a second file
 STEP_MS = 10
+ROW_GROUP = {"parquet.block.size": 4 << 20}  # so that more than one task reads a file
 
 
 def arrival_files(
@@ -32,10 +34,10 @@ def arrival_files(
     """
     spark, limit = rows.sparkSession, batch_rows or BATCH_ROWS
     folder = scratch_path(spark, "arrivals")
-    files = max(LEAST_FILES, math.ceil(rows.count() / limit))
+    files = max(LEAST_FILES, math.ceil(rows.count() / (FILLED * limit)))
     ranged = rows.repartitionByRange(files, *by).sortWithinPartitions(*by)
     ranged = ranged.select(*keep) if keep else ranged
-    ranged.write.option("maxRecordsPerFile", limit).format(form).save(folder)
+    ranged.write.options(maxRecordsPerFile=limit, **ROW_GROUP).format(form).save(folder)
     names = data_files(spark, folder)
     if last is not None:
         last.coalesce(1).write.mode("append").format(form).save(folder)

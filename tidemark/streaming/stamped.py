@@ -20,6 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.functions.timing import epoch_millis, interval_text, millis
 from tidemark.operators.lateness import WATERMARK, with_watermark_before
 from tidemark.sinks.folders import is_complete, remove
+from tidemark.streaming.ordered import ROW_GROUP
 
 CLOCK = "clock"
 NO_CLOCK = -62_135_596_800_000  # the year 1, for rows without a time before any other
@@ -45,19 +46,22 @@ def stamp(
             return
         seen = None
         if batch_id > 0:
-            seen = spark.read.parquet(f"{path}/marks/batch_id={batch_id - 1}").first()[0]
+            seen = spark.read.schema("seen_ms long").parquet(f"{path}/marks/batch_id={batch_id - 1}").first()[0]
         marked = with_watermark_before(batch, ts, arrival, delay, rows_per_block)
         if seen is not None:
             marked = marked.withColumn(WATERMARK, F.greatest(F.col(WATERMARK), F.lit(seen - millis(delay))))
-        rows = marked.persist()
+        rows = marked.persist() if parts else marked
         try:
             for name, part in (parts(rows) if parts else {"stamped": rows}).items():
                 if not is_complete(spark, f"{path}/{name}/{target}"):
-                    part.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}/{target}")
+                    part.coalesce(1).write.mode("overwrite").options(**ROW_GROUP).parquet(f"{path}/{name}/{target}")
+            if not parts:  # rows that are written once are read back, which takes less than keeping them
+                rows = spark.read.schema(marked.schema).parquet(f"{path}/stamped/{target}")
             top = rows.agg(F.greatest(F.max(epoch_millis(F.col(ts))), F.lit(seen).cast("long")).alias("seen_ms"))
             top.write.mode("overwrite").parquet(f"{path}/marks/{target}")
         finally:
-            rows.unpersist()
+            if parts:
+                rows.unpersist()
         if batch_id > 1:
             remove(spark, f"{path}/marks/batch_id={batch_id - 2}")
 

@@ -14,10 +14,15 @@ from bisect import insort
 from collections import deque
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from tidemark.functions.messages import jump_message, rise_message
 from tidemark.functions.timing import epoch_millis, millis
@@ -28,6 +33,9 @@ from tidemark.schemas import struct
 from tidemark.sources.readers import event_table
 from tidemark.streaming.stamped import CLOCK
 
+#: Entries of the state store that the keys of a rise share.
+SLOTS = 256
+
 
 class _Keyed(StatefulProcessor):
     """Base: one remembered row per key, of the columns ``memory``."""
@@ -107,65 +115,136 @@ class CountWindow(_Keyed):
         self.tail.put([(v,) for v in held])
 
 
-class SustainedRise(_Keyed):
+class SustainedRise(StatefulProcessor):
     """Alert a span after a row if its run of rises still lasts and is long enough.
 
+    The keys of a slot share an entry of the state store, and their rows come in few frames (``_framed``): a call
+    to the store, or a row's way to Python, takes longer than the few rows that a key has in a micro-batch.
+
     Spark fires timers after the rows of a micro-batch, so the deadlines that are due between
     two rows of the batch are settled here first; a timer serves those that are left, also of keys
-    that fell silent. Every row counts in the order of arrival; one whose time lies behind the clock has a
+    that fell silent. Only a run that is long enough needs one, as others give no alert before the key's next
+    row. Every row counts in the order of arrival; one whose time lies behind the clock has a
     deadline like others, which may be due at once.
     """
 
-    memory = "v double, start_ms long, rises long"
-
     def __init__(self, wait_ms: int, min_rises: int) -> None:
         self.wait_ms, self.min_rises = wait_ms, min_rises
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.pending = handle.getListState("pending", "due_ms long, seq long")
-
-    def _waiting(self) -> list:
-        return [tuple(p) for p in self.pending.get()]
-
-    def _due(self, key, run: tuple, waiting: list, before: int) -> Iterator[Row]:
-        """Take the deadlines earlier than a time; alert if the run is long enough."""
-        n = 0
-        while n < len(waiting) and waiting[n][0] < before:
-            due, seq = waiting[n]
-            n += 1
-            if run[2] >= self.min_rises:
-                yield Row(k=key[0], seq=seq, timer_ms=due, run_start_ms=run[1], rises=run[2])
-        del waiting[:n]
-
-    def _wait(self, waiting: list) -> None:
-        if waiting:
-            self.pending.put(waiting)
-            self.handle.registerTimer(waiting[0][0])
-        else:
-            self.pending.clear()
+        self.handle = handle
+        self.held = handle.getValueState("runs", "runs binary")
+
+    def _held(self) -> pa.RecordBatch | None:
+        held = self.held.get()
+        return None if held is None else _from_bytes(held[0])
+
+    def _save(self, others: pa.RecordBatch | None, runs: dict, kind: pa.DataType) -> None:
+        """Runs as the rows of a table, after those of other keys; a timer for the first deadline of long ones."""
+        values, starts, rises, waiting = zip(*runs.values())
+        due, seqs = zip(*[d for w in waiting for d in w]) if any(waiting) else ((), ())
+        deadlines = pa.StructArray.from_arrays([pa.array(due, pa.int64()), pa.array(seqs, pa.int64())], ["due_ms", "seq"])
+        ends = pa.array([0, *accumulate(map(len, waiting))], pa.int32())
+        mine = pa.record_batch({
+            "k": pa.array(list(runs), kind), "v": pa.array(values, pa.float64()), "start_ms": pa.array(starts, pa.int64()),
+            "rises": pa.array(rises, pa.int64()), "waiting": pa.ListArray.from_arrays(ends, deadlines)})
+        self.held.update((_to_bytes(mine if others is None else pa.concat_batches([others, mine])),))
+        needed = [w[0][0] for n, w in zip(rises, waiting) if w and n >= self.min_rises]
+        if needed:
+            self.handle.registerTimer(min(needed))
+
+    def _due(self, key, run: list, before: int) -> list[Row]:
+        """Take the deadlines earlier than a time; alerts if the run is long enough."""
+        taken, (_, start, rises, waiting) = [], run
+        while waiting and waiting[0][0] < before:
+            taken.append(waiting.popleft())
+        if rises < self.min_rises:
+            return []
+        return [Row(k=key, seq=seq, timer_ms=due, run_start_ms=start, rises=rises) for due, seq in taken]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        run, waiting = self.remembered(()), self._waiting()
-        for row in sorted((r for r in rows if r.seq is not None), key=lambda r: (r.clock_ms, r.seq)):
-            if not run:
-                run = (row.v, row.ts_ms, 0)
+        arrived = pa.Table.from_batches(_from_bytes(row.frame) for row in rows)
+        arrived = arrived.filter(pc.is_valid(arrived.column("seq")))  # one without only moves the clock
+        if not arrived.num_rows:
+            return
+        held, keys, alerts = self._held(), arrived.column("k").unique(), []
+        others, runs = (None, {}) if held is None else _parted(held, pc.is_in(held.column("k"), keys))
+        for clock, seq, k, ts, v in _in_order(arrived):
+            run = runs.get(k)
+            if run is None:
+                run = runs[k] = [v, ts, 0, deque()]
             else:
-                yield from self._due(key, run, waiting, row.clock_ms)
-                if row.v > run[0]:
-                    run = (row.v, run[1], run[2] + 1)
-                elif row.v < run[0]:
-                    run = (row.v, row.ts_ms, 0)
-                    waiting.clear()
-            insort(waiting, (row.ts_ms + self.wait_ms, row.seq))
-        if run:
-            self.last.update(run)
-        self._wait(waiting)
+                if run[3] and run[3][0][0] < clock:
+                    alerts += self._due(k, run, clock)
+                if v > run[0]:
+                    run[0], run[2] = v, run[2] + 1
+                elif v < run[0]:
+                    run[:] = v, ts, 0, deque()
+            insort(run[3], (ts + self.wait_ms, seq))
+        self._save(others, runs, keys.type)
+        yield from alerts
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        run, waiting = self.remembered(()), self._waiting()
-        yield from self._due(key, run, waiting, timerValues.getCurrentWatermarkInMs() + 1)
-        self._wait(waiting)
+        held, until = self._held(), timerValues.getCurrentWatermarkInMs()
+        others, long = _parted(held, pc.greater_equal(held.column("rises"), self.min_rises))
+        alerts = [alert for k, run in long.items() for alert in self._due(k, run, until + 1)]
+        if long:
+            self._save(others, long, held.column("k").type)
+        yield from alerts
+
+    def close(self) -> None:
+        pass
+
+
+def _to_bytes(table: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_batch(table)
+    return out.getvalue().to_pybytes()
+
+
+def _from_bytes(held: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(held).read_next_batch()
+
+
+def _values(column: pa.Array) -> list:
+    plain = column.null_count == 0 and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type))
+    return column.to_numpy().tolist() if plain else column.to_pylist()
+
+
+def _in_order(rows: pa.Table) -> Iterator[tuple]:
+    """The rows as (clock, order, key, time, value), sorted."""
+    clock, seqs, *others = (c.combine_chunks() for c in rows.columns)
+    clock, seqs = clock.cast(pa.int64()).to_numpy() // 1000, seqs.to_numpy()
+    order = np.lexsort((seqs, clock))
+    return zip(clock[order].tolist(), seqs[order].tolist(), *(_values(c.take(pa.array(order))) for c in others))
+
+
+def _parted(held: pa.RecordBatch, mine: pa.Array) -> tuple[pa.RecordBatch, dict]:
+    """The runs of other keys as they are, and of each key that is ``mine`` the last value, the start of its run, the
+    rises in it, and its deadlines in order."""
+    table = held.filter(mine)
+    values, starts, rises = (_values(table.column(c)) for c in ("v", "start_ms", "rises"))
+    waiting = table.column("waiting")
+    ends, deadlines = _values(waiting.offsets), list(zip(*map(_values, waiting.flatten().flatten())))
+    runs = zip(values, starts, rises, (deque(deadlines[i:j]) for i, j in zip(ends, ends[1:])))
+    return held.filter(pc.invert(mine)), dict(zip(_values(table.column("k")), map(list, runs)))
+
+
+def _framed(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of a slot as frames, of as many rows as Arrow takes at a time, with the last clock in a frame.
+
+    The clock's field keeps the mark of an event time, by which Spark drops a frame that is late.
+    """
+    schema = StructType([StructField("slot", IntegerType()), rows.schema["clock"], StructField("frame", BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, clock, *_ = batch.columns
+            frame = pa.array([_to_bytes(batch.select(batch.schema.names[1:]))], pa.binary())
+            yield pa.record_batch([slot[:1], pa.array([pc.max(clock)], clock.type), frame], schema.names)
+
+    return rows.groupBy(*by).applyInArrow(pack, schema)
 
 
 class WindowFirings(StatefulProcessor):
@@ -308,22 +387,26 @@ def live_sustained_rise(
     span: timedelta,
     min_rises: int = 5,
     clock: str | None = None,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Alerts that are due by the clock, which is a marked event-time column that never runs back.
 
     ``stamped.clocked`` gives one, so that rows whose time lies behind others count too. Without it the time of
-    the rows is the clock, and Spark drops rows behind it.
+    the rows is the clock, and Spark drops rows behind it. A key goes to one of ``slots`` by its hash. All keys of
+    a slot are read and written if one of them has rows, so there should be some thousands in a slot at most.
     """
     marked = stream if clock else event_table(stream, ts, timedelta(0))
     rows = marked.select(
-        F.col(key).alias("k"), F.col(clock or ts), F.col(order).alias("seq"), epoch_millis(F.col(ts)).alias("ts_ms"),
-        epoch_millis(F.col(clock or ts)).alias("clock_ms"), F.col(value).cast("double").alias("v"),
+        F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"), F.col(clock or ts).alias("clock"),
+        F.col(order).cast("long").alias("seq"), F.col(key).alias("k"), epoch_millis(F.col(ts)).alias("ts_ms"),
+        F.col(value).cast("double").alias("v"),
     )
     out = _apply(
-        rows,
+        _framed(rows, ["slot"] if clock else ["slot", "clock"]),  # rows that may be late are dropped each by its time
         SustainedRise(millis(span), min_rises),
         f"k {_kind(rows, 'k')}, seq long, timer_ms long, run_start_ms long, rises long",
         "EventTime",
+        ("slot",),
     )
     message = rise_message(F.col("timer_ms"), F.col("run_start_ms"), F.col("k"), F.col("rises"))
     return out.withColumn("message", message).withColumnRenamed("k", key)
